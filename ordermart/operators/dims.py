@@ -53,7 +53,11 @@ def address_delta(delta_customer: DataFrame, dim_address: DataFrame,
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
     with_ids = assign_dense_ids(delta_customer.select(*cols), ["customerid"], "address_id", start)
     rows = schemas.conform(with_ids, schemas.DIM_ADDRESS)
-    return rows_not_in(rows, dim_address, [f.name for f in schemas.DIM_ADDRESS.fields])
+    # Only an existing row with one of the new ids could match the full tuple,
+    # and every new id is above ``start``: the id predicate is exact and lets
+    # the scan of the existing dimension skip its row groups by statistics.
+    candidates = dim_address.where(F.col("address_id") > F.lit(start))
+    return rows_not_in(rows, candidates, [f.name for f in schemas.DIM_ADDRESS.fields])
 
 
 def customer_delta(delta_customer: DataFrame, dim_customer: DataFrame,

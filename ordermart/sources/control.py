@@ -8,6 +8,7 @@ mark of a stage table is the latest ``lastextractdatetime`` among its
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ from . import schemas
 
 COMPLETED, FAILED = "Completed", "Failed"
 
+# Appends to one parquet directory must not overlap: two concurrent jobs would
+# share the committer's temporary folder. Stage jobs run in threads, so the
+# (tiny) log appends are serialised here.
+_LOG_LOCK = threading.Lock()
+
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     try:
@@ -52,4 +58,5 @@ def append_log(spark: SparkSession, path: str, logid: int, table: str, rowcount:
     """Append one log row. Called after the stage write returned, so
     ``Completed`` means the rows are durable."""
     row = [(int(logid), table, int(rowcount), at, status)]
-    spark.createDataFrame(row, schemas.ETL_EXTRACT_LOG).coalesce(1).write.mode("append").parquet(path)
+    with _LOG_LOCK:
+        spark.createDataFrame(row, schemas.ETL_EXTRACT_LOG).coalesce(1).write.mode("append").parquet(path)
