@@ -24,8 +24,8 @@ def _star(fn, **kw) -> QueryFn:
     return lambda spark, sf: fn(materialize(spark, sf), **kw)
 
 
-def _inc(attr: str) -> QueryFn:
-    return lambda spark, sf: getattr(h.incremental_batch(spark, sf), attr)
+def _inc(attr: str, **kw) -> QueryFn:
+    return lambda spark, sf: getattr(h.incremental_batch(spark, sf, **kw), attr)
 
 
 def _scd2_product(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,6 +65,9 @@ def etl_queries() -> dict[str, QueryFn]:
         "etl_dim_customer_updates": _inc("customer_updates"),
         "etl_dim_product_inserts": _inc("product_inserts"),
         "etl_dim_product_updates": _inc("product_updates"),
+        "etl_dim_address_natural_key": _inc("stg_dim_address", address_dedupe="natural_key"),
+        "etl_dim_customer_inserts_natural_key": _inc("customer_inserts", address_dedupe="natural_key"),
+        "etl_dim_customer_updates_natural_key": _inc("customer_updates", address_dedupe="natural_key"),
         "etl_dim_order": _inc("stg_dim_order"),
         "etl_f_order_details": _inc("stg_f_order_details"),
         "etl_fact_daily_orders": _inc("stg_fact_daily_orders"),

@@ -16,7 +16,7 @@ The batch then extracts customers from ``CUSTOMER_MARK`` and order events from
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,35 +55,68 @@ def existing_dims(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {"dim_customer": dim_customer, "dim_address": dim_address, "dim_product": dim_product}
 
 
-@dataclass
 class IncrementalBatch:
-    delta_customer: DataFrame
-    delta_orders: DataFrame
-    delta_products: DataFrame
-    delta_items: DataFrame
-    existing: dict
-    stg_dim_address: DataFrame
-    customer_inserts: DataFrame
-    customer_updates: DataFrame
-    product_inserts: DataFrame
-    product_updates: DataFrame
-    stg_dim_order: DataFrame
-    stg_f_order_details: DataFrame
-    stg_fact_daily_orders: DataFrame
-
-
-def incremental_batch(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> IncrementalBatch:
-    src = binding.oltp_sources(spark, sf_dir)
-    old = existing_dims(src)
-    dc = extract.customers_since(src["customer_master"], CUSTOMER_MARK)
-    do = extract.orders_since(src["order_details"], ORDER_MARK)
-    dp = extract.products_snapshot(src["product_master"])
-    di = extract.items_since(src["order_items"], src["order_details"], ORDER_MARK)
-    stg_addr = dims.address_delta(dc, old["dim_address"])
-    lookup = old["dim_address"].unionByName(stg_addr)
-    c_ins, c_upd = dims.customer_delta(dc, old["dim_customer"], lookup)
-    p_ins, p_upd = dims.product_delta(dp, old["dim_product"], run_date)
-    lines = facts.order_lines(do, di)
-    return IncrementalBatch(
-        dc, do, dp, di, old, stg_addr, c_ins, c_upd, p_ins, p_upd,
-        dims.order_status_rows(do), lines, facts.daily_orders(do, dc, dp, lines))
+    """One batch against the existing state; every output is built on first
+    access, so a query for one output plans (and checkpoints) only what it needs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
+                 address_dedupe: str = "row"):
+        self.run_date, self.address_dedupe = run_date, address_dedupe
+        self.src = binding.oltp_sources(spark, sf_dir)
+        self.delta_customer = extract.customers_since(self.src["customer_master"], CUSTOMER_MARK)
+        self.delta_orders = extract.orders_since(self.src["order_details"], ORDER_MARK)
+        self.delta_products = extract.products_snapshot(self.src["product_master"])
+        self.delta_items = extract.items_since(self.src["order_items"], self.src["order_details"],
+                                               ORDER_MARK)
+
+    @cached_property
+    def existing(self) -> dict[str, DataFrame]:
+        return existing_dims(self.src)
+
+    @cached_property
+    def stg_dim_address(self) -> DataFrame:
+        return dims.address_delta(self.delta_customer, self.existing["dim_address"],
+                                  self.address_dedupe)
+
+    @cached_property
+    def _customers(self) -> tuple[DataFrame, DataFrame]:
+        lookup = self.existing["dim_address"].unionByName(self.stg_dim_address)
+        return dims.customer_delta(self.delta_customer, self.existing["dim_customer"], lookup)
+
+    @property
+    def customer_inserts(self) -> DataFrame:
+        return self._customers[0]
+
+    @property
+    def customer_updates(self) -> DataFrame:
+        return self._customers[1]
+
+    @cached_property
+    def _products(self) -> tuple[DataFrame, DataFrame]:
+        return dims.product_delta(self.delta_products, self.existing["dim_product"], self.run_date)
+
+    @property
+    def product_inserts(self) -> DataFrame:
+        return self._products[0]
+
+    @property
+    def product_updates(self) -> DataFrame:
+        return self._products[1]
+
+    @property
+    def stg_dim_order(self) -> DataFrame:
+        return dims.order_status_rows(self.delta_orders)
+
+    @cached_property
+    def stg_f_order_details(self) -> DataFrame:
+        return facts.order_lines(self.delta_orders, self.delta_items)
+
+    @property
+    def stg_fact_daily_orders(self) -> DataFrame:
+        return facts.daily_orders(self.delta_orders, self.delta_customer, self.delta_products,
+                                  self.stg_f_order_details)
+
+
+def incremental_batch(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
+                      address_dedupe: str = "row") -> IncrementalBatch:
+    return IncrementalBatch(spark, sf_dir, run_date, address_dedupe)

@@ -56,7 +56,7 @@ order_items AS (
 
 
 def etl_ctes(cust_mark: str = DEFAULT_MARK, order_mark: str = DEFAULT_MARK,
-             history: bool = False, run_date: str = RUN_DATE) -> str:
+             history: bool = False, run_date: str = RUN_DATE, dedupe: str = "row") -> str:
     """CTEs for one batch: deltas, stage rows, dims and facts.
 
     ``history=False``: first batch into an empty warehouse.
@@ -99,12 +99,23 @@ stg_address_all AS (
          + row_number() OVER (ORDER BY customerid) AS address_id,
          address, city, state, pincode
   FROM delta_customer),
-stg_dim_address AS (
+stg_address_nk AS (
+  SELECT (SELECT coalesce(max(address_id), 0) FROM old_dim_address)
+         + row_number() OVER (ORDER BY min_customerid) AS address_id,
+         address, city, state, pincode
+  FROM (SELECT address, city, state, pincode, min(customerid) AS min_customerid
+        FROM delta_customer d WHERE NOT EXISTS (
+          SELECT 1 FROM old_dim_address o
+          WHERE o.address IS NOT DISTINCT FROM d.address AND o.city IS NOT DISTINCT FROM d.city
+            AND o.state IS NOT DISTINCT FROM d.state AND o.pincode IS NOT DISTINCT FROM d.pincode)
+        GROUP BY address, city, state, pincode)),
+stg_address_row AS (
   SELECT * FROM stg_address_all s WHERE NOT EXISTS (
     SELECT 1 FROM old_dim_address o
     WHERE o.address_id IS NOT DISTINCT FROM s.address_id AND o.address IS NOT DISTINCT FROM s.address
       AND o.city IS NOT DISTINCT FROM s.city AND o.state IS NOT DISTINCT FROM s.state
       AND o.pincode IS NOT DISTINCT FROM s.pincode)),
+stg_dim_address AS (SELECT * FROM stg_address_{dedupe}),
 address_lookup AS (SELECT * FROM old_dim_address UNION ALL SELECT * FROM stg_dim_address),
 cust_rows AS (
   SELECT d.customerid, d.name, a.address_id, CAST(d.update_timestamp AS DATE) AS start_date,
@@ -265,6 +276,10 @@ def etl_sql() -> dict[str, str]:
         "etl_dim_customer_updates": _with("SELECT * FROM stg_dim_customer_updates", **inc),
         "etl_dim_product_inserts": _with("SELECT * FROM stg_dim_product", **inc),
         "etl_dim_product_updates": _with("SELECT * FROM stg_dim_product_updates", **inc),
+        "etl_dim_address_natural_key": _with("SELECT * FROM stg_dim_address", dedupe="nk", **inc),
+        "etl_dim_customer_inserts_natural_key": _with("SELECT * FROM stg_dim_customer", dedupe="nk", **inc),
+        "etl_dim_customer_updates_natural_key": _with("SELECT * FROM stg_dim_customer_updates",
+                                                      dedupe="nk", **inc),
         "etl_dim_order": _with("SELECT * FROM stg_dim_order", **inc),
         "etl_f_order_details": _with("SELECT * FROM stg_f_order_details", **inc),
         "etl_fact_daily_orders": _with("SELECT * FROM stg_fact_daily_orders", **inc),
