@@ -61,9 +61,16 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+MAX_KEY_COLUMNS = (("customer_master", "customerid"), ("product_master", "productid"))
+
+
+def max_keys_frame(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, max_key): the largest customerid and productid, 0 when empty."""
+    return _union([tables[t].agg(F.coalesce(F.max(c), F.lit(0)).cast("bigint").alias("max_key"))
+                     .select(F.lit(t).alias("table_name"), "max_key")
+                   for t, c in MAX_KEY_COLUMNS])
+
+
 def max_keys(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Largest customerid and productid (next ids for new source rows)."""
-    out = {}
-    for t, col in (("customer_master", "customerid"), ("product_master", "productid")):
-        out[t] = int(tables[t].agg(F.coalesce(F.max(col), F.lit(0))).first()[0])
-    return out
+    """The same as a driver dict (two rows): next ids for new source rows."""
+    return {r["table_name"]: int(r["max_key"]) for r in max_keys_frame(tables).collect()}

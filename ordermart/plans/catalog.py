@@ -80,6 +80,7 @@ def etl_queries() -> dict[str, QueryFn]:
         "dedupe_order_items": src("order_items"),
         "quality_row_counts": lambda spark, sf: quality.row_counts(binding.oltp_sources(spark, sf)),
         "quality_key_checks": lambda spark, sf: quality.key_checks(binding.oltp_sources(spark, sf)),
+        "quality_max_keys": lambda spark, sf: quality.max_keys_frame(binding.oltp_sources(spark, sf)),
     }
 
 

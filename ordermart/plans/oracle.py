@@ -305,6 +305,10 @@ SELECT 'customer_master' AS table_name, count(*) AS row_count FROM customer_mast
 UNION ALL SELECT 'product_master', count(*) FROM product_master
 UNION ALL SELECT 'order_details', count(*) FROM order_details
 UNION ALL SELECT 'order_items', count(*) FROM order_items""",
+        "quality_max_keys": f"""WITH {SOURCES}
+SELECT 'customer_master' AS table_name, CAST(coalesce(max(customerid), 0) AS BIGINT) AS max_key
+FROM customer_master
+UNION ALL SELECT 'product_master', CAST(coalesce(max(productid), 0) AS BIGINT) FROM product_master""",
         "quality_key_checks": f"""WITH {SOURCES}
 SELECT 'customer_master.pk' AS check_name,
        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT customerid FROM customer_master)) AS BIGINT) AS violations

@@ -43,6 +43,28 @@ def build_session(master: str | None = None, app: str = "ordermart",
     return spark
 
 
+def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster (pass as ``extra`` to ``build_session``).
+
+    Shuffles start with enough partitions to keep each well under executor
+    memory at the largest stage (several per core), and AQE coalesces small
+    ones to ``advisory_mb`` after measuring them; files are split into
+    ``advisory_mb`` scan tasks. A skewed partition (5x the median and above
+    the advisory size) of a sort-merge join is split by AQE, and a
+    rebalance before a write splits a heavy partition value.
+    """
+    initial = max(200, 4 * total_cores)
+    size = f"{advisory_mb}m"
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 

@@ -87,3 +87,27 @@ def purge(spark: SparkSession, path: str, schema) -> None:
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, batchsize: int = 10000) -> None:
     """Append into a relational table; ``batchsize`` rows per insert batch."""
     df.write.option("batchsize", batchsize).jdbc(url, table, mode="append", properties=properties)
+
+
+def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
+                      start: str, end: str) -> DataFrame:
+    """Rows of a month-partitioned target with ``start <= ts_col < end``.
+
+    Spark does not derive a predicate on the month partition column from a
+    predicate on the timestamp, so the equivalent month range is added
+    explicitly: whole month directories outside the range are never listed
+    or read (PartitionFilters), and the timestamp predicate is pushed into
+    the remaining files.
+    """
+    from pyspark.sql import functions as F
+    from ..functions import timeparts as tp
+    spec = schemas.TARGETS[name]
+    if spec.partition_col != "p_month":
+        raise ValueError(f"{name} is not partitioned by month")
+    path = target_path(root, name)
+    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    df = spark.read.option("basePath", path).parquet(path)
+    cond = ((F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
+            & (F.col(spec.partition_col) >= tp.month_start(lo))
+            & (F.col(spec.partition_col) <= tp.month_start(hi)))
+    return schemas.conform(df.where(cond), spec.schema)

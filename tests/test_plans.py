@@ -66,3 +66,17 @@ def test_dense_ids_without_single_partition_over_rows(spark):
     got = sorted((r.k, r.sid) for r in out.collect())
     assert [s for _, s in got] == list(range(101, 5101))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
+
+
+def test_time_range_read_prunes_month_partitions(spark, tmp_root):
+    import datetime as dt
+    from ordermart.sources import sinks
+    rows = [(1, i, dt.datetime(2022, 1 + i % 12, 3), None, 1, 10, 1, 0) for i in range(48)]
+    spark.createDataFrame(rows, schemas.FACT_DAILY_ORDERS).write.parquet(
+        sinks.stage_path(tmp_root, "fact_daily_orders"))
+    sinks.load_target(spark, tmp_root, "fact_daily_orders", 1)
+    df = sinks.read_target_range(spark, tmp_root, "fact_daily_orders", "order_received_timestamp",
+                                 "2022-03-01 00:00:00", "2022-05-01 00:00:00")
+    plan = executed_plan(df)
+    assert re.search(r"PartitionFilters: \[[^\]]*p_month", plan), plan
+    assert df.count() == 8
