@@ -10,7 +10,6 @@ customer dimension the staged addresses), which also cuts the lineage.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dims, facts
 from ..sources import control, extract, schemas, sinks
+from .jobs import concurrently
 from .warehouse import StarSchema
 
 MARK_TABLES = ("stg_dim_customer", "stg_dim_order", "stg_dim_product")
@@ -32,17 +32,6 @@ class BatchResult:
     customer_updates: DataFrame | None = None
 
 
-def _concurrently(tasks: list) -> None:
-    """Run independent Spark jobs from driver threads; re-raise the first error
-    after all have finished."""
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = [pool.submit(t) for t in tasks]
-        errors = [f.exception() for f in futures]
-    for e in errors:
-        if e is not None:
-            raise e
-
-
 def _next_batch_id(spark: SparkSession, root: str) -> int:
     log = control.read_log(spark, sinks.log_path(root))
     got = log.agg({"processlogid": "max"}).first()[0]
@@ -110,21 +99,21 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         stage("dim_customer", c_ins)
         res.customer_updates = c_upd
 
-    _concurrently([
+    concurrently([
         lambda: stage("dim_address", dims.address_delta(delta_customer, existing["dim_address"],
                                                         address_dedupe)),
         lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
         product_stage,
         lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
     ])
-    _concurrently([fact_stage, customer_stage])
+    concurrently([fact_stage, customer_stage])
     delta_orders.unpersist()
     return res
 
 
 def load_targets(spark: SparkSession, root: str, batch_id: int) -> None:
     """Append every stage table to its target as batch ``batch_id`` (idempotent)."""
-    _concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id)
+    concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id)
                    for name in schemas.TARGET_LOAD_ORDER])
 
 

@@ -13,11 +13,11 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import dims, facts
 from ..session import checkpoint_root
-from ..sources import binding, extract, schemas
+from ..sources import binding, extract, schemas, sinks
+from .jobs import concurrently
 
 RUN_DATE = "2002-01-01"  # run date of the reference batch built from test data
 
@@ -68,19 +68,8 @@ def initial_load(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) ->
 
 
 def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
-    """Write one target table by name, partitioned as declared.
-
-    ``rebalance`` on the partition value lets AQE size the output files: few
-    files per month, and a heavy month is split over several tasks.
-    """
-    spec = schemas.TARGETS[name]
-    out = schemas.conform(df, spec.schema)
-    if spec.partition_col:
-        out = out.withColumn(spec.partition_col, spec.partition_column())
-        out.hint("rebalance", spec.partition_col).write.mode(mode) \
-            .partitionBy(spec.partition_col).parquet(path)
-    else:
-        out.hint("rebalance").write.mode(mode).parquet(path)
+    """Write one target table by name, partitioned as declared."""
+    sinks.write_declared(df, name, path, mode)
 
 
 _CACHE: dict[tuple, str] = {}
@@ -97,17 +86,7 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
         root = os.path.join(checkpoint_root(spark), "ordermart-warehouse",
                             f"{abs(hash(key)):x}")
         star = initial_load(spark, sf_dir, run_date)
-        for name, df in star.tables().items():
-            write_table(df, name, os.path.join(root, name))
+        concurrently([lambda n=n, df=df: write_table(df, n, os.path.join(root, n))
+                      for n, df in star.tables().items()])
         _CACHE[key] = root
     return StarSchema.read(spark, root)
-
-
-def dims_only_count(star: StarSchema) -> DataFrame:
-    """Row counts of the six tables (smoke helper)."""
-    parts = [df.select(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-             for n, df in star.tables().items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

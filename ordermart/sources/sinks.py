@@ -47,17 +47,27 @@ def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TARGETS[name].schema).parquet(stage_path(root, name))
 
 
-def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
-    """Stage -> target: all stage rows into the target's ``batch_id=<id>`` directory."""
+def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
+    """Write a target table's rows by name, partitioned by its declared key.
+
+    ``rebalance`` on the partition value lets AQE size the output: few files
+    per month, and a month holding a large share of rows is split over
+    several tasks instead of one.
+    """
     spec = schemas.TARGETS[name]
-    df = read_stage(spark, root, name)
-    path = os.path.join(target_path(root, name), f"batch_id={int(batch_id)}")
+    out = schemas.conform(df, spec.schema)
     if spec.partition_col:
-        df = df.withColumn(spec.partition_col, spec.partition_column())
-        df.hint("rebalance", spec.partition_col).write.mode("overwrite") \
+        out = out.withColumn(spec.partition_col, spec.partition_column())
+        out.hint("rebalance", spec.partition_col).write.mode(mode) \
             .partitionBy(spec.partition_col).parquet(path)
     else:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        out.hint("rebalance").write.mode(mode).parquet(path)
+
+
+def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
+    """Stage -> target: all stage rows into the target's ``batch_id=<id>`` directory."""
+    path = os.path.join(target_path(root, name), f"batch_id={int(batch_id)}")
+    write_declared(read_stage(spark, root, name), name, path)
 
 
 def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:

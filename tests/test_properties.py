@@ -57,3 +57,17 @@ def test_rerun_from_same_marks_is_identical(spark, tmp_root):
     for name in ("fact_daily_orders", "f_order_details", "dim_customer", "dim_address"):
         x, y = wa.tables()[name], star.tables()[name]
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+
+
+def test_keep_first_with_a_hot_key(spark):
+    """A key holding a third of the rows: exact result, and duplicates are
+    combined before the shuffle (partial aggregate below the exchange)."""
+    from ordermart.operators.dedupe import first_per_key
+    n = 30000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id % 97 AS o", "id AS v")
+    out = first_per_key(df, ["k"], ["o", "v"], ["v"])
+    got = {r.k: r.v for r in out.collect()}
+    assert got[0] == 0 and len(got) == 1 + (n - n // 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
