@@ -42,22 +42,32 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per check: duplicate key rows (rows minus distinct key
-    tuples), orphan foreign keys (anti join) and nulls in NOT NULL columns."""
+    tuples), orphan foreign keys (anti join) and rows with a null in a
+    NOT NULL column.
+
+    The key and not-null checks of a table share one pass: a per-key
+    aggregate (combined map-side) carries the row count and the null count
+    of each key, and a global aggregate over those sums both.
+    """
     parts = []
     for t, keys in PRIMARY_KEYS.items():
-        df = tables[t]
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-                     .select(F.lit(f"{t}.pk").alias("check_name"), "violations"))
+        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in NOT_NULL[t]])
+        per_key = tables[t].groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count(F.when(any_null, F.lit(1))).alias("_nulls"))
+        totals = per_key.agg(
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("pk"),
+            F.coalesce(F.sum("_nulls"), F.lit(0)).cast("bigint").alias("nn"))
+        parts.append(totals.select(
+            F.explode(F.array(
+                F.struct(F.lit(f"{t}.pk").alias("check_name"), F.col("pk").alias("violations")),
+                F.struct(F.lit(f"{t}.not_null").alias("check_name"), F.col("nn").alias("violations"))
+            )).alias("c")).select("c.*"))
     for child, col, parent, pcol in FOREIGN_KEYS:
         c, p = tables[child], tables[parent].select(F.col(pcol).alias("_pk"))
         orphans = c.join(p, c[col] == p["_pk"], "left_anti")
         parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
                      .select(F.lit(f"{child}.{col}.fk").alias("check_name"), "violations"))
-    for t, cols in NOT_NULL.items():
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-        parts.append(tables[t].where(any_null).agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit(f"{t}.not_null").alias("check_name"), "violations"))
     return _union(parts)
 
 

@@ -80,7 +80,7 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
     sig = tuple((n, os.path.getmtime(os.path.join(sf_dir, f"{n}.parquet")))
                 for n in ("customer", "nation", "region", "part", "orders", "lineitem")
                 if os.path.exists(os.path.join(sf_dir, f"{n}.parquet")))
-    key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, sig)
+    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir), run_date, sig)
     root = _CACHE.get(key)
     if root is None:
         root = os.path.join(checkpoint_root(spark), "ordermart-warehouse",

@@ -72,8 +72,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     name shared storage). Only when it is unset and Spark runs in local mode
     (tests, the bench) a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    conf_root = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        if not conf_root:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        return conf_root.rstrip("/")
+    root = conf_root or sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError(
