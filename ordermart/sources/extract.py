@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from . import schemas
 from .binding import STATUS_INPROGRESS
 
 DEFAULT_MARK_TS = tp.DEFAULT_MARK
@@ -48,9 +49,26 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
     """Source table over JDBC. Connection options come from the caller's
     configuration; ``predicates`` (or partitionColumn/lowerBound/upperBound/
     numPartitions in ``options``) split the read over many tasks."""
+    # zone-less source timestamps stay TIMESTAMP_NTZ
+    properties = {"preferTimestampNTZ": "true", **properties}
     if predicates:
         return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in {**properties, **options}.items():
         r = r.option(k, v)
     return r.load()
+
+
+OLTP_TABLES = {
+    "customer_master": "CUSTOMER_MASTER",
+    "product_master": "PRODUCT_MASTER",
+    "order_details": "ORDER_DETAILS",
+    "order_items": "ORDER_ITEMS",
+}
+
+
+def read_oltp(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Source tables exported as parquet folders ``<root>/<table>`` with the
+    declared schemas; mark filters and column pruning reach the scans."""
+    return {t: spark.read.schema(getattr(schemas, s)).parquet(f"{root.rstrip('/')}/{t}")
+            for t, s in OLTP_TABLES.items()}
