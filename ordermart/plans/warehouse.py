@@ -9,6 +9,7 @@ and serves later analytics reads from there.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from dataclasses import dataclass
 
@@ -73,20 +74,50 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") ->
 
 
 _CACHE: dict[tuple, str] = {}
+_SOURCE_TABLES = ("customer", "nation", "region", "part", "orders", "lineitem")
+
+
+def _code_fingerprint() -> str:
+    """Hash of this package's source, so a rebuilt library never reuses a
+    warehouse written by different code."""
+    h = hashlib.sha1()
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for d, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:16]
+
+
+def _source_signature(sf_dir: str) -> tuple:
+    out = []
+    for n in _SOURCE_TABLES:
+        p = os.path.join(sf_dir, f"{n}.parquet")
+        if os.path.exists(p):
+            st = os.stat(p)
+            out.append((n, st.st_size, st.st_mtime_ns))
+    return tuple(out)
 
 
 def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> StarSchema:
-    """Build the initial-load warehouse once per (session, sources) and read it back."""
-    sig = tuple((n, os.path.getmtime(os.path.join(sf_dir, f"{n}.parquet")))
-                for n in ("customer", "nation", "region", "part", "orders", "lineitem")
-                if os.path.exists(os.path.join(sf_dir, f"{n}.parquet")))
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir), run_date, sig)
+    """Build the first-load warehouse once per sources, run date and code
+    version, and read it back.
+
+    The folder name is derived from those inputs, so later sessions (and
+    processes) on the same shared checkpoint folder reuse a complete build;
+    completeness is the ``_SUCCESS`` marker of each of the six tables.
+    """
+    sig = (os.path.abspath(sf_dir), run_date, _source_signature(sf_dir), _code_fingerprint())
+    key = (spark.conf.get("spark.app.id", ""),) + sig
     root = _CACHE.get(key)
     if root is None:
-        root = os.path.join(checkpoint_root(spark), "ordermart-warehouse",
-                            f"{abs(hash(key)):x}")
-        star = initial_load(spark, sf_dir, run_date)
-        concurrently([lambda n=n, df=df: write_table(df, n, os.path.join(root, n))
-                      for n, df in star.tables().items()])
+        digest = hashlib.sha1(repr(sig).encode()).hexdigest()[:20]
+        root = os.path.join(checkpoint_root(spark), "ordermart-warehouse", digest)
+        done = all(os.path.exists(os.path.join(root, n, "_SUCCESS")) for n in schemas.TARGET_LOAD_ORDER)
+        if not done:
+            star = initial_load(spark, sf_dir, run_date)
+            concurrently([lambda n=n, df=df: write_table(df, n, os.path.join(root, n))
+                          for n, df in star.tables().items()])
         _CACHE[key] = root
     return StarSchema.read(spark, root)
