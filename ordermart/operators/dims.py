@@ -84,6 +84,46 @@ def customer_delta(delta_customer: DataFrame, dim_customer: DataFrame,
     return inserts, updates
 
 
+def match_addresses(delta_customer: DataFrame, dim_address: DataFrame) -> DataFrame:
+    """delta ⟕ dim_address on the natural key (nulls match nulls): the delta's
+    columns plus the existing address_id, null for an address not yet known.
+
+    With ``natural_key`` ids this single join serves both the new-address
+    rows and the customer lookup, so the (large) address dimension is
+    shuffled once per batch instead of twice.
+    """
+    a = dim_address.select("address_id", *ADDRESS_NATURAL_KEY)
+    d = delta_customer
+    return d.join(a, null_safe_on(d, a, ADDRESS_NATURAL_KEY), "left").select(d["*"], a["address_id"])
+
+
+def new_addresses(matched: DataFrame, start_after: int) -> DataFrame:
+    """One new dim_address row per unknown address tuple of ``match_addresses``,
+    ids after ``start_after`` in order of the tuple's smallest customerid
+    (equal to ``address_delta(..., dedupe="natural_key")``)."""
+    fresh = (matched.where(F.col("address_id").isNull())
+             .groupBy(*ADDRESS_NATURAL_KEY).agg(F.min("customerid").alias("customerid")))
+    return schemas.conform(assign_dense_ids(fresh, ["customerid"], "address_id", start_after),
+                           schemas.DIM_ADDRESS)
+
+
+def customers_from_matches(matched: DataFrame, staged_addresses: DataFrame,
+                           dim_customer: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(inserts, updates) for dim_customer from ``match_addresses`` output:
+    known addresses keep their ids, new ones take the staged id (a join
+    against the new rows only). Equal to ``customer_delta`` with the lookup
+    dim_address ∪ staged new addresses."""
+    n = staged_addresses.select(F.col("address_id").alias("_new_id"), *ADDRESS_NATURAL_KEY)
+    m = matched
+    j = m.join(n, m["address_id"].isNull() & null_safe_on(m, n, ADDRESS_NATURAL_KEY), "left")
+    rows = schemas.conform(j.select(
+        m["customerid"], m["name"], F.coalesce(m["address_id"], n["_new_id"]).alias("address_id"),
+        tp.date_of(m["update_timestamp"]).alias("start_date"),
+        F.lit(tp.OPEN_END_DATE).cast("date").alias("end_date")), schemas.DIM_CUSTOMER)
+    known = dim_customer.select("customerid").distinct()
+    return rows.join(known, "customerid", "left_anti"), rows.join(known, "customerid", "left_semi")
+
+
 def product_delta(delta_products: DataFrame, dim_product: DataFrame,
                   run_date: str) -> tuple[DataFrame, DataFrame]:
     """(inserts, updates) for dim_product from a full product snapshot.

@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dims, facts
+from ..operators.keys import max_id
 from ..sources import control, extract, schemas, sinks
 from .jobs import concurrently
 from .warehouse import StarSchema
@@ -93,21 +94,42 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         lines = sinks.read_stage(spark, root, "f_order_details")
         stage("fact_daily_orders", facts.daily_orders(delta_orders, delta_customer, delta_products, lines))
 
+    if address_dedupe == "natural_key":
+        # one join of the delta with the address dimension feeds both stages
+        matched = dims.match_addresses(delta_customer, existing["dim_address"]) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+
+        def address_rows():
+            return dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"))
+
+        def customer_rows():
+            return dims.customers_from_matches(
+                matched, sinks.read_stage(spark, root, "dim_address"), existing["dim_customer"])
+    else:
+        matched = None
+
+        def address_rows():
+            return dims.address_delta(delta_customer, existing["dim_address"], address_dedupe)
+
+        def customer_rows():
+            lookup = existing["dim_address"].unionByName(sinks.read_stage(spark, root, "dim_address"))
+            return dims.customer_delta(delta_customer, existing["dim_customer"], lookup)
+
     def customer_stage():
-        lookup = existing["dim_address"].unionByName(sinks.read_stage(spark, root, "dim_address"))
-        c_ins, c_upd = dims.customer_delta(delta_customer, existing["dim_customer"], lookup)
+        c_ins, c_upd = customer_rows()
         stage("dim_customer", c_ins)
         res.customer_updates = c_upd
 
     concurrently([
-        lambda: stage("dim_address", dims.address_delta(delta_customer, existing["dim_address"],
-                                                        address_dedupe)),
+        lambda: stage("dim_address", address_rows()),
         lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
         product_stage,
         lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
     ])
     concurrently([fact_stage, customer_stage])
     delta_orders.unpersist()
+    if matched is not None:
+        matched.unpersist()
     return res
 
 

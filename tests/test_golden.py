@@ -211,3 +211,28 @@ def test_address_bucket(spark):
     df = spark.createDataFrame([(i,) for i in (-5, 0, 99, 100, 999, 1000, 5000)], "a bigint")
     got = [r[0] for r in df.select(tp.address_range_bucket("a")).collect()]
     assert got == [-1, 0, 0, 1, 9, -1, -1]
+
+
+def test_single_join_address_path_equals_lookup_path(spark):
+    """match_addresses + new_addresses + customers_from_matches equal
+    address_delta(natural_key) + customer_delta over dim ∪ stage, including
+    a tuple already present twice in the dimension."""
+    dim_addr = spark.createDataFrame([(1, "x lane", "Pune", "MH", 1), (2, "x lane", "Pune", "MH", 1),
+                                      (3, "y road", None, "MH", 2)], schemas.DIM_ADDRESS)
+    dim_cust = spark.createDataFrame([(1, "ann", 1, dt.date(2021, 1, 1), dt.date(9999, 12, 31))],
+                                     schemas.DIM_CUSTOMER)
+    d = cust(spark, [(1, "ann", "x lane", "Pune", "MH", 1, T(2022, 1, 1)),
+                     (2, "bob", "y road", None, "MH", 2, T(2022, 1, 2)),
+                     (3, "cat", "z way", "Agra", "UP", 3, T(2022, 1, 3)),
+                     (4, "dan", "z way", "Agra", "UP", 3, T(2022, 1, 4)),
+                     (5, "eve", None, None, None, None, T(2022, 1, 5))])
+    want_addr = dims.address_delta(d, dim_addr, dedupe="natural_key")
+    want_ins, want_upd = dims.customer_delta(d, dim_cust, dim_addr.unionByName(want_addr))
+    matched = dims.match_addresses(d, dim_addr)
+    got_addr = dims.new_addresses(matched, 3)
+    got_ins, got_upd = dims.customers_from_matches(matched, got_addr, dim_cust)
+    assert rows(got_addr, "address_id") == rows(want_addr, "address_id") == [
+        (4, "z way", "Agra", "UP", 3), (5, None, None, None, None)]
+    assert rows(got_ins, "customerid", "address_id") == rows(want_ins, "customerid", "address_id")
+    assert rows(got_upd, "customerid", "address_id") == rows(want_upd, "customerid", "address_id")
+    assert [r[2] for r in rows(got_upd, "customerid", "address_id")] == [1, 2]
