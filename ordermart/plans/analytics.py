@@ -42,11 +42,25 @@ def _fact_geo(star: StarSchema, how: str, fact_cols: list[str]) -> DataFrame:
 
 
 def _avg_per_order(star: StarSchema, measure: str, alias: str, grain: str) -> DataFrame:
+    """avg(measure) over fact ⟕ customer ⟕ address, grouped by one grain.
+
+    The fact is first aggregated per (customer[, fact grain]) into sum and
+    count (combined map-side, so a customer holding a large share of orders
+    never lands whole in one task); only those partials are joined to the
+    customer-sized dimensions. A customer matching k dimension rows repeats
+    its partials k times, exactly as the row-level join repeats its orders,
+    so Σsum / Σcount equals the average over the joined rows (sums of whole
+    numbers are exact, and the division is the same double division).
+    """
     name, expr = FACT_GRAINS[grain]
-    # For the non-geographic grains the left joins cannot drop fact rows but
-    # can repeat them (several versions of a customer), so they stay.
-    base = _fact_geo(star, "left", ["customerid", "order_received_timestamp", "pincode", measure])
-    return base.groupBy(expr().alias(name)).agg(F.avg(measure).alias(alias))
+    f = star.fact_daily_orders
+    fact_grain = grain not in ("state", "city")
+    keys = ["customerid"] + ([expr().alias(name)] if fact_grain else [])
+    part = f.groupBy(*keys).agg(F.sum(measure).alias("_s"), F.count(measure).alias("_c"))
+    j = part.join(customer_geo(star, "left"), "customerid", "left")
+    g = F.col(name) if fact_grain else expr().alias(name)
+    return j.groupBy(g).agg(
+        F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double")).alias(alias))
 
 
 def q01_avg_items(star: StarSchema, grain: str = "pincode") -> DataFrame:
@@ -128,32 +142,47 @@ def q08_counts_by_date(star: StarSchema) -> DataFrame:
                   .orderBy("Dates"))
 
 
-def _delivery_keys(grain: str):
+def _delivery_time_keys(grain: str) -> list:
+    """Delivery-time slices; every question also slices by city."""
     ts = "order_delivery_timestamp"
     keys = [tp.date_of(ts).alias("DATES"), tp.week_sunday(ts).alias("WEEKS"),
-            tp.day_of_week(ts).alias("WEEKDAYS"), tp.month_of_year(ts).alias("MONTHS"),
-            F.col("city").alias("City")]
+            tp.day_of_week(ts).alias("WEEKDAYS"), tp.month_of_year(ts).alias("MONTHS")]
     if grain == "hour":
-        keys.insert(4, tp.hour_of_day(ts).alias("HOURS"))
+        keys.append(tp.hour_of_day(ts).alias("HOURS"))
     elif grain == "weekend":
-        keys = [tp.is_weekend(ts).alias("WEEKEND"), F.col("city").alias("City")]
+        keys = [tp.is_weekend(ts).alias("WEEKEND")]
     elif grain != "base":
         raise ValueError(grain)
     return keys
 
 
+def _delivery_partials(star: StarSchema, grain: str, aggs: list) -> DataFrame:
+    """Fact aggregated per (customer, delivery-time slice), then joined to
+    the customer's city (inner joins, as in the question)."""
+    part = star.fact_daily_orders.groupBy("customerid", *_delivery_time_keys(grain)).agg(*aggs)
+    geo = customer_geo(star, "inner").select("customerid", F.col("city").alias("City"))
+    return part.join(geo, "customerid")
+
+
 def q09_delivery_time(star: StarSchema, grain: str = "base") -> DataFrame:
     """Min / max / avg delivery seconds by delivery date, week, weekday, month
-    and city (``hour`` adds the hour; ``weekend`` slices weekend vs weekday by city)."""
-    j = _fact_geo(star, "inner", ["customerid", "order_delivery_timestamp",
-                                  "order_delivery_time_seconds"])
+    and city (``hour`` adds the hour; ``weekend`` slices weekend vs weekday by city).
+
+    Pre-aggregated per customer and slice before the dimension join; min of
+    mins, max of maxes and Σsum / Σcount give the same values as the
+    row-level aggregates over the joined rows.
+    """
     m = "order_delivery_time_seconds"
-    return j.groupBy(*_delivery_keys(grain)).agg(
-        F.min(m).alias("MinDeliveryTime"), F.max(m).alias("MaxDeliveryTime"),
-        F.avg(m).alias("AvgDeliveryTime"))
+    j = _delivery_partials(star, grain, [F.min(m).alias("_mn"), F.max(m).alias("_mx"),
+                                         F.sum(m).alias("_s"), F.count(m).alias("_c")])
+    out_keys = [c for c in j.columns if c not in ("customerid", "_mn", "_mx", "_s", "_c")]
+    return j.groupBy(*out_keys).agg(
+        F.min("_mn").alias("MinDeliveryTime"), F.max("_mx").alias("MaxDeliveryTime"),
+        F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double")).alias("AvgDeliveryTime"))
 
 
 def q10_orders_sliced(star: StarSchema, grain: str = "base") -> DataFrame:
-    """Order count by the same slices as q09."""
-    j = _fact_geo(star, "inner", ["customerid", "orderid", "order_delivery_timestamp"])
-    return j.groupBy(*_delivery_keys(grain)).agg(F.count("orderid").alias("NumberOfOrders"))
+    """Order count by the same slices as q09 (pre-aggregated per customer)."""
+    j = _delivery_partials(star, grain, [F.count("orderid").alias("_n")])
+    out_keys = [c for c in j.columns if c not in ("customerid", "_n")]
+    return j.groupBy(*out_keys).agg(F.sum("_n").alias("NumberOfOrders"))

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ordermart.operators import dims, facts
 from ordermart.plans import analytics, pipeline
