@@ -235,3 +235,44 @@ def test_single_join_address_path_equals_lookup_path(spark):
     assert rows(got_ins, "customerid", "address_id") == rows(want_ins, "customerid", "address_id")
     assert rows(got_upd, "customerid", "address_id") == rows(want_upd, "customerid", "address_id")
     assert [r[2] for r in rows(got_upd, "customerid", "address_id")] == [1, 2]
+
+
+def test_preaggregated_questions_equal_row_level_joins(spark):
+    """q01/q09/q10 aggregate the fact per customer before the dimension join;
+    with a customer holding most orders and another present in two versions
+    (the join repeats its orders) the results equal the row-level form."""
+    from pyspark.sql import functions as F
+    from ordermart.functions import timeparts as tp
+    addr = spark.createDataFrame([(1, "a", "Pune", "MH", 1), (2, "b", "Agra", "UP", 2)],
+                                 schemas.DIM_ADDRESS)
+    dc = spark.createDataFrame([
+        (1, "ann", 1, dt.date(2022, 1, 1), dt.date(9999, 12, 31)),
+        (2, "bob", 1, dt.date(2022, 1, 1), dt.date(2022, 3, 1)),
+        (2, "bob", 2, dt.date(2022, 3, 1), dt.date(9999, 12, 31)),
+        (3, "cy", 9, dt.date(2022, 1, 1), dt.date(9999, 12, 31))], schemas.DIM_CUSTOMER)
+    facts_rows = [(1, i, T(2022, 1, 1 + i % 28, i % 24), T(2022, 1, 2 + i % 27, 5), 411001,
+                   i * 7, i % 5, 3600 + i) for i in range(60)]
+    facts_rows += [(2, 100 + i, T(2022, 2, 1 + i, 8), None, 282001, 10, 2, 0) for i in range(5)]
+    facts_rows += [(3, 200, T(2022, 2, 9, 8), T(2022, 2, 10, 8), 0, 1, 1, 86400),
+                   (4, 300, T(2022, 2, 9, 9), None, 0, 4, 4, 0)]
+    star = StarSchema(addr, dc, schemas.empty(spark, schemas.DIM_PRODUCT),
+                      schemas.empty(spark, schemas.DIM_ORDER),
+                      schemas.empty(spark, schemas.F_ORDER_DETAILS),
+                      spark.createDataFrame(facts_rows, schemas.FACT_DAILY_ORDERS))
+    geo = dc.join(addr, "address_id", "left").select("customerid", "state", "city")
+    left = star.fact_daily_orders.join(geo, "customerid", "left")
+    inner = star.fact_daily_orders.join(geo.where("state IS NOT NULL"), "customerid")
+    for grain, (name, expr) in analytics.FACT_GRAINS.items():
+        want = rows(left.groupBy(expr().alias(name)).agg(F.avg("item_count").alias("avg_items")), name)
+        assert rows(analytics.q01_avg_items(star, grain), name) == want, grain
+    ts = "order_delivery_timestamp"
+    keys = [tp.date_of(ts).alias("DATES"), tp.week_sunday(ts).alias("WEEKS"),
+            tp.day_of_week(ts).alias("WEEKDAYS"), tp.month_of_year(ts).alias("MONTHS"),
+            F.col("city").alias("City")]
+    m = "order_delivery_time_seconds"
+    want9 = inner.groupBy(*keys).agg(F.min(m).alias("MinDeliveryTime"), F.max(m).alias("MaxDeliveryTime"),
+                                     F.avg(m).alias("AvgDeliveryTime"))
+    order = ["DATES", "City"]
+    assert rows(analytics.q09_delivery_time(star), *order) == rows(want9, *order)
+    want10 = inner.groupBy(*keys).agg(F.count("orderid").alias("NumberOfOrders"))
+    assert rows(analytics.q10_orders_sliced(star), *order) == rows(want10, *order)
