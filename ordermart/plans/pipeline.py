@@ -10,10 +10,12 @@ customer dimension the staged addresses), which also cuts the lineage.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import dims, facts
 from ..operators.keys import max_id
@@ -146,6 +148,72 @@ def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     return res
 
 
+SCD2_DIR = "scd2"
+SCD2_KEYS = {"dim_product": "productid", "dim_customer": "customerid"}
+
+
+def _scd2_path(root: str, name: str, version: int | None = None) -> str:
+    base = os.path.join(root, SCD2_DIR, name)
+    return base if version is None else os.path.join(base, f"version={int(version)}")
+
+
+def scd2_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Latest SCD2 version of a dimension; before the first apply, the
+    append-loaded target (the union of its batches)."""
+    versions = _versions(root, name)
+    if not versions:
+        return sinks.read_target(spark, root, name)
+    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, versions[-1]))
+
+
+def apply_scd2(spark: SparkSession, root: str, res: BatchResult, run_date: str) -> dict[str, int]:
+    """Opt-in: write the next SCD2 version of dim_product and dim_customer.
+
+    Open rows of updated keys are closed at ``run_date``, each update becomes
+    an open row, the batch's inserts are added. The version is written to its
+    own folder (``version=<batch_id>``), never over the one being read; a
+    rerun of the same batch rewrites only its own version. Returns row counts.
+    """
+    out = {}
+    for name, key in SCD2_KEYS.items():
+        updates = res.product_updates if name == "dim_product" else res.customer_updates
+        inserts = sinks.read_stage(spark, root, name)
+        # the latest version before this batch (a rerun never reads its own output)
+        prev = _scd2_before(spark, root, name, res.batch_id)
+        new = dims.scd2_apply(schemas.conform(prev, schemas.TARGETS[name].schema),
+                              inserts, updates, key, run_date)
+        path = _scd2_path(root, name, res.batch_id)
+        new.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path).count()
+    return out
+
+
+def _versions(root: str, name: str) -> list[int]:
+    base = _scd2_path(root, name)
+    if not os.path.isdir(base):
+        return []
+    return sorted(int(d.split("=", 1)[1]) for d in os.listdir(base)
+                  if d.startswith("version=") and os.path.exists(os.path.join(base, d, "_SUCCESS")))
+
+
+def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
+    """Latest version older than ``batch_id``; without one, the append-loaded
+    target of the batches before ``batch_id``."""
+    older = [v for v in _versions(root, name) if v < batch_id]
+    if not older:
+        return _targets_before(spark, root, name, batch_id)
+    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older[-1]))
+
+
+def _targets_before(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
+    """The append-loaded target restricted to batches before ``batch_id``."""
+    path = sinks.target_path(root, name)
+    if not os.path.exists(path):
+        return schemas.empty(spark, schemas.TARGETS[name].schema)
+    df = spark.read.option("basePath", path).parquet(path).where(F.col("batch_id") < batch_id)
+    return schemas.conform(df, schemas.TARGETS[name].schema)
+
+
 def warehouse(spark: SparkSession, root: str) -> StarSchema:
     """The loaded star schema (all batches) for the analytics questions."""
     return StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})

@@ -276,3 +276,25 @@ def test_preaggregated_questions_equal_row_level_joins(spark):
     assert rows(analytics.q09_delivery_time(star), *order) == rows(want9, *order)
     want10 = inner.groupBy(*keys).agg(F.count("orderid").alias("NumberOfOrders"))
     assert rows(analytics.q10_orders_sliced(star), *order) == rows(want10, *order)
+
+
+def test_scd2_versions_across_batches(spark, tmp_root):
+    """Batch 1 loads two products; batch 2 sees a new rate for one and a new
+    product: version 2 closes the old row, opens the new one, adds the insert.
+    A rerun of the apply rewrites only its own version."""
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received")]
+    r1 = pipeline.run_batch(spark, sources(spark, CUSTOMERS, PRODUCTS, ev, []), tmp_root, T(2022, 3, 2))
+    pipeline.apply_scd2(spark, tmp_root, r1, "2022-03-02")
+    p2 = [(10, "A10", "rice", "5KG", 120, True), PRODUCTS[1], (12, "C12", "bags", "1KG", 5, True)]
+    r2 = pipeline.run_batch(spark, sources(spark, CUSTOMERS, p2, ev, []), tmp_root, T(2022, 3, 9))
+    assert r2.staged["dim_product"] == 1
+    for _ in range(2):
+        pipeline.apply_scd2(spark, tmp_root, r2, "2022-03-09")
+    cur = rows(pipeline.scd2_current(spark, tmp_root, "dim_product"), "productid", "start_date")
+    open_end = dt.date(9999, 12, 31)
+    assert cur == [
+        (10, "A10", "rice", "5KG", 100, True, dt.date(2022, 3, 2), dt.date(2022, 3, 9)),
+        (10, "A10", "rice", "5KG", 120, True, dt.date(2022, 3, 9), open_end),
+        (11, "B11", "ata", "2KG", 50, False, dt.date(2022, 3, 2), open_end),
+        (12, "C12", "bags", "1KG", 5, True, dt.date(2022, 3, 9), open_end)]
+    assert pipeline.scd2_current(spark, tmp_root, "dim_customer").count() == 2
