@@ -72,8 +72,13 @@ def address_range_bucket(address_id) -> Column:
 
 
 def seconds_between(start, end) -> Column:
-    """Whole seconds from ``start`` to ``end`` (truncated toward zero); null in, null out."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end)).cast("bigint")
+    """Whole seconds from ``start`` to ``end`` (truncated toward zero); null in, null out.
+
+    Computed as the zone-less interval ``end - start``: ``timestamp_diff``
+    would first place TIMESTAMP_NTZ values in the session time zone and lose
+    or gain an hour across a daylight-saving change.
+    """
+    return (_c(end) - _c(start)).cast("interval second").cast("bigint")
 
 
 def add_seconds(ts, seconds) -> Column:

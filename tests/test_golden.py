@@ -3,6 +3,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from ordermart.operators import dims, facts
 from ordermart.plans import analytics, pipeline
 from ordermart.plans.warehouse import StarSchema
@@ -298,3 +300,20 @@ def test_scd2_versions_across_batches(spark, tmp_root):
         (11, "B11", "ata", "2KG", 50, False, dt.date(2022, 3, 2), open_end),
         (12, "C12", "bags", "1KG", 5, True, dt.date(2022, 3, 9), open_end)]
     assert pipeline.scd2_current(spark, tmp_root, "dim_customer").count() == 2
+
+
+def test_seconds_between_ignores_session_time_zone(spark):
+    from ordermart.functions import timeparts as tp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(T(2001, 4, 1, 1, 59, 59, 500000), T(2001, 4, 1, 11, 42, 11)),
+                                    (T(2001, 10, 28, 0, 30), T(2001, 10, 28, 3, 30)),
+                                    (T(2001, 1, 1), None)],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        got = [r[0] for r in df.select(tp.seconds_between("a", "b")).collect()]
+        assert got == [34931, 3 * 3600, None]
+        shifted = df.select(tp.add_seconds("a", F.lit(3600)).alias("x")).collect()[0].x
+        assert shifted == T(2001, 4, 1, 2, 59, 59, 500000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
