@@ -41,3 +41,21 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["DATES", "WEEKS", "WEEKDAYS", "MONTHS", "City",
                           "MinDeliveryTime", "MaxDeliveryTime", "AvgDeliveryTime"]
+
+
+TIME_DEPENDENT = [n for n in NAMES if n.startswith(("q03", "q04", "q06", "q08", "q09", "q10"))
+                  or n in ("etl_fact_daily_orders", "etl_f_order_details", "etl_dim_order",
+                           "extract_orders_since", "extract_customers_since")]
+
+
+@pytest.mark.parametrize("name", TIME_DEPENDENT)
+def test_query_matches_oracle_in_a_dst_time_zone(spark, duck, name):
+    """Zone-less timestamps: the session time zone must not change results."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = se.queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = duck.execute(se.oracle_sql()[name]).df()
+    assert canon(got) == canon(want)
