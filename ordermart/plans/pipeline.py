@@ -31,6 +31,7 @@ class BatchResult:
     batch_id: int
     marks: dict[str, str]
     staged: dict[str, int] = field(default_factory=dict)
+    run_ts: dt.datetime | None = None
     product_updates: DataFrame | None = None
     customer_updates: DataFrame | None = None
 
@@ -43,7 +44,7 @@ def _next_batch_id(spark: SparkSession, root: str) -> int:
 
 def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root: str,
                       run_ts: dt.datetime, batch_id: int | None = None,
-                      address_dedupe: str = "natural_key") -> BatchResult:
+                      address_dedupe: str = "natural_key", log_now: bool = True) -> BatchResult:
     """Extract deltas since the marks and write the six stage tables.
 
     ``sources``: customer_master, product_master, order_details, order_items
@@ -59,6 +60,13 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     Independent stage tables are written as concurrent Spark jobs (two waves:
     the order fact needs the staged lines, the customer dimension the staged
     addresses).
+
+    ``log_now=True`` logs each stage table as ``Completed`` once it is
+    written (stage and target load run as separate steps, so a failed load is
+    retried from the intact stage). ``run_batch`` passes ``False`` and logs
+    after the target load: a batch that fails anywhere leaves the marks where
+    they were, and its rerun re-extracts and overwrites its own stage and
+    ``batch_id`` directories, so no extracted rows are lost.
     """
     log = sinks.log_path(root)
     batch_id = batch_id or _next_batch_id(spark, root)
@@ -75,7 +83,7 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
 
     existing = {n: sinks.read_target(spark, root, n)
                 for n in ("dim_address", "dim_customer", "dim_product")}
-    res = BatchResult(batch_id, marks)
+    res = BatchResult(batch_id, marks, run_ts=run_ts)
 
     def stage(name: str, df: DataFrame) -> None:
         stg = schemas.STAGE_PREFIX + name
@@ -84,7 +92,8 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         except Exception:
             control.append_log(spark, log, batch_id, stg, 0, control.FAILED, run_ts)
             raise
-        control.append_log(spark, log, batch_id, stg, n, control.COMPLETED, run_ts)
+        if log_now:
+            control.append_log(spark, log, batch_id, stg, n, control.COMPLETED, run_ts)
         res.staged[name] = n
 
     def product_stage():
@@ -143,11 +152,19 @@ def load_targets(spark: SparkSession, root: str, batch_id: int) -> None:
 
 def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
               run_ts: dt.datetime, batch_id: int | None = None, **kw) -> BatchResult:
-    res = extract_and_stage(spark, sources, root, run_ts, batch_id, **kw)
+    res = extract_and_stage(spark, sources, root, run_ts, batch_id, log_now=False, **kw)
     load_targets(spark, root, res.batch_id)
+    log_completed(spark, root, res)
     return res
 
 
+def log_completed(spark: SparkSession, root: str, res: BatchResult) -> None:
+    """One ``Completed`` log row per stage table of the batch (advances the marks)."""
+    control.append_log_rows(spark, sinks.log_path(root), [
+        (res.batch_id, schemas.STAGE_PREFIX + name, n, res.run_ts, control.COMPLETED)
+        for name, n in res.staged.items()])
+
+
 SCD2_DIR = "scd2"
 SCD2_KEYS = {"dim_product": "productid", "dim_customer": "customerid"}
 

@@ -55,8 +55,16 @@ def high_water_mark(spark: SparkSession, path: str, table: str) -> str:
 
 def append_log(spark: SparkSession, path: str, logid: int, table: str, rowcount: int,
                status: str, at: dt.datetime) -> None:
-    """Append one log row. Called after the stage write returned, so
+    """Append one log row. Called after the write it reports returned, so
     ``Completed`` means the rows are durable."""
-    row = [(int(logid), table, int(rowcount), at, status)]
+    append_log_rows(spark, path, [(logid, table, rowcount, at, status)])
+
+
+def append_log_rows(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Append (processlogid, tablename, extractrowcount, lastextractdatetime,
+    status) rows in one write."""
+    if not rows:
+        return
+    data = [(int(i), t, int(n), at, st) for i, t, n, at, st in rows]
     with _LOG_LOCK:
-        spark.createDataFrame(row, schemas.ETL_EXTRACT_LOG).coalesce(1).write.mode("append").parquet(path)
+        spark.createDataFrame(data, schemas.ETL_EXTRACT_LOG).coalesce(1).write.mode("append").parquet(path)

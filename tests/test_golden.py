@@ -317,3 +317,32 @@ def test_seconds_between_ignores_session_time_zone(spark):
         assert shifted == T(2001, 4, 1, 2, 59, 59, 500000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_failed_load_keeps_marks_and_rerun_loses_nothing(spark, tmp_root):
+    """A batch whose target load fails logs nothing Completed; the rerun
+    extracts the same rows again and replaces its own batch directories."""
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received"), (101, 2, T(2022, 3, 1, 11), "Received")]
+    src = sources(spark, CUSTOMERS, PRODUCTS, ev, [])
+    orig = sinks.load_target
+    calls = {"n": 0}
+
+    def flaky(spark_, root_, name, batch_id):
+        calls["n"] += 1
+        if name == "fact_daily_orders":
+            raise RuntimeError("executor lost")
+        return orig(spark_, root_, name, batch_id)
+
+    sinks.load_target = flaky
+    try:
+        import pytest
+        with pytest.raises(RuntimeError):
+            pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 2))
+    finally:
+        sinks.load_target = orig
+    assert control.high_water_mark(spark, sinks.log_path(tmp_root), "stg_dim_order") == "1900-01-01 00:00:00"
+    r = pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 2))
+    assert r.batch_id == 1
+    wh = pipeline.warehouse(spark, tmp_root)
+    assert wh.fact_daily_orders.count() == 2 and wh.dim_order.count() == 2
+    assert control.high_water_mark(spark, sinks.log_path(tmp_root), "stg_dim_order") == "2022-03-02 00:00:00"
