@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import dims, facts
 from ..operators.keys import max_id
@@ -70,7 +69,9 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     """
     log = sinks.log_path(root)
     batch_id = batch_id or _next_batch_id(spark, root)
-    marks = control.high_water_marks(spark, log, list(MARK_TABLES))
+    # marks from earlier batches only: rerunning a batch (same id) repeats
+    # the same extraction and overwrites its own outputs
+    marks = control.high_water_marks(spark, log, list(MARK_TABLES), before_logid=batch_id)
     run_date = run_ts.date().isoformat()
 
     delta_customer = extract.customers_since(sources["customer_master"], marks["stg_dim_customer"])
@@ -81,7 +82,8 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     # The order delta feeds three outputs; keep it instead of re-reading the source.
     delta_orders = delta_orders.persist(StorageLevel.MEMORY_AND_DISK)
 
-    existing = {n: sinks.read_target(spark, root, n)
+    # the dimensions as loaded by earlier batches (a rerun must not see its own rows)
+    existing = {n: sinks.read_target(spark, root, n, before_batch=batch_id)
                 for n in ("dim_address", "dim_customer", "dim_product")}
     res = BatchResult(batch_id, marks, run_ts=run_ts)
 
@@ -218,19 +220,10 @@ def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int) -> Da
     target of the batches before ``batch_id``."""
     older = [v for v in _versions(root, name) if v < batch_id]
     if not older:
-        return _targets_before(spark, root, name, batch_id)
+        return sinks.read_target(spark, root, name, before_batch=batch_id)
     return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older[-1]))
 
 
-def _targets_before(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
-    """The append-loaded target restricted to batches before ``batch_id``."""
-    path = sinks.target_path(root, name)
-    if not os.path.exists(path):
-        return schemas.empty(spark, schemas.TARGETS[name].schema)
-    df = spark.read.option("basePath", path).parquet(path).where(F.col("batch_id") < batch_id)
-    return schemas.conform(df, schemas.TARGETS[name].schema)
-
-
 def warehouse(spark: SparkSession, root: str) -> StarSchema:
     """The loaded star schema (all batches) for the analytics questions."""
     return StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})

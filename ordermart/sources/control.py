@@ -31,18 +31,26 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
         return schemas.empty(spark, schemas.ETL_EXTRACT_LOG)
 
 
-def marks_of(log: DataFrame, tables: list[str]) -> DataFrame:
-    """(tablename, mark) for each requested table in one aggregate."""
+def marks_of(log: DataFrame, tables: list[str], before_logid: int | None = None) -> DataFrame:
+    """(tablename, mark) for each requested table in one aggregate; with
+    ``before_logid`` only rows of earlier batches count."""
     done = log.where((F.col("status") == COMPLETED) & F.col("tablename").isin(tables))
+    if before_logid is not None:
+        done = done.where(F.col("processlogid") < F.lit(int(before_logid)))
     per = done.groupBy("tablename").agg(F.max("lastextractdatetime").alias("mark"))
     return per
 
 
-def high_water_marks(spark: SparkSession, path: str, tables: list[str]) -> dict[str, str]:
-    """Marks for several stage tables; a driver dict of at most len(tables) rows."""
+def high_water_marks(spark: SparkSession, path: str, tables: list[str],
+                     before_logid: int | None = None) -> dict[str, str]:
+    """Marks for several stage tables; a driver dict of at most len(tables) rows.
+
+    ``before_logid``: ignore the log rows of that batch and later ones, so a
+    rerun of a batch sees exactly the marks its first attempt saw.
+    """
     default = tp.DEFAULT_MARK
     try:
-        rows = marks_of(read_log(spark, path), tables).collect()
+        rows = marks_of(read_log(spark, path), tables, before_logid).collect()
         got = {r["tablename"]: r["mark"] for r in rows if r["mark"] is not None}
     except Exception:
         got = {}

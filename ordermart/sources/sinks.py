@@ -13,7 +13,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import timeparts as tp
 from . import schemas
 
 STAGE_DIR, TARGET_DIR, CONTROL_DIR = "stage", "target", "_control"
@@ -70,17 +72,21 @@ def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> Non
     write_declared(read_stage(spark, root, name), name, path)
 
 
-def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_target(spark: SparkSession, root: str, name: str,
+                before_batch: int | None = None) -> DataFrame:
     """A target table as the union of its batches (partition columns dropped);
-    empty with the declared schema before the first load."""
+    empty with the declared schema before the first load. ``before_batch``
+    keeps only earlier batches (pruned by the ``batch_id`` directories)."""
     spec = schemas.TARGETS[name]
     path = target_path(root, name)
     if not os.path.exists(path) and "://" not in path:
         return schemas.empty(spark, spec.schema)
     try:
         df = spark.read.option("basePath", path).parquet(path)
-    except Exception:
+    except Exception:  # nothing loaded yet
         return schemas.empty(spark, spec.schema)
+    if before_batch is not None:
+        df = df.where(F.col("batch_id") < F.lit(int(before_batch)))
     return schemas.conform(df, spec.schema)
 
 
@@ -109,8 +115,6 @@ def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
     or read (PartitionFilters), and the timestamp predicate is pushed into
     the remaining files.
     """
-    from pyspark.sql import functions as F
-    from ..functions import timeparts as tp
     spec = schemas.TARGETS[name]
     if spec.partition_col != "p_month":
         raise ValueError(f"{name} is not partitioned by month")

@@ -346,3 +346,20 @@ def test_failed_load_keeps_marks_and_rerun_loses_nothing(spark, tmp_root):
     wh = pipeline.warehouse(spark, tmp_root)
     assert wh.fact_daily_orders.count() == 2 and wh.dim_order.count() == 2
     assert control.high_water_mark(spark, sinks.log_path(tmp_root), "stg_dim_order") == "2022-03-02 00:00:00"
+
+
+def test_rerun_of_a_logged_batch_is_idempotent(spark, tmp_root):
+    """Rerunning batch 1 after it was fully logged (e.g. a micro-batch
+    re-executed after a crash) reads the marks from before batch 1, so it
+    extracts and writes exactly the same rows again."""
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received"), (100, 1, T(2022, 3, 1, 12), "InProgress")]
+    src = sources(spark, CUSTOMERS, PRODUCTS, ev, [(100, 10, 3)])
+    r1 = pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 2))
+    again = pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 2), batch_id=r1.batch_id)
+    assert again.staged == r1.staged and again.marks == r1.marks
+    wh = pipeline.warehouse(spark, tmp_root)
+    assert wh.dim_order.count() == 2 and wh.fact_daily_orders.count() == 1
+    assert wh.f_order_details.count() == 1 and wh.dim_customer.count() == 2
+    # the next new batch starts after batch 1's marks
+    r2 = pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 3))
+    assert r2.batch_id == 2 and r2.staged["dim_order"] == 0
