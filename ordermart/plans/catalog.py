@@ -34,6 +34,12 @@ def _scd2_product(spark: SparkSession, sf: str) -> DataFrame:
                            batch.product_updates, "productid", RUN_DATE)
 
 
+def _scd2_customer(spark: SparkSession, sf: str) -> DataFrame:
+    batch = h.incremental_batch(spark, sf)
+    return dims.scd2_apply(batch.existing["dim_customer"], batch.customer_inserts,
+                           batch.customer_updates, "customerid", RUN_DATE)
+
+
 def analytics_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
     for g in a.FACT_GRAINS:
@@ -72,6 +78,7 @@ def etl_queries() -> dict[str, QueryFn]:
         "etl_f_order_details": _inc("stg_f_order_details"),
         "etl_fact_daily_orders": _inc("stg_fact_daily_orders"),
         "etl_scd2_apply_product": _scd2_product,
+        "etl_scd2_apply_customer": _scd2_customer,
         "extract_customers_since": lambda spark, sf: extract.customers_since(
             binding.customer_master(spark, sf), h.CUSTOMER_MARK),
         "extract_orders_since": lambda spark, sf: extract.orders_since(

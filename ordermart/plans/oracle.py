@@ -294,6 +294,16 @@ FROM stg_dim_product_updates
 UNION ALL
 SELECT productid, productcode, productname, sku, rate, isactive, start_date, end_date
 FROM stg_dim_product""", **inc),
+        "etl_scd2_apply_customer": _with(f"""
+SELECT o.customerid, o.name, o.address_id, o.start_date,
+       CASE WHEN o.customerid IN (SELECT customerid FROM stg_dim_customer_updates) AND o.end_date = {OPEN_END}
+            THEN DATE '{RUN_DATE}' ELSE o.end_date END AS end_date
+FROM old_dim_customer o
+UNION ALL
+SELECT customerid, name, address_id, coalesce(start_date, DATE '{RUN_DATE}'), {OPEN_END}
+FROM stg_dim_customer_updates
+UNION ALL
+SELECT customerid, name, address_id, start_date, end_date FROM stg_dim_customer""", **inc),
         "extract_customers_since": f"WITH {SOURCES}\nSELECT * FROM customer_master "
                                    f"WHERE update_timestamp >= TIMESTAMP '{h.CUSTOMER_MARK}'",
         "extract_orders_since": f"WITH {SOURCES}\nSELECT * FROM order_details "
