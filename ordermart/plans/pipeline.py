@@ -133,16 +133,18 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         stage("dim_customer", c_ins)
         res.customer_updates = c_upd
 
-    concurrently([
-        lambda: stage("dim_address", address_rows()),
-        lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
-        product_stage,
-        lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
-    ])
-    concurrently([fact_stage, customer_stage])
-    delta_orders.unpersist()
-    if matched is not None:
-        matched.unpersist()
+    try:
+        concurrently([
+            lambda: stage("dim_address", address_rows()),
+            lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
+            product_stage,
+            lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
+        ])
+        concurrently([fact_stage, customer_stage])
+    finally:
+        delta_orders.unpersist()
+        if matched is not None:
+            matched.unpersist()
     return res
 
 

@@ -14,6 +14,7 @@ import hashlib
 import os
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +65,10 @@ _CACHE: dict[tuple, str] = {}
 _SOURCE_TABLES = ("customer", "nation", "region", "part", "orders", "lineitem")
 
 
+@lru_cache(maxsize=1)
 def _code_fingerprint() -> str:
-    """Hash of this package's source, so a rebuilt library never reuses a
-    warehouse written by different code."""
+    """Hash of this package's source as loaded by this process, so a changed
+    library never reuses a warehouse written by different code."""
     h = hashlib.sha1()
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for d, _, files in sorted(os.walk(pkg)):
