@@ -26,13 +26,16 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start_afte
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order_by)
-                .withColumn("_tag", F.spark_partition_id())
-                .checkpoint(eager=True))
+    # Without an explicit count, AQE sizes the range partitions from the data
+    # (coalescing small ones); the tags are read after the shuffle, so they
+    # are the final partition ids either way.
+    ranged = (df.repartitionByRange(num_partitions, *order_by) if num_partitions
+              else df.repartitionByRange(*order_by))
+    tagged = (ranged.withColumn("_tag", F.spark_partition_id())
+                    .checkpoint(eager=True))
     counts = tagged.groupBy("_tag").agg(F.count(F.lit(1)).alias("_n"))
-    # Running offsets over <= n rows (one per range partition): the only
-    # single-partition step, and its size is bounded by n, not by the data.
+    # Running offsets over one row per range partition: the only
+    # single-partition step, bounded by the partition count, not the data.
     before = Window.orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_tag",

@@ -80,3 +80,10 @@ def test_time_range_read_prunes_month_partitions(spark, tmp_root):
     plan = executed_plan(df)
     assert re.search(r"PartitionFilters: \[[^\]]*p_month", plan), plan
     assert df.count() == 8
+
+
+def test_dense_ids_with_runtime_sized_partitions(spark):
+    df = spark.range(0, 3000).selectExpr("(id * 13) % 3001 AS k")
+    out = assign_dense_ids(df, ["k"], "sid", 0)
+    got = sorted((r.k, r.sid) for r in out.collect())
+    assert [s for _, s in got] == list(range(1, 3001))
