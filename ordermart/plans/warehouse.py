@@ -89,6 +89,19 @@ def _source_signature(sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def _ready_build(ready: str) -> str | None:
+    """The complete build named by a READY file, if it is still on disk."""
+    try:
+        with open(ready) as fh:
+            root = fh.read().strip()
+    except OSError:
+        return None
+    local_root = root.removeprefix("file:")
+    complete = all(os.path.isdir(os.path.join(local_root, "target", n))
+                   for n in schemas.TARGET_LOAD_ORDER)
+    return root if complete else None
+
+
 def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> StarSchema:
     """The warehouse after a first batch over the bound sources, built once.
 
@@ -109,17 +122,18 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
         base = os.path.join(checkpoint_root(spark), "ordermart-warehouse", digest)
         local = "://" not in base or base.startswith("file:")
         ready = os.path.join(base.removeprefix("file:"), "READY")
-        if local and os.path.exists(ready):
-            with open(ready) as fh:
-                root = fh.read().strip()
-        else:
+        root = _ready_build(ready) if local else None
+        if root is None:
             root = os.path.join(base, uuid.uuid4().hex[:12])
             run_ts = dt.datetime.fromisoformat(run_date)
             pipeline.run_batch(spark, binding.oltp_sources(spark, sf_dir), root, run_ts, batch_id=1)
             if local:
-                tmp = f"{ready}.{uuid.uuid4().hex[:6]}"
-                with open(tmp, "w") as fh:
-                    fh.write(root)
-                os.replace(tmp, ready)
+                try:  # best effort: only lets later sessions skip the build
+                    tmp = f"{ready}.{uuid.uuid4().hex[:6]}"
+                    with open(tmp, "w") as fh:
+                        fh.write(root)
+                    os.replace(tmp, ready)
+                except OSError:
+                    pass
         _CACHE[key] = root
     return pipeline.warehouse(spark, root)
