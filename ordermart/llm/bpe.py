@@ -24,8 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ordermart.llm.common import IdTable, binary_array, clean, columns, spans, table
+from ordermart.llm.common import IdTable, added, binary_array, clean, columns, spans, table
 
 NONE = np.int64(1) << 40
 
@@ -188,7 +189,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
             out = binary_array(data[spans(start[ids], length[ids])], offsets)
             yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
-    return df.mapInArrow(run, df.schema.add("decoded", "binary"))
+    return df.mapInArrow(run, added(df, decoded=T.BinaryType()))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,11 @@ def clean(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def added(df: DataFrame, **fields: T.DataType) -> T.StructType:
+    """df's schema with more fields."""
+    return T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
+
+
 def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Buffer of a string or binary column without nulls, as bytes, and row offsets."""
     kind = np.int64 if column.type in (pa.large_string(), pa.large_binary()) else np.int32
@@ -116,6 +122,17 @@ class IdTable:
         self.length = np.concatenate([self.length, length])
         self.known = len(self.words)
 
+    def ids_of(self, words: list, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block of word_blocks() end to end, and row offsets."""
+        if len(self.words) > self.most:
+            self.reset()
+        numbers = self.number(words)
+        self.learn()
+        every = numbers[codes]
+        length = self.length[every]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        return self.flat[spans(self.start[every], length)], ends[offsets]
+
     def encode_rows(self, rows: list, split) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and row offsets."""
         if len(self.words) > self.most:
@@ -130,6 +147,36 @@ class IdTable:
         return ids, ends[np.concatenate([[0], np.cumsum(count)])]
 
 
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def word_blocks(column: pa.Array, lower: bool = False,
+                limit: int = 8 << 20) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+    """Words between ASCII white space, a block of rows at a time: (first row, row
+    after the last, distinct words, code of every word, words before each row).
+    A block has about `limit` bytes, or one longer row."""
+    raw, offsets = byte_rows(column)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+        data, rows = raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+        space = SPACE[data]
+        begins = np.ones(len(data) + 1, bool)
+        begins[1:] = space if len(data) else True
+        begins[rows] = True
+        begins = begins[:-1]
+        begins &= ~space
+        starts = np.flatnonzero(begins)
+        kept = data[~space]
+        at = np.append(np.flatnonzero(begins[~space]), len(kept))
+        words = binary_array(LOWER[kept] if lower else kept, at).dictionary_encode()
+        yield a, b, words.dictionary, words.indices.to_numpy(), np.searchsorted(starts, rows)
+        a = b
+
+
 def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches that have rows."""
     return (b for b in batches if b.num_rows)
