@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe
+from ordermart.llm import bpe, packing
 
 QUERIES = {
+    "op4_curve_packing": packing.op4_curve_packing,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
