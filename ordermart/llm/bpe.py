@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermart.llm.common import IdTable, added, binary_array, clean, columns, spans, table
+from ordermart.llm.common import IdTable, WordIds, added, binary_array, clean, columns, spans, table, word_blocks
 
-NONE = np.int64(1) << 40
+NONE = np.int32(2**31 - 1)
 
 
 @cache
@@ -53,7 +53,7 @@ class Merges:
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of (left, right), NONE where they don't merge."""
-        want = left * self.base + right
+        want = left.astype(np.int64) * self.base + right
         at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
         return np.where(self.pairs[at] == want, self.rank[at], NONE)
 
@@ -63,12 +63,12 @@ class Merges:
         whole = np.array([self.ranks.get(w, -1) for w in raw], np.int64)
         length = np.where(whole >= 0, 1, np.array([len(w) for w in raw], np.int64))
         starts = np.cumsum(length) - length
-        tokens = np.empty(int(length.sum()), np.int64)
+        tokens = np.empty(int(length.sum()), np.int32)
         tokens[starts[whole >= 0]] = whole[whole >= 0]
         rest = np.flatnonzero(whole < 0)
         data = np.frombuffer(b"".join(raw[i] for i in rest), np.uint8)
         tokens[spans(starts[rest], length[rest])] = self.of_byte[data]
-        word = np.repeat(np.arange(len(words)), length)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), length)
         alive = self.replay(tokens, word)
         return tokens[alive], np.bincount(word[alive], minlength=len(words))
 
@@ -76,9 +76,9 @@ class Merges:
         """Apply all merges in place; which positions still begin a token."""
         n = len(token)
         alive = np.ones(n, bool)
-        after = np.arange(1, n + 1)
-        before = np.arange(-1, n - 1)
-        pair = np.full(n + 1, NONE, np.int64)
+        after = np.arange(1, n + 1, dtype=np.int32)
+        before = np.arange(-1, n - 1, dtype=np.int32)
+        pair = np.full(n + 1, NONE, np.int32)
         inner = np.flatnonzero(word[:-1] == word[1:])
         pair[inner] = self.of(token[inner], token[inner + 1])
         index: dict[int, list[np.ndarray]] = {}
@@ -144,9 +144,44 @@ class Merges:
         return fresh
 
 
+#: White space outside ASCII, UTF-8: a run of it may go on into the next chunk's.
+WIDE_SPACE = tuple(chr(c).encode() for c in [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
+class ChunkEncoder:
+    """Ids of chunks, which are words with the ASCII white space before them. No match
+    of the split pattern reaches over the end of a chunk, unless the chunk ends in
+    other white space."""
+
+    def __init__(self, path: str, pattern: str):
+        self.merges = Merges(load_ranks(path))
+        self.split = regex.compile(pattern).findall
+        self.known = IdTable(self.chunks)
+
+    def chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words = WordIds()
+        numbers = [[words[w] for w in self.split(c.decode())] for c in chunks]
+        ids, length = self.merges.encode(list(words))
+        use = np.array([n for x in numbers for n in x], np.int64)
+        flat = ids[spans((np.cumsum(length) - length)[use], length[use])]
+        ends = np.concatenate([[0], np.cumsum(length[use])])
+        last = np.cumsum([len(x) for x in numbers])
+        return flat, np.diff(ends[last], prepend=0)
+
+    def blocks(self, column: pa.Array):
+        """(first row, row after the last, ids, row offsets) for a block of rows at a time."""
+        for a, b, words, codes, rows in word_blocks(column, spaced=True):
+            words = words.to_pylist()
+            if any(w.endswith(WIDE_SPACE) for w in words):
+                ids, length = self.chunks(column[a:b].cast(pa.binary()).to_pylist())
+                yield a, b, ids, np.concatenate([[0], np.cumsum(length)])
+            else:
+                yield a, b, *self.known.ids_of(words, codes, rows)
+
+
 @cache
-def _encoder(path: str, pattern: str) -> tuple[IdTable, regex.Pattern]:
-    return IdTable(Merges(load_ranks(path)).encode), regex.compile(pattern)
+def _encoder(path: str, pattern: str) -> ChunkEncoder:
+    return ChunkEncoder(path, pattern)
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -154,11 +189,10 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """(id, ids array<int>) of every row; each match of pattern is merged by itself."""
 
     def run(batches):
-        known, split = _encoder(ranks_path, pattern)
         for batch in columns(batches):
-            ids, offsets = known.encode_rows(batch.column(1).to_pylist(), split.findall)
-            rows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["doc_id", "ids"])
+            for a, b, ids, offsets in _encoder(ranks_path, pattern).blocks(batch.column(1)):
+                rows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], rows], names=["doc_id", "ids"])
 
     rows = clean(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()

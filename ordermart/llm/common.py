@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -94,15 +95,15 @@ class IdTable:
     """Token ids of distinct words, kept from batch to batch of one Python worker.
 
     encode(list of new words) -> (flat ids, length per word). The table starts
-    afresh when it holds more than `most` words, so its memory is bounded."""
+    afresh when it holds more than `most` words or bytes of them, which bounds it."""
 
-    def __init__(self, encode, most: int = 600_000):
-        self.encode, self.most = encode, most
+    def __init__(self, encode, most: int = 400_000, most_bytes: int = 32 << 20):
+        self.encode, self.most, self.most_bytes = encode, most, most_bytes
         self.reset()
 
     def reset(self) -> None:
         self.words = WordIds()
-        self.known = 0
+        self.known = self.size = 0
         self.flat = np.empty(0, np.int32)
         self.start = np.empty(0, np.int64)
         self.length = np.empty(0, np.int64)
@@ -112,19 +113,19 @@ class IdTable:
 
     def learn(self) -> None:
         """Encode the words numbered since the last call."""
-        if self.known == len(self.words):
-            return
-        new = list(self.words)[self.known:] if self.known else list(self.words)
-        ids, length = self.encode(new)
-        starts = len(self.flat) + np.cumsum(length) - length
-        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
-        self.start = np.concatenate([self.start, starts])
-        self.length = np.concatenate([self.length, length])
+        new = list(islice(self.words, self.known, None))
+        for k in range(0, len(new), 100_000):
+            part = new[k:k + 100_000]
+            ids, length = self.encode(part)
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+            self.length = np.concatenate([self.length, length])
+            self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+            self.size += sum(map(len, part))
         self.known = len(self.words)
 
     def ids_of(self, words: list, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of word_blocks() end to end, and row offsets."""
-        if len(self.words) > self.most:
+        if len(self.words) > self.most or self.size > self.most_bytes:
             self.reset()
         numbers = self.number(words)
         self.learn()
@@ -133,19 +134,6 @@ class IdTable:
         ends = np.concatenate([[0], np.cumsum(length)])
         return self.flat[spans(self.start[every], length)], ends[offsets]
 
-    def encode_rows(self, rows: list, split) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after another, and row offsets."""
-        if len(self.words) > self.most:
-            self.reset()
-        numbers = [self.number(split(x)) for x in rows]
-        self.learn()
-        count = np.fromiter((len(x) for x in numbers), np.int64, len(numbers))
-        every = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
-        length = self.length[every]
-        ids = self.flat[spans(self.start[every], length)]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        return ids, ends[np.concatenate([[0], np.cumsum(count)])]
-
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -153,11 +141,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_blocks(column: pa.Array, lower: bool = False,
-                limit: int = 8 << 20) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+def word_blocks(column: pa.Array, lower: bool = False, limit: int = 8 << 20,
+                spaced: bool = False) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
     """Words between ASCII white space, a block of rows at a time: (first row, row
     after the last, distinct words, code of every word, words before each row).
-    A block has about `limit` bytes, or one longer row."""
+    A block has about `limit` bytes, or one longer row. spaced: each word begins with
+    the white space before it (what ends a row is a word too)."""
     raw, offsets = byte_rows(column)
     a = 0
     while a < len(column):
@@ -168,10 +157,15 @@ def word_blocks(column: pa.Array, lower: bool = False,
         begins[1:] = space if len(data) else True
         begins[rows] = True
         begins = begins[:-1]
-        begins &= ~space
+        if spaced:
+            begins = space & ~np.append(False, space[:-1])
+            begins[rows[:-1][rows[:-1] < rows[1:]]] = True
+            kept, at = data, np.append(np.flatnonzero(begins), len(data))
+        else:
+            begins &= ~space
+            kept = data[~space]
+            at = np.append(np.flatnonzero(begins[~space]), len(kept))
         starts = np.flatnonzero(begins)
-        kept = data[~space]
-        at = np.append(np.flatnonzero(begins[~space]), len(kept))
         words = binary_array(LOWER[kept] if lower else kept, at).dictionary_encode()
         yield a, b, words.dictionary, words.indices.to_numpy(), np.searchsorted(starts, rows)
         a = b
