@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe, packing
+from ordermart.llm import bpe, packing, pii
 
 QUERIES = {
+    "op8_pii_spans": pii.op8_pii_spans,
     "op4_curve_packing": packing.op4_curve_packing,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
