@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermart.llm.common import IdTable, WordIds, added, binary_array, clean, columns, spans, table, word_blocks
+from ordermart.llm.common import IdTable, WordIds, added, binary_array, clean, columns, row_groups, spans, table, word_blocks
 
 NONE = np.int32(2**31 - 1)
 
@@ -176,7 +176,8 @@ class ChunkEncoder:
                 ids, length = self.chunks(column[a:b].cast(pa.binary()).to_pylist())
                 yield a, b, ids, np.concatenate([[0], np.cumsum(length)])
             else:
-                yield a, b, *self.known.ids_of(words, codes, rows)
+                for i, j, ids, offsets in self.known.ids_of(words, codes, rows):
+                    yield a + i, a + j, ids, offsets
 
 
 @cache
@@ -214,14 +215,15 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
 
     def run(batches):
         data, start, length = _pieces(ranks_path)
-        for batch in columns(batches):
-            rows = batch.column(batch.schema.get_field_index(ids_col))
-            ids = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(length[ids])])
-            count = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            offsets = ends[np.concatenate([[0], np.cumsum(count)])]
-            out = binary_array(data[spans(start[ids], length[ids])], offsets)
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
+        for whole in columns(batches):
+            count = whole.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            for a, b in row_groups(np.concatenate([[0], np.cumsum(count)]), 250_000):
+                batch = whole.slice(a, b - a)
+                ids = batch.column(ids_col).flatten().to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(length[ids])])
+                offsets = ends[np.concatenate([[0], np.cumsum(count[a:b])])]
+                out = binary_array(data[spans(start[ids], length[ids])], offsets)
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
     return df.mapInArrow(run, added(df, decoded=T.BinaryType()))
 

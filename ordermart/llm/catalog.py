@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe, packing, pii
+from ordermart.llm import bpe, html_text, packing, pii, topk
 
 QUERIES = {
+    "op3_html_text": html_text.op3_html_text,
+    "op9_uniform_threshold": topk.op9_uniform_threshold,
     "op8_pii_spans": pii.op8_pii_spans,
     "op4_curve_packing": packing.op4_curve_packing,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op9_uniform_threshold": topk.ORACLE,
+}

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, read in a session whose Arrow batches stay small beside the Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -123,16 +128,28 @@ class IdTable:
             self.size += sum(map(len, part))
         self.known = len(self.words)
 
-    def ids_of(self, words: list, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a block of word_blocks() end to end, and row offsets."""
+    def ids_of(self, words: list, codes: np.ndarray, offsets: np.ndarray,
+               limit: int = 250_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ids of a block of word_blocks(): (first row, row after the last, ids end to
+        end, row offsets), a part of about `limit` words, or one longer row, at a time."""
         if len(self.words) > self.most or self.size > self.most_bytes:
             self.reset()
         numbers = self.number(words)
         self.learn()
-        every = numbers[codes]
-        length = self.length[every]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        return self.flat[spans(self.start[every], length)], ends[offsets]
+        for a, b in row_groups(offsets, limit):
+            every = numbers[codes[offsets[a]:offsets[b]]]
+            length = self.length[every]
+            ends = np.concatenate([[0], np.cumsum(length)])
+            yield a, b, self.flat[spans(self.start[every], length)], ends[offsets[a:b + 1] - offsets[a]]
+
+
+def row_groups(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about `limit` elements, or one longer row."""
+    a = 0
+    while a < len(offsets) - 1:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+        yield a, b
+        a = b
 
 
 SPACE = np.zeros(256, bool)
@@ -148,9 +165,7 @@ def word_blocks(column: pa.Array, lower: bool = False, limit: int = 8 << 20,
     A block has about `limit` bytes, or one longer row. spaced: each word begins with
     the white space before it (what ends a row is a word too)."""
     raw, offsets = byte_rows(column)
-    a = 0
-    while a < len(column):
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+    for a, b in row_groups(offsets, limit):
         data, rows = raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
         space = SPACE[data]
         begins = np.ones(len(data) + 1, bool)
@@ -168,7 +183,6 @@ def word_blocks(column: pa.Array, lower: bool = False, limit: int = 8 << 20,
         starts = np.flatnonzero(begins)
         words = binary_array(LOWER[kept] if lower else kept, at).dictionary_encode()
         yield a, b, words.dictionary, words.indices.to_numpy(), np.searchsorted(starts, rows)
-        a = b
 
 
 def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

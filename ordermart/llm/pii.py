@@ -164,7 +164,10 @@ def _joined(spans: Column) -> Column:
 def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin([k.name for k in KINDS if k.base]))
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k.name)).cast("long").alias(f"n_{k.name}")
-             for k in KINDS if k.base]
+
+    def number(k: Kind) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == k.name)).cast("long").alias(f"n_{k.name}")
+
+    count = [number(k) for k in KINDS if k.base]
     return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"),
                         _joined(F.col("spans")).alias("spans"))
