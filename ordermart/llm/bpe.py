@@ -186,18 +186,23 @@ def _encoder(path: str, pattern: str) -> ChunkEncoder:
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every row; each match of pattern is merged by itself."""
+           text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>) of every row; each match of pattern is merged by itself.
+    decoded: also the bytes that the ids stand for, decoded in the same worker."""
 
     def run(batches):
         for batch in columns(batches):
             for a, b, ids, offsets in _encoder(ranks_path, pattern).blocks(batch.column(1)):
-                rows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], rows], names=["doc_id", "ids"])
+                out = [batch.column(0)[a:b],
+                       pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))]
+                if decoded:
+                    out.append(_bytes_of(ranks_path, ids, offsets))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "decoded"][:len(out)])
 
     rows = clean(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>").withColumnRenamed("doc_id", id_col)
+    schema = f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded
+    return rows.mapInArrow(run, schema).withColumnRenamed("doc_id", id_col)
 
 
 @cache
@@ -210,20 +215,25 @@ def _pieces(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(length) - length, length
 
 
+def _bytes_of(path: str, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    data, start, length = _pieces(path)
+    ends = np.concatenate([[0], np.cumsum(length[ids])])
+    return binary_array(data[spans(start[ids], length[ids])], ends[offsets])
+
+
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """df with a binary column `decoded`: the bytes that the ids stand for."""
 
     def run(batches):
-        data, start, length = _pieces(ranks_path)
         for whole in columns(batches):
             count = whole.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            for a, b in row_groups(np.concatenate([[0], np.cumsum(count)]), 250_000):
+            offsets = np.concatenate([[0], np.cumsum(count)])
+            for a, b in row_groups(offsets, 250_000):
                 batch = whole.slice(a, b - a)
                 ids = batch.column(ids_col).flatten().to_numpy(zero_copy_only=False)
-                ends = np.concatenate([[0], np.cumsum(length[ids])])
-                offsets = ends[np.concatenate([[0], np.cumsum(count[a:b])])]
-                out = binary_array(data[spans(start[ids], length[ids])], offsets)
-                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, _bytes_of(ranks_path, ids, offsets[a:b + 1] - offsets[a])],
+                    names=[*batch.schema.names, "decoded"])
 
     return df.mapInArrow(run, added(df, decoded=T.BinaryType()))
 
@@ -232,8 +242,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode(coded, path).select(
+    coded = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
