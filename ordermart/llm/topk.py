@@ -6,9 +6,9 @@ candidates by its own dimensions only, in blocks of rows.
 1. Gather: each slice reports its k best local scores of a query. The exact totals of
    the gathered candidates give a cutoff that the k-th best total reaches surely.
 2. Collect: with a total of at least `cutoff`, some slice has at least cutoff / lists;
-   each slice reports every entry that reaches it.
-3. Resolve: entries reported by all slices have their total by addition; the others
-   get theirs from the whole vectors. Rank by total, ties to the smaller id.
+   each slice reports every entry that reaches it, packed by block pair.
+3. Resolve: an entry that a slice did not report is asked of that slice. All totals
+   are then exact: rank by total, ties to the smaller id.
 
 Candidates with the same vector tie for every query, so only the k + 1 smallest ids of
 each distinct vector can be answers (one may be the query's own); the others are left
@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import columns, discard, stored, table
+from ordermart.llm.common import columns, stored, table
 
-ROWS = 512
+QUERY_ROWS, ROWS = 512, 2048
 LISTS = 2
 
 
@@ -69,7 +69,7 @@ def _blocks(rows: DataFrame, n: int, width: int, lists: int, rest: str = "") ->
 def _pairs(queries: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
     """Each query block beside each candidate block of the same slice."""
     q = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns),
-                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), "list").drop("q_list", "q_block")
+                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), "list").drop("q_list")
     return q.join(candidates, ["block", "list"])
 
 
@@ -85,18 +85,63 @@ def _local(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return q, c, x @ y.T
 
 
-def _entries(q, c, s, keep, number):
-    i, j = np.nonzero(keep)
+def _packed(columns_: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(q[i]), pa.array(c[j]), pa.array(np.full(len(i), number, np.int32)), pa.array(s[i, j])],
-        names=["query_id", "vec_id", "list", "score"])
+        [pa.array([columns_[f.name]], f.type) for f in PACKED], names=[f.name for f in PACKED])
 
 
-ENTRY = "query_id long, vec_id long, list int, score long"
+#: Entries of one block pair and slice: rows and columns of the score matrix, scores.
+PACKED = pa.schema([("q_block", pa.int32()), ("block", pa.int32()), ("list", pa.int32()), ("q_ids", pa.binary()),
+                    ("ids", pa.binary()), ("at", pa.binary()), ("s", pa.binary())])
+PACKED_DDL = "q_block int, block int, list int, q_ids binary, ids binary, at binary, s binary"
+
+
+def _places(rows: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(rows["at"][k], np.int64), np.frombuffer(rows["s"][k], np.int64)
+
+
+def _lacking(lists: int):
+    """Of one block pair: the sums of what was reported, as list -1, and for each slice
+    the entries that others reported and it did not."""
+
+    def run(t: pa.Table) -> pa.Table:
+        rows = t.to_pydict()
+        every = {rows["list"][k]: _places(rows, k) for k in range(len(t))}
+        union, back = np.unique(np.concatenate([x for x, _ in every.values()]), return_inverse=True)
+        total = np.zeros(len(union), np.int64)
+        np.add.at(total, back, np.concatenate([s for _, s in every.values()]))
+        fixed = {k: rows[k][0] for k in ("q_block", "block", "q_ids", "ids")}
+        out = [fixed | {"list": -1, "at": union.tobytes(), "s": total.tobytes()}]
+        for i in range(lists):
+            lack = np.setdiff1d(union, every[i][0] if i in every else [], assume_unique=True).astype(np.int64)
+            if len(lack):
+                out.append(fixed | {"list": i, "at": lack.tobytes(), "s": b""})
+        return pa.Table.from_pylist(out, schema=PACKED)
+
+    return run
+
+
+def _ranked(k: int):
+    """Of one block pair: each query's k best totals."""
+
+    def run(t: pa.Table) -> pa.Table:
+        rows = t.to_pydict()
+        at, back = np.unique(np.concatenate([_places(rows, i)[0] for i in range(len(t))]), return_inverse=True)
+        total = np.zeros(len(at), np.int64)
+        np.add.at(total, back, np.concatenate([_places(rows, i)[1] for i in range(len(t))]))
+        i, ids = at >> 32, np.frombuffer(rows["ids"][0], np.int64)[at & (2**32 - 1)]
+        order = np.lexsort((ids, -total, i))
+        i, ids, total = i[order], ids[order], total[order]
+        first = np.searchsorted(i, i)
+        keep = np.arange(len(i)) - first < k
+        q = np.frombuffer(rows["q_ids"][0], np.int64)[i]
+        return pa.table({"query_id": q[keep], "vec_id": ids[keep], "score": total[keep]})
+
+    return run
 
 
 def search(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding",
-           scale: int = 256, lists: int = LISTS, rows_a_block: int = ROWS) -> DataFrame:
+           scale: int = 256, lists: int = LISTS, rows_a_block: int = ROWS, queries_a_block: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank int, vec_id, score) of the k best other rows for each query row."""
     every = stored(vectors(df, id_col, vector_col, scale), "vectors")
     size = every.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
@@ -105,7 +150,7 @@ def search(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vect
     able = stored(every.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).drop("r"), "candidates")
     asked = every.where(is_query)
     right = stored(_blocks(able, n, width, lists), "blocks")
-    parts = max(1, -(-asked.count() // rows_a_block))
+    parts = max(1, -(-asked.count() // queries_a_block))
 
     def exact(pairs: DataFrame) -> DataFrame:
         """(query_id, vec_id, score) by whole vectors."""
@@ -126,10 +171,13 @@ def search(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vect
                     np.put_along_axis(keep, np.argpartition(-s, k - 1, axis=1)[:, :k], True, axis=1)
                 else:
                     keep[:] = True
-                yield _entries(q, c, s, keep & (q[:, None] != c[None, :]), number[i])
+                a, b = np.nonzero(keep & (q[:, None] != c[None, :]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(q[a]), pa.array(c[b]), pa.array(np.full(len(a), number[i], np.int32)), pa.array(s[a, b])],
+                    names=["query_id", "vec_id", "list", "score"])
 
     left = _blocks(asked, parts, width, lists)
-    gathered = _pairs(left, right, n).mapInArrow(best, ENTRY)
+    gathered = _pairs(left, right, n).mapInArrow(best, "query_id long, vec_id long, list int, score long")
     top = Window.partitionBy("query_id", "list").orderBy(F.desc("score"), "vec_id")
     gathered = gathered.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -138,20 +186,31 @@ def search(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vect
     lowest = F.lit(-(2**62)).cast("long")  # fewer than k other rows: everything passes
     asked = stored(asked.join(cutoff, "id", "left").withColumn("cut", F.coalesce("cut", lowest)), "cutoffs")
 
+    left = stored(_blocks(asked, parts, width, lists, ", cut binary"), "blocks")
+
     def enough(batches):
         for batch in columns(batches):
-            number = batch.column(batch.schema.get_field_index("list")).to_pylist()
-            cuts = batch.column(batch.schema.get_field_index("q_cut"))
-            for i in range(batch.num_rows):
+            for i, r in enumerate(batch.select(["q_block", "block", "list", "q_ids", "ids", "q_cut"]).to_pylist()):
                 q, c, s = _local(batch, i)
-                share = -(-np.frombuffer(cuts[i].as_py(), np.int64) // lists)
-                yield _entries(q, c, s, (s >= share[:, None]) & (q[:, None] != c[None, :]), number[i])
-
-    found = _pairs(_blocks(asked, parts, width, lists, ", cut binary"), right, n).mapInArrow(enough, ENTRY)
-    found = stored(found.groupBy("query_id", "vec_id").agg(F.sum("score").alias("score"), F.count("*").alias("n")), "entries")
-    done = found.where(F.col("n") == lists).select("query_id", "vec_id", "score")
-    totals = done.unionByName(exact(found.where(F.col("n") < lists)))
-    discard(right)
+                share = -(-np.frombuffer(r.pop("q_cut"), np.int64) // lists)
+                a, b = np.nonzero((s >= share[:, None]) & (q[:, None] != c[None, :]))
+                if len(a):
+                    yield _packed(r | {"at": ((a << 32) | b).tobytes(), "s": s[a, b].tobytes()})
+
+    def asked_for(batches):
+        for batch in columns(batches):
+            for i, r in enumerate(batch.select(["q_block", "block", "list", "q_ids", "ids", "at"]).to_pylist()):
+                _, _, s = _local(batch, i)
+                at = np.frombuffer(r["at"], np.int64)
+                yield _packed(r | {"s": s[at >> 32, at & (2**32 - 1)].tobytes()})
+
+    pair = ["q_block", "block"]
+    found = _pairs(left, right, n).mapInArrow(enough, PACKED_DDL)
+    known = stored(found.groupBy(pair).applyInArrow(_lacking(lists), PACKED_DDL), "entries")
+    requests = known.where("list >= 0").select(*pair, "list", "at")
+    answers = _pairs(left, right, n).join(requests, [*pair, "list"]).mapInArrow(asked_for, PACKED_DDL)
+    totals = known.where("list < 0").unionByName(answers).groupBy(pair).applyInArrow(
+        _ranked(k), "query_id long, vec_id long, score long")
     return totals.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
