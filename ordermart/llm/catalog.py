@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe, html_text, jaccard, packing, pii, topk
+from ordermart.llm import bpe, html_text, jaccard, packing, pii, topk, toxicity
 
 QUERIES = {
+    "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op7_ngram_jaccard": jaccard.op7_ngram_jaccard,
     "op3_html_text": html_text.op3_html_text,
     "op9_uniform_threshold": topk.op9_uniform_threshold,
