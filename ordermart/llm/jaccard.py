@@ -11,7 +11,8 @@ with equal sets are one node. The join runs over nodes:
 * Rounds. In each tile one node, by a hash that changes with the round, is compared with
   the nodes of other components; links are contracted to components. Groups of copies
   of one text collapse to a component after a few comparisons a node, so no group is
-  ever paired up. What no round has joined is compared pair by pair across components.
+  ever paired up. Once the pairs across components are no more than a few times the
+  rows that share keys, the untested ones among them are compared too.
 * Comparison. Each set has a bitmap of about n hashed bits. The differing bits of two
   bitmaps bound the overlap from above; pairs that can't reach t are dropped before
   their sets are fetched. The rest are intersected as sorted arrays.
@@ -38,7 +39,8 @@ from ordermart.llm.common import binary_array, clean, columns, discard, stored,
 WIDTH = 5
 PERCENT = 75
 CELLS, PARTS = 1 << 18, 256
-ROUNDS = 12
+ROUNDS, FEW = 12, 4
+IDS = 1_000_000
 PRIMES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 NODE = "node long, n int"
 
@@ -256,42 +258,48 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked_nodes(shared: DataFrame, facts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the nodes that have links."""
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.distinct(), "pairs")
+    """(node, component) of the nodes that share keys."""
+    done = None  # pairs compared so far
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        nonlocal done
+        pairs = pairs.distinct()
+        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        done = pairs if done is None else done.unionByName(pairs)
         return stored(_intersected(_bounded(pairs, facts, percent), sets, percent), "links")
 
     def merged(label: DataFrame, links: DataFrame) -> DataFrame:
-        """Labels after the links between components."""
-        to = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("node", "c")
+        """Labels after the links, which join components."""
+        ends = [label.select(F.col("node").alias(x), F.col("c").alias(f"c{x}")) for x in "ab"]
+        edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        to = components(edges).withColumnRenamed("node", "c")
         return stored(label.join(to, "c", "left").select("node", F.coalesce("component", "c").alias("c")), "labels")
 
     label = stored(facts.select("node", F.col("node").alias("c")), "labels")
-    named = lambda links: links.join(label.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(
-        label.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
-    open_ = shared.withColumn("band", band)
+    open_ = shared.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int"))
+    open_ = open_.join(label, "node")
     for number in range(ROUNDS):
-        joined = open_.drop("c").join(label, "node")
-        several = joined.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
-        open_ = stored(joined.join(several, "key", "left_semi"), "open")
-        if open_.isEmpty():
-            return label.select("node", F.col("c").alias("component"))
         turn = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "c")
         centre = open_.groupBy("key", "band").agg(F.min(turn).alias("m"))
         pairs = open_.join(centre, ["key", "band"]).where("c <> m.c").select(
             F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
-        links = tested(pairs)
-        if links.isEmpty():
+        label = merged(label, compared(pairs))
+        open_ = open_.drop("c").join(label, "node")
+        size = open_.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(
+            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.pow("k", F.lit(2)))) / 2).alias("across")).where("across > 0")
+        open_ = stored(open_.join(size, "key"), "open")
+        rows = open_.count()
+        if not rows:
+            return label.select("node", F.col("c").alias("component"))
+        across = open_.select("key", "across").distinct().agg(F.sum("across")).first()[0]
+        open_ = open_.drop("across")
+        if across <= FEW * rows:
             break
-        label = merged(label, named(links))
-    joined = open_.drop("c").join(label, "node")
-    other = joined.select("key", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c")))
+    other = open_.select("key", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c")))
     fits = (F.col("n") * 100 >= F.col("o_n") * percent) & (F.col("o_n") * 100 >= F.col("n") * percent)
-    pairs = joined.join(other, "key").where((F.col("node") < F.col("o_node")) & (F.col("c") != F.col("o_c")) & fits)
-    links = tested(pairs.select(F.col("node").alias("a"), F.col("o_node").alias("b")))
-    return merged(label, named(links)).select("node", F.col("c").alias("component"))
+    pairs = open_.join(other, "key").where((F.col("node") < F.col("o_node")) & (F.col("c") != F.col("o_c")) & fits)
+    links = compared(pairs.select(F.col("node").alias("a"), F.col("o_node").alias("b")))
+    return merged(label, links).select("node", F.col("c").alias("component"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -306,8 +314,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     some = shared.select("node").distinct()
     facts = stored(docs.join(some, "node").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.max("bits").alias("bits")), "facts")
     wanted = facts.select(F.col("doc_id").alias("wanted"))
+    wanted = F.broadcast(wanted) if facts.count() <= IDS else wanted  # else both sides are shuffled by id
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = stored(_sets(texts, width).join(some, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = stored(_sets(texts, width), "sets")
     label = linked_nodes(shared, facts, sets, percent)
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     name = label.join(first, "node").groupBy("component").agg(F.min("first").alias("least"))
