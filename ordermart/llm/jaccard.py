@@ -6,8 +6,8 @@ with equal sets are one node. The join runs over nodes:
 * Tiles. Two sets with similarity t or more share one of their first
   n - ceil(t * n) + 1 shingles in any common order. The order puts shingles that many
   documents have last, by levels of a fixed-size count sketch (its errors cost time,
-  never a link). The nodes that share such a key are a group; a group's tiles are its
-  size bands, within which the larger set is at most 1 / t times the smaller one.
+  never a link). The nodes that share such a key, by size, are cut into tiles where the
+  next size is over 1 / t times the last; in a tile, size bands are compared first.
 * Rounds. In each tile one node, by a hash that changes with the round, is compared with
   the nodes of other components; links are contracted to components. Groups of copies
   of one text collapse to a component after a few comparisons a node, so no group is
@@ -166,22 +166,39 @@ def _keys(rows: DataFrame, levels: np.ndarray, width: int, percent: int) -> Data
     return rows.select("doc_id", "text").mapInArrow(run, f"key long, {NODE}")
 
 
-def _shared(batches):
-    """Of rows sorted by key and node, those whose key more than one node has, once
-    each. Only the last row is held back from one batch to the next."""
-    held, held_shared = None, False
-    for batch in columns(batches):
-        t = pa.Table.from_batches([held, batch] if held is not None else [batch])
-        key, node = t["key"].to_numpy(), t["node"].to_numpy()
-        fresh = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        t, key = t.filter(pa.array(fresh)), key[fresh]
-        shared = np.append(held is not None and held_shared, key[1:] == key[:-1])
-        held_shared = bool(shared[-1])
-        shared[:-1] |= key[1:] == key[:-1]
-        yield from t.slice(0, len(key) - 1).filter(pa.array(shared[:-1])).combine_chunks().to_batches()
-        held = t.slice(len(key) - 1).combine_chunks().to_batches()[0]
-    if held is not None and held_shared:
-        yield held
+def _tiles(percent: int):
+    """Of rows sorted by key, size and node, those that another node shares a tile with:
+    (tile, node, n), once each. A key's tile ends where the next size is too large to be
+    similar. Only the last row is held back from one batch to the next."""
+
+    def run(batches):
+        held, held_first, held_shared = None, 0, False
+        for batch in columns(batches):
+            t = pa.Table.from_batches([held, batch] if held is not None else [batch])
+            key, node, n = (t[c].to_numpy() for c in ("key", "node", "n"))
+            fresh = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+            t, key, n = t.filter(pa.array(fresh)), key[fresh], n[fresh].astype(np.int64)
+            near = (key[1:] == key[:-1]) & (n[1:] * percent <= n[:-1] * 100)  # row and the one before
+            begins = np.append(True, ~near)
+            first = n[np.maximum.accumulate(np.where(begins, np.arange(len(n)), 0))]
+            if held is not None:
+                first[:int(np.argmax(begins[1:])) + 1 if begins[1:].any() else len(n)] = held_first
+            shared = np.append(held_shared, near)
+            held_first, held_shared = int(first[-1]), bool(shared[-1])
+            shared[:-1] |= near
+            tile = _mix(key.view(np.uint64) + first.astype(np.uint64)).view(np.int64)
+            keep = np.flatnonzero(shared[:-1])
+            if len(keep):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tile[keep]), t["node"].combine_chunks().take(pa.array(keep)), pa.array(n[keep].astype(np.int32))],
+                    names=["key", "node", "n"])
+            held = t.slice(len(key) - 1).combine_chunks().to_batches()[0]
+            if held_shared:
+                last = pa.RecordBatch.from_arrays([pa.array(tile[-1:]), held.column("node"), held.column("n")], names=["key", "node", "n"])
+        if held is not None and held_shared:
+            yield last
+
+    return run
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -257,16 +274,28 @@ def components(edges: DataFrame) -> DataFrame:
     return whole.unionByName(whole.select(F.col("component").alias("node"), "component").distinct())
 
 
-def linked_nodes(shared: DataFrame, facts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the nodes that share keys."""
+def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of the nodes that share tiles."""
     done = None  # pairs compared so far
 
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """Sets of the pairs' nodes, from one row each."""
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = stored(facts.join(ends, "node", "left_semi").select(F.col("doc_id").alias("wanted")), "wanted")
+        if wanted.count() <= IDS:
+            wanted = F.broadcast(wanted)  # else both sides are shuffled by id
+        return stored(_sets(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi"), width), "sets")
+
     def compared(pairs: DataFrame) -> DataFrame:
         nonlocal done
         pairs = pairs.distinct()
         pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        return stored(_intersected(_bounded(pairs, facts, percent), sets, percent), "links")
+        able = stored(_bounded(pairs, facts, percent), "able")
+        sets = sets_of(able)
+        links = stored(_intersected(able, sets, percent), "links")
+        discard(sets)
+        return links
 
     def merged(label: DataFrame, links: DataFrame) -> DataFrame:
         """Labels after the links, which join components."""
@@ -285,15 +314,17 @@ def linked_nodes(shared: DataFrame, facts: DataFrame, sets: DataFrame, percent:
             F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
         label = merged(label, compared(pairs))
         open_ = open_.drop("c").join(label, "node")
-        size = open_.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(
-            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.pow("k", F.lit(2)))) / 2).alias("across")).where("across > 0")
-        open_ = stored(open_.join(size, "key"), "open")
-        rows = open_.count()
-        if not rows:
+        size = open_.groupBy("key", "band", "c").agg(F.count("*").alias("k")).groupBy("key", "band").agg(
+            F.sum("k").alias("k"), F.sum(F.pow("k", F.lit(2))).alias("k2"), F.min("c").alias("low"), F.max("c").alias("high"))
+        size = size.groupBy("key").agg(F.sum((F.pow("k", F.lit(2)) - F.col("k2")) / 2).alias("across"),
+                                       F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+        open_ = stored(open_.join(size.select("key", "across"), "key"), "open")
+        left = open_.count()
+        if not left:
             return label.select("node", F.col("c").alias("component"))
         across = open_.select("key", "across").distinct().agg(F.sum("across")).first()[0]
         open_ = open_.drop("across")
-        if across <= FEW * rows:
+        if across <= FEW * left:
             break
     other = open_.select("key", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c")))
     fits = (F.col("n") * 100 >= F.col("o_n") * percent) & (F.col("o_n") * 100 >= F.col("n") * percent)
@@ -309,21 +340,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     every = stored(_nodes(rows, width), "nodes")
     levels = _levels(every)
     docs = every.where("part is null").select("doc_id", "node", "n", "bits")
-    keys = _keys(rows, levels, width, percent).repartition("key").sortWithinPartitions("key", "node")
-    shared = stored(keys.mapInArrow(_shared, f"key long, {NODE}"), "shared")
+    keys = _keys(rows, levels, width, percent).repartition("key").sortWithinPartitions("key", "n", "node")
+    shared = stored(keys.mapInArrow(_tiles(percent), f"key long, {NODE}"), "shared")
     some = shared.select("node").distinct()
     facts = stored(docs.join(some, "node").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.max("bits").alias("bits")), "facts")
-    wanted = facts.select(F.col("doc_id").alias("wanted"))
-    wanted = F.broadcast(wanted) if facts.count() <= IDS else wanted  # else both sides are shuffled by id
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = stored(_sets(texts, width), "sets")
-    label = linked_nodes(shared, facts, sets, percent)
+    label = linked_nodes(shared, facts, rows, width, percent)
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     name = label.join(first, "node").groupBy("component").agg(F.min("first").alias("least"))
     known = stored(label.join(name, "component").select("node", "least"), "known")
     classes = first.join(known, "node", "left").select("node", F.coalesce("least", "first").alias("component_id"))
     discard(shared)
-    discard(sets)
     return docs.select("doc_id", "node", "n").join(classes, "node", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
