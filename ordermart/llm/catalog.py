@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe, fingerprints, html_text, jaccard, packing, pii, topk, toxicity
+from ordermart.llm import bpe, fingerprints, html_text, jaccard, lm, packing, pii, topk, toxicity
 
 QUERIES = {
+    "op1_gru_lm": lm.op1_gru_lm,
     "op2_consistent_parsing": fingerprints.op2_consistent_parsing,
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op7_ngram_jaccard": jaccard.op7_ngram_jaccard,
