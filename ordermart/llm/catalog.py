@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ordermart.llm import bpe, fingerprints, html_text, jaccard, lm, packing, pii, topk, toxicity
+import corpus_pipeline
+from ordermart.llm import bpe, fingerprints, html_text, jaccard, licenses, lm, packing, pii, topk, toxicity
 
 QUERIES = {
+    "op6_patience_licenses": licenses.op6_patience_licenses,
+    "pipeline": corpus_pipeline.run,
     "op1_gru_lm": lm.op1_gru_lm,
     "op2_consistent_parsing": fingerprints.op2_consistent_parsing,
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,

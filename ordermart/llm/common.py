@@ -65,6 +65,11 @@ def added(df: DataFrame, **fields: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
 
 
+def with_id(rows: DataFrame, fields: str) -> T.StructType:
+    """Schema of rows' doc_id, of whatever type, and more fields given as DDL."""
+    return T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T.StructType.fromDDL(fields).fields])
+
+
 def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Buffer of a string or binary column without nulls, as bytes, and row offsets."""
     kind = np.int64 if column.type in (pa.large_string(), pa.large_binary()) else np.int32

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import clean, columns, discard, stored, table, word_blocks
+from ordermart.llm.common import clean, columns, discard, stored, table, with_id, word_blocks
 
 SAMPLE = 10_000
 MOST = 150_000
@@ -250,8 +250,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                                                  names=["doc_id", "score"])
 
     rows = clean(df, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double").withColumnRenamed("doc_id", id_col)
+    return rows.mapInArrow(run, with_id(rows, "score double")).withColumnRenamed("doc_id", id_col)
 
 
 def op5_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
