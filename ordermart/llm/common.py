@@ -30,8 +30,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = tempfile.gettempdir()
     return f"{base}/llm-{name}-{uuid.uuid4().hex}"
 
 

@@ -38,7 +38,8 @@ from ordermart.llm.common import binary_array, clean, columns, discard, stored,
 
 WIDTH = 5
 PERCENT = 75
-CELLS, PARTS = 1 << 18, 256
+CELL_BITS, PARTS = 22, 1024
+CELLS = 1 << CELL_BITS
 ROUNDS, FEW = 12, 4
 IDS = 1_000_000
 PRIMES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -68,6 +69,10 @@ def shingle_sets(column: pa.Array, width: int = WIDTH):
                 yield a + i, np.empty(0, np.uint64)
 
 
+def _cell(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def node_of(s: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
 
@@ -101,7 +106,7 @@ def _nodes(rows: DataFrame, width: int) -> DataFrame:
         for batch in columns(batches):
             node, n, bits = [], [], []
             for _, s in shingle_sets(batch.column(1), width):
-                np.add.at(cells, (s >> np.uint64(46)).astype(np.int64), 1)
+                np.add.at(cells, _cell(s), 1)
                 node.append(node_of(s) if len(s) else None)
                 n.append(len(s))
                 bits.append(bitmap(s) if len(s) else None)
@@ -112,7 +117,8 @@ def _nodes(rows: DataFrame, width: int) -> DataFrame:
         none = pa.nulls(PARTS)
         yield pa.RecordBatch.from_arrays(
             [none.cast(kind_of), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()),
-             pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(cells, PARTS)], pa.binary())],
+             pa.array(range(PARTS), pa.int32()),
+             pa.array([x.tobytes() for x in np.split(np.minimum(cells, 65535).astype(np.uint16), PARTS)], pa.binary())],
             names=["doc_id", "node", "n", "bits", "part", "cells"])
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -123,23 +129,25 @@ def _nodes(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _levels(nodes: DataFrame) -> np.ndarray:
-    """Level of each sketch cell: how often its count doubles the mean, 0 to 15."""
+    """Level of each sketch cell: four times the doublings of the mean in its count."""
 
     def total(t: pa.Table) -> pa.Table:
-        cells = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in t["cells"].to_pylist())
+        cells = sum(np.frombuffer(x, np.uint16).astype(np.float32) for x in t["cells"].to_pylist())
         return pa.table({"part": t["part"][:1], "cells": pa.array([cells.tobytes()], pa.binary())})
 
     rows = nodes.where("part is not null").select("part", "cells").groupBy("part").applyInArrow(total, "part int, cells binary")
-    cells = np.zeros(CELLS, np.int64)
-    for r in rows.collect():  # PARTS rows
-        cells.reshape(PARTS, -1)[r["part"]] = np.frombuffer(r["cells"], np.int64)
-    return np.clip(np.log2(np.maximum(cells, 1) / max(1.0, cells.mean())), 0, 15).astype(np.uint8)
+    cells = np.zeros(CELLS, np.float32)
+    for r in rows.toLocalIterator():  # PARTS rows
+        cells.reshape(PARTS, -1)[r["part"]] = np.frombuffer(r["cells"], np.float32)
+    return np.clip(4 * np.log2(np.maximum(cells, 1) / max(1.0, float(cells.mean()))), 0, 200).astype(np.uint8)
 
 
 def _keys(rows: DataFrame, levels: np.ndarray, width: int, percent: int) -> DataFrame:
     """(key, node, n): the rare end of each set. Copies in one task count once."""
+    sent = rows.sparkSession.sparkContext.broadcast(levels)  # a byte for each of CELLS
 
     def run(batches):
+        levels = sent.value
         seen: set[int] = set()
         for batch in columns(batches):
             for part in range(0, batch.num_rows, 500):
@@ -148,7 +156,7 @@ def _keys(rows: DataFrame, levels: np.ndarray, width: int, percent: int) -> Data
                     if not len(s) or (id_ := node_of(s)) in seen:
                         continue
                     seen.add(id_)
-                    level = levels[(s >> np.uint64(46)).astype(np.int64)]
+                    level = levels[_cell(s)]
                     if level.any():
                         s = s[np.argsort(level, kind="stable")]
                     need = len(s) - -(-percent * len(s) // 100) + 1
@@ -307,6 +315,7 @@ def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: in
     label = stored(facts.select("node", F.col("node").alias("c")), "labels")
     open_ = shared.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int"))
     open_ = open_.join(label, "node")
+    before = float("inf")
     for number in range(ROUNDS):
         turn = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "c")
         centre = open_.groupBy("key", "band").agg(F.min(turn).alias("m"))
@@ -324,8 +333,9 @@ def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: in
             return label.select("node", F.col("c").alias("component"))
         across = open_.select("key", "across").distinct().agg(F.sum("across")).first()[0]
         open_ = open_.drop("across")
-        if across <= FEW * left:
+        if across <= FEW * left or across > 0.7 * before:  # few pairs, or comparing centres joins no more
             break
+        before = across
     other = open_.select("key", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c")))
     fits = (F.col("n") * 100 >= F.col("o_n") * percent) & (F.col("o_n") * 100 >= F.col("n") * percent)
     pairs = open_.join(other, "key").where((F.col("node") < F.col("o_node")) & (F.col("c") != F.col("o_c")) & fits)
