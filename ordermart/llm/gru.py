@@ -14,9 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 
 SIZE = 16
-GROUP = 64
+GROUP = 32
 STEPS = 16
 LANES = 512
+SEGMENT = 1024  # training cuts longer texts
+TOP = 60.0  # no logit comes near it; its exponential still fits
 
 
 def shapes(heads: int, tails: int, size: int = SIZE) -> dict[str, tuple]:
@@ -84,26 +86,30 @@ def windows(ids: np.ndarray, rows: np.ndarray, lanes: int = LANES, steps: int =
 
 
 def _run(p: dict, ids: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool):
-    """States before each step (steps x lanes x size), the last one, and what backward needs."""
+    """States before each step (steps x lanes x size), the last one, and the gates
+    that backward needs."""
     size = p["u"].shape[0]
     steps, lanes = ids.shape
-    x = p["x"][ids] + p["bu"]
+    x = p["x"][ids]
+    x += p["bu"]
     states = np.empty((steps, lanes, size), np.float32)
-    kept = []
+    on = (~begins).astype(np.float32)[:, :, None]  # a text begins with a state of zeros
+    kept = np.empty((4, steps, lanes, size), np.float32) if keep else None
+    u = p["u"]
     for t in range(steps):
-        b = begins[t]
-        if b.any():
-            h = np.where(b[:, None], np.float32(0), h)
-        states[t] = h
-        g = h @ p["u"]
+        now = np.multiply(h, on[t], out=states[t])
+        g = now @ u
         gate = g[:, :2 * size] + x[t, :, :2 * size]
-        gate = _sigmoid(gate)
-        z, r = gate[:, :size], gate[:, size:]
-        gn = g[:, 2 * size:]
-        n = np.tanh(x[t, :, 2 * size:] + r * gn)
+        _sigmoid(gate)
+        z, r, gn = gate[:, :size], gate[:, size:], g[:, 2 * size:]
+        n = r * gn
+        n += x[t, :, 2 * size:]
+        np.tanh(n, out=n)
         if keep:
-            kept.append((z, r, gn, n))
-        h = n + z * (h - n)
+            kept[0, t], kept[1, t], kept[2, t], kept[3, t] = z, r, gn, n
+        h = now - n
+        h *= z
+        h += n
     return states, h, kept
 
 
@@ -111,10 +117,10 @@ def _output(p: dict, states: np.ndarray, ids: np.ndarray, heads: int, gradient:
     """Natural-log probabilities of class and head word at each place, flat; with a
     gradient dict, also the loss's slope by the states."""
     groups = p["w"].shape[0]
-    group = np.where(ids < heads, ids // GROUP, groups + ids - heads)
+    group = np.where(ids < heads, ids // GROUP, groups + ids - heads).astype(np.uint16)  # sorted by radix
     logit = states @ p["c"]
     logit += p["bc"]
-    logit -= logit.max(axis=1, keepdims=True)
+    np.minimum(logit, TOP, out=logit)
     every = np.arange(len(ids))
     out = logit[every, group].astype(np.float64)
     np.exp(logit, out=logit)
@@ -136,7 +142,7 @@ def _output(p: dict, states: np.ndarray, ids: np.ndarray, heads: int, gradient:
         s = states[at]
         e = s @ p["w"][k]
         e += p["bw"][k]
-        e -= e.max(axis=1, keepdims=True)
+        np.minimum(e, TOP, out=e)
         word = ids[at] - k * GROUP
         line = np.arange(len(at))
         hit = e[line, word].astype(np.float64)
@@ -166,7 +172,9 @@ def score(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, lanes: int = L
 
 def train(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, square: dict, rate: float = 0.1,
           lanes: int = LANES, steps: int = STEPS) -> None:
-    """One pass of truncated backpropagation over the texts, with Adagrad in place."""
+    """One pass of truncated backpropagation over the texts, with Adagrad in place.
+    Texts are cut into segments, so that all lanes run about equally long."""
+    rows = np.unique(np.concatenate([rows, *(np.arange(a + SEGMENT, b, SEGMENT) for a, b in zip(rows[:-1], rows[1:], strict=True) if b - a > SEGMENT)]))
     size = p["u"].shape[0]
     h = np.zeros((lanes, size), np.float32)
     for place, begins, live in windows(ids, rows, lanes, steps):
@@ -177,25 +185,30 @@ def train(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, square: dict,
         _, slope = _output(p, states[ok], token[ok], heads, g)
         back = np.zeros_like(states)
         back[ok] = slope
-        dx = np.empty((len(token), live, 3 * size), np.float32)
+        z, r, gn, n = kept
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (states - n) * z * (1 - z)
+        to_r = gn * r * (1 - r)
+        on = (~begins).astype(np.float32)[:, :, None]
+        dg = np.empty((len(token), live, 3 * size), np.float32)
+        dx = np.empty_like(dg)
         d = np.zeros((live, size), np.float32)
-        for t in range(len(token) - 1, -1, -1):
-            z, r, gn, n = kept[t]
-            d = np.where(ok[t][:, None], d, 0)
-            pre = states[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (pre - n) * z * (1 - z)
-            dg = np.concatenate([dz, dn * gn * r * (1 - r), dn * r], axis=1)
-            dx[t] = dg
-            dx[t, :, 2 * size:] = dn
-            g["u"] += pre.T @ dg
-            d = d * z + dg @ p["u"].T
-            if begins[t].any():
-                d = np.where(begins[t][:, None], 0, d)
+        turned = np.ascontiguousarray(p["u"].T)
+        for t in range(len(token) - 1, -1, -1):  # past a lane's end d is 0
+            dn = np.multiply(d, to_n[t], out=dx[t, :, 2 * size:])
+            now = dg[t]
+            np.multiply(d, to_z[t], out=now[:, :size])
+            np.multiply(dn, to_r[t], out=now[:, size:2 * size])
+            np.multiply(dn, r[t], out=now[:, 2 * size:])
+            d *= z[t]
+            d += now @ turned
+            d *= on[t]
             d += back[t]
+        dx[:, :, :2 * size] = dg[:, :, :2 * size]
+        g["u"] += states.reshape(-1, size).T @ dg.reshape(-1, 3 * size)
         flat, dx = token[ok], dx[ok]
         g["bu"] += dx.sum(axis=0)
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16) if len(p["x"]) < 2**16 else flat, kind="stable")
         at = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
         seen, gx = flat[order][at], np.add.reduceat(dx[order], at, axis=0)
         norm = np.float32(1 / np.sqrt(max(1, len(flat))))

@@ -33,9 +33,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm import gru
-from ordermart.llm.common import clean, columns, discard, row_groups, stored, table, word_blocks
+from ordermart.llm.common import byte_rows, clean, columns, row_groups, stored, table, word_blocks
 
-HEADS, TAILS, KNOWN = 2048, 32, 200_000
+HEADS, TAILS, KNOWN = 1024, 32, 200_000
 END = b" "  # no word has white space
 CHUNK = 2_000_000
 PARTS = 64
@@ -46,9 +46,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 10 == 0, F.lit(False))
 
 
-def tail_of(words: list[bytes], tails: int) -> np.ndarray:
+def tail_of(words: list[bytes] | pa.Array, tails: int) -> np.ndarray:
     """Tail class of each word, by its last two bytes."""
-    last = np.array([(w[-1] << 8) | w[-2] if len(w) > 1 else w[-1] for w in words], np.uint32)
+    data, edge = byte_rows(words if isinstance(words, pa.Array) else pa.array(words, pa.binary()))
+    if not len(data):
+        return np.zeros(len(words), np.int64)
+    ends = np.maximum(edge[1:], 1)
+    last = data[ends - 1].astype(np.uint32) << 8
+    last = np.where(np.diff(edge) > 1, last | data[np.maximum(ends - 2, 0)], data[ends - 1].astype(np.uint32))
     return ((last * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64) % tails
 
 
@@ -149,11 +154,10 @@ def _texts(batches, number: dict, v: Vocabulary):
     ids of the words, codes, row offsets)."""
     for batch in batches:
         for a, b, words, codes, rows in word_blocks(batch.column("text"), lower=True):
+            classes = v.heads + tail_of(words, v.tails)
             words = words.to_pylist()
             place = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
-            ids = place.copy()
-            tail = (place < 0) | (place >= v.heads)
-            ids[tail] = v.heads + tail_of([words[i] for i in np.flatnonzero(tail)], v.tails)
+            ids = np.where((place < 0) | (place >= v.heads), classes, place)
             yield batch, a, b, words, place, ids.astype(np.int32), codes, rows
 
 
@@ -240,7 +244,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", heads:
             base = np.where(rare, 0.0, np.log10((count + 0.1) / floor))
             share = np.where(rare | (ids < voc.heads), 0.0, np.log10(np.maximum(_shares(voc, count, tail), 1e-300)))
             hashes = np.array([_hash(w) if r else 0 for w, r in zip(words, rare, strict=True)], np.int64)
-            for i, j in row_groups(rows, CHUNK // 4):
+            for i, j in row_groups(rows, CHUNK):
                 part, edge = codes[rows[i]:rows[j]], rows[i:j + 1] - rows[i]
                 tokens, ends = _ended(ids[part], edge)
                 sums = [np.append(0.0, np.cumsum(x)) for x in (gru.score(model, tokens, ends, voc.heads), base[part], share[part], ~rare[part])]
@@ -257,11 +261,12 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", heads:
                 # rare words: (text, word hash) and how often
                 places = np.flatnonzero(rare[part])
                 row = np.searchsorted(edge, places, "right") - 1
-                pair, times = np.unique(np.column_stack([row, part[places]]), axis=0, return_counts=True) if len(places) else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
+                pair, times = np.unique(row * len(words) + part[places], return_counts=True)
+                row, word = np.divmod(pair, max(1, len(words)))
                 m = len(pair)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[pair[:, 0]]), pa.nulls(m, batch.schema.field("doc_id").type), pa.nulls(m, pa.bool_()),
-                     pa.array(hashes[pair[:, 1]]), pa.array(tail[pair[:, 1]].astype(np.int32)), pa.array(times),
+                    [pa.array(keys[row]), pa.nulls(m, batch.schema.field("doc_id").type), pa.nulls(m, pa.bool_()),
+                     pa.array(hashes[word]), pa.array(tail[word].astype(np.int32)), pa.array(times),
                      pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names=NAMES)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
