@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
@@ -17,6 +17,7 @@ from ..sources import schemas
 from .keys import assign_dense_ids, max_id
 
 ADDRESS_NATURAL_KEY = ["address", "city", "state", "pincode"]
+CUSTOMER_COMPARED = ["customerid", "name", "address_id"]
 PRODUCT_COMPARED = ["productid", "productcode", "productname", "sku", "rate", "isactive"]
 
 
@@ -148,25 +149,35 @@ def order_status_rows(delta_orders: DataFrame) -> DataFrame:
     return schemas.conform(delta_orders.drop("customerid"), schemas.DIM_ORDER)
 
 
-def scd2_apply(dim: DataFrame, inserts: DataFrame, updates: DataFrame,
-               key: str, run_date: str) -> DataFrame:
+def scd2_apply(dim: DataFrame, inserts: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """New version of an SCD2 dimension (no MERGE on plain parquet).
 
-    Open rows (end_date = open end) of a key present in ``updates`` are closed
-    at ``run_date``; each update becomes a new open row starting at
-    ``run_date``; inserts are appended. The result is meant to be written to a
-    new path and swapped in, never over the path being read.
+    Rows are valid in [start_date, end_date). The open row (end_date = open
+    end) of a key in ``updates`` ends where the key's new version starts (at
+    its own start, if that is later), and each update becomes the key's open
+    row; inserts are appended. ``updates`` has one row per key, with the new
+    version's start_date. The result is meant to be written to a new path,
+    never over the path being read.
     """
     open_end = F.lit(tp.OPEN_END_DATE).cast("date")
     cols = dim.columns
-    touched = updates.select(key).distinct().withColumn("_touched", F.lit(True))
-    closed = (dim.join(touched, key, "left")
-              .withColumn("end_date", F.when(F.col("_touched") & (F.col("end_date") == open_end),
-                                             F.lit(run_date).cast("date"))
-                          .otherwise(F.col("end_date")))
-              .select(*cols))
-    start = (F.coalesce(F.col("start_date"), F.lit(run_date).cast("date"))
-             if "start_date" in updates.columns else F.lit(run_date).cast("date"))
-    new_versions = (updates.withColumn("start_date", start)
-                    .withColumn("end_date", open_end).select(*cols))
+    begins = updates.groupBy(key).agg(F.max("start_date").alias("_begins"))
+    still_open = F.col("_begins").isNotNull() & (F.col("end_date") == open_end)
+    closed = dim.join(begins, key, "left").withColumn(
+        "end_date", F.when(still_open, F.greatest("start_date", "_begins")).otherwise(F.col("end_date"))).select(*cols)
+    new_versions = updates.withColumn("end_date", open_end).select(*cols)
     return closed.unionByName(new_versions).unionByName(inserts.select(*cols))
+
+
+def scd2_checks(dim: DataFrame, key: str) -> DataFrame:
+    """(check_name, violations) of an SCD2 dimension: keys with several open rows,
+    rows that the key's next version overlaps, rows that end before they start."""
+    ordered = Window.partitionBy(key).orderBy("start_date", "end_date")
+    open_end = F.lit(tp.OPEN_END_DATE).cast("date")
+    rows = dim.select(key, "start_date", "end_date", F.lead("start_date").over(ordered).alias("following"))
+    many = rows.groupBy(key).agg(F.sum((F.col("end_date") == open_end).cast("long")).alias("n")).agg(
+        F.coalesce(F.sum((F.col("n") > 1).cast("long")), F.lit(0)).alias("violations"))
+    count = lambda cond: rows.agg(F.coalesce(F.sum(cond.cast("long")), F.lit(0)).alias("violations"))
+    parts = {"one_open_row": many, "no_overlap": count(F.col("following") < F.col("end_date")),
+             "ends_after_start": count(F.col("end_date") < F.col("start_date"))}
+    return reduce(DataFrame.unionByName, [d.select(F.lit(n).alias("check_name"), "violations") for n, d in parts.items()])

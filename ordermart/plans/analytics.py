@@ -84,7 +84,11 @@ def q03_units_by_sku(star: StarSchema, grain: str = "day") -> DataFrame:
         keys.append(tp.month_of_year("order_delivery_timestamp").alias("MONTH"))
     elif grain != "day":
         raise ValueError(grain)
-    return p.join(f, "productid").groupBy(*keys).agg(F.sum("quantity").alias("units_sold"))
+    # units are summed per product and slice first: the join sees partial sums,
+    # and a product in a large share of lines is combined map-side
+    names = [c for c in ("DAY", "MONTH") if grain == "month" or c == "DAY"]
+    part = f.groupBy("productid", *keys[2:]).agg(F.sum("quantity").alias("_units"))
+    return p.join(part, "productid").groupBy("productname", "sku", *names).agg(F.sum("_units").alias("units_sold"))
 
 
 def q04_sales_by_date_product_city(star: StarSchema) -> DataFrame:
@@ -104,6 +108,29 @@ def q04_sales_by_date_product_city(star: StarSchema) -> DataFrame:
              .orderBy("Daily", "productid", "city"))
 
 
+def q04_sales_by_date(star: StarSchema, grain: str = "date") -> DataFrame:
+    """Σ order_amount per received date, each order once; also by state, city or
+    pincode of the customer's address (pre-aggregated per customer and date)."""
+    day = tp.date_of("order_received_timestamp").alias("Daily")
+    f = star.fact_daily_orders
+    if grain == "date":
+        return f.groupBy(day).agg(F.sum("order_amount").alias("total_sales"))
+    area = {"state": ["state"], "city": ["state", "city"], "pincode": ["state", "city", "address_pincode"]}[grain]
+    part = f.groupBy("customerid", day).agg(F.sum("order_amount").alias("_s"))
+    out = part.join(customer_geo(star, "inner"), "customerid").groupBy("Daily", *area).agg(F.sum("_s").alias("total_sales"))
+    return out.withColumnRenamed("address_pincode", "pincode")
+
+
+def q04_sales_by_date_product(star: StarSchema) -> DataFrame:
+    """Σ quantity · rate of the lines per received date of their order and product."""
+    day = star.fact_daily_orders.select("orderid", tp.date_of("order_received_timestamp").alias("Daily"))
+    lines = star.f_order_details.select("orderid", "productid", "quantity")
+    units = lines.join(day, "orderid").groupBy("Daily", "productid").agg(F.sum("quantity").alias("_units"))
+    rate = star.dim_product.select("productid", "rate")
+    return units.join(rate, "productid").groupBy("Daily", "productid").agg(
+        F.sum(F.col("_units") * F.col("rate")).alias("total_sales"))
+
+
 def q05_orders_by_area(star: StarSchema, grain: str = "city") -> DataFrame:
     """Distinct orders per area: (state, city) by default, or state, or state/city/pincode."""
     keys = {"state": ["state"], "city": ["state", "city"],
@@ -121,11 +148,10 @@ def q06_avg_amount_customer_date(star: StarSchema) -> DataFrame:
 
 def q07_new_customers_by_date(star: StarSchema) -> DataFrame:
     """Customers with exactly one dim_customer row, counted per start_date."""
-    c = star.dim_customer.select("customerid", "start_date")
-    single = c.groupBy("customerid").count().where(F.col("count") == 1).select("customerid")
-    return (c.join(single, "customerid", "left_semi")
-             .groupBy(F.col("start_date").alias("START_DATE"))
-             .agg(F.count("customerid").alias("NewCustomers")))
+    per = star.dim_customer.groupBy("customerid").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("start_date").alias("START_DATE"))
+    return (per.where((F.col("_n") == 1) & F.col("customerid").isNotNull())
+               .groupBy("START_DATE").agg(F.count("customerid").alias("NewCustomers")))
 
 
 def q08_counts_by_date(star: StarSchema) -> DataFrame:
@@ -142,6 +168,12 @@ def q08_counts_by_date(star: StarSchema) -> DataFrame:
                   .orderBy("Dates"))
 
 
+def q08_customers_by_date(star: StarSchema) -> DataFrame:
+    """Distinct customers with an order received, per date."""
+    per = star.fact_daily_orders.select(tp.date_of("order_received_timestamp").alias("Dates"), "customerid").distinct()
+    return per.groupBy("Dates").agg(F.count("customerid").alias("Customers"))
+
+
 def _delivery_time_keys(grain: str) -> list:
     """Delivery-time slices; every question also slices by city."""
     ts = "order_delivery_timestamp"
@@ -151,16 +183,31 @@ def _delivery_time_keys(grain: str) -> list:
         keys.append(tp.hour_of_day(ts).alias("HOURS"))
     elif grain == "weekend":
         keys = [tp.is_weekend(ts).alias("WEEKEND")]
+    elif grain == "daily":
+        keys = keys[:1]
+    elif grain == "weekday":
+        keys = keys[2:3]
+    elif grain == "monthly":
+        keys = keys[3:]
+    elif grain in AREAS:
+        keys = []
     elif grain != "base":
         raise ValueError(grain)
     return keys
 
 
+#: Geography slices of q09 and q10.
+AREAS = {"state": ["state"], "pincode": ["address_pincode"]}
+SLICES = ("daily", "weekday", "monthly", "state", "pincode")
+
+
 def _delivery_partials(star: StarSchema, grain: str, aggs: list) -> DataFrame:
     """Fact aggregated per (customer, delivery-time slice), then joined to
     the customer's city (inner joins, as in the question)."""
     part = star.fact_daily_orders.groupBy("customerid", *_delivery_time_keys(grain)).agg(*aggs)
-    geo = customer_geo(star, "inner").select("customerid", F.col("city").alias("City"))
+    city = F.col("city").alias("City")
+    area = AREAS.get(grain, [] if grain in ("daily", "weekday", "monthly") else [city])
+    geo = customer_geo(star, "inner").select("customerid", *area)
     return part.join(geo, "customerid")
 
 
@@ -186,3 +233,16 @@ def q10_orders_sliced(star: StarSchema, grain: str = "base") -> DataFrame:
     j = _delivery_partials(star, grain, [F.count("orderid").alias("_n")])
     out_keys = [c for c in j.columns if c not in ("customerid", "_n")]
     return j.groupBy(*out_keys).agg(F.sum("_n").alias("NumberOfOrders"))
+
+
+def q10_orders_grouping_sets(star: StarSchema) -> DataFrame:
+    """Order count by delivery date, weekday, month, state and city, each by itself,
+    in one pass: a row per slice name and value."""
+    ts = "order_delivery_timestamp"
+    part = star.fact_daily_orders.groupBy("customerid", tp.date_of(ts).alias("d")).agg(F.count("orderid").alias("_n"))
+    j = part.join(customer_geo(star, "inner"), "customerid")
+    j = j.groupBy("d", "state", "city").agg(F.sum("_n").alias("_n"))
+    slices = {"date": F.col("d").cast("string"), "weekday": tp.day_of_week("d").cast("string"),
+              "month": tp.month_of_year("d").cast("string"), "state": F.col("state"), "city": F.col("city")}
+    cells = F.explode(F.array(*(F.struct(F.lit(n).alias("slice"), c.alias("value")) for n, c in slices.items()))).alias("s")
+    return j.select(cells, "_n").groupBy("s.slice", "s.value").agg(F.sum("_n").alias("NumberOfOrders"))

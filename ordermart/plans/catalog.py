@@ -2,7 +2,8 @@
 
 Analytics questions run on the star schema that the ETL builds from the
 bound sources (written once per session into the shared checkpoint folder);
-ETL, extract, dedupe and quality entries are lazy plans over the sources.
+ETL, extract, dedupe and quality entries are plans over the sources; those that
+assign address ids run a few jobs (partition counts, largest id) when built.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import timeparts as tp
 from ..operators import dims, quality
-from ..sources import binding, extract
+from ..sources import binding, control, extract
 from . import analytics as a
 from . import history as h
 from .warehouse import RUN_DATE, materialize
@@ -30,14 +33,62 @@ def _inc(attr: str, **kw) -> QueryFn:
 
 def _scd2_product(spark: SparkSession, sf: str) -> DataFrame:
     batch = h.incremental_batch(spark, sf)
-    return dims.scd2_apply(batch.existing["dim_product"], batch.product_inserts,
-                           batch.product_updates, "productid", RUN_DATE)
+    updates = batch.product_updates.withColumnRenamed("end_date", "start_date")  # valid from the run date
+    return dims.scd2_apply(batch.existing["dim_product"], batch.product_inserts, updates, "productid")
 
 
 def _scd2_customer(spark: SparkSession, sf: str) -> DataFrame:
+    return _scd2_customer_by(spark, sf, "natural_key")
+
+
+def _scd2_customer_by(spark: SparkSession, sf: str, dedupe: str) -> DataFrame:
+    batch = h.incremental_batch(spark, sf, address_dedupe=dedupe)
+    old = batch.existing["dim_customer"]
+    changed = dims.rows_not_in(batch.customer_updates, old, dims.CUSTOMER_COMPARED)
+    return dims.scd2_apply(old, batch.customer_inserts, changed, "customerid")
+
+
+def _unclosed(spark: SparkSession, sf: str) -> DataFrame:
+    """A wrong version on purpose: new rows are added and the old ones stay open."""
     batch = h.incremental_batch(spark, sf)
-    return dims.scd2_apply(batch.existing["dim_customer"], batch.customer_inserts,
-                           batch.customer_updates, "customerid", RUN_DATE)
+    new = batch.product_updates.withColumnRenamed("end_date", "start_date").withColumn(
+        "end_date", F.lit(tp.OPEN_END_DATE).cast("date"))
+    return batch.existing["dim_product"].unionByName(new.select(batch.existing["dim_product"].columns))
+
+
+def _raw_line_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Key checks of the lines as they arrive, before repeated keys are removed."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    keys = lines.select(F.col("l_orderkey").alias("orderid"), F.col("l_partkey").alias("productid"))
+    orders = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("orderid"))
+    repeated = keys.groupBy("orderid", "productid").count().agg(F.sum(F.col("count") - 1).alias("violations"))
+    orphans = keys.where("orderid is not null").groupBy("orderid").count().join(orders, "orderid", "left_anti").agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
+    return repeated.select(F.lit("lines.pk").alias("check_name"), "violations").unionByName(
+        orphans.select(F.lit("lines.open_order.fk").alias("check_name"), "violations"))
+
+
+def _high_water_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """Marks of a log derived from the orders: a Completed row per order month for
+    one table, later Failed rows, and a table that only ever failed."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    at = F.date_trunc("MONTH", "o_orderdate").cast("timestamp_ntz")
+    log = orders.groupBy(at.alias("lastextractdatetime")).agg(F.count("*").alias("extractrowcount"))
+    status = lambda t, s, days: log.select(
+        F.lit(t).alias("tablename"), F.lit(s).alias("status"), (F.col("lastextractdatetime") + F.expr(f"interval {days} days")).alias("lastextractdatetime"))
+    whole = status("stg_dim_order", control.COMPLETED, 0).unionByName(status("stg_dim_order", control.FAILED, 45)).unionByName(
+        status("stg_dim_product", control.FAILED, 0))
+    tables = ["stg_dim_order", "stg_dim_product", "stg_dim_customer"]
+    marks = control.marks_of(whole, tables)
+    asked = spark.createDataFrame([(t,) for t in tables], "tablename string")
+    default = F.lit(tp.DEFAULT_MARK).cast("timestamp_ntz")
+    return asked.join(F.broadcast(marks), "tablename", "left").select("tablename", F.coalesce("mark", default).alias("mark"))
+
+
+def _address_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the address dimension by storage bucket."""
+    bucket = tp.address_range_bucket("address_id").alias("bucket")
+    return materialize(spark, sf).dim_address.groupBy(bucket).agg(F.count("*").alias("addresses"), F.max("address_id").alias("max_id"))
 
 
 def analytics_queries() -> dict[str, QueryFn]:
@@ -54,6 +105,15 @@ def analytics_queries() -> dict[str, QueryFn]:
     q["q06_avg_amount_customer_date"] = _star(a.q06_avg_amount_customer_date)
     q["q07_new_customers_by_date"] = _star(a.q07_new_customers_by_date)
     q["q08_counts_by_date"] = _star(a.q08_counts_by_date)
+    q["q08b_customers_by_date"] = _star(a.q08_customers_by_date)
+    q["q04_daily"] = _star(a.q04_sales_by_date)
+    q["q04_by_product"] = _star(a.q04_sales_by_date_product)
+    for g in ("state", "city", "pincode"):
+        q[f"q04_by_{g}"] = _star(a.q04_sales_by_date, grain=g)
+    for g in a.SLICES:
+        q[f"q09_delivery_time_{g}"] = _star(a.q09_delivery_time, grain=g)
+        q[f"q10_orders_sliced_{g}"] = _star(a.q10_orders_sliced, grain=g)
+    q["q10_orders_grouping_sets"] = _star(a.q10_orders_grouping_sets)
     for g in ("base", "hour", "weekend"):
         suffix = "" if g == "base" else f"_{g}"
         q[f"q09_delivery_time{suffix}"] = _star(a.q09_delivery_time, grain=g)
@@ -79,6 +139,12 @@ def etl_queries() -> dict[str, QueryFn]:
         "etl_fact_daily_orders": _inc("stg_fact_daily_orders"),
         "etl_scd2_apply_product": _scd2_product,
         "etl_scd2_apply_customer": _scd2_customer,
+        "scd2_checks_product": lambda spark, sf: dims.scd2_checks(_scd2_product(spark, sf), "productid"),
+        "scd2_checks_customer": lambda spark, sf: dims.scd2_checks(_scd2_customer(spark, sf), "customerid"),
+        "scd2_checks_not_closed": lambda spark, sf: dims.scd2_checks(_unclosed(spark, sf), "productid"),
+        "etl_high_water_mark": _high_water_marks,
+        "quality_raw_line_checks": _raw_line_checks,
+        "dim_address_buckets": _address_buckets,
         "extract_customers_since": lambda spark, sf: extract.customers_since(
             binding.customer_master(spark, sf), h.CUSTOMER_MARK),
         "extract_orders_since": lambda spark, sf: extract.orders_since(

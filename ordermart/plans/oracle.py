@@ -175,8 +175,8 @@ dim_address AS (SELECT * FROM stg_dim_address),
 dim_product AS (SELECT * FROM stg_dim_product)"""
 
 
-def _with(body: str, **kw) -> str:
-    return f"WITH {etl_ctes(**kw)}\n{body}"
+def _with(body: str, extra: str = "", **kw) -> str:
+    return f"WITH {etl_ctes(**kw)}{',' if extra else ''}{extra}\n{body}"
 
 
 _FACT_GEO = """FROM fact_daily_orders f
@@ -212,6 +212,9 @@ def _delivery(agg: str, grain: str) -> str:
         keys.insert(4, f'CAST(extract(hour FROM {ts}) AS BIGINT) AS "HOURS"')
     elif grain == "weekend":
         keys = [f'dayofweek({ts}) IN (0, 6) AS "WEEKEND"', 'a.city AS "City"']
+    elif grain != "base":
+        keys = {"daily": keys[:1], "weekday": keys[2:3], "monthly": keys[3:4], "state": ['a.state'],
+                "pincode": ['a.pincode AS address_pincode']}[grain]
     n = len(keys)
     return _with(f"SELECT {', '.join(keys)}, {agg}\n{_FACT_GEO_INNER}\n"
                  f"GROUP BY {', '.join(str(i) for i in range(1, n + 1))}")
@@ -256,17 +259,75 @@ GROUP BY start_date""")
         """SELECT DISTINCT CAST(order_received_timestamp AS DATE) AS "Dates",
        count(*) OVER (PARTITION BY CAST(order_received_timestamp AS DATE)) AS "CustomerCounts"
 FROM fact_daily_orders GROUP BY order_received_timestamp ORDER BY "Dates\"""")
+    q["q08b_customers_by_date"] = _with(
+        """SELECT CAST(order_received_timestamp AS DATE) AS "Dates", count(DISTINCT customerid) AS "Customers"
+FROM fact_daily_orders GROUP BY 1""")
+    day = 'CAST(f.order_received_timestamp AS DATE) AS "Daily"'
+    q["q04_daily"] = _with(f"SELECT {day}, CAST(sum(order_amount) AS BIGINT) AS total_sales FROM fact_daily_orders f GROUP BY 1")
+    q["q04_by_product"] = _with(f"""SELECT {day}, l.productid, CAST(sum(l.quantity * p.rate) AS BIGINT) AS total_sales
+FROM fact_daily_orders f JOIN f_order_details l ON f.orderid = l.orderid JOIN dim_product p ON l.productid = p.productid
+GROUP BY 1, 2""")
+    for g, keys in {"state": "a.state", "city": "a.state, a.city", "pincode": "a.state, a.city, a.pincode"}.items():
+        q[f"q04_by_{g}"] = _with(f"SELECT {day}, {keys}, CAST(sum(order_amount) AS BIGINT) AS total_sales\n{_FACT_GEO_INNER}\n"
+                                 f"GROUP BY 1, {keys}")
+    ts = "f.order_delivery_timestamp"
+    cells = {"date": f"CAST(CAST({ts} AS DATE) AS VARCHAR)", "weekday": f"CAST(dayofweek({ts}) + 1 AS VARCHAR)",
+             "month": f"CAST(extract(month FROM {ts}) AS VARCHAR)", "state": "a.state", "city": "a.city"}
+    q["q10_orders_grouping_sets"] = _with("\nUNION ALL\n".join(
+        f"SELECT '{n}' AS slice, {c} AS value, count(f.orderid) AS \"NumberOfOrders\"\n{_FACT_GEO_INNER}\nGROUP BY 2"
+        for n, c in cells.items()))
     agg9 = ('min(order_delivery_time_seconds) AS "MinDeliveryTime", '
             'max(order_delivery_time_seconds) AS "MaxDeliveryTime", '
             'avg(order_delivery_time_seconds) AS "AvgDeliveryTime"')
     agg10 = 'count(f.orderid) AS "NumberOfOrders"'
-    for g in ("base", "hour", "weekend"):
+    for g in ("base", "hour", "weekend", "daily", "weekday", "monthly", "state", "pincode"):
         suffix = "" if g == "base" else f"_{g}"
         q[f"q09_delivery_time{suffix}"] = _delivery(agg9, g)
         q[f"q10_orders_sliced{suffix}"] = _delivery(agg10, g)
     return q
 
 
+#: An old row is valid until the new version of its key starts; one row per version.
+_SCD2_PRODUCT = f"""
+SELECT o.productid, o.productcode, o.productname, o.sku, o.rate, o.isactive, o.start_date,
+       CASE WHEN u.productid IS NOT NULL AND o.end_date = {OPEN_END}
+            THEN greatest(o.start_date, DATE '{RUN_DATE}') ELSE o.end_date END AS end_date
+FROM old_dim_product o LEFT JOIN stg_dim_product_updates u ON o.productid = u.productid
+UNION ALL
+SELECT productid, productcode, productname, sku, rate, isactive, DATE '{RUN_DATE}', {OPEN_END}
+FROM stg_dim_product_updates
+UNION ALL
+SELECT productid, productcode, productname, sku, rate, isactive, start_date, end_date
+FROM stg_dim_product"""
+_CHANGED_CUSTOMERS = """(
+  SELECT u.* FROM stg_dim_customer_updates u JOIN old_dim_customer o ON u.customerid = o.customerid
+  WHERE u.name IS DISTINCT FROM o.name OR u.address_id IS DISTINCT FROM o.address_id)"""
+_SCD2_CUSTOMER = f"""
+SELECT o.customerid, o.name, o.address_id, o.start_date,
+       CASE WHEN u.customerid IS NOT NULL AND o.end_date = {OPEN_END}
+            THEN greatest(o.start_date, u.start_date) ELSE o.end_date END AS end_date
+FROM old_dim_customer o LEFT JOIN {_CHANGED_CUSTOMERS} u ON o.customerid = u.customerid
+UNION ALL
+SELECT customerid, name, address_id, start_date, {OPEN_END} FROM {_CHANGED_CUSTOMERS} c
+UNION ALL
+SELECT customerid, name, address_id, start_date, end_date FROM stg_dim_customer"""
+
+
+def _scd2_checks(rows: str, key: str, **kw) -> str:
+    """Every pair of versions of a key is compared."""
+    return _with(f"""
+SELECT 'one_open_row' AS check_name, count(*) AS violations FROM (
+  SELECT {key} FROM ({rows}) v WHERE end_date = {OPEN_END} GROUP BY {key} HAVING count(*) > 1)
+UNION ALL
+SELECT 'no_overlap', count(*) FROM (
+  SELECT a.end_date, (SELECT min(b.start_date) FROM numbered b WHERE b.k = a.k AND b.n > a.n) AS following FROM numbered a)
+WHERE following < end_date
+UNION ALL
+SELECT 'ends_after_start', count(*) FROM ({rows}) v WHERE end_date < start_date""", extra=f"""
+numbered AS (SELECT {key} AS k, start_date, end_date,
+                    row_number() OVER (PARTITION BY {key} ORDER BY start_date, end_date) AS n FROM ({rows}) v)""", **kw)
+
+
 def etl_sql() -> dict[str, str]:
     inc = dict(cust_mark=f"TIMESTAMP '{h.CUSTOMER_MARK}'", order_mark=f"TIMESTAMP '{h.ORDER_MARK}'",
                history=True)
@@ -283,27 +344,27 @@ def etl_sql() -> dict[str, str]:
         "etl_dim_order": _with("SELECT * FROM stg_dim_order", **inc),
         "etl_f_order_details": _with("SELECT * FROM stg_f_order_details", **inc),
         "etl_fact_daily_orders": _with("SELECT * FROM stg_fact_daily_orders", **inc),
-        "etl_scd2_apply_product": _with(f"""
-SELECT o.productid, o.productcode, o.productname, o.sku, o.rate, o.isactive, o.start_date,
-       CASE WHEN o.productid IN (SELECT productid FROM stg_dim_product_updates) AND o.end_date = {OPEN_END}
-            THEN DATE '{RUN_DATE}' ELSE o.end_date END AS end_date
-FROM old_dim_product o
-UNION ALL
-SELECT productid, productcode, productname, sku, rate, isactive, DATE '{RUN_DATE}', {OPEN_END}
-FROM stg_dim_product_updates
-UNION ALL
-SELECT productid, productcode, productname, sku, rate, isactive, start_date, end_date
-FROM stg_dim_product""", **inc),
-        "etl_scd2_apply_customer": _with(f"""
-SELECT o.customerid, o.name, o.address_id, o.start_date,
-       CASE WHEN o.customerid IN (SELECT customerid FROM stg_dim_customer_updates) AND o.end_date = {OPEN_END}
-            THEN DATE '{RUN_DATE}' ELSE o.end_date END AS end_date
-FROM old_dim_customer o
-UNION ALL
-SELECT customerid, name, address_id, coalesce(start_date, DATE '{RUN_DATE}'), {OPEN_END}
-FROM stg_dim_customer_updates
+        "etl_scd2_apply_product": _with(_SCD2_PRODUCT, **inc),
+        "etl_scd2_apply_customer": _with(_SCD2_CUSTOMER, dedupe="nk", **inc),
+        "scd2_checks_product": _scd2_checks(_SCD2_PRODUCT, "productid", **inc),
+        "scd2_checks_customer": _scd2_checks(_SCD2_CUSTOMER, "customerid", dedupe="nk", **inc),
+        "scd2_checks_not_closed": _scd2_checks(f"""
+SELECT productid, start_date, end_date FROM old_dim_product
+UNION ALL SELECT productid, DATE '{RUN_DATE}', {OPEN_END} FROM stg_dim_product_updates""", "productid", **inc),
+        "dim_address_buckets": _with("""
+SELECT CASE WHEN address_id BETWEEN 0 AND 999 THEN address_id // 100 ELSE -1 END AS bucket,
+       count(*) AS addresses, CAST(max(address_id) AS BIGINT) AS max_id
+FROM dim_address GROUP BY 1"""),
+        "quality_raw_line_checks": """
+SELECT 'lines.pk' AS check_name, (SELECT count(*) FROM lineitem)
+       - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) AS violations
 UNION ALL
-SELECT customerid, name, address_id, start_date, end_date FROM stg_dim_customer""", **inc),
+SELECT 'lines.open_order.fk', count(*) FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'F')""",
+        "etl_high_water_mark": f"""
+SELECT 'stg_dim_order' AS tablename, CAST(max(date_trunc('month', o_orderdate)) AS TIMESTAMP) AS mark FROM orders
+UNION ALL SELECT 'stg_dim_product', {DEFAULT_MARK}
+UNION ALL SELECT 'stg_dim_customer', {DEFAULT_MARK}""",
         "extract_customers_since": f"WITH {SOURCES}\nSELECT * FROM customer_master "
                                    f"WHERE update_timestamp >= TIMESTAMP '{h.CUSTOMER_MARK}'",
         "extract_orders_since": f"WITH {SOURCES}\nSELECT * FROM order_details "

@@ -1,10 +1,11 @@
 """End-to-end incremental batch: extract -> transform -> stage -> target.
 
 ``run_batch`` is one Spark application step; the driver holds only the marks,
-row counts and ``max(address_id)``. Stage tables are the commit points: each
-transform writes its stage table, the log row follows the write, and later
-steps read what was staged (the order fact reads the staged order lines, the
-customer dimension the staged addresses), which also cuts the lineage.
+row counts and ``max(address_id)``. A batch writes its deltas and stage tables
+below its own stage folder, and later steps read what was staged (the order
+fact reads the staged order lines, the customer dimension the staged
+addresses), which also cuts the lineage. The ``Completed`` log rows come last:
+only then do the marks move and the batch's rows become visible.
 """
 
 from __future__ import annotations
@@ -13,16 +14,24 @@ import datetime as dt
 import os
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import timeparts as tp
 from ..operators import dims, facts
 from ..operators.keys import max_id
-from ..sources import control, extract, schemas, sinks
+from ..sources import control, extract, schemas, sinks, storage
 from .jobs import concurrently
 from .warehouse import StarSchema
 
 MARK_TABLES = ("stg_dim_customer", "stg_dim_order", "stg_dim_product")
+SCD2_KEYS = {"dim_product": "productid", "dim_customer": "customerid"}
+#: Schemas of the staged updates and of the deltas that a batch writes once.
+UPDATES = {"dim_product_updates": T.StructType([*schemas.PRODUCT_MASTER.fields, T.StructField("end_date", T.DateType())]),
+           "dim_customer_updates": schemas.DIM_CUSTOMER}
+DELTAS = {"delta_orders": schemas.ORDER_DETAILS, "delta_customer": schemas.CUSTOMER_MASTER,
+          "delta_products": schemas.PRODUCT_MASTER}
 
 
 @dataclass
@@ -36,19 +45,28 @@ class BatchResult:
 
 
 def _next_batch_id(spark: SparkSession, root: str) -> int:
-    log = control.read_log(spark, sinks.log_path(root))
-    got = log.agg({"processlogid": "max"}).first()[0]
-    return int(got or 0) + 1
+    """One more than the largest completed batch: the id of a batch that did not
+    finish is used again, so its partial output is replaced, never kept beside
+    a second copy. Ids that belong to another source's micro-batches are skipped."""
+    used = control.completed_ids(spark, sinks.log_path(root)) + [b for _, _, b in control.read_sources(spark, sinks.source_map_path(root))]
+    return max(used, default=0) + 1
 
 
 def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root: str,
                       run_ts: dt.datetime, batch_id: int | None = None,
-                      address_dedupe: str = "natural_key", log_now: bool = True) -> BatchResult:
-    """Extract deltas since the marks and write the six stage tables.
+                      address_dedupe: str = "natural_key", scd2: bool = False,
+                      order_delta: DataFrame | None = None) -> BatchResult:
+    """Extract deltas since the marks and write the batch's stage tables.
 
     ``sources``: customer_master, product_master, order_details, order_items
     (parquet, JDBC or the test-data binding). ``run_ts`` is the batch's wall
     clock: it becomes the next mark and the run date of product versions.
+    Each delta is read from its source once, written below the batch's stage
+    folder and read back from there by everything that needs it; the lines are
+    those of the delta's InProgress orders.
+
+    ``order_delta``: order events to load as they are, whatever their time (a
+    landed file is handed out once, so no mark applies to it).
 
     ``address_dedupe="natural_key"`` (default) gives each distinct address
     one id, so the customer lookup is 1:1. ``"row"`` reproduces the reference
@@ -56,16 +74,12 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     every (customer, address row) pair of a shared address: quadratic in the
     size of a heavily shared address, so it is not the default.
 
+    ``scd2``: changes are found against the open rows of the latest SCD2
+    version instead of the append-loaded dimension, which never sees updates.
+
     Independent stage tables are written as concurrent Spark jobs (two waves:
     the order fact needs the staged lines, the customer dimension the staged
-    addresses).
-
-    ``log_now=True`` logs each stage table as ``Completed`` once it is
-    written (stage and target load run as separate steps, so a failed load is
-    retried from the intact stage). ``run_batch`` passes ``False`` and logs
-    after the target load: a batch that fails anywhere leaves the marks where
-    they were, and its rerun re-extracts and overwrites its own stage and
-    ``batch_id`` directories, so no extracted rows are lost.
+    addresses). Nothing is logged ``Completed`` before the target load.
     """
     log = sinks.log_path(root)
     batch_id = batch_id or _next_batch_id(spark, root)
@@ -73,104 +87,103 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     # the same extraction and overwrites its own outputs
     marks = control.high_water_marks(spark, log, list(MARK_TABLES), before_logid=batch_id)
     run_date = run_ts.date().isoformat()
-
-    delta_customer = extract.customers_since(sources["customer_master"], marks["stg_dim_customer"])
-    delta_orders = extract.orders_since(sources["order_details"], marks["stg_dim_order"])
-    delta_products = extract.products_snapshot(sources["product_master"], marks["stg_dim_product"])
-    delta_items = extract.items_since(sources["order_items"], sources["order_details"],
-                                      marks["stg_dim_order"])
-    # The order delta feeds three outputs; keep it instead of re-reading the source.
-    delta_orders = delta_orders.persist(StorageLevel.MEMORY_AND_DISK)
-
     # the dimensions as loaded by earlier batches (a rerun must not see its own rows)
-    existing = {n: sinks.read_target(spark, root, n, before_batch=batch_id)
-                for n in ("dim_address", "dim_customer", "dim_product")}
+    existing = {n: sinks.read_target(spark, root, n, before_batch=batch_id) for n in ("dim_address", "dim_customer", "dim_product")}
+    if scd2:
+        for name in SCD2_KEYS:
+            existing[name] = _scd2_before(spark, root, name, batch_id).where(F.col("end_date") == F.lit(tp.OPEN_END_DATE).cast("date"))
     res = BatchResult(batch_id, marks, run_ts=run_ts)
 
-    def stage(name: str, df: DataFrame) -> None:
-        stg = schemas.STAGE_PREFIX + name
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        schema = UPDATES.get(name) or DELTAS.get(name)
         try:
-            n = sinks.write_stage(spark, df, root, name)
+            n = sinks.write_stage(spark, df, root, name, batch_id, schema)
         except Exception:
-            control.append_log(spark, log, batch_id, stg, 0, control.FAILED, run_ts)
+            control.append_log(spark, log, batch_id, schemas.STAGE_PREFIX + name, 0, control.FAILED, run_ts)
             raise
-        if log_now:
-            control.append_log(spark, log, batch_id, stg, n, control.COMPLETED, run_ts)
-        res.staged[name] = n
-
-    def product_stage():
-        p_ins, p_upd = dims.product_delta(delta_products, existing["dim_product"], run_date)
-        stage("dim_product", p_ins)
-        res.product_updates = p_upd
-
-    def fact_stage():
-        lines = sinks.read_stage(spark, root, "f_order_details")
-        stage("fact_daily_orders", facts.daily_orders(delta_orders, delta_customer, delta_products, lines))
+        if schema is None:
+            res.staged[name] = n
+        return sinks.read_stage(spark, root, name, batch_id, schema)
 
-    if address_dedupe == "natural_key":
-        # one join of the delta with the address dimension feeds both stages
-        matched = dims.match_addresses(delta_customer, existing["dim_address"]) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+    deltas: dict[str, DataFrame] = {}
 
-        def address_rows():
-            return dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"))
+    def delta(name: str, df: DataFrame) -> None:
+        deltas[name] = stage(name, df)
 
-        def customer_rows():
-            return dims.customers_from_matches(
-                matched, sinks.read_stage(spark, root, "dim_address"), existing["dim_customer"])
-    else:
-        matched = None
+    orders = sources.get("order_details") if order_delta is None else None
+    concurrently([
+        lambda: delta("delta_orders", extract.orders_since(orders, marks["stg_dim_order"]) if order_delta is None else order_delta),
+        lambda: delta("delta_customer", extract.customers_since(sources["customer_master"], marks["stg_dim_customer"])),
+        lambda: delta("delta_products", extract.products_snapshot(sources["product_master"], marks["stg_dim_product"])),
+    ])
+    delta_orders, delta_customer, delta_products = (deltas[n] for n in DELTAS)
+    delta_items = extract.items_of(sources["order_items"], delta_orders)
 
-        def address_rows():
-            return dims.address_delta(delta_customer, existing["dim_address"], address_dedupe)
+    def product_stage():
+        p_ins, p_upd = dims.product_delta(delta_products, existing["dim_product"], run_date)
+        stage("dim_product", p_ins)
+        res.product_updates = stage("dim_product_updates", p_upd)
 
-        def customer_rows():
-            lookup = existing["dim_address"].unionByName(sinks.read_stage(spark, root, "dim_address"))
-            return dims.customer_delta(delta_customer, existing["dim_customer"], lookup)
+    def address_stage():
+        if address_dedupe == "natural_key":
+            matched = dims.match_addresses(delta_customer, existing["dim_address"])
+            rows = dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"))
+        else:
+            rows = dims.address_delta(delta_customer, existing["dim_address"], address_dedupe)
+        stage("dim_address", rows)
 
     def customer_stage():
-        c_ins, c_upd = customer_rows()
+        staged = sinks.read_stage(spark, root, "dim_address", batch_id)
+        if address_dedupe == "natural_key":
+            matched = dims.match_addresses(delta_customer, existing["dim_address"])
+            c_ins, c_upd = dims.customers_from_matches(matched, staged, existing["dim_customer"])
+        else:
+            c_ins, c_upd = dims.customer_delta(delta_customer, existing["dim_customer"], existing["dim_address"].unionByName(staged))
+        if scd2:
+            c_upd = dims.rows_not_in(c_upd, existing["dim_customer"], dims.CUSTOMER_COMPARED)
         stage("dim_customer", c_ins)
-        res.customer_updates = c_upd
-
-    try:
-        concurrently([
-            lambda: stage("dim_address", address_rows()),
-            lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
-            product_stage,
-            lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
-        ])
-        concurrently([fact_stage, customer_stage])
-    finally:
-        delta_orders.unpersist()
-        if matched is not None:
-            matched.unpersist()
+        res.customer_updates = stage("dim_customer_updates", c_upd)
+
+    def fact_stage():
+        lines = sinks.read_stage(spark, root, "f_order_details", batch_id)
+        stage("fact_daily_orders", facts.daily_orders(delta_orders, delta_customer, delta_products, lines))
+
+    concurrently([
+        address_stage,
+        lambda: stage("dim_order", dims.order_status_rows(delta_orders)),
+        product_stage,
+        lambda: stage("f_order_details", facts.order_lines(delta_orders, delta_items)),
+    ])
+    concurrently([fact_stage, customer_stage])
     return res
 
 
 def load_targets(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Append every stage table to its target as batch ``batch_id`` (idempotent)."""
+    """Append every stage table to its target as batch ``batch_id`` (idempotent).
+    Readers see the batch once ``log_completed`` has run."""
     concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id)
                    for name in schemas.TARGET_LOAD_ORDER])
 
 
 def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
               run_ts: dt.datetime, batch_id: int | None = None, **kw) -> BatchResult:
-    res = extract_and_stage(spark, sources, root, run_ts, batch_id, log_now=False, **kw)
+    res = extract_and_stage(spark, sources, root, run_ts, batch_id, **kw)
     load_targets(spark, root, res.batch_id)
+    if kw.get("scd2"):
+        apply_scd2(spark, root, res.batch_id)
     log_completed(spark, root, res)
     return res
 
 
 def log_completed(spark: SparkSession, root: str, res: BatchResult) -> None:
-    """One ``Completed`` log row per stage table of the batch (advances the marks)."""
+    """One ``Completed`` log row per stage table of the batch: advances the marks
+    and makes the batch's rows visible."""
     control.append_log_rows(spark, sinks.log_path(root), [
         (res.batch_id, schemas.STAGE_PREFIX + name, n, res.run_ts, control.COMPLETED)
         for name, n in res.staged.items()])
 
 
 SCD2_DIR = "scd2"
-SCD2_KEYS = {"dim_product": "productid", "dim_customer": "customerid"}
 
 
 def _scd2_path(root: str, name: str, version: int | None = None) -> str:
@@ -181,51 +194,53 @@ def _scd2_path(root: str, name: str, version: int | None = None) -> str:
 def scd2_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Latest SCD2 version of a dimension; before the first apply, the
     append-loaded target (the union of its batches)."""
-    versions = _versions(root, name)
+    versions = _versions(spark, root, name)
     if not versions:
         return sinks.read_target(spark, root, name)
     return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, versions[-1]))
 
 
-def apply_scd2(spark: SparkSession, root: str, res: BatchResult, run_date: str) -> dict[str, int]:
-    """Opt-in: write the next SCD2 version of dim_product and dim_customer.
+def apply_scd2(spark: SparkSession, root: str, batch_id: int) -> dict[str, int]:
+    """Write the SCD2 version of dim_product and dim_customer after a batch.
 
-    Open rows of updated keys are closed at ``run_date``, each update becomes
-    an open row, the batch's inserts are added. The version is written to its
-    own folder (``version=<batch_id>``), never over the one being read; a
-    rerun of the same batch rewrites only its own version. Returns row counts.
+    Inserts and updates come from the batch's own stage folder. The open row
+    of an updated key is closed where its new version starts, each update
+    becomes an open row, inserts are added. The version is written to its own
+    folder (``version=<batch_id>``), never over the one being read; a rerun of
+    the same batch rewrites only its own version. Returns row counts.
     """
     out = {}
     for name, key in SCD2_KEYS.items():
-        updates = res.product_updates if name == "dim_product" else res.customer_updates
-        inserts = sinks.read_stage(spark, root, name)
+        updates = sinks.read_stage(spark, root, f"{name}_updates", batch_id, UPDATES[f"{name}_updates"])
+        if name == "dim_product":  # a product's new version starts on the run date
+            updates = updates.withColumnRenamed("end_date", "start_date")
         # the latest version before this batch (a rerun never reads its own output)
-        prev = _scd2_before(spark, root, name, res.batch_id)
+        prev = _scd2_before(spark, root, name, batch_id)
         new = dims.scd2_apply(schemas.conform(prev, schemas.TARGETS[name].schema),
-                              inserts, updates, key, run_date)
-        path = _scd2_path(root, name, res.batch_id)
-        new.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path).count()
+                              sinks.read_stage(spark, root, name, batch_id), updates, key)
+        path = _scd2_path(root, name, batch_id)
+        seen = Observation()
+        new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        out[name] = seen.get["n"]
     return out
 
 
-def _versions(root: str, name: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Versions whose write finished."""
     base = _scd2_path(root, name)
-    if not os.path.isdir(base):
-        return []
-    return sorted(int(d.split("=", 1)[1]) for d in os.listdir(base)
-                  if d.startswith("version=") and os.path.exists(os.path.join(base, d, "_SUCCESS")))
+    return sorted(int(d.split("=", 1)[1]) for d in storage.children(spark, base)
+                  if d.startswith("version=") and storage.exists(spark, os.path.join(base, d, "_SUCCESS")))
 
 
 def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
     """Latest version older than ``batch_id``; without one, the append-loaded
     target of the batches before ``batch_id``."""
-    older = [v for v in _versions(root, name) if v < batch_id]
+    older = [v for v in _versions(spark, root, name) if v < batch_id]
     if not older:
         return sinks.read_target(spark, root, name, before_batch=batch_id)
     return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older[-1]))
 
 
 def warehouse(spark: SparkSession, root: str) -> StarSchema:
-    """The loaded star schema (all batches) for the analytics questions."""
+    """The loaded star schema (all completed batches) for the analytics questions."""
     return StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dims, facts
 from ..session import checkpoint_root
-from ..sources import binding, extract, schemas
+from ..sources import binding, extract, schemas, storage
 
 RUN_DATE = "2002-01-01"  # run date of the reference batch built from test data
 
@@ -89,17 +89,13 @@ def _source_signature(sf_dir: str) -> tuple:
     return tuple(out)
 
 
-def _ready_build(ready: str) -> str | None:
-    """The complete build named by a READY file, if it is still on disk."""
-    try:
-        with open(ready) as fh:
-            root = fh.read().strip()
-    except OSError:
-        return None
-    local_root = root.removeprefix("file:")
-    complete = all(os.path.isdir(os.path.join(local_root, "target", n))
-                   for n in schemas.TARGET_LOAD_ORDER)
-    return root if complete else None
+def _ready_build(spark: SparkSession, base: str) -> str | None:
+    """A complete build below ``base``, if one is still there."""
+    for name in storage.children(spark, base):
+        root = os.path.join(base, name.removeprefix("READY-"))
+        if name.startswith("READY-") and all(storage.exists(spark, os.path.join(root, "target", n)) for n in schemas.TARGET_LOAD_ORDER):
+            return root
+    return None
 
 
 def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> StarSchema:
@@ -108,7 +104,7 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
     The batch is the real pipeline (marks, stage tables, extract log,
     per-batch target load) run into a fresh folder under the shared
     checkpoint folder. The folder family is named by the sources, run date and
-    code version; a ``READY`` file naming a complete build lets later sessions
+    code version; a ``READY-<build>`` marker naming a complete build lets later sessions
     and processes reuse it. A build that did not finish is never reused (its
     log would already hold marks).
     """
@@ -120,20 +116,12 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
     if root is None:
         digest = hashlib.sha1(repr(sig).encode()).hexdigest()[:20]
         base = os.path.join(checkpoint_root(spark), "ordermart-warehouse", digest)
-        local = "://" not in base or base.startswith("file:")
-        ready = os.path.join(base.removeprefix("file:"), "READY")
-        root = _ready_build(ready) if local else None
+        root = _ready_build(spark, base)
         if root is None:
-            root = os.path.join(base, uuid.uuid4().hex[:12])
+            build = uuid.uuid4().hex[:12]
+            root = os.path.join(base, build)
             run_ts = dt.datetime.fromisoformat(run_date)
             pipeline.run_batch(spark, binding.oltp_sources(spark, sf_dir), root, run_ts, batch_id=1)
-            if local:
-                try:  # best effort: only lets later sessions skip the build
-                    tmp = f"{ready}.{uuid.uuid4().hex[:6]}"
-                    with open(tmp, "w") as fh:
-                        fh.write(root)
-                    os.replace(tmp, ready)
-                except OSError:
-                    pass
+            storage.touch(spark, os.path.join(base, f"READY-{build}"))
         _CACHE[key] = root
     return pipeline.warehouse(spark, root)

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}  # scratch folder of a local session without the setting
 
 
 def build_session(master: str | None = None, app: str = "ordermart",
@@ -79,12 +80,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not conf_root:
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
         return conf_root.rstrip("/")
-    root = conf_root or sc.getCheckpointDir()
+    root = conf_root or _LOCAL_ROOTS.get(sc.applicationId) or sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage")
-        root = tempfile.mkdtemp(prefix="ordermart-ckpt-")
+        root = _LOCAL_ROOTS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ordermart-ckpt-"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

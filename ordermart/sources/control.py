@@ -2,7 +2,7 @@
 
 The log is a small append-only parquet table (one row per stage load). The
 mark of a stage table is the latest ``lastextractdatetime`` among its
-``Completed`` rows, or 1900-01-01 when there is none or the log cannot be read.
+``Completed`` rows, or 1900-01-01 when there is none.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import timeparts as tp
-from . import schemas
+from . import schemas, storage
 
 COMPLETED, FAILED = "Completed", "Failed"
 
@@ -25,10 +26,37 @@ _LOG_LOCK = threading.Lock()
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(schemas.ETL_EXTRACT_LOG).parquet(path)
-    except Exception:  # no log written yet
-        return schemas.empty(spark, schemas.ETL_EXTRACT_LOG)
+    """The log; empty only if none was written yet (an unreadable one raises)."""
+    log = storage.read_parquet(spark, path, schemas.ETL_EXTRACT_LOG)
+    return schemas.empty(spark, schemas.ETL_EXTRACT_LOG) if log is None else log
+
+
+SOURCE_MAP = "source string, source_batch bigint, batch_id bigint"
+
+
+def read_sources(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(source, source_batch, batch_id) of the micro-batches taken in so far."""
+    rows = storage.read_parquet(spark, path, T.StructType.fromDDL(SOURCE_MAP))
+    return [] if rows is None else sorted(tuple(r) for r in rows.collect())
+
+
+def batch_of(spark: SparkSession, path: str, log: str, source: str, source_batch: int) -> int:
+    """The batch id of a source's micro-batch: the one it got before, or a new one
+    after every id in use. An id that another source owns is never given out."""
+    known = read_sources(spark, path)
+    for s, b, batch_id in known:
+        if (s, b) == (source, source_batch):
+            return batch_id
+    batch_id = max([i for _, _, i in known] + completed_ids(spark, log), default=0) + 1
+    with _LOG_LOCK:
+        spark.createDataFrame([(source, int(source_batch), batch_id)], SOURCE_MAP).coalesce(1).write.mode("append").parquet(path)
+    return batch_id
+
+
+def completed_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batches that are whole: their target load is done. One number a batch."""
+    done = read_log(spark, path).where(F.col("status") == COMPLETED).select("processlogid").distinct()
+    return sorted(r[0] for r in done.collect() if r[0] is not None)
 
 
 def marks_of(log: DataFrame, tables: list[str], before_logid: int | None = None) -> DataFrame:
@@ -49,11 +77,8 @@ def high_water_marks(spark: SparkSession, path: str, tables: list[str],
     rerun of a batch sees exactly the marks its first attempt saw.
     """
     default = tp.DEFAULT_MARK
-    try:
-        rows = marks_of(read_log(spark, path), tables, before_logid).collect()
-        got = {r["tablename"]: r["mark"] for r in rows if r["mark"] is not None}
-    except Exception:
-        got = {}
+    rows = marks_of(read_log(spark, path), tables, before_logid).collect()
+    got = {r["tablename"]: r["mark"] for r in rows if r["mark"] is not None}
     return {t: (got[t].isoformat(sep=" ") if t in got else default) for t in tables}
 
 

@@ -35,6 +35,12 @@ def products_snapshot(product_master: DataFrame, mark=None) -> DataFrame:
     return product_master
 
 
+def items_of(order_items: DataFrame, delta_orders: DataFrame) -> DataFrame:
+    """Lines of the orders that have an InProgress event in the delta."""
+    wanted = delta_orders.where(F.col("order_status") == "InProgress").select("orderid")
+    return order_items.join(wanted, "orderid", "left_semi")
+
+
 def items_since(order_items: DataFrame, order_details: DataFrame, mark) -> DataFrame:
     """Lines of orders with an InProgress event at or after the mark (semi join;
     the IN-subquery's DISTINCT is implied)."""

@@ -1,7 +1,6 @@
-"""Sinks: stage overwrite, target load per batch, OLTP append and purge.
+"""Sinks: stage per batch, target load per batch, OLTP append and purge.
 
-Stage tables are overwritten at each batch (a stale stage would be loaded
-again and would double the address lookup). Targets are loaded per batch into
+Each batch has its own stage folder, overwritten when the batch is rerun. Targets are loaded per batch into
 their own ``batch_id=<id>`` directory with a static overwrite: a retried load
 replaces its own rows and leaves other batches untouched, so loads are
 idempotent. Inside a batch directory rows are partitioned by the table's
@@ -12,17 +11,18 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import timeparts as tp
-from . import schemas
+from . import control, schemas, storage
 
 STAGE_DIR, TARGET_DIR, CONTROL_DIR = "stage", "target", "_control"
 
 
-def stage_path(root: str, name: str) -> str:
-    return os.path.join(root, STAGE_DIR, schemas.STAGE_PREFIX + name)
+def stage_path(root: str, name: str, batch_id: int) -> str:
+    return os.path.join(root, STAGE_DIR, f"batch_id={int(batch_id)}", schemas.STAGE_PREFIX + name)
 
 
 def target_path(root: str, name: str) -> str:
@@ -33,20 +33,31 @@ def log_path(root: str) -> str:
     return os.path.join(root, CONTROL_DIR, "etlextractlog")
 
 
-def write_stage(spark: SparkSession, df: DataFrame, root: str, name: str) -> int:
-    """Overwrite ``stg_<name>`` with ``df`` (columns by name); return its row count.
+def source_map_path(root: str) -> str:
+    return os.path.join(root, CONTROL_DIR, "source_batches")
 
-    The count is read back from the written files, so it is the number of
-    rows that were durably staged.
-    """
-    spec = schemas.TARGETS[name]
-    path = stage_path(root, name)
-    schemas.conform(df, spec.schema).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).count()
+
+def write_stage(spark: SparkSession, df: DataFrame, root: str, name: str, batch_id: int,
+                schema: T.StructType | None = None) -> int:
+    """Overwrite the batch's ``stg_<name>`` with ``df`` (columns by name); return
+    the number of rows the write job wrote."""
+    seen = Observation()
+    out = schemas.conform(df, schema or schemas.TARGETS[name].schema).observe(seen, F.count(F.lit(1)).alias("n"))
+    out.write.mode("overwrite").parquet(stage_path(root, name, batch_id))
+    return seen.get["n"]
 
 
-def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(schemas.TARGETS[name].schema).parquet(stage_path(root, name))
+def read_stage(spark: SparkSession, root: str, name: str, batch_id: int,
+               schema: T.StructType | None = None) -> DataFrame:
+    return spark.read.schema(schema or schemas.TARGETS[name].schema).parquet(stage_path(root, name, batch_id))
+
+
+def partition_fields(name: str) -> list[T.StructField]:
+    """The storage columns of a target below its ``batch_id=`` folders."""
+    spec = schemas.TARGETS[name]
+    kind = {None: [], "p_month": [T.StructField("p_month", T.DateType())],
+            "p_bucket": [T.StructField("p_bucket", T.LongType())]}[spec.partition_col]
+    return [T.StructField("batch_id", T.LongType()), *kind]
 
 
 def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
@@ -69,25 +80,24 @@ def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite")
 def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
     """Stage -> target: all stage rows into the target's ``batch_id=<id>`` directory."""
     path = os.path.join(target_path(root, name), f"batch_id={int(batch_id)}")
-    write_declared(read_stage(spark, root, name), name, path)
+    write_declared(read_stage(spark, root, name, batch_id), name, path)
 
 
 def read_target(spark: SparkSession, root: str, name: str,
                 before_batch: int | None = None) -> DataFrame:
-    """A target table as the union of its batches (partition columns dropped);
-    empty with the declared schema before the first load. ``before_batch``
-    keeps only earlier batches (pruned by the ``batch_id`` directories)."""
+    """A target table as the union of its completed batches (partition columns
+    dropped); empty with the declared schema before the first load. A batch
+    whose load is not logged as ``Completed`` is not visible, so a load that
+    failed half way shows no rows. ``before_batch`` keeps only earlier batches.
+    Batches are selected by their ``batch_id`` directories."""
     spec = schemas.TARGETS[name]
-    path = target_path(root, name)
-    if not os.path.exists(path) and "://" not in path:
-        return schemas.empty(spark, spec.schema)
-    try:
-        df = spark.read.option("basePath", path).parquet(path)
-    except Exception:  # nothing loaded yet
+    df = storage.read_parquet(spark, target_path(root, name), spec.schema, partition_fields(name))
+    if df is None:
         return schemas.empty(spark, spec.schema)
+    done = control.completed_ids(spark, log_path(root))
     if before_batch is not None:
-        df = df.where(F.col("batch_id") < F.lit(int(before_batch)))
-    return schemas.conform(df, spec.schema)
+        done = [i for i in done if i < before_batch]
+    return schemas.conform(df.where(F.col("batch_id").isin(done)), spec.schema)
 
 
 def append_oltp(df: DataFrame, path: str, schema) -> None:
@@ -120,7 +130,10 @@ def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
         raise ValueError(f"{name} is not partitioned by month")
     path = target_path(root, name)
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    df = spark.read.option("basePath", path).parquet(path)
+    df = storage.read_parquet(spark, path, spec.schema, partition_fields(name))
+    if df is None:
+        return schemas.empty(spark, spec.schema)
+    df = df.where(F.col("batch_id").isin(control.completed_ids(spark, log_path(root))))
     cond = ((F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
             & (F.col(spec.partition_col) >= tp.month_start(lo))
             & (F.col(spec.partition_col) <= tp.month_start(hi)))

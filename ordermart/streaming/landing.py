@@ -15,14 +15,14 @@ and filtered by the extract log's marks, as in ``run_batch``.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import pipeline
-from ..session import checkpoint_root
-from ..sources import schemas
+from ..sources import control, schemas, sinks
 
 SnapshotFn = Callable[[SparkSession], dict[str, DataFrame]]
 
@@ -37,21 +37,22 @@ def order_event_stream(spark: SparkSession, landing_dir: str, max_files: int | N
 
 def run_landed(spark: SparkSession, landing_dir: str, snapshots: SnapshotFn, root: str,
                clock: Callable[[], dt.datetime] = dt.datetime.now,
-               checkpoint: str | None = None, max_files: int | None = None,
-               batch_offset: int = 0, **batch_kw):
+               checkpoint: str | None = None, max_files: int | None = None, **batch_kw):
     """Process every event file landed so far (``availableNow``) and stop.
 
     ``snapshots(spark)`` returns customer_master, product_master and
-    order_items; ``clock()`` gives each micro-batch's run timestamp.
+    order_items; ``clock()`` gives each micro-batch's run timestamp. A file is
+    handed out once, so all its events are loaded, also those older than the
+    marks. The control folder maps each micro-batch of the landing folder to
+    its own batch id: a re-executed one gets the same id again, and no id of an
+    earlier load is ever reused.
     """
-    checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "ordermart-stream",
-                                            os.path.basename(root.rstrip("/")))
-
-    def one_batch(events: DataFrame, batch_id: int) -> None:
-        src = dict(snapshots(spark))
-        src["order_details"] = events
-        pipeline.run_batch(spark, src, root, clock(), batch_id=batch_offset + batch_id + 1,
-                           **batch_kw)
+    source = hashlib.sha1(landing_dir.encode()).hexdigest()[:16]
+    checkpoint = checkpoint or os.path.join(root, sinks.CONTROL_DIR, "stream", source)
+
+    def one_batch(events: DataFrame, micro_batch: int) -> None:
+        batch_id = control.batch_of(spark, sinks.source_map_path(root), sinks.log_path(root), source, micro_batch)
+        pipeline.run_batch(spark, snapshots(spark), root, clock(), batch_id=batch_id, order_delta=events, **batch_kw)
 
     q = (order_event_stream(spark, landing_dir, max_files).writeStream
          .foreachBatch(one_batch)

@@ -155,7 +155,7 @@ def test_product_unchanged_changed_new(spark):
     assert rows(ins, "productid") == [(12, "C12", "bags", None, None, None, dt.date(2022, 6, 1),
                                        dt.date(9999, 12, 31))]
     assert rows(upd, "productid") == [(11, "B11", "ata", "2KG", 50, False, dt.date(2022, 6, 1))]
-    new = dims.scd2_apply(dim, ins, upd, "productid", "2022-06-01")
+    new = dims.scd2_apply(dim, ins, upd.withColumnRenamed("end_date", "start_date"), "productid")
     got = rows(new, "productid", "start_date")
     assert got == [
         (10, "A10", "rice", "5KG", 100, True, dt.date(2021, 1, 1), dt.date(9999, 12, 31)),
@@ -185,6 +185,8 @@ def test_same_batch_loaded_twice_is_idempotent(spark, tmp_root):
     r = pipeline.extract_and_stage(spark, src, tmp_root, T(2022, 3, 2))
     pipeline.load_targets(spark, tmp_root, r.batch_id)
     pipeline.load_targets(spark, tmp_root, r.batch_id)   # retried load
+    assert pipeline.warehouse(spark, tmp_root).fact_daily_orders.count() == 0   # not complete yet
+    pipeline.log_completed(spark, tmp_root, r)
     wh = pipeline.warehouse(spark, tmp_root)
     assert wh.fact_daily_orders.count() == 1
     assert wh.dim_customer.count() == 2 and wh.dim_address.count() == 2
@@ -192,7 +194,7 @@ def test_same_batch_loaded_twice_is_idempotent(spark, tmp_root):
     r2 = pipeline.extract_and_stage(spark, src, tmp_root, T(2022, 3, 3))
     assert r2.marks["stg_dim_order"] == "2022-03-02 00:00:00"
     assert r2.staged["dim_order"] == 0
-    assert sinks.read_stage(spark, tmp_root, "dim_order").count() == 0
+    assert sinks.read_stage(spark, tmp_root, "dim_order", r2.batch_id).count() == 0
 
 
 def test_sunday_weeks_and_weekdays_around_new_year(spark):
@@ -286,12 +288,12 @@ def test_scd2_versions_across_batches(spark, tmp_root):
     A rerun of the apply rewrites only its own version."""
     ev = [(100, 1, T(2022, 3, 1, 10), "Received")]
     r1 = pipeline.run_batch(spark, sources(spark, CUSTOMERS, PRODUCTS, ev, []), tmp_root, T(2022, 3, 2))
-    pipeline.apply_scd2(spark, tmp_root, r1, "2022-03-02")
+    pipeline.apply_scd2(spark, tmp_root, r1.batch_id)
     p2 = [(10, "A10", "rice", "5KG", 120, True), PRODUCTS[1], (12, "C12", "bags", "1KG", 5, True)]
     r2 = pipeline.run_batch(spark, sources(spark, CUSTOMERS, p2, ev, []), tmp_root, T(2022, 3, 9))
     assert r2.staged["dim_product"] == 1
     for _ in range(2):
-        pipeline.apply_scd2(spark, tmp_root, r2, "2022-03-09")
+        pipeline.apply_scd2(spark, tmp_root, r2.batch_id)
     cur = rows(pipeline.scd2_current(spark, tmp_root, "dim_product"), "productid", "start_date")
     open_end = dt.date(9999, 12, 31)
     assert cur == [
@@ -302,6 +304,83 @@ def test_scd2_versions_across_batches(spark, tmp_root):
     assert pipeline.scd2_current(spark, tmp_root, "dim_customer").count() == 2
 
 
+def test_scd2_change_unchanged_change_back(spark, tmp_root):
+    """Four batches: first load, a new rate, the same rate again, the first rate
+    again: three versions, without gap or overlap; a customer whose name changes
+    gets a second version."""
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received")]
+    for day, rate in ((2, 100), (9, 120), (16, 120), (23, 100)):
+        products = [(10, "A10", "rice", "5KG", rate, True), PRODUCTS[1]]
+        names = [(1, "renamed" if day == 23 else CUSTOMERS[0][1], *CUSTOMERS[0][2:6], T(2022, 3, day)), *CUSTOMERS[1:]]
+        r = pipeline.run_batch(spark, sources(spark, names, products, ev, []), tmp_root, T(2022, 3, day), scd2=True)
+        assert r.batch_id in pipeline._versions(spark, tmp_root, "dim_product")
+    open_end = dt.date(9999, 12, 31)
+    day = lambda d: dt.date(2022, 3, d)
+    cur = pipeline.scd2_current(spark, tmp_root, "dim_product")
+    got = [(r.rate, r.start_date, r.end_date) for r in cur.where("productid = 10").orderBy("start_date").collect()]
+    assert got == [(100, day(2), day(9)), (120, day(9), day(23)), (100, day(23), open_end)]
+    assert cur.where("productid = 11").count() == 1
+    people = pipeline.scd2_current(spark, tmp_root, "dim_customer").where("customerid = 1").orderBy("start_date").collect()
+    assert [r.name for r in people] == [CUSTOMERS[0][1], "renamed"] and people[0].end_date == people[1].start_date == day(23)
+    for name, key in pipeline.SCD2_KEYS.items():
+        checks = dims.scd2_checks(pipeline.scd2_current(spark, tmp_root, name), key).collect()
+        assert [r.violations for r in checks] == [0, 0, 0]
+
+
+def test_scd2_checks_find_faults(spark):
+    rows_ = [(1, "2022-01-01", "9999-12-31"), (1, "2022-02-01", "9999-12-31"), (2, "2022-01-01", "2021-01-01")]
+    df = spark.createDataFrame(rows_, "k int, s string, e string").selectExpr("k", "date(s) start_date", "date(e) end_date")
+    assert {r.check_name: r.violations for r in dims.scd2_checks(df, "k").collect()} == {
+        "one_open_row": 1, "no_overlap": 1, "ends_after_start": 1}
+
+
+def test_failed_load_then_failed_stage_loads_each_event_once(spark, tmp_root):
+    """Load fails half way, the retry fails in staging, the third run succeeds:
+    the unfinished id is used again, so no event is there twice."""
+    import pytest
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received"), (101, 2, T(2022, 3, 1, 11), "Received")]
+    src = sources(spark, CUSTOMERS, PRODUCTS, ev, [])
+    for place, name in ((sinks, "load_target"), (sinks, "write_stage")):
+        orig = getattr(place, name)
+
+        def flaky(*a, orig=orig, name=name):
+            if "fact_daily_orders" in a:
+                raise RuntimeError("executor lost")
+            return orig(*a)
+
+        setattr(place, name, flaky)
+        try:
+            with pytest.raises(RuntimeError):
+                pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 2))
+        finally:
+            setattr(place, name, orig)
+        assert pipeline.warehouse(spark, tmp_root).dim_order.count() == 0
+    assert pipeline.run_batch(spark, src, tmp_root, T(2022, 3, 3)).batch_id == 1
+    wh = pipeline.warehouse(spark, tmp_root)
+    assert sorted(r.orderid for r in wh.dim_order.collect()) == [100, 101] and wh.fact_daily_orders.count() == 2
+
+
+def test_paths_of_any_form_and_an_unreadable_log(spark, tmp_root):
+    import pytest
+    ev = [(100, 1, T(2022, 3, 1, 10), "Received")]
+    pipeline.run_batch(spark, sources(spark, CUSTOMERS, PRODUCTS, ev, []), f"file:{tmp_root}", T(2022, 3, 2))
+    for form in (tmp_root, f"file:{tmp_root}", f"file://{tmp_root}"):
+        assert pipeline.warehouse(spark, form).fact_daily_orders.count() == 1
+    import os
+    log = sinks.log_path(tmp_root)
+    for f in os.listdir(log):
+        if f.endswith(".parquet"):
+            with open(os.path.join(log, f), "wb") as out:
+                out.write(b"not parquet")
+            crc = os.path.join(log, f".{f}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    with pytest.raises(Exception):  # noqa: B017
+        control.high_water_mark(spark, log, "stg_dim_order")
+    with pytest.raises(Exception):  # noqa: B017
+        pipeline.warehouse(spark, tmp_root).fact_daily_orders.count()
+
+
 def test_seconds_between_ignores_session_time_zone(spark):
     from ordermart.functions import timeparts as tp
     old = spark.conf.get("spark.sql.session.timeZone")

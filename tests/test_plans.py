@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as se
+from ordermart.plans import catalog
 from ordermart.operators.keys import assign_dense_ids
 from ordermart.sources import extract, schemas
 
@@ -21,9 +22,9 @@ def executed_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_no_forbidden_operators(spark, name):
-    df = se.queries()[name](spark, SF_SMALL)
+    df = catalog.all_queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
@@ -46,7 +47,7 @@ def test_extract_filter_reaches_parquet_scan(spark, tmp_root):
 
 
 def test_fact_scan_reads_only_needed_columns(spark):
-    df = se.queries()["q06_avg_amount_customer_date"](spark, SF_SMALL)
+    df = catalog.all_queries()["q06_avg_amount_customer_date"](spark, SF_SMALL)
     plan = executed_plan(df)
     scans = [ln for ln in plan.splitlines() if "ReadSchema" in ln]
     assert scans and all("order_delivery_time_seconds" not in s for s in scans)
@@ -70,11 +71,12 @@ def test_dense_ids_without_single_partition_over_rows(spark):
 
 def test_time_range_read_prunes_month_partitions(spark, tmp_root):
     import datetime as dt
-    from ordermart.sources import sinks
+    from ordermart.sources import control, sinks
     rows = [(1, i, dt.datetime(2022, 1 + i % 12, 3), None, 1, 10, 1, 0) for i in range(48)]
     spark.createDataFrame(rows, schemas.FACT_DAILY_ORDERS).write.parquet(
-        sinks.stage_path(tmp_root, "fact_daily_orders"))
+        sinks.stage_path(tmp_root, "fact_daily_orders", 1))
     sinks.load_target(spark, tmp_root, "fact_daily_orders", 1)
+    control.append_log(spark, sinks.log_path(tmp_root), 1, "stg_fact_daily_orders", 48, control.COMPLETED, dt.datetime(2023, 1, 1))
     df = sinks.read_target_range(spark, tmp_root, "fact_daily_orders", "order_received_timestamp",
                                  "2022-03-01 00:00:00", "2022-05-01 00:00:00")
     plan = executed_plan(df)
