@@ -7,16 +7,16 @@ with equal sets are one node. The join runs over nodes:
   n - ceil(t * n) + 1 shingles in any common order. The order puts shingles that many
   documents have last, by levels of a fixed-size count sketch (its errors cost time,
   never a link). The nodes that share such a key, by size, are cut into tiles where the
-  next size is over 1 / t times the last; in a tile, size bands are compared first.
-* Rounds. In each tile one node, by a hash that changes with the round, is compared with
-  the nodes of other components; links are contracted to components. Groups of copies
-  of one text collapse to a component after a few comparisons a node, so no group is
-  ever paired up. Once the pairs across components are no more than a few times the
-  rows that share keys, the untested ones among them are compared too.
-* Comparison. Each set has a bitmap of about n hashed bits. The differing bits of two
-  bitmaps bound the overlap from above; pairs that can't reach t are dropped before
-  their sets are fetched. The rest are intersected as sorted arrays.
-
+  next size is over 1 / t times the last.
+* Bounds. Each set has a bitmap of about n hashed bits; the differing bits of two bitmaps
+  bound their overlap from above. Within each tile, in one task and without emitting
+  pairs, nodes are compared by bitmap with the nodes that they are not yet connected to;
+  what goes out is a spanning forest of the possible links, at most a row a node.
+* Families. The forests' components hold every link within them. Their sets are fetched,
+  and within each family the nodes that no link connects yet are intersected exactly;
+  again a spanning forest of links goes out. Its components are the result.
+
+Tiles and families of more than a block's nodes are dealt to tasks by pairs of blocks.
 No pair, key, candidate or group size is capped. The driver sees only counts and the
 sketch. Keys, sets and links are shuffled by hash; written tables cut the lineage.
 
@@ -34,13 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import binary_array, clean, columns, discard, stored, table, word_blocks
+from ordermart.llm.common import binary_array, clean, columns, discard, spans, stored, table, word_blocks
 
 WIDTH = 5
 PERCENT = 75
 CELL_BITS, PARTS = 22, 1024
 CELLS = 1 << CELL_BITS
-ROUNDS, FEW = 12, 4
+TILE, FAMILY = 4096, 1024
 IDS = 1_000_000
 PRIMES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 NODE = "node long, n int"
@@ -222,35 +222,136 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, s binary")
 
 
-def _bounded(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that their bitmaps allow."""
+def _dealt(rows: DataFrame, by: str, block: int) -> DataFrame:
+    """rows with (part): groups of at most `block` rows whole, larger ones by pairs of
+    hash blocks, so that each pair of a group's rows meets in a part."""
+    count = rows.groupBy(by).count().where(F.col("count") > block).select(by, F.ceil(F.col("count") / block).alias("k"))
+    rows = rows.join(count, by, "left")
+    own = F.pmod(F.xxhash64("node"), F.col("k"))
+    other = F.explode(F.when(F.col("k").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    part = F.when(F.col("k").isNull(), F.xxhash64(by)).otherwise(F.xxhash64(by, F.least(own, "other"), F.greatest(own, "other")))
+    return rows.withColumn("other", other).withColumn("part", part).drop("other", "k")
+
+
+def _runs(batches, names: list[str]):
+    """Columns (numpy, or a list for binary) of each run of rows with one `part`."""
+    held = None
+    for batch in columns(batches):
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]) if held is not None else t
+        part = t["part"].to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
+        ready = t.slice(0, edges[-1])
+        held = t.slice(edges[-1])
+        if len(ready):
+            whole = [ready[c].to_pylist() for c in names]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield [x[a:b] for x in whole]
+    if held is not None and len(held):
+        yield [held[c].to_pylist() for c in names]
+
+
+def _forest(n: list[int], percent: int, near) -> list[tuple[int, int]]:
+    """Edges that connect rows, by rising n, as far as near(i, rows) finds them alike; a
+    row is compared with the later rows of fitting size that it isn't connected to."""
+    size = np.array(n, np.int64)
+    label = np.arange(len(size))
+    out = []
+    last = np.searchsorted(size, size * 100 // percent, "right")
+    for i in range(len(size) - 1):
+        rest = np.arange(i + 1, last[i])
+        rest = rest[label[rest] != label[i]]
+        if len(rest):
+            for j in rest[near(i, rest)].tolist():
+                if label[j] != label[i]:
+                    out.append((i, j))
+                    label[label == label[j]] = label[i]
+    return out
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+
+def _possible(percent: int):
+    """Spanning forest of each tile's possible links, by bitmaps."""
+
+    def small(n: list[int], bits: list[int], width: list[int]):
+        def near(i, rest):
+            keep = []
+            for j in rest.tolist():
+                y = bits[j] if width[j] == width[i] else folded(bits[j], width[j], width[i])
+                keep.append(similar(min(n[i], (n[i] + n[j] - (bits[i] ^ y).bit_count()) // 2), n[i], n[j], percent))
+            return np.array(keep, bool)
+
+        return near
+
+    def folded(y: int, wide: int, width: int) -> int:
+        while wide > width:
+            wide //= 2
+            y = (y >> wide) | (y & ((1 << wide) - 1))
+        return y
+
+    def large(n: list[int], bits: list[bytes]):
+        size = np.array(n, np.int64)
+        wide = np.array([len(x) for x in bits])
+        at_width = {}
+        for w in np.unique(wide).tolist():  # each row at every width up to its own
+            m = np.zeros((len(n), w // 8), np.uint64)
+            for k in np.flatnonzero(wide >= w):
+                m[k] = np.bitwise_or.reduce(np.frombuffer(bits[k], np.uint64).reshape(-1, w // 8), axis=0)
+            at_width[w] = m
+
+        def near(i, rest):
+            m = at_width[int(wide[i])]
+            differ = np.bitwise_count(m[rest] ^ m[i]).sum(axis=1, dtype=np.int64)
+            overlap = np.minimum(size[i], (size[i] + size[rest] - differ) // 2)
+            return 100 * overlap >= percent * (size[i] + size[rest] - overlap)
+
+        return near
 
     def run(batches):
-        for batch in columns(batches):
-            x, y, m, n = (batch.column(c).to_pylist() for c in ("x", "y", "m", "n"))
-            keep = [similar(most_overlap(*p), p[2], p[3], percent) for p in zip(x, y, m, n, strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+        found = []
+        for node, n, bits in _runs(batches, ["node", "n", "bits"]):
+            near = large(n, bits) if len(n) > 64 else small(n, [int.from_bytes(x, "little") for x in bits], [8 * len(x) for x in bits])
+            found += [(node[i], node[j]) for i, j in _forest(n, percent, near)]
+            if len(found) > 50_000:
+                yield _edges(found)
+                found = []
+        if found:
+            yield _edges(found)
 
-    a = facts.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("m"))
-    b = facts.select(F.col("node").alias("b"), F.col("bits").alias("y"), "n")
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+    return run
 
 
-def _intersected(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar."""
+def _exact(percent: int):
+    """Spanning forest of each family's links, by intersection of the sorted sets."""
 
     def run(batches):
-        for batch in columns(batches):
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(similar(int((y[at] == x).sum()), len(x), len(y), percent))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+        found = []
+        for node, n, s in _runs(batches, ["node", "n", "s"]):
+            sets = [np.frombuffer(x, np.uint64) for x in s]
+            length = np.array(n, np.int64)
+            every, at = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.cumsum(length) - length
+            mark = np.zeros(len(every), np.int32)
+
+            def near(i, rest, at=at, starts=starts, length=length, mark=mark):
+                own = at[starts[i]:starts[i] + length[i]]
+                mark[own] = 1
+                hits = mark[at[spans(starts[rest], length[rest])]]
+                overlap = np.add.reduceat(hits, np.cumsum(length[rest]) - length[rest])
+                mark[own] = 0
+                return 100 * overlap >= percent * (length[i] + length[rest] - overlap)
+
+            found += [(node[i], node[j]) for i, j in _forest(n, percent, near)]
+            if len(found) > 50_000:
+                yield _edges(found)
+                found = []
+        if found:
+            yield _edges(found)
 
-    a = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
-    b = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+    return run
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -282,65 +383,24 @@ def components(edges: DataFrame) -> DataFrame:
     return whole.unionByName(whole.select(F.col("component").alias("node"), "component").distinct())
 
 
-def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of the nodes that share tiles."""
-    done = None  # pairs compared so far
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """Sets of the pairs' nodes, from one row each."""
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = stored(facts.join(ends, "node", "left_semi").select(F.col("doc_id").alias("wanted")), "wanted")
-        if wanted.count() <= IDS:
-            wanted = F.broadcast(wanted)  # else both sides are shuffled by id
-        return stored(_sets(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi"), width), "sets")
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        nonlocal done
-        pairs = pairs.distinct()
-        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        able = stored(_bounded(pairs, facts, percent), "able")
-        sets = sets_of(able)
-        links = stored(_intersected(able, sets, percent), "links")
-        discard(sets)
-        return links
-
-    def merged(label: DataFrame, links: DataFrame) -> DataFrame:
-        """Labels after the links, which join components."""
-        ends = [label.select(F.col("node").alias(x), F.col("c").alias(f"c{x}")) for x in "ab"]
-        edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        to = components(edges).withColumnRenamed("node", "c")
-        return stored(label.join(to, "c", "left").select("node", F.coalesce("component", "c").alias("c")), "labels")
-
-    label = stored(facts.select("node", F.col("node").alias("c")), "labels")
-    open_ = shared.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int"))
-    open_ = open_.join(label, "node")
-    before = float("inf")
-    for number in range(ROUNDS):
-        turn = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "c")
-        centre = open_.groupBy("key", "band").agg(F.min(turn).alias("m"))
-        pairs = open_.join(centre, ["key", "band"]).where("c <> m.c").select(
-            F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
-        label = merged(label, compared(pairs))
-        open_ = open_.drop("c").join(label, "node")
-        size = open_.groupBy("key", "band", "c").agg(F.count("*").alias("k")).groupBy("key", "band").agg(
-            F.sum("k").alias("k"), F.sum(F.pow("k", F.lit(2))).alias("k2"), F.min("c").alias("low"), F.max("c").alias("high"))
-        size = size.groupBy("key").agg(F.sum((F.pow("k", F.lit(2)) - F.col("k2")) / 2).alias("across"),
-                                       F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-        open_ = stored(open_.join(size.select("key", "across"), "key"), "open")
-        left = open_.count()
-        if not left:
-            return label.select("node", F.col("c").alias("component"))
-        across = open_.select("key", "across").distinct().agg(F.sum("across")).first()[0]
-        open_ = open_.drop("across")
-        if across <= FEW * left or across > 0.7 * before:  # few pairs, or comparing centres joins no more
-            break
-        before = across
-    other = open_.select("key", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c")))
-    fits = (F.col("n") * 100 >= F.col("o_n") * percent) & (F.col("o_n") * 100 >= F.col("n") * percent)
-    pairs = open_.join(other, "key").where((F.col("node") < F.col("o_node")) & (F.col("c") != F.col("o_c")) & fits)
-    links = compared(pairs.select(F.col("node").alias("a"), F.col("o_node").alias("b")))
-    return merged(label, links).select("node", F.col("c").alias("component"))
+def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: int, percent: int,
+                 tile: int = TILE, family: int = FAMILY) -> DataFrame:
+    """(node, component) of the nodes that have links."""
+    sized = _dealt(shared.select("key", "node"), "key", tile).select("part", "node").join(facts.select("node", "n", "bits"), "node")
+    sized = sized.repartition("part").sortWithinPartitions("part", "n", "node")
+    possible = stored(sized.mapInArrow(_possible(percent), "a long, b long").distinct(), "possible")
+    families = stored(components(possible), "families")
+    wanted = stored(facts.join(families, "node", "left_semi").select(F.col("doc_id").alias("wanted")), "wanted")
+    if wanted.count() <= IDS:
+        wanted = F.broadcast(wanted)  # else both sides are shuffled by id
+    sets = stored(_sets(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi"), width), "sets")
+    of = _dealt(families.withColumnRenamed("component", "family"), "family", family).select("part", "node")
+    met = of.join(facts.select("node", "n"), "node").join(sets, "node")
+    met = met.repartition("part").sortWithinPartitions("part", "n", "node")
+    links = stored(met.mapInArrow(_exact(percent), "a long, b long").distinct(), "links")
+    discard(possible)
+    discard(sets)
+    return components(links)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
