@@ -98,13 +98,13 @@ def match_addresses(delta_customer: DataFrame, dim_address: DataFrame) -> DataFr
     return d.join(a, null_safe_on(d, a, ADDRESS_NATURAL_KEY), "left").select(d["*"], a["address_id"])
 
 
-def new_addresses(matched: DataFrame, start_after: int) -> DataFrame:
+def new_addresses(matched: DataFrame, start_after: int, scratch: str | None = None) -> DataFrame:
     """One new dim_address row per unknown address tuple of ``match_addresses``,
     ids after ``start_after`` in order of the tuple's smallest customerid
     (equal to ``address_delta(..., dedupe="natural_key")``)."""
     fresh = (matched.where(F.col("address_id").isNull())
              .groupBy(*ADDRESS_NATURAL_KEY).agg(F.min("customerid").alias("customerid")))
-    return schemas.conform(assign_dense_ids(fresh, ["customerid"], "address_id", start_after),
+    return schemas.conform(assign_dense_ids(fresh, ["customerid"], "address_id", start_after, scratch=scratch),
                            schemas.DIM_ADDRESS)
 
 
@@ -134,12 +134,17 @@ def product_delta(delta_products: DataFrame, dim_product: DataFrame,
     updates carrying end_date = run_date (no start_date column).
     """
     snap = schemas.conform(delta_products, schemas.PRODUCT_MASTER)
-    changes = rows_not_in(snap, dim_product, PRODUCT_COMPARED)
-    known = dim_product.select("productid").distinct()
-    inserts = (changes.join(known, "productid", "left_anti")
+    # one aggregate of the dimension per productid and one join on it: a product is
+    # known if it has rows, and unchanged if one of them equals the snapshot row
+    compared = [c for c in PRODUCT_COMPARED if c != "productid"]
+    held = dim_product.groupBy("productid").agg(F.collect_set(F.struct(*compared)).alias("_held"))
+    flagged = snap.join(held, "productid", "left")
+    unchanged = F.exists("_held", lambda h: reduce(lambda a, b: a & b, [h[c].eqNullSafe(F.col(c)) for c in compared]))
+    changes = flagged.where(~F.coalesce(unchanged, F.lit(False)))
+    inserts = (changes.where("_held is null").drop("_held")
                .withColumn("start_date", F.lit(run_date).cast("date"))
                .withColumn("end_date", F.lit(tp.OPEN_END_DATE).cast("date")))
-    updates = (changes.join(known, "productid", "left_semi")
+    updates = (changes.where("_held is not null").drop("_held")
                .withColumn("end_date", F.lit(run_date).cast("date")))
     return schemas.conform(inserts, schemas.DIM_PRODUCT), updates
 

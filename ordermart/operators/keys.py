@@ -13,27 +13,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 
 def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start_after,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     """Add ``id_col`` = start_after + 1, +2, ... in ``order_by`` order.
 
     ``order_by`` must identify rows uniquely (e.g. a primary key) for the
     numbering to be deterministic. ``start_after`` is the largest id already
     in use (a scalar, e.g. ``coalesce(max(id), 0)`` of the existing table).
+
+    The rows are range-shuffled and sorted once and written with their
+    partition and place (``scratch``, or a new folder below the shared
+    checkpoint folder); an id is the rows of earlier partitions plus the place,
+    so no second shuffle and no window over the rows is needed.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     # Without an explicit count, AQE sizes the range partitions from the data
-    # (coalescing small ones); the tags are read after the shuffle, so they
-    # are the final partition ids either way.
+    # (coalescing small ones); places are taken after the shuffle.
     ranged = (df.repartitionByRange(num_partitions, *order_by) if num_partitions
               else df.repartitionByRange(*order_by))
-    tagged = (ranged.withColumn("_tag", F.spark_partition_id())
-                    .checkpoint(eager=True))
-    counts = tagged.groupBy("_tag").agg(F.count(F.lit(1)).alias("_n"))
+    placed = ranged.sortWithinPartitions(*order_by).withColumn("_m", F.monotonically_increasing_id())
+    path = scratch or scratch_path(spark, "dense-ids")
+    placed.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_tag", F.shiftright("_m", 33))
+    counts = rows.groupBy("_tag").agg(F.count(F.lit(1)).alias("_n"))
     # Running offsets over one row per range partition: the only
     # single-partition step, bounded by the partition count, not the data.
     before = Window.orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,10 +46,10 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start_afte
         "_tag",
         (F.lit(int(start_after)).cast("bigint")
          + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_off"))
-    within = Window.partitionBy("_tag").orderBy(*order_by)
-    return (tagged.join(F.broadcast(offsets), "_tag")
-            .withColumn(id_col, F.col("_off") + F.row_number().over(within))
-            .drop("_tag", "_off"))
+    place = F.col("_m").bitwiseAND(F.lit(2**33 - 1))
+    return (rows.join(F.broadcast(offsets), "_tag")
+            .withColumn(id_col, F.col("_off") + place + 1)
+            .drop("_tag", "_off", "_m"))
 
 
 def max_id(df: DataFrame, col: str) -> int:

@@ -127,7 +127,8 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     def address_stage():
         if address_dedupe == "natural_key":
             matched = dims.match_addresses(delta_customer, existing["dim_address"])
-            rows = dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"))
+            rows = dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"),
+                                      sinks.stage_path(root, "address_ids", batch_id))
         else:
             rows = dims.address_delta(delta_customer, existing["dim_address"], address_dedupe)
         stage("dim_address", rows)
