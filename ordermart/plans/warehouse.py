@@ -79,13 +79,10 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:16]
 
 
-def _source_signature(sf_dir: str) -> tuple:
-    out = []
+def _source_signature(spark: SparkSession, sf_dir: str) -> tuple:
+    out: list = []
     for n in _SOURCE_TABLES:
-        p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            out.append((n, st.st_size, st.st_mtime_ns))
+        out += [(n, *s) for s in storage.statuses(spark, f"{sf_dir.rstrip('/')}/{n}.parquet")]
     return tuple(out)
 
 
@@ -110,7 +107,7 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
     """
     from . import pipeline  # pipeline builds on this module
 
-    sig = (os.path.abspath(sf_dir), run_date, _source_signature(sf_dir), _code_fingerprint())
+    sig = (sf_dir.rstrip("/"), run_date, _source_signature(spark, sf_dir), _code_fingerprint())
     key = (spark.conf.get("spark.app.id", ""),) + sig
     root = _CACHE.get(key)
     if root is None:

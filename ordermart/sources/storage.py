@@ -29,6 +29,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def statuses(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of a file, or of the files of a folder."""
+    fs, p = _at(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _at(spark, path)
     fs.delete(p, True)
