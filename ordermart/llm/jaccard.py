@@ -404,7 +404,7 @@ def linked_nodes(shared: DataFrame, facts: DataFrame, rows: DataFrame, width: in
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, tile: int = TILE, family: int = FAMILY) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     rows = clean(df, id_col, text_col)
     every = stored(_nodes(rows, width), "nodes")
@@ -414,7 +414,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = stored(keys.mapInArrow(_tiles(percent), f"key long, {NODE}"), "shared")
     some = shared.select("node").distinct()
     facts = stored(docs.join(some, "node").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.max("bits").alias("bits")), "facts")
-    label = linked_nodes(shared, facts, rows, width, percent)
+    label = linked_nodes(shared, facts, rows, width, percent, tile, family)
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     name = label.join(first, "node").groupBy("component").agg(F.min("first").alias("least"))
     known = stored(label.join(name, "component").select("node", "least"), "known")

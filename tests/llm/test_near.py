@@ -39,8 +39,8 @@ def test_components(clashing, rows):
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_of_borderline_texts(spark, seed):
+@pytest.mark.parametrize("seed, block", [(1, 1000), (2, 7)])  # with 7, large groups go by pairs of blocks
+def test_components_of_borderline_texts(spark, seed, block):
     r = random.Random(seed)
     base = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(4)]
     rows = []
@@ -49,7 +49,7 @@ def test_components_of_borderline_texts(spark, seed):
         for _ in range(r.randrange(5)):
             words[r.randrange(len(words))] = f"n{r.randrange(10**6)}"
         rows.append((i, " ".join(words[:r.choice([60, 60, 50, 7, 5, 4])])))
-    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), tile=block, family=block)
     assert sorted((tuple(x) for x in got.collect()), key=str) == brute_components(rows)
 
 
@@ -60,6 +60,37 @@ def test_chain_of_components(spark):
     assert got == {k: 0 for k in range(n + 1)} | {200: 200, 201: 200, 300: 200}
 
 
+def test_large_tiles_use_arrays():
+    """Above 64 rows a tile's bitmaps are compared as arrays; both ways find the same."""
+    r = random.Random(6)
+    base = [np.array([r.randrange(2**63) for _ in range(150)], np.uint64) for _ in range(2)]
+    sets = []
+    for _ in range(90):
+        s = r.choice(base).copy()
+        for _ in range(r.randrange(40)):
+            s[r.randrange(150)] = r.randrange(2**63)
+        sets.append(np.unique(s[:r.choice([150, 130, 60])]))
+    sets.sort(key=len)
+    n, bits = [len(s) for s in sets], [jaccard.bitmap(s) for s in sets]
+
+    def forest(parts):
+        import pyarrow as pa
+
+        batches = [pa.RecordBatch.from_arrays([pa.array([p] * len(k)), pa.array(k), pa.array([n[i] for i in k], pa.int32()),
+                                               pa.array([bits[i] for i in k], pa.binary())], names=["part", "node", "n", "bits"]) for p, k in parts]
+        out = [x for b in jaccard._possible(75)(iter(batches)) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        label = list(range(len(sets)))
+        for a, b in out:
+            label = [label[a] if x == label[b] else x for x in label]
+        return label
+
+    whole = forest([(1, list(range(90)))])
+    for a in range(90):
+        for b in range(a):
+            if jaccard.similar(jaccard.most_overlap(bits[a], bits[b], n[a], n[b]), n[a], n[b], 75):
+                assert whole[a] == whole[b]
+
+
 def test_bitmap_bound_holds():
     r = np.random.default_rng(3)
     for _ in range(200):
