@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SIZE = 16
+SIZE = 12
 GROUP = 32
 STEPS = 16
 LANES = 512

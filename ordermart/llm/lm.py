@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ordermart.llm import gru
 from ordermart.llm.common import byte_rows, clean, columns, row_groups, stored, table, word_blocks
 
-HEADS, TAILS, KNOWN = 1024, 32, 200_000
+HEADS, TAILS, KNOWN = 512, 16, 200_000
 END = b" "  # no word has white space
 CHUNK = 2_000_000
 PARTS = 64
