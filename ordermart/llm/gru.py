@@ -9,14 +9,18 @@ window; a lane's state goes on from one window to the next, gradients stop at it
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 
-SIZE = 12
+from ordermart.llm.common import spans
+
+SIZE = 16
 GROUP = 32
 STEPS = 16
 LANES = 512
+LONG = 256  # steps of a window with few lanes
 SEGMENT = 1024  # training cuts longer texts
 TOP = 60.0  # no logit comes near it; its exponential still fits
 
@@ -51,38 +55,44 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def lanes_of(lengths: np.ndarray, lanes: int = LANES) -> list[np.ndarray]:
-    """Texts dealt to lanes of like total length: longest first, back and forth."""
+def lanes_of(lengths: np.ndarray, lanes: int = LANES) -> list[list[int]]:
+    """Texts dealt to lanes of like total length: longest first, each to the shortest lane."""
     order = np.argsort(-lengths, kind="stable")
-    n = min(lanes, len(order))
-    place = np.arange(len(order)) % (2 * n)
-    place = np.where(place < n, place, 2 * n - 1 - place)
-    return [order[place == k] for k in range(n)]
+    dealt = [[] for _ in range(min(lanes, len(order)))]
+    heap = [(0, k) for k in range(len(dealt))]
+    for row in order.tolist():
+        total, k = heap[0]
+        dealt[k].append(row)
+        heapq.heapreplace(heap, (total + int(lengths[row]), k))
+    return dealt
 
 
-def windows(ids: np.ndarray, rows: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def windows(ids: np.ndarray, rows: np.ndarray, lanes: int = LANES, steps: int = STEPS, most: int = STEPS) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(place in ids, whether a text begins there, live lanes): steps x live lanes at a
     time. Lanes stand by length, so those still running are the first ones; a place
-    past a lane's end is -1."""
+    past a lane's end is -1. With fewer live lanes a window has up to `most` steps."""
     length = np.diff(rows)
     dealt = lanes_of(length, lanes)
-    total = np.array([length[d].sum() for d in dealt])
-    dealt = [dealt[k] for k in np.argsort(-total, kind="stable")]
-    total = -np.sort(-total)
-    if not len(total):
+    total = np.array([length[d].sum() for d in dealt], np.int64)
+    by = np.argsort(-total, kind="stable")
+    total = total[by]
+    if not len(total) or not total[0]:
         return
-    place = np.full((int(total[0]) + steps, len(dealt)), -1, np.int32)
-    begins = np.zeros(place.shape, bool)
-    for k, d in enumerate(dealt):
-        at = 0
-        for row in d:
-            n = length[row]
-            place[at:at + n, k] = np.arange(rows[row], rows[row] + n)
-            begins[at, k] = True
-            at += n
-    for t in range(0, int(total[0]), steps):
+    order = np.concatenate([dealt[k] for k in by]).astype(np.int64)
+    order = order[length[order] > 0]
+    flat = spans(rows[order], length[order])  # lane after lane
+    first = np.zeros(len(flat), bool)
+    first[np.cumsum(length[order]) - length[order]] = True
+    edge = np.cumsum(total) - total
+    t = 0
+    while t < total[0]:
         live = int((total > t).sum())
-        yield place[t:t + steps, :live], begins[t:t + steps, :live], live
+        n = max(steps, min(most, steps * len(total) // live))
+        step = t + np.arange(n)[:, None]
+        inside = step < total[:live]
+        at = np.where(inside, edge[:live] + step, 0)
+        yield np.where(inside, flat[at], -1), first[at] & inside, live
+        t += n
 
 
 def _run(p: dict, ids: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool):
@@ -113,48 +123,63 @@ def _run(p: dict, ids: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool
     return states, h, kept
 
 
+def _limit(logit: np.ndarray, weights: np.ndarray) -> None:
+    """In place. States are within 1, so only weights that could pass TOP need it."""
+    if np.abs(weights).sum(axis=-2).max() > TOP:
+        np.minimum(logit, TOP, out=logit)
+
+
 def _output(p: dict, states: np.ndarray, ids: np.ndarray, heads: int, gradient: dict | None):
     """Natural-log probabilities of class and head word at each place, flat; with a
     gradient dict, also the loss's slope by the states."""
-    groups = p["w"].shape[0]
+    groups, size, width = p["w"].shape
     group = np.where(ids < heads, ids // GROUP, groups + ids - heads).astype(np.uint16)  # sorted by radix
-    logit = states @ p["c"]
-    logit += p["bc"]
-    np.minimum(logit, TOP, out=logit)
+    s = np.ones((len(ids), size + 1), states.dtype)  # the last column takes the biases
+    s[:, :size] = states
+    c = np.vstack([p["c"], p["bc"]])
+    w = np.concatenate([p["w"], p["bw"][:, None]], axis=1)
+    logit = s @ c
+    _limit(logit, c)
     every = np.arange(len(ids))
     out = logit[every, group].astype(np.float64)
     np.exp(logit, out=logit)
-    total = logit.sum(axis=1)
+    total = logit @ np.ones(logit.shape[1], logit.dtype)
     out -= np.log(total)
     slope = None
     if gradient is not None:
-        logit /= total[:, None]
+        logit *= (1 / total)[:, None]
         logit[every, group] -= 1
-        gradient["c"] += states.T @ logit
-        gradient["bc"] += logit.sum(axis=0)
+        g = s.T @ logit
+        gradient["c"] += g[:-1]
+        gradient["bc"] += g[-1]
         slope = logit @ p["c"].T
     order = np.argsort(group, kind="stable")
     edges = np.searchsorted(group[order], np.arange(groups + 1))
-    for k in range(groups):
-        at = order[edges[k]:edges[k + 1]]
-        if not len(at):
-            continue
-        s = states[at]
-        e = s @ p["w"][k]
-        e += p["bw"][k]
-        np.minimum(e, TOP, out=e)
-        word = ids[at] - k * GROUP
-        line = np.arange(len(at))
-        hit = e[line, word].astype(np.float64)
-        np.exp(e, out=e)
-        total = e.sum(axis=1)
-        out[at] += hit - np.log(total)
-        if gradient is not None:
-            e /= total[:, None]
-            e[line, word] -= 1
-            gradient["w"][k] += s.T @ e
-            gradient["bw"][k] += e.sum(axis=0)
-            slope[at] += e @ p["w"][k].T
+    order = order[:edges[-1]]  # head words, group by group
+    used = np.flatnonzero(np.diff(edges)).tolist()
+    edges = edges.tolist()
+    s = s[order]
+    e = np.empty((len(order), width), logit.dtype)
+    for k in used:
+        np.matmul(s[edges[k]:edges[k + 1]], w[k], out=e[edges[k]:edges[k + 1]])
+    _limit(e, w)
+    word = ids[order] % GROUP
+    line = every[:len(order)]
+    hit = e[line, word].astype(np.float64)
+    np.exp(e, out=e)
+    total = e @ np.ones(width, e.dtype)
+    out[order] += hit - np.log(total)
+    if gradient is not None:
+        e *= (1 / total)[:, None]
+        e[line, word] -= 1
+        back = np.empty((len(order), size), slope.dtype)
+        for k in used:
+            part = e[edges[k]:edges[k + 1]]
+            g = s[edges[k]:edges[k + 1]].T @ part
+            gradient["w"][k] += g[:-1]
+            gradient["bw"][k] += g[-1]
+            np.matmul(part, p["w"][k].T, out=back[edges[k]:edges[k + 1]])
+        slope[order] += back
     return out, slope
 
 
@@ -163,7 +188,7 @@ def score(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, lanes: int = L
     word's for head words, its class's for others. State goes through whole texts."""
     out = np.empty(len(ids))
     h = np.zeros((lanes, p["u"].shape[0]), np.float32)
-    for place, begins, live in windows(ids, rows, lanes):
+    for place, begins, live in windows(ids, rows, lanes, most=LONG):
         states, h, _ = _run(p, ids[place], begins, h[:live], False)
         ok = place >= 0
         out[place[ok]] = _output(p, states[ok], ids[place[ok]], heads, None)[0]

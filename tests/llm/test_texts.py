@@ -267,3 +267,9 @@ def test_search_oracle(spark):
     con.execute("create view embeddings as select * from read_parquet('/root/testdata/sf0.01/embeddings.parquet')")
     want = sorted(con.execute(catalog.ORACLE_SQL["op9_uniform_threshold"]).fetchall())
     assert sorted(map(tuple, catalog.QUERIES["op9_uniform_threshold"](spark, "/root/testdata/sf0.01").collect())) == want
+
+
+def test_model_sizes():
+    assert lm.HEADS >= 2048 and lm.TAILS >= 32 and gru.SIZE >= 16
+    p = gru.start(lm.HEADS, lm.TAILS, np.ones(lm.HEADS + lm.TAILS))
+    assert p["w"].shape[0] * gru.GROUP >= 2048 and p["u"].shape[0] >= 16
