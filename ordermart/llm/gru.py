@@ -21,7 +21,6 @@ GROUP = 32
 STEPS = 16
 LANES = 512
 LONG = 256  # steps of a window with few lanes
-SEGMENT = 1024  # training cuts longer texts
 TOP = 60.0  # no logit comes near it; its exponential still fits
 
 
@@ -197,12 +196,12 @@ def score(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, lanes: int = L
 
 def train(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, square: dict, rate: float = 0.1,
           lanes: int = LANES, steps: int = STEPS) -> None:
-    """One pass of truncated backpropagation over the texts, with Adagrad in place.
-    Texts are cut into segments, so that all lanes run about equally long."""
-    rows = np.unique(np.concatenate([rows, *(np.arange(a + SEGMENT, b, SEGMENT) for a, b in zip(rows[:-1], rows[1:], strict=True) if b - a > SEGMENT)]))
+    """One pass of truncated backpropagation over the texts, with Adagrad in place. State
+    goes through whole texts; a window with fewer tokens than a full one moves less."""
+    full = steps * max(1, min(lanes, len(rows) - 1))
     size = p["u"].shape[0]
     h = np.zeros((lanes, size), np.float32)
-    for place, begins, live in windows(ids, rows, lanes, steps):
+    for place, begins, live in windows(ids, rows, lanes, steps, LONG):
         token = ids[place]
         states, after, kept = _run(p, token, begins, h[:live], True)
         ok = place >= 0
@@ -236,12 +235,13 @@ def train(p: dict, ids: np.ndarray, rows: np.ndarray, heads: int, square: dict,
         order = np.argsort(flat.astype(np.uint16) if len(p["x"]) < 2**16 else flat, kind="stable")
         at = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
         seen, gx = flat[order][at], np.add.reduceat(dx[order], at, axis=0)
+        pace = rate * min(1.0, len(flat) / full)
         norm = np.float32(1 / np.sqrt(max(1, len(flat))))
         for k, v in g.items():
             v *= norm
             square[k] += v * v
-            p[k] -= rate * v / (np.sqrt(square[k]) + 1e-6)
+            p[k] -= pace * v / (np.sqrt(square[k]) + 1e-6)
         gx *= norm
         square["x"][seen] += gx * gx
-        p["x"][seen] -= rate * gx / (np.sqrt(square["x"][seen]) + 1e-6)
+        p["x"][seen] -= pace * gx / (np.sqrt(square["x"][seen]) + 1e-6)
         h = after

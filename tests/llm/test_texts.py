@@ -273,3 +273,22 @@ def test_model_sizes():
     assert lm.HEADS >= 2048 and lm.TAILS >= 32 and gru.SIZE >= 16
     p = gru.start(lm.HEADS, lm.TAILS, np.ones(lm.HEADS + lm.TAILS))
     assert p["w"].shape[0] * gru.GROUP >= 2048 and p["u"].shape[0] >= 16
+
+
+def test_training_carries_state_through_long_texts(monkeypatch):
+    r = np.random.default_rng(3)
+    rows = np.array([0, 5000, 5010, 8000, 8001])
+    ids = r.integers(0, 70, rows[-1]).astype(np.int32)
+    p = gru.start(64, 6, np.ones(70))
+    seen, run = [], gru._run
+
+    def spy(p, ids, begins, h, keep):
+        seen.append(begins.sum())
+        return run(p, ids, begins, h, keep)
+
+    monkeypatch.setattr(gru, "_run", spy)
+    gru.train(p, ids, rows, 64, {k: np.full_like(x, 1e-8) for k, x in p.items()}, lanes=2)
+    assert sum(seen) == 4
+    places = [place[:, k] for place, _, live in gru.windows(ids, rows, 1) for k in range(live)]
+    flat = np.concatenate(places)
+    assert flat[flat >= 0].tolist() == [*range(5000), *range(5010, 8000), *range(5000, 5010), 8000]
