@@ -6,17 +6,18 @@ For each class an interpolated bigram model is counted on labelled documents:
     p(w)     = max(c(w) - D, 0) / N + D * types / N * shared(w)
 
 shared(w) is the continuation probability of the word over both classes' texts: in how
-many different contexts it stands. A word whose contexts in the classes differ by less
-than `apart` standard deviations is tied: both models take it from the shared counts,
-so rare and everyday expressions say nothing about the class, however many there are,
-and copies of one text, which repeat its contexts, don't add up. A document's evidence is the difference
-of its two log-likelihoods, normalised by its number of words and by the root of it;
+many different contexts it stands. Every counted word and pair keeps its probabilities
+in both classes; a word of neither class backs off to the shared one. What the word, and
+beyond it the pair, adds to the log-likelihood ratio weighs by its support, smoothly and
+never zero where the classes differ: z^4 / (z^4 + EVEN^2), z = (2 x - 1) * root of its number
+of texts, x the toxic share of the smoothed shares of texts within each class. The classes'
+sizes cancel out in x. A document's evidence is the difference of its two log-likelihoods, so weighted, normalised by its number of words and by the root of it;
 a logistic curve over both, fitted on labelled documents that were not counted and
 shifted to the share of toxic ones among all labelled documents, turns it into a score.
 
-Bounds: at most `sample` labelled documents a class, by a hash of the id, and the `most`
-commonest words and word pairs of them, which is what the executors get. The scoring
-reads every whole text once, without a shuffle.
+Bounds: at most `sample` labelled documents a class, by a hash of the id; all their words
+and word pairs, as 64-bit hashes, are what the executors get. The scoring reads every
+whole text once, without a shuffle.
 
 Defined results: A-Z are lower-cased, words end at ASCII white space; null text = empty
 text = no evidence, scored by the share alone; a document's labels are joined by id,
@@ -32,33 +33,40 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import clean, columns, discard, stored, table, with_id, word_blocks
 
 SAMPLE = 10_000
-MOST = 150_000
 LIMIT = 0.3
 DISCOUNT = 0.75
-APART = 9.0
+EVEN = 150.0
 
 
 @dataclass
 class Model:
-    """word: words by number; p, back, more: for each class the unigram probability,
+    """words: hashes of the words by number, ascending; p, back, more: for each class the unigram probability,
     a context's back-off weight, and what a known pair adds to it."""
 
-    words: list[bytes] = field(default_factory=list)
+    words: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     p: np.ndarray | None = None
     back: np.ndarray | None = None
     pairs: np.ndarray | None = None
     more: np.ndarray | None = None
+    trust: np.ndarray | None = None  # weight of each word's own evidence
+    trust_pairs: np.ndarray | None = None
     weights: np.ndarray | None = None
     share: float = 0.0
 
-    def number(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each word, the last one for words not in the model."""
+        n = len(self.words)
+        if not n:
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.words, hashes), n - 1)
+        return np.where(self.words[at] == hashes, at, n)
 
     def evidence(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """(documents x 2): difference of the log-likelihoods over n and over root n.
@@ -71,9 +79,12 @@ class Model:
         want = before.astype(np.int64) * (n + 1) + ids
         at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
         found = self.pairs[at] == want
-        p = self.p[:, ids] * self.back[:, before]
-        p[:, found] += self.more[:, at[found]]
-        total = np.concatenate([[0.0], np.cumsum(np.log(p[1]) - np.log(p[0]))])
+        own = np.log(self.p[1]) - np.log(self.p[0])
+        gain = (own * self.trust)[ids]
+        at, places = at[found], np.flatnonzero(found)
+        p = self.p[:, ids[places]] * self.back[:, before[places]] + self.more[:, at]
+        gain[places] += self.trust_pairs[at] * (np.log(p[1]) - np.log(p[0]) - own[ids[places]])
+        total = np.concatenate([[0.0], np.cumsum(gain, dtype=np.float64)])
         total = total[rows[1:]] - total[rows[:-1]]
         count = np.maximum(1, np.diff(rows))
         return np.column_stack([total / count, total / np.sqrt(count)])
@@ -91,17 +102,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+START = int(_hashes([b" "])[0])  # before a text's first word; no word has white space
+
+
 def _counts(batches):
-    """Word pairs in labelled texts and the texts that have them: (toxic, a, b, n, d);
-    a is empty for a text's first word."""
+    """Words and word pairs in labelled texts, by their hashes, and the texts that have
+    them: (toxic, a, b, n, d); a is START for a text's first word, null for words alone."""
     counts: Counter = Counter()
     texts: Counter = Counter()
 
     def flush():
         keys = list(counts)
         out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.binary()),
-             pa.array([k[2] for k in keys], pa.binary()), pa.array([counts[k] for k in keys], pa.int64()),
+            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int64()),
+             pa.array([k[2] for k in keys], pa.int64()), pa.array([counts[k] for k in keys], pa.int64()),
              pa.array([texts[k] for k in keys], pa.int64())], names=["toxic", "a", "b", "n", "d"])
         counts.clear()
         texts.clear()
@@ -110,11 +128,12 @@ def _counts(batches):
     for batch in columns(batches):
         toxic = batch.column(0).to_pylist()
         for a, _, words, codes, rows in word_blocks(batch.column(1), lower=True, limit=1 << 18):
-            words = words.to_pylist()
+            words = _hashes(words.to_pylist()).tolist()
             for i in range(len(rows) - 1):
-                text = [b"", *(words[c] for c in codes[rows[i]:rows[i + 1]])]
+                text = [START, *(words[c] for c in codes[rows[i]:rows[i + 1]])]
                 t = toxic[a + i]
                 own = Counter((t, x, y) for x, y in zip(text, text[1:], strict=False))
+                own.update((t, None, y) for y in text[1:])
                 counts.update(own)
                 texts.update(own.keys())
             if len(counts) > 300_000:
@@ -123,44 +142,40 @@ def _counts(batches):
         yield flush()
 
 
-def _apart(d: np.ndarray, sizes: np.ndarray, apart: float) -> np.ndarray:
-    """Whether counts d (2 x expressions), of `sizes` by class, differ beyond chance."""
-    expected = d.sum(axis=0) * sizes[1] / sizes.sum()
-    return np.abs(d[1] - expected) > apart * np.sqrt(np.maximum(expected, 0.5) * sizes[0] / sizes.sum() + 0.25)
+def _trust(d: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Weight of expressions that stand in d (2 x expressions) of the classes' texts."""
+    rate = (d + (texts / texts.sum())[:, None]) / texts[:, None]
+    z2 = (2 * rate[1] / rate.sum(axis=0) - 1) ** 2 * d.sum(axis=0)
+    return (z2 * z2 / (z2 * z2 + EVEN * EVEN)).astype(np.float32)
 
 
-def _fitted(words: list, pairs: list, sizes: np.ndarray, apart: float = APART) -> Model:
-    """Model of (word, n0, n1, contexts 0, 1) and (a, b, n0, n1, texts 0, 1) rows; sizes:
-    the number of words, contexts and texts of each class."""
-    model = Model([r[0] for r in words])
+def _fitted(words: np.ndarray, pairs: np.ndarray, texts: np.ndarray) -> Model:
+    """Model of (word, n0, n1, texts 0, 1, contexts) and (a, b, n0, n1, texts 0, 1) rows,
+    all that were counted; texts: the number of texts of each class."""
+    words = words[np.argsort(words[:, 0])]
+    model = Model(words[:, 0].copy())
     n = len(words)
-    number = model.number()
-    c = np.array([r[1:] for r in words], float).reshape(-1, 4).T
-    kept = sorted([number[r[0]] * (n + 1) + number[r[1]], *r[2:]] for r in pairs if r[0] in number and r[1] in number)
-    cc = np.array([r[1:] for r in kept], float).reshape(-1, 4).T
-    keys = np.array([r[0] for r in kept], np.int64)
-    left, right = np.divmod(keys, n + 1)
-    total, places, texts = sizes.T
-    contexts = np.append(c[2:].sum(axis=0), 1.0)
+    c, contexts = words[:, 1:3].T.astype(float), np.append(words[:, 5], 1.0)
+    total = np.maximum(1, c.sum(axis=1))
     shared = contexts / contexts.sum()
-    pooled = np.append(c[:2].sum(axis=0), 1.0)
-    tied = pooled / pooled.sum()
-    free = np.append(_apart(c[2:], places, apart), False)
     taken = np.zeros((2, n + 1))
-    taken[:, :n] = np.maximum(c[:2] - DISCOUNT, 0) / total[:, None]
-    rest = DISCOUNT * (c[:2] > 0).sum(axis=1) / total
-    model.p = np.where(free, taken + rest[:, None] * shared, tied)
-    own = _apart(cc[2:], texts, 2 * apart) & ~free[left] & ~free[right] if len(keys) else np.zeros(0, bool)
-    model.pairs, left, cc = keys[own], left[own], cc[:2, own]
-    heads = np.ones((2, n + 1))
-    heads[:, :n] = np.maximum(1, c[:2])
-    model.more = np.maximum(cc - DISCOUNT, 0) / heads[:, left]
-    model.back = np.ones((2, n + 1))
+    taken[:, :n] = np.maximum(c - DISCOUNT, 0) / total[:, None]
+    model.p = (taken + (1 - taken.sum(axis=1))[:, None] * shared).astype(np.float32)
+    model.trust = np.append(_trust(words[:, 3:5].T, texts), np.float32(0))  # unknown: nothing of either class
+    heads = np.maximum(1, c)
+    left = model.numbers(pairs[:, 0])
+    keys = left * (n + 1) + model.numbers(pairs[:, 1])
+    order = np.argsort(keys)
+    model.pairs, left = keys[order], left[order]
+    more = np.maximum(pairs[order, 2:4].T - DISCOUNT, 0) / heads[:, left]
+    back = np.ones((2, n + 1))
     for k in range(2):
-        np.subtract.at(model.back[k], left, model.more[k])
-    model.back = model.back.clip(0.05, None)
-    if not own.any():
-        model.pairs, model.more = np.array([-1], np.int64), np.zeros((2, 1))
+        back[k] -= np.bincount(left, more[k], n + 1)
+    model.back, model.more = back.astype(np.float32), more.astype(np.float32)
+    model.trust_pairs = _trust(pairs[order, 4:6].T, texts)
+    if not len(keys):
+        model.trust_pairs = np.zeros(1, np.float32)
+        model.pairs, model.more = np.array([-1], np.int64), np.zeros((2, 1), np.float32)
     return model
 
 
@@ -184,15 +199,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     return w
 
 
-def _numbered(number: dict, column: pa.Array):
+def _numbered(model: Model, column: pa.Array):
     """(first row, row after the last, word numbers, row offsets) block by block."""
     for a, b, words, codes, rows in word_blocks(column, lower=True):
-        ids = np.fromiter((number.get(w, len(number)) for w in words.to_pylist()), np.int64, len(words))
-        yield a, b, ids[codes], rows
+        yield a, b, model.numbers(_hashes(words.to_pylist()))[codes], rows
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", sample: int = SAMPLE, most: int = MOST) -> Model:
+        label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """Model from the labelled rows that are not held out."""
     spark = df.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -205,29 +219,24 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     chosen = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(sample) for t in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1]).withColumn("counted", order % 3 != 0)
     texts = clean(df, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # 2 * sample rows
-    parts = texts.where("counted").select("toxic", "text").mapInArrow(_counts, "toxic int, a binary, b binary, n long, d long")
+    parts = texts.where("counted").select("toxic", "text").mapInArrow(_counts, "toxic int, a long, b long, n long, d long")
     per = [F.sum(F.when(F.col("toxic") == t, F.col(x)).otherwise(0)).alias(f"{x}{t}") for x in "nd" for t in (0, 1)]
     total = stored(parts.groupBy("a", "b").agg(*per), "counts")
-    each = total.groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-                                  F.sum(F.col("n0").cast("boolean").cast("long")).alias("k0"),
-                                  F.sum(F.col("n1").cast("boolean").cast("long")).alias("k1"))
-    size = each.agg(*(F.sum(c) for c in ("n0", "n1", "k0", "k1"))).first()
-    texts_by = {r["toxic"]: r["n"] for r in texts.where("counted").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    common = lambda rows, by: rows.orderBy(F.desc(F.col("n0") + F.col("n1")), *by).limit(most).collect()
-    words = [(bytes(r[0]), *r[1:]) for r in common(each.where("n0 + n1 > 1"), ["b"])]
-    pairs = [(bytes(r[0]), bytes(r[1]), *r[2:]) for r in common(total.where("d0 + d1 > 1 and length(a) > 0"), ["a", "b"])]
+    contexts = total.where("a is not null").groupBy("b").agg(F.count("*"))
+    each = total.where("a is null").drop("a").join(contexts, "b")
+    by = {r["toxic"]: r["n"] for r in texts.where("counted").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    flat = lambda rows: np.column_stack([c.to_numpy() for c in rows.toArrow().columns])
+    words, pairs = flat(each), flat(total.where(F.col("a") != START))  # of at most 2 * sample texts
     discard(total)
-    if not words:
+    if not len(words):
         return Model(share=share)
-    sizes = np.array([[size[t], size[2 + t], texts_by.get(t, 0)] for t in (0, 1)], float)
-    model = _fitted(words, pairs, np.maximum(1.0, sizes))
+    model = _fitted(words, pairs, np.array([max(1, by.get(t, 0)) for t in (0, 1)], float))
     model.share = share
     sent = spark.sparkContext.broadcast(model)
 
     def measure(batches):
-        number = sent.value.number()
         for batch in columns(batches):
-            for a, b, ids, rows in _numbered(number, batch.column(1)):
+            for a, b, ids, rows in _numbered(sent.value, batch.column(1)):
                 x = sent.value.evidence(ids, rows)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "x", "z"])
 
@@ -243,9 +252,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        number = sent.value.number()
         for batch in columns(batches):
-            for a, b, ids, rows in _numbered(number, batch.column(1)):
+            for a, b, ids, rows in _numbered(sent.value, batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sent.value.scores(ids, rows))],
                                                  names=["doc_id", "score"])
 

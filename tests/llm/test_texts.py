@@ -292,3 +292,20 @@ def test_training_carries_state_through_long_texts(monkeypatch):
     places = [place[:, k] for place, _, live in gru.windows(ids, rows, 1) for k in range(live)]
     flat = np.concatenate(places)
     assert flat[flat >= 0].tolist() == [*range(5000), *range(5010, 8000), *range(5000, 5010), 8000]
+
+
+@pytest.mark.parametrize("ordinary", [200, 1600])
+def test_formulaic_insult_in_a_few_texts_is_evidence(spark, ordinary):
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(200 + ordinary):
+        words = [f"w{r.randrange(300)}" for _ in range(40)]
+        if i < 24:
+            words[10:10] = ["you", "utter", "gronk"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i < 200)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    ids = model.numbers(toxicity._hashes([b"you", b"utter", b"gronk", b"w1"]))
+    assert ids.max() < len(model.words)
+    insult, plain = (model.evidence(ids[at], np.array([0, len(at)]))[0, 0] for at in ([3, 0, 1, 2], [3, 3, 3, 3]))
+    assert insult > 0.01 and insult > plain
