@@ -11,7 +11,7 @@ are cut alike in their interior, whatever stands before them.
 A fingerprint lists the smallest names of the third level, some 30 bytes of text each;
 texts with few of those add the second and first level. The likeness of two fingerprints
 is the share of names they have in common (twice the common ones over both), estimated
-from the smallest names of the union.
+from the names up to the largest one of each full list, which may be cut.
 
 Defined results: null text = empty text, whose fingerprint is empty; equal fingerprints
 have likeness 1, an empty and another one 0; texts of any length are parsed whole; rows
@@ -93,7 +93,8 @@ def _level(names: np.ndarray, doc: np.ndarray, raw: bool) -> tuple[np.ndarray, n
 
 
 def fingerprints(texts: list[bytes], size: int = SIZE) -> list[str]:
-    """Fingerprint of each text: per level, the smallest names as 32-bit hex."""
+    """Fingerprint of each text: per level, the smallest names as 32-bit hex, `size` or a
+    quarter of them, whichever is more."""
     out: list[list[str]] = [[] for _ in texts]
     names = np.frombuffer(b"".join(texts), np.uint8)
     doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -109,7 +110,8 @@ def fingerprints(texts: list[bytes], size: int = SIZE) -> list[str]:
         for k in range(LEVELS - 1, -1, -1):
             own = levels[k][0][edges[k][i]:edges[k][i + 1]]
             if len(own):
-                own = np.unique(own >> np.uint64(32))[:size]
+                own = np.unique(own >> np.uint64(32))
+                own = own[:max(size, len(own) // 4)]
                 parts.append("".join(map("%08x".__mod__, own.tolist())))
             if len(own) >= FEW:
                 break
@@ -125,7 +127,8 @@ def likeness(a: str, b: str, size: int = SIZE) -> float:
     common = every = 0.0
     for x, y in zip(a.split("."), b.split("."), strict=False):
         x, y = ({s[k:k + 8] for k in range(0, len(s), 8)} for s in (x, y))
-        least = sorted(x | y)[:size] if min(len(x), len(y)) >= size else x | y
+        top = min((max(z) for z in (x, y) if len(z) >= size), default="g")  # a full list may be cut
+        least = [n for n in x | y if n <= top]
         both = sum(n in x and n in y for n in least)
         common, every = common + both, every + len(least)
     j = common / every if every else 0.0

@@ -164,3 +164,17 @@ def test_search_few_rows(spark):
     got = sorted(map(tuple, topk.search(df, F.col("id") == 0, 5).collect()))
     assert got == [(0, 1, 1, 16384), (0, 2, 2, -65536)]
     assert topk.search(df.where("false"), F.col("id") == 0, 5).count() == 0
+
+
+def test_likeness_of_a_cut_and_a_whole_list():
+    names = sorted(random.Random(1).sample(range(1 << 32), 128))
+    listed = lambda x: "".join(map("%08x".__mod__, sorted(x)[:64]))
+    part = random.Random(2).sample(names, 60)
+    got = fingerprints.likeness(listed(names), listed(part))
+    assert abs(got - 2 * 60 / 188) < 0.1 and got == fingerprints.likeness(listed(part), listed(names))
+
+
+def test_kept_names_grow_with_the_text():
+    r = random.Random(7)
+    text = bytes(r.randrange(97, 123) for _ in range(60_000))
+    assert len(fingerprints.fingerprints([text])[0].split(".")[0]) > 64 * 8
