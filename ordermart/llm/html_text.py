@@ -85,7 +85,7 @@ TOKEN = re.compile(
     r"|<(script|style|noscript|template|textarea|iframe|xmp|noembed|noframes)\b[^>]*+>.*?(?:</\1\s*+[^>]*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^>]*+>|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NAMES = re.compile(r"(?:^|\s)(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
 @dataclass
@@ -98,8 +98,12 @@ class Block:
     around: bool
 
 
-def _names(attributes: str) -> str:
-    return " ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else ""
+def _names(attributes: str, inside: bool) -> str:
+    """Inside an article an id or label is often a heading's slug: only whole values count."""
+    if "=" not in attributes:
+        return ""
+    found = ((k.lower(), a or b or c) for k, a, b, c in NAMES.findall(attributes))
+    return " ".join(v for k, v in found if not inside or k in ("class", "role") or MARKED.fullmatch(v.strip()))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -151,7 +155,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag in VOID or m[4].endswith("/") and tag in SILENT:
                 continue
             _, inside, around, silent = stack[-1]
-            names = "" if tag in ("html", "body") else _names(m[4])
+            names = "" if tag in ("html", "body") else _names(m[4], inside)
             marked = MARKED.search(names) if names else None
             if marked and tag not in ("article", "main") or marked and marked[1]:
                 around = 2 if marked[1] or around == 2 else 1

@@ -309,3 +309,11 @@ def test_formulaic_insult_in_a_few_texts_is_evidence(spark, ordinary):
     assert ids.max() < len(model.words)
     insult, plain = (model.evidence(ids[at], np.array([0, len(at)]))[0, 0] for at in ([3, 0, 1, 2], [3, 3, 3, 3]))
     assert insult > 0.01 and insult > plain
+
+
+def test_heading_slugs_are_no_marks():
+    page = """<article><h1>Title of it</h1><p>Some words before.</p><h2 id="side-effects">Side effects</h2><p>They are few.</p>
+<section id="related-work"><h3 id="form-and-function">Form and function</h3><p>Others did this.</p></section>
+<div id="comments"><p>I like it.</p></div><div class="share-box">Share this</div></article>"""
+    want = "Title of it\nSome words before.\nSide effects\nThey are few.\nForm and function\nOthers did this."
+    assert html_text.main_texts([page], html_text.default_tree()) == [want]
