@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ordermart.llm import bpe, fingerprints, html_text, jaccard, licenses, lm, packing, pii, topk, toxicity
+from ordermart.llm import bpe, collocations, fingerprints, html_text, jaccard, licenses, lm, packing, pii, ranked_search, topk, toxicity
 
 QUERIES = {
     "op6_patience_licenses": licenses.op6_patience_licenses,
@@ -17,8 +17,12 @@ QUERIES = {
     "op8_pii_spans": pii.op8_pii_spans,
     "op4_curve_packing": packing.op4_curve_packing,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op12_toivonen_collocations": collocations.op12_toivonen_collocations,
+    "op13_range_maximum_search": ranked_search.op13_range_maximum_search,
 }
 
 ORACLE_SQL = {
     "op9_uniform_threshold": topk.ORACLE,
+    "op12_toivonen_collocations": collocations.ORACLE,
+    "op13_range_maximum_search": ranked_search.ORACLE,
 }
