@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ordermart.llm import bpe, collocations, fingerprints, html_text, jaccard, licenses, lm, packing, pii, ranked_search, topk, toxicity
+from ordermart.llm import bpe, collocations, fingerprints, html_text, jaccard, licenses, lm, minhash, packing, pii, ranked_search, topk, toxicity
 
 QUERIES = {
     "op6_patience_licenses": licenses.op6_patience_licenses,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_pii_spans": pii.op8_pii_spans,
     "op4_curve_packing": packing.op4_curve_packing,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_tensored_minhash": minhash.op11_tensored_minhash,
     "op12_toivonen_collocations": collocations.op12_toivonen_collocations,
     "op13_range_maximum_search": ranked_search.op13_range_maximum_search,
 }
