@@ -7,13 +7,15 @@ similarity s meets in a table unless one collection has no common half key:
 (1 - (1 - s^3)^14)^2, 0.99991 at 0.8 and 0.9999999 at 0.9. Then, exactly:
 
 * Stars. In the 14 tables of equal numbers, each key's nodes are compared on their full sets with
-  the key's smallest node; links that hold make components. That is one row a node and table.
-* Rests. Half keys whose nodes are all in one component, or that only one node has, can't bring
+  the key's smallest node, one row a node and table. The nodes that hold a link with the same
+  node, the smallest of theirs, are a clump.
+* Rests. Half keys whose nodes are all in one clump, or that only one node has, can't bring
   anything new and are left out; from the others' pairs come the keys of all tables. Within a key,
-  in one task and without emitting pairs, nodes of different components are compared by size and
+  in one task and without emitting pairs, nodes of different clumps are compared by size and
   by the bytes of their minhashes (below AGREE of 84 a pair of 0.8 has a chance of 1e-7); a spanning
   forest of what is possible goes out. In its families the full sets of nodes of different
-  components are intersected, until those that link are connected.
+  clumps are intersected, until those that link are connected.
+* Components are those of the clumps, so that large groups of near copies are few edges.
 
 Keys or families of more than a block go to tasks by pairs of blocks, except two blocks of the
 same component. Sets of keys that the tasks test first are bitmaps of fixed size (more rows at
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 
 from ordermart.llm import bits
 from ordermart.llm.common import binary_array, clean, columns, spans, stored, table, with_id
-from ordermart.llm.jaccard import components, node_of, shingle_sets
+from ordermart.llm.graph import components
+from ordermart.llm.jaccard import node_of, shingle_sets
 
 WIDTH, PERCENT = 4, 80
 HALVES, ROWS = 14, 3
@@ -237,8 +240,8 @@ def _exact(percent: int):
     """Forest of the links between different components of each family, by full sets."""
 
     def run(batches):
-        for node, n, component, s in _runs(batches, ["node", "n", "component", "s"]):
-            length = n.to_numpy().astype(np.int64)
+        for n, component, s in _runs(batches, ["n", "component", "s"]):
+            length, component = n.to_numpy().astype(np.int64), component.to_numpy()
             every, at = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in s]), return_inverse=True)
             starts = np.cumsum(length) - length
             mark = np.zeros(len(every), bool)
@@ -251,9 +254,9 @@ def _exact(percent: int):
                 mark[own] = False
                 return 100 * overlap >= percent * (length[i] + length[rest] - overlap)
 
-            found = _forest(length, component.to_numpy(), percent, near)
+            found = _forest(length, component, percent, near)
             if found:
-                yield _edges(node.to_numpy(), found)
+                yield _edges(component, found)
 
     return run
 
@@ -262,7 +265,9 @@ def _dealt(rows: DataFrame, by: str, size: str, most: int) -> DataFrame:
     """rows with (part): groups of at most `most`, summed up by `size`, whole; the rows of larger
     ones by pairs of blocks, so that rows of different components meet in a part. A component
     over half a part has blocks of its own, of which no two meet; the small ones share blocks."""
-    total = rows.groupBy(by).agg(F.sum(size).alias("_all")).where(F.col("_all") > most).select(by)
+    total = stored(rows.groupBy(by).agg(F.sum(size).alias("_all")).where(F.col("_all") > most).select(by), "large")
+    if total.isEmpty():
+        return rows.withColumn("part", F.xxhash64(by))
     each = rows.join(total, by, "left_semi").groupBy(by, "component").agg(F.sum(size).alias("_own"))
     half = max(1, most // 2)
     each = each.withColumn("_large", F.col("_own") > half)
@@ -283,8 +288,8 @@ def _dealt(rows: DataFrame, by: str, size: str, most: int) -> DataFrame:
     return whole.unionByName(split)
 
 
-def _links(nodes: DataFrame, rows: DataFrame, width: int, percent: int, agree: int, block: int, family: int) -> DataFrame:
-    """(a, b) links that connect all nodes whose sets are similar and meet in a table."""
+def _components(nodes: DataFrame, rows: DataFrame, width: int, percent: int, agree: int, block: int, family: int) -> DataFrame:
+    """(node, component) of all nodes by the links of those whose sets are similar and meet in a table."""
     alone = nodes.withColumn("component", F.col("node"))
     near = _tables(alone, _open(_half_rows(alone)), diagonal=True)
     star = near.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
@@ -292,8 +297,10 @@ def _links(nodes: DataFrame, rows: DataFrame, width: int, percent: int, agree: i
     ends = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
     sets = _sets(rows, nodes.join(ends, "node", "left_semi"), width)
     first = stored(_verified(pairs, sets, percent), "links")
-    label = stored(components(first), "label")
-    known = stored(nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
+    clump = stored(first.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")), "clumps")
+    known = stored(nodes.join(clump, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
+    own = clump.join(first.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    between = first.join(clump, F.col("b") == F.col("node")).where("a <> component").select("a", F.col("component").alias("b"))
     halves = _open(_half_rows(known))
     open_ = stored(_tables(known, halves, False, _open(_tables(known, halves, False))), "open")
     dealt = _dealt(open_.withColumn("one", F.lit(1)), "key", "one", block).join(known.select("node", "n", "checks"), "node")
@@ -304,7 +311,9 @@ def _links(nodes: DataFrame, rows: DataFrame, width: int, percent: int, agree: i
     sets = _sets(rows, members, width)
     dealt = _dealt(members.select("node", "n", "component", "family"), "family", "n", family).join(sets, "node")
     dealt = dealt.select("part", "n", "node", "component", "s").repartition("part").sortWithinPartitions("part", "n", "node")
-    return first.unionByName(stored(dealt.mapInArrow(_exact(percent), "a long, b long"), "links"))
+    rest = dealt.mapInArrow(_exact(percent), "a long, b long")
+    found = components(own.unionByName(between).unionByName(rest)).withColumnRenamed("node", "clump").withColumnRenamed("component", "least")
+    return known.join(found, F.col("component") == F.col("clump"), "left").select("node", F.coalesce("least", "component").alias("component"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
@@ -314,11 +323,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     every = stored(_signatures(rows, width), "signatures")
     some = every.where("node is not null")
     nodes = stored(some.groupBy("node", "n").agg(*(F.min(c).alias(c) for c in ("doc_id", "halves", "checks"))), "nodes")
-    label = components(_links(nodes, rows, width, percent, agree, block, family))
-    first = nodes.select("node", F.col("doc_id").alias("first"))
-    name = label.join(first, "node").groupBy("component").agg(F.min("first").alias("least"))
-    known = label.join(name, "component").select("node", "least")
-    classes = stored(first.join(known, "node", "left").select("node", F.coalesce("least", "first").alias("component_id")), "classes")
+    label = stored(_components(nodes, rows, width, percent, agree, block, family), "labels")
+    name = label.join(nodes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    classes = stored(label.join(name, "component").select("node", "component_id"), "classes")
     out = every.select("doc_id", "node", "n").join(classes, "node", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
