@@ -11,7 +11,9 @@
   proposed, a failure, or longer than a failure and counted in that pass.
 
 Tasks name the phrases of a block of text exactly, by the name of the first part and the last
-word, and send each distinct phrase once with its count; Spark adds them up by the phrase itself.
+word, and send each distinct one once with its count. Proposed phrases are added up by the phrase
+itself. Border phrases, mostly rare, are added up by a hash, which gives at least their counts:
+what reaches the threshold so is a failure, and the next pass counts it by the phrase too.
 The proposed set goes to the tasks as a bitmap of fixed size; hashes only let more phrases be
 counted, never fewer. Scoring joins the frequent phrases with their parts, in exact decimals.
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,7 +71,7 @@ class Block:
         words = binary_array(kept, at).dictionary_encode()
         row = np.searchsorted(rows, starts, "right") - 1
         self.code = words.indices.to_numpy().astype(np.int64)
-        self.piece = np.cumsum(SEPARATOR[data])[starts] + row
+        self.piece = np.cumsum(SEPARATOR[data], dtype=np.int32)[starts] + row
         kinds = langs.dictionary_encode()
         self.langs = kinds.dictionary
         self.lang = kinds.indices.to_numpy().astype(np.int64)[row]
@@ -84,10 +87,10 @@ class Block:
         return binary_array(self.text[spans(self.at[at], length)], np.concatenate([[0], np.cumsum(length)]), pa.string())
 
     def levels(self, most: int, proposed):
-        """(k, first position, hash, count, before) of each distinct phrase whose parts are
-        proposed, level by level. proposed(k, hashes) -> two masks: is it proposed now, was it
-        in the pass before. In a second pass (the latter mask isn't None), before: whether that
-        pass counted the phrase; those that it didn't count as proposed too."""
+        """(k, first position, hash, count, proposed, counted) of each distinct phrase whose
+        parts are proposed, level by level. proposed(hashes) -> two masks: is it proposed now,
+        was it in the pass before (None: this is the first). counted: whether that pass counted
+        it by the phrase. What the border of the first pass missed is proposed in the second."""
         n = len(self.code)
         inside, was = np.ones(n, bool), np.zeros(n, bool)
         at, key, h = np.arange(n), self.lang * self.kinds + self.code, None
@@ -110,19 +113,21 @@ class Block:
             else:
                 h = _mix(hashes[first] + self.word_hash[self.code[first + k - 1]] + np.uint64(k))
                 before = was[first] & was[first + 1]
-            now, then = proposed(k, h)
-            yield k, first, h, count, before
+            now, then = proposed(h)
             inside, was = np.zeros(n, bool), np.zeros(n, bool)
-            if then is not None:
-                now = now | ~before
+            if then is None:
+                counted = np.zeros(len(first), bool)
+            else:
+                now, counted = now | ~before, before & (then | (k == most))
                 was[at] = (then & before)[inverse]
+            yield k, first, h, count, now, counted
             inside[at] = now[inverse]
             name[at], hashes[at] = inverse, h[inverse]
 
 
 def _blocks(batch: pa.RecordBatch):
     raw, offsets = byte_rows(batch.column(1))
-    for a, b in row_groups(offsets, 8 << 20):
+    for a, b in row_groups(offsets, 4 << 20):
         block = Block(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], batch.column(0)[a:b])
         if len(block.code):
             yield block
@@ -133,14 +138,14 @@ def _hash_counts(rows: DataFrame, level: int, bitmap: np.ndarray | None) -> Data
     sent = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        def proposed(k, h):
+        def proposed(h):
             return (np.ones(len(h), bool) if sent.value is None else bits.test(sent.value, h)), None
 
         for batch in columns(batches):
             weight = batch.column(2).to_numpy()
             for w in np.unique(weight).tolist():
                 for block in _blocks(batch.filter(pa.array(weight == w))):
-                    for k, _, h, count, _ in block.levels(level, proposed):
+                    for k, _, h, count, _, _ in block.levels(level, proposed):
                         if k == level or level == 2:
                             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count * w)], names=["key", "f"])
 
@@ -184,54 +189,50 @@ def _proposals(rows: DataFrame, least: int, words: int, sample: int, size: int)
 
 
 def _counted(rows: DataFrame, now: np.ndarray, then: np.ndarray | None, words: int) -> DataFrame:
-    """(lang, k, key, phrase, f) of every word (k = 0: of all words together), proposed phrase
-    and border phrase; with `then`, of those that it didn't let through."""
+    """(name, key, f) of every language's words (name: language, tab), proposed phrase (language,
+    tab, phrase) and border phrase (null); with `then`, the phrases that it left uncounted."""
     sent = rows.sparkSession.sparkContext.broadcast((now, then))
 
     def run(batches):
         now, then = sent.value
 
-        def proposed(k, h):
+        def proposed(h):
             return bits.test(now, h), (None if then is None else bits.test(then, h))
 
-        def out(block, lang, k, h, phrases, count):
-            names = block.langs.take(pa.array(lang))
-            return pa.RecordBatch.from_arrays([names, pa.array(np.full(len(lang), k, np.int32)), pa.array(h.view(np.int64)), phrases, pa.array(count)],
-                                              names=["lang", "k", "key", "phrase", "f"])
+        def out(block, lang, phrases, h, count):
+            names = pa.nulls(len(h), pa.string()) if phrases is None else pc.binary_join_element_wise(block.langs.take(pa.array(lang)), phrases, "\t")
+            return pa.RecordBatch.from_arrays([names, pa.array(h.view(np.int64)), pa.array(count)], names=["name", "key", "f"])
 
         for batch in columns(batches):
             for block in _blocks(batch):
                 if then is None:
                     n = np.bincount(block.lang, minlength=len(block.langs))
-                    yield out(block, np.arange(len(n)), 0, np.zeros(len(n), np.uint64), pa.array([""] * len(n)), n)
-                for k, first, h, count, before in block.levels(words, proposed):
-                    if then is not None:
-                        first, h, count = first[~before], h[~before], count[~before]
-                    for a in range(0, len(first), 200_000):
-                        b = slice(a, a + 200_000)
-                        yield out(block, block.lang[first[b]], k, h[b], block.phrases(first[b], k), count[b])
+                    yield out(block, np.arange(len(n)), pa.array([""] * len(n)), np.zeros(len(n), np.uint64), n)
+                for k, first, h, count, is_now, counted in block.levels(words, proposed):
+                    by_phrase = np.flatnonzero((is_now | (k == words)) & ~counted)
+                    for part in np.array_split(by_phrase, 1 + len(by_phrase) // 200_000):
+                        yield out(block, block.lang[first[part]], block.phrases(first[part], k), h[part], count[part])
+                    if then is None and k < words:
+                        yield out(block, None, None, h[~is_now], count[~is_now])
 
-    parts = rows.select("lang", "text").mapInArrow(run, "lang string, k int, key long, phrase string, f long")
-    return parts.groupBy("lang", "k", "key", "phrase").agg(F.sum("f").alias("f"))
+    parts = rows.select("lang", "text").mapInArrow(run, "name string, key long, f long")
+    return parts.groupBy("key", "name").agg(F.sum("f").alias("f"))
 
 
 def frequent(rows: DataFrame, least: int = LEAST, words: int = WORDS, sample: int = SAMPLE, size: int = bits.BITS) -> DataFrame:
     """(lang, k, phrase, f) of every phrase of 1 to `words` words with f >= least, and each
     language's number of words as k = 0; rows: (doc_id, lang, text) without nulls in the last two."""
     proposed = _proposals(rows, least, words, sample, size)
-    sent = rows.sparkSession.sparkContext.broadcast(proposed)
-    enough = (F.col("f") >= least) | (F.col("k") == 0)
+    enough = (F.col("f") >= least) | (F.col("key") == 0)
     found = stored(_counted(rows, proposed, None, words).where(enough), "phrases")
-
-    def failed(batches):
-        for batch in columns(batches):
-            yield batch.filter(pa.array(~bits.test(sent.value, batch.column(0).to_numpy().view(np.uint64))))
-
-    border = found.where((F.col("k") > 0) & (F.col("k") < words)).select("key").mapInArrow(failed, "key long")
-    failures = bits.bitmap_of(border, size)
+    failures = bits.bitmap_of(found.where("name is null").select("key"), size)
     if failures.any():
         found = found.unionByName(stored(_counted(rows, proposed | failures, proposed, words).where(enough), "phrases"))
-    return found.drop("key")
+    phrase = F.substring_index("name", "\t", -1)  # a language may hold a tab, a phrase can't
+    named = found.where("name is not null").select("name", phrase.alias("phrase"), "f")
+    lang = F.expr("substr(name, 1, length(name) - length(phrase) - 1)")
+    named = named.select(lang.alias("lang"), F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("k"), "phrase", "f")
+    return named.where((F.col("f") >= least) | (F.col("k") == 0))
 
 
 def collocations(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
