@@ -2,99 +2,142 @@
 
 For each class an interpolated bigram model is counted on labelled documents:
 
-    p(w | h) = max(c(h w) - D, 0) / c(h) + D * followers(h) / c(h) * p(w)
-    p(w)     = max(c(w) - D, 0) / N + D * types / N * shared(w)
-
-shared(w) is the continuation probability of the word over both classes' texts: in how
-many different contexts it stands. Every counted word and pair keeps its probabilities
-in both classes; a word of neither class backs off to the shared one. What the word, and
-beyond it the pair, adds to the log-likelihood ratio weighs by its support, smoothly and
-never zero where the classes differ: z^4 / (z^4 + EVEN^2), z = (2 x - 1) * root of its number
-of texts, x the toxic share of the smoothed shares of texts within each class. The classes'
-sizes cancel out in x. A document's evidence is the difference of its two log-likelihoods, so weighted, normalised by its number of words and by the root of it;
-a logistic curve over both, fitted on labelled documents that were not counted and
-shifted to the share of toxic ones among all labelled documents, turns it into a score.
-
-Bounds: at most `sample` labelled documents a class, by a hash of the id; all their words
-and word pairs, as 64-bit hashes, are what the executors get. The scoring reads every
-whole text once, without a shuffle.
+    p(w | h) = (max(c(h w) - D, 0) + (freed(h) + NU) * p(w)) / (c(h) + NU)
+    p(w)     = (max(c(w) - D, 0) + (freed + MU) * shared(w)) / (N + MU)
+
+freed is what the discount takes: of min(c, D) the sum over the words, or over the pairs that begin
+with h. shared(w) is the same for both classes: the discounted frequency of the word in both
+classes' texts, and beyond it its continuation probability, in how many different contexts it
+stands (and one more, which stands for words of neither). All counted words and pairs keep their
+probabilities in both classes; D, MU and NU say how far a class stays with what both share, so
+that rare expressions, in one class only by chance, weigh little. They are chosen out of
+STRENGTHS on labelled documents that were not counted, by the area under the curve.
+
+A document's evidence is the difference of its two log-likelihoods, normalised by its number of
+words and by the root of it, and the largest difference of any passage of 1, 5 and 20 words, for toxic
+expressions are few in long texts. A logistic curve over these, fitted on the same documents and
+shifted to the share of toxic ones among all labelled documents, turns them into a score. No
+held-out label takes part in any of this.
+
+Bounds: at most `sample` labelled documents a class, by a hash of the id, of at most `chars`
+characters together (and the rest of the document that passes them). All their words and
+word pairs are what the executors get: 16 bytes a pair, 52 a word, by 64-bit hashes. The scoring
+reads every whole text once, without a shuffle.
 
 Defined results: A-Z are lower-cased, words end at ASCII white space; null text = empty
-text = no evidence, scored by the share alone; a document's labels are joined by id,
-the largest one counts and null ones don't; without labels of both classes every score
+text = no evidence, scored by the curve at 0; a document's labels are joined by id,
+the largest one counts and null ones don't; without labels of both classes, counted and not counted, every score
 is the share of toxic ones (0 without labels); repeated rows are scored each; an empty
 table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import clean, columns, discard, stored, table, with_id, word_blocks
 
 SAMPLE = 10_000
+CHARS = 40_000_000
 LIMIT = 0.3
-DISCOUNT = 0.75
-EVEN = 150.0
+DISCOUNTS = (3, 10, 30)
+STRENGTHS = [(d, mu, nu) for d in DISCOUNTS for mu, nu in ((1e4, 1e2), (1e4, 1e4), (1e5, 1e5), (1e5, 1e6))]
+PASSAGES = (1, 5, 20)
+FEATURES = 2 + len(PASSAGES)
+PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
 class Model:
-    """words: hashes of the words by number, ascending; p, back, more: for each class the unigram probability,
-    a context's back-off weight, and what a known pair adds to it."""
-
-    words: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    p: np.ndarray | None = None
-    back: np.ndarray | None = None
-    pairs: np.ndarray | None = None
-    more: np.ndarray | None = None
-    trust: np.ndarray | None = None  # weight of each word's own evidence
-    trust_pairs: np.ndarray | None = None
+    """words: hashes, ascending; c, heads (2 x words): each class's count of the word and of the
+    pairs that it begins; freed: what each discount takes from the latter; contexts: different words before it, in
+    both classes; pairs: hashes, ascending; n (2 x pairs): their counts."""
+
+    words: np.ndarray
+    c: np.ndarray
+    heads: np.ndarray
+    freed: dict[int, np.ndarray]
+    contexts: np.ndarray
+    pairs: np.ndarray
+    n: np.ndarray
+    strength: tuple[int, float, float] = STRENGTHS[0]
     weights: np.ndarray | None = None
     share: float = 0.0
 
+    def probabilities(self, discount: int, mu: float) -> np.ndarray:
+        """(2 x words and, last, a word of neither class): p(w)."""
+        both = np.append(self.c.sum(axis=0, dtype=float), 0.0)
+        contexts = np.append(self.contexts, 1.0)
+        shared = np.maximum(both - discount, 0) + np.minimum(both, discount).sum() * contexts / contexts.sum()
+        shared /= shared.sum()
+        out = np.zeros((2, len(self.words) + 1))
+        for k in range(2):
+            c = np.append(self.c[k], 0.0)
+            out[k] = (np.maximum(c - discount, 0) + (np.minimum(c, discount).sum() + mu) * shared) / (c.sum() + mu)
+        return out
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word, the last one for words not in the model."""
         n = len(self.words)
-        if not n:
-            return np.zeros(len(hashes), np.int64)
         at = np.minimum(np.searchsorted(self.words, hashes), n - 1)
         return np.where(self.words[at] == hashes, at, n)
 
-    def evidence(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """(documents x 2): difference of the log-likelihoods over n and over root n.
-        ids: word numbers end to end, the last number for words not in the model."""
-        n = len(self.words)
-        if not len(ids):
-            return np.zeros((len(rows) - 1, 2))
-        before = np.append(n, ids[:-1])
-        before[rows[:-1][rows[:-1] < len(ids)]] = n  # a text's first word has no context
-        want = before.astype(np.int64) * (n + 1) + ids
-        at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
-        found = self.pairs[at] == want
-        own = np.log(self.p[1]) - np.log(self.p[0])
-        gain = (own * self.trust)[ids]
-        at, places = at[found], np.flatnonzero(found)
-        p = self.p[:, ids[places]] * self.back[:, before[places]] + self.more[:, at]
-        gain[places] += self.trust_pairs[at] * (np.log(p[1]) - np.log(p[0]) - own[ids[places]])
-        total = np.concatenate([[0.0], np.cumsum(gain, dtype=np.float64)])
-        total = total[rows[1:]] - total[rows[:-1]]
-        count = np.maximum(1, np.diff(rows))
-        return np.column_stack([total / count, total / np.sqrt(count)])
-
-    def scores(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        if self.weights is None:
-            return np.full(len(rows) - 1, self.share)
-        x = self.evidence(ids, rows)
-        odds = np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)
-        return 1 / (1 + np.exp(-odds))
+    def ratios(self, place: np.ndarray, at: np.ndarray, before: np.ndarray, discount: int, nu: float, p: np.ndarray) -> np.ndarray:
+        """log p1(w | h) - log p0(w | h) of each word: place of its pair, or -1; at and before:
+        numbers of the word and of the one before it; p: probabilities()."""
+        parts = []
+        for k in range(2):
+            heads, freed = np.append(self.heads[k], 0)[before], np.append(self.freed[discount][k], 0)[before]
+            seen = np.where(place >= 0, np.maximum(self.n[k][place] - discount, 0), 0)
+            parts.append(np.log(seen + (freed + nu) * p[k, at]) - np.log(heads + nu))
+        return parts[1] - parts[0]
+
+    def evidence(self, hashes: np.ndarray, rows: np.ndarray, strengths: list, p: list) -> np.ndarray:
+        """(strengths x documents x FEATURES): difference of the log-likelihoods over n and over root n,
+        and of the best passages. hashes: those of the words, end to end; p: probabilities()
+        for each strength."""
+        out = np.zeros((len(strengths), len(rows) - 1, FEATURES))
+        if not len(hashes):
+            return out
+        last = _before(hashes, rows)
+        key = pair_keys(last, hashes)
+        place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        place = np.where(self.pairs[place] == key, place, -1)
+        at, before = self.numbers(hashes), self.numbers(last)
+        count = np.diff(rows)
+        some = count > 0
+        first, count = rows[:-1][some], count[some]
+        ends = np.repeat(rows[1:], np.diff(rows))
+        for s, (discount, _, nu) in enumerate(strengths):
+            total = np.append(0.0, np.cumsum(self.ratios(place, at, before, discount, nu, p[s])))
+            whole = total[first + count] - total[first]
+            out[s, some, 0], out[s, some, 1] = whole / count, whole / np.sqrt(count)
+            for k, size in enumerate(PASSAGES):
+                passage = total[np.minimum(np.arange(len(hashes)) + size, ends)] - total[:-1]
+                out[s, some, 2 + k] = np.maximum.reduceat(passage, first)
+        return out
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)))
+
+
+def _before(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The word before each word, START at the beginning of a text."""
+    last = np.append(START, hashes[:-1])[:len(hashes)]
+    last[rows[:-1][rows[:-1] < len(hashes)]] = START
+    return last
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a.view(np.uint64) * PRIME + b.view(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * PRIME
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -110,73 +153,62 @@ START = int(_hashes([b" "])[0])  # before a text's first word; no word has white
 
 
 def _counts(batches):
-    """Words and word pairs in labelled texts, by their hashes, and the texts that have
-    them: (toxic, a, b, n, d); a is START for a text's first word, null for words alone."""
-    counts: Counter = Counter()
-    texts: Counter = Counter()
-
-    def flush():
-        keys = list(counts)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int64()),
-             pa.array([k[2] for k in keys], pa.int64()), pa.array([counts[k] for k in keys], pa.int64()),
-             pa.array([texts[k] for k in keys], pa.int64())], names=["toxic", "a", "b", "n", "d"])
-        counts.clear()
-        texts.clear()
-        return out
+    """(toxic, a, b, n): words (a is null) and word pairs, by hashes; a is START for a
+    text's first word."""
+    for batch in columns(batches):
+        toxic = batch.column(0).to_numpy()
+        for a, b, words, codes, rows in word_blocks(batch.column(1), lower=True, limit=4 << 20):
+            hashes = _hashes(words.to_pylist())[codes]
+            of = np.repeat(toxic[a:b], np.diff(rows))
+            last = _before(hashes, rows)
+            for t in np.unique(of).tolist():
+                word, n = np.unique(hashes[of == t], return_counts=True)
+                yield _count_rows(t, pa.nulls(len(word), pa.int64()), word, n)
+                _, first, n = np.unique(pair_keys(last, hashes)[of == t], return_index=True, return_counts=True)
+                yield _count_rows(t, pa.array(last[of == t][first]), hashes[of == t][first], n)
+
+
+def _count_rows(toxic: int, a: pa.Array, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), toxic, np.int32)), a, pa.array(b), pa.array(n.astype(np.int64))],
+                                      names=["toxic", "a", "b", "n"])
+
+
+def _counted(texts: DataFrame) -> Model | None:
+    """Model of the counts of texts (toxic, text)."""
+    parts = texts.select("toxic", "text").mapInArrow(_counts, "toxic int, a long, b long, n long")
+    per = [F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)).cast("int").alias(f"n{t}") for t in (0, 1)]
+    total = stored(parts.groupBy("a", "b").agg(*per), "counts")
+    pair = total.where("a is not null")
+    heads = pair.groupBy(F.col("a").alias("word")).agg(*(F.sum(f"n{t}").cast("int").alias(f"h{t}") for t in (0, 1)),
+                                                       *(F.sum(F.least(F.col(f"n{t}"), F.lit(d))).cast("int").alias(f"f{d}{t}") for d in DISCOUNTS for t in (0, 1)))
+    contexts = pair.groupBy(F.col("b").alias("word")).agg(F.count("*").cast("int").alias("contexts"))
+    every = total.where("a is null").select(F.col("b").alias("word"), "n0", "n1").join(heads, "word", "full").join(contexts, "word", "left")
+    words = every.select("word", *(F.coalesce(c, F.lit(0)).alias(c) for c in every.columns if c != "word")).toArrow()
+    pairs = pair.mapInArrow(_keyed, "key long, n0 int, n1 int").toArrow()  # of at most 2 * (chars + a document)
+    discard(total)
+    if not len(pairs):
+        return None
+    order = np.argsort(words["word"].to_numpy())
+    c = {name: words[name].to_numpy()[order] for name in words.column_names}
+    key = pairs["key"].to_numpy()
+    order = np.argsort(key)
+    return Model(c["word"], np.stack([c["n0"], c["n1"]]), np.stack([c["h0"], c["h1"]]), {d: np.stack([c[f"f{d}0"], c[f"f{d}1"]]) for d in DISCOUNTS}, c["contexts"],
+                 key[order], np.stack([pairs[n].to_numpy()[order] for n in ("n0", "n1")]))
+
 
+def _keyed(batches):
     for batch in columns(batches):
-        toxic = batch.column(0).to_pylist()
-        for a, _, words, codes, rows in word_blocks(batch.column(1), lower=True, limit=1 << 18):
-            words = _hashes(words.to_pylist()).tolist()
-            for i in range(len(rows) - 1):
-                text = [START, *(words[c] for c in codes[rows[i]:rows[i + 1]])]
-                t = toxic[a + i]
-                own = Counter((t, x, y) for x, y in zip(text, text[1:], strict=False))
-                own.update((t, None, y) for y in text[1:])
-                counts.update(own)
-                texts.update(own.keys())
-            if len(counts) > 300_000:
-                yield flush()
-    if counts:
-        yield flush()
-
-
-def _trust(d: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Weight of expressions that stand in d (2 x expressions) of the classes' texts."""
-    rate = (d + (texts / texts.sum())[:, None]) / texts[:, None]
-    z2 = (2 * rate[1] / rate.sum(axis=0) - 1) ** 2 * d.sum(axis=0)
-    return (z2 * z2 / (z2 * z2 + EVEN * EVEN)).astype(np.float32)
-
-
-def _fitted(words: np.ndarray, pairs: np.ndarray, texts: np.ndarray) -> Model:
-    """Model of (word, n0, n1, texts 0, 1, contexts) and (a, b, n0, n1, texts 0, 1) rows,
-    all that were counted; texts: the number of texts of each class."""
-    words = words[np.argsort(words[:, 0])]
-    model = Model(words[:, 0].copy())
-    n = len(words)
-    c, contexts = words[:, 1:3].T.astype(float), np.append(words[:, 5], 1.0)
-    total = np.maximum(1, c.sum(axis=1))
-    shared = contexts / contexts.sum()
-    taken = np.zeros((2, n + 1))
-    taken[:, :n] = np.maximum(c - DISCOUNT, 0) / total[:, None]
-    model.p = (taken + (1 - taken.sum(axis=1))[:, None] * shared).astype(np.float32)
-    model.trust = np.append(_trust(words[:, 3:5].T, texts), np.float32(0))  # unknown: nothing of either class
-    heads = np.maximum(1, c)
-    left = model.numbers(pairs[:, 0])
-    keys = left * (n + 1) + model.numbers(pairs[:, 1])
-    order = np.argsort(keys)
-    model.pairs, left = keys[order], left[order]
-    more = np.maximum(pairs[order, 2:4].T - DISCOUNT, 0) / heads[:, left]
-    back = np.ones((2, n + 1))
-    for k in range(2):
-        back[k] -= np.bincount(left, more[k], n + 1)
-    model.back, model.more = back.astype(np.float32), more.astype(np.float32)
-    model.trust_pairs = _trust(pairs[order, 4:6].T, texts)
-    if not len(keys):
-        model.trust_pairs = np.zeros(1, np.float32)
-        model.pairs, model.more = np.array([-1], np.int64), np.zeros((2, 1), np.float32)
-    return model
+        a, b = (batch.column(k).to_numpy() for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(pair_keys(a, b)), batch.column(2), batch.column(3)], names=["key", "n0", "n1"])
+
+
+def _area(x: np.ndarray, y: np.ndarray) -> float:
+    """Area under the curve of scores x for labels y."""
+    order = np.argsort(x, kind="stable")
+    _, inverse, n = np.unique(x, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(n) - (n - 1) / 2)[inverse]
+    ones = y.sum()
+    return float((rank[y > 0].sum() - ones * (ones + 1) / 2) / (ones * (len(order) - ones)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
@@ -199,65 +231,75 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     return w
 
 
-def _numbered(model: Model, column: pa.Array):
-    """(first row, row after the last, word numbers, row offsets) block by block."""
-    for a, b, words, codes, rows in word_blocks(column, lower=True):
-        yield a, b, model.numbers(_hashes(words.to_pylist()))[codes], rows
+def _hashed(column: pa.Array):
+    """(first row, row after the last, hash of every word, row offsets) block by block."""
+    for a, b, words, codes, rows in word_blocks(column, lower=True, limit=4 << 20):
+        yield a, b, _hashes(words.to_pylist())[codes], rows
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Model from the labelled rows that are not held out."""
-    spark = df.sparkSession
+def sampled(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, chars: int) -> tuple[DataFrame, float]:
+    """(toxic, counted, text) of the learnable labelled documents of the sample, and the share
+    of toxic ones among all learnable labels."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("doc_id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
     count = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = count.get(1, 0) / max(1, sum(count.values()))
-    if len(count) < 2:
-        return Model(share=share)
     order = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(sample) for t in (0, 1)]
-    chosen = chosen[0].unionByName(chosen[1]).withColumn("counted", order % 3 != 0)
-    texts = clean(df, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # 2 * sample rows
-    parts = texts.where("counted").select("toxic", "text").mapInArrow(_counts, "toxic int, a long, b long, n long, d long")
-    per = [F.sum(F.when(F.col("toxic") == t, F.col(x)).otherwise(0)).alias(f"{x}{t}") for x in "nd" for t in (0, 1)]
-    total = stored(parts.groupBy("a", "b").agg(*per), "counts")
-    contexts = total.where("a is not null").groupBy("b").agg(F.count("*"))
-    each = total.where("a is null").drop("a").join(contexts, "b")
-    by = {r["toxic"]: r["n"] for r in texts.where("counted").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    flat = lambda rows: np.column_stack([c.to_numpy() for c in rows.toArrow().columns])
-    words, pairs = flat(each), flat(total.where(F.col("a") != START))  # of at most 2 * sample texts
-    discard(total)
-    if not len(words):
-        return Model(share=share)
-    model = _fitted(words, pairs, np.array([max(1, by.get(t, 0)) for t in (0, 1)], float))
-    model.share = share
-    sent = spark.sparkContext.broadcast(model)
+    chosen = chosen[0].unionByName(chosen[1]).withColumn("place", order)
+    texts = stored(clean(df, id_col, text_col).join(F.broadcast(chosen), "doc_id"), "sample")  # 2 * sample rows
+    so_far = F.sum(F.length("text")).over(Window.partitionBy("toxic").orderBy("place", "doc_id"))
+    fits = texts.select("doc_id", "toxic", "place", (so_far - F.length("text") < chars).alias("fits"))
+    fits = fits.groupBy("doc_id").agg(F.max("fits").alias("fits")).where("fits")
+    texts = texts.join(F.broadcast(fits), "doc_id", "left_semi")
+    return texts.select("toxic", (F.col("place") % 3 != 0).alias("counted"), "text"), count.get(1, 0) / max(1, sum(count.values()))
+
+
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic", sample: int = SAMPLE, chars: int = CHARS) -> Model | float:
+    """Model from the labelled rows that are not held out; the share of toxic ones where
+    they don't allow one."""
+    texts, share = sampled(df, labels, id_col, text_col, label_col, sample, chars)
+    if not 0 < share < 1:
+        return share
+    model = _counted(texts.where("counted"))
+    if model is None:
+        return share
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
+        model = sent.value
+        p = [model.probabilities(d, mu) for d, mu, _ in STRENGTHS]
         for batch in columns(batches):
-            for a, b, ids, rows in _numbered(sent.value, batch.column(1)):
-                x = sent.value.evidence(ids, rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "x", "z"])
+            for a, b, hashes, rows in _hashed(batch.column(1)):
+                x = model.evidence(hashes, rows, STRENGTHS, p)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(list(x.transpose(1, 0, 2).reshape(b - a, -1)))], names=["toxic", "x"])
 
-    rest = texts.where("not counted").select("toxic", "text").mapInArrow(measure, "toxic int, x double, z double").collect()
+    rest = texts.where("not counted").select("toxic", "text").mapInArrow(measure, "toxic int, x array<double>").collect()
     y = np.array([r["toxic"] for r in rest], float)
-    if 0 < y.sum() < len(y):
-        model.weights = _logistic(np.array([[r["x"], r["z"]] for r in rest]), y, share)
+    if not 0 < y.sum() < len(y):
+        return share
+    x = np.array([r["x"] for r in rest]).reshape(len(rest), len(STRENGTHS), FEATURES)
+    fitted = [_logistic(x[:, s], y, share) for s in range(len(STRENGTHS))]
+    best = max(range(len(STRENGTHS)), key=lambda s: _area(x[:, s] @ fitted[s][1:], y))
+    model.strength, model.weights, model.share = STRENGTHS[best], fitted[best], share
     return model
 
 
-def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(df: DataFrame, model: Model | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    rows = clean(df, id_col, text_col)
+    if not isinstance(model, Model):
+        return rows.select(F.col("doc_id").alias(id_col), F.lit(float(model)).alias("score"))
+    sent = df.sparkSession.sparkContext.broadcast(model)  # of at most 2 * (chars + a document)
 
     def run(batches):
+        model = sent.value
+        p = [model.probabilities(*model.strength[:2])]
         for batch in columns(batches):
-            for a, b, ids, rows in _numbered(sent.value, batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sent.value.scores(ids, rows))],
-                                                 names=["doc_id", "score"])
+            for a, b, hashes, rows in _hashed(batch.column(1)):
+                x = model.evidence(hashes, rows, [model.strength], p)[0]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(model.scores(x))], names=["doc_id", "score"])
 
-    rows = clean(df, id_col, text_col)
     return rows.mapInArrow(run, with_id(rows, "score double")).withColumnRenamed("doc_id", id_col)
 
 
