@@ -25,17 +25,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest doc_id. Of
-    rows that repeat a doc_id one stays; rows without a doc_id all stay."""
-    found = jaccard.near_duplicates(docs)
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    """One row of each group of near duplicates: that with the smallest doc_id (null ids last).
+    Rows, not ids, are joined and dropped, so repeated and null ids take no other text along."""
+    row = next(n for n in ("row", *(f"row{k}" for k in range(len(docs.columns)))) if n.lower() not in map(str.lower, docs.columns))
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = jaccard.near_duplicates(keyed, row).select(row, F.col("component_id").alias("_group"))
+    several = found.where(F.col(row) != F.col("_group")).select("_group").distinct()
+    members = stored(found.join(several, "_group", "left_semi"), "members")
+    ids = members.join(keyed.select(row, F.col("doc_id").alias("_id")), row)
+    stays = ids.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", row)).alias("_first")).select("_group", F.col(f"_first.{row}").alias("_stays"))
+    gone = stored(members.join(stays, "_group").where(F.col(row) != F.col("_stays")).select(row), "gone")
     few = gone.count() <= jaccard.IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
-    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    return keyed.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
