@@ -20,9 +20,10 @@ shifted to the share of toxic ones among all labelled documents, turns them into
 held-out label takes part in any of this.
 
 Bounds: at most `sample` labelled documents a class, by a hash of the id, of at most `chars`
-characters together (and the rest of the document that passes them). All their words and
-word pairs are what the executors get: 16 bytes a pair, 52 a word, by 64-bit hashes. The scoring
-reads every whole text once, without a shuffle.
+characters together (and the rest of the document that passes them). What the least discount
+takes whole, in both classes, is the same to the models as what was never seen (its shared part
+is the same in both and cancels out), so only sums over such words and pairs are kept. The others,
+by 64-bit hashes, are what the executors get. The scoring reads every whole text once, without a shuffle.
 
 Defined results: A-Z are lower-cased, words end at ASCII white space; null text = empty
 text = no evidence, scored by the curve at 0; a document's labels are joined by id,
@@ -56,8 +57,9 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 @dataclass
 class Model:
     """words: hashes, ascending; c, heads (2 x words): each class's count of the word and of the
-    pairs that it begins; freed: what each discount takes from the latter; contexts: different words before it, in
-    both classes; pairs: hashes, ascending; n (2 x pairs): their counts."""
+    pairs that it begins; freed: what each discount takes from the latter; contexts: different words
+    before it, in both classes; pairs: hashes, ascending; n (2 x pairs): their counts; sums, over
+    all words: counts and contexts, and for each discount what it takes of the words."""
 
     words: np.ndarray
     c: np.ndarray
@@ -66,25 +68,27 @@ class Model:
     contexts: np.ndarray
     pairs: np.ndarray
     n: np.ndarray
+    sums: dict[str, int]
     strength: tuple[int, float, float] = STRENGTHS[0]
     weights: np.ndarray | None = None
     share: float = 0.0
 
     def probabilities(self, discount: int, mu: float) -> np.ndarray:
-        """(2 x words and, last, a word of neither class): p(w)."""
-        both = np.append(self.c.sum(axis=0, dtype=float), 0.0)
-        contexts = np.append(self.contexts, 1.0)
-        shared = np.maximum(both - discount, 0) + np.minimum(both, discount).sum() * contexts / contexts.sum()
-        shared /= shared.sum()
+        """(2 x words and, last, any other word, up to its shared part): p(w)."""
+        both = self.c.sum(axis=0, dtype=float)
+        shared = np.maximum(both - discount, 0) + self.sums[f"b{discount}"] * self.contexts / (self.sums["contexts"] + 1.0)
+        shared = np.append(shared / (self.sums["c0"] + self.sums["c1"]), 1.0)
         out = np.zeros((2, len(self.words) + 1))
         for k in range(2):
-            c = np.append(self.c[k], 0.0)
-            out[k] = (np.maximum(c - discount, 0) + (np.minimum(c, discount).sum() + mu) * shared) / (c.sum() + mu)
+            seen = np.append(np.maximum(self.c[k] - float(discount), 0), 0.0)
+            out[k] = (seen + (self.sums[f"f{discount}{k}"] + mu) * shared) / (self.sums[f"c{k}"] + mu)
         return out
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word, the last one for words not in the model."""
         n = len(self.words)
+        if not n:
+            return np.zeros(len(hashes), np.int64)
         at = np.minimum(np.searchsorted(self.words, hashes), n - 1)
         return np.where(self.words[at] == hashes, at, n)
 
@@ -183,17 +187,22 @@ def _counted(texts: DataFrame) -> Model | None:
                                                        *(F.sum(F.least(F.col(f"n{t}"), F.lit(d))).cast("int").alias(f"f{d}{t}") for d in DISCOUNTS for t in (0, 1)))
     contexts = pair.groupBy(F.col("b").alias("word")).agg(F.count("*").cast("int").alias("contexts"))
     every = total.where("a is null").select(F.col("b").alias("word"), "n0", "n1").join(heads, "word", "full").join(contexts, "word", "left")
-    words = every.select("word", *(F.coalesce(c, F.lit(0)).alias(c) for c in every.columns if c != "word")).toArrow()
-    pairs = pair.mapInArrow(_keyed, "key long, n0 int, n1 int").toArrow()  # of at most 2 * (chars + a document)
-    discard(total)
-    if not len(pairs):
+    words = stored(every.select("word", *(F.coalesce(c, F.lit(0)).alias(c) for c in every.columns if c != "word")), "words")
+    least = min(DISCOUNTS)
+    sums = words.agg(*(F.sum(f"n{t}").alias(f"c{t}") for t in (0, 1)), F.sum("contexts").alias("contexts"),
+                     *(F.sum(F.least(f"n{t}", F.lit(d))).alias(f"f{d}{t}") for d in DISCOUNTS for t in (0, 1)),
+                     *(F.sum(F.least(F.col("n0") + F.col("n1"), F.lit(d))).alias(f"b{d}") for d in DISCOUNTS)).first().asDict()
+    if not sums["contexts"]:
         return None
+    words = words.where(f"greatest(n0, n1, h0, h1) > {least}").toArrow()  # of at most 2 * (chars + a document)
+    pairs = pair.where(f"greatest(n0, n1) > {least}").mapInArrow(_keyed, "key long, n0 int, n1 int").toArrow()
+    discard(total)
     order = np.argsort(words["word"].to_numpy())
     c = {name: words[name].to_numpy()[order] for name in words.column_names}
-    key = pairs["key"].to_numpy()
+    key = np.append(pairs["key"].to_numpy(), np.int64(0))  # one entry at least
     order = np.argsort(key)
     return Model(c["word"], np.stack([c["n0"], c["n1"]]), np.stack([c["h0"], c["h1"]]), {d: np.stack([c[f"f{d}0"], c[f"f{d}1"]]) for d in DISCOUNTS}, c["contexts"],
-                 key[order], np.stack([pairs[n].to_numpy()[order] for n in ("n0", "n1")]))
+                 key[order], np.stack([np.append(pairs[n].to_numpy(), 0)[order] for n in ("n0", "n1")]), sums)
 
 
 def _keyed(batches):
