@@ -11,7 +11,8 @@
   proposed, a failure, or longer than a failure and counted in that pass.
 
 Tasks name the phrases of a block of text exactly, by the name of the first part and the last
-word, and send each distinct one once with its count. Proposed phrases are added up by the phrase
+word, and send each distinct one once with its count, packed by buckets of a hash; the buckets
+are shuffled, and a task adds up one after another. Proposed phrases are added up by the phrase
 itself. Border phrases, mostly rare, are added up by a hash, which gives at least their counts:
 what reaches the threshold so is a failure, and the next pass counts it by the phrase too.
 The proposed set goes to the tasks as a bitmap of fixed size; hashes only let more phrases be
@@ -40,6 +41,7 @@ TOP = 2000
 SAMPLE = 8  # one piece of so many proposes phrases
 SLACK = 2.7
 LONG = 600
+BUCKETS = 4096  # or 16 a shuffle partition, if that is more
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[*b".,;:!?", 10, 11, 12, 13]] = True
 BLANK = SEPARATOR.copy()
@@ -188,10 +190,64 @@ def _proposals(rows: DataFrame, least: int, words: int, sample: int, size: int)
     return bitmap
 
 
-def _counted(rows: DataFrame, now: np.ndarray, then: np.ndarray | None, words: int) -> DataFrame:
-    """(name, key, f) of every language's words (name: language, tab), proposed phrase (language,
-    tab, phrase) and border phrase (null); with `then`, the phrases that it left uncounted."""
-    sent = rows.sparkSession.sparkContext.broadcast((now, then))
+def _packed(names: pa.Array, count: np.ndarray, h: np.ndarray, border: np.ndarray, border_count: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row a bucket: names and their counts (hashes h), hashes of border phrases and their counts."""
+    parts = []
+    for x in (h, border):
+        bucket = (x % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        parts += [order, np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))]
+    order, at, order2, at2 = parts
+    some = (np.diff(at) > 0) | (np.diff(at2) > 0)
+    offsets = pa.array(at, pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(buckets), pa.int32()), pa.ListArray.from_arrays(offsets, names.take(pa.array(order))),
+         pa.ListArray.from_arrays(offsets, pa.array(count[order], pa.int32())), binary_array(border[order2].view(np.uint8), at2 * 8),
+         binary_array(border_count[order2].astype(np.int32).view(np.uint8), at2 * 4)],
+        names=["bucket", "names", "counts", "border", "border_counts"]).filter(pa.array(some))
+
+
+def _summed(least: int):
+    """(name, key, f) of rows sorted by bucket: phrases with f >= least, all languages' words
+    (name: language, tab), and hashes of border phrases (name null) with f >= least."""
+
+    def total(t: pa.Table) -> pa.RecordBatch:
+        names, counts = (pa.concat_arrays([x.flatten() for x in t[c].chunks]) for c in ("names", "counts"))
+        each = pa.table({"name": names, "f": counts.cast(pa.int64())}).group_by("name").aggregate([("f", "sum")])
+        each = each.filter(pc.or_(pc.greater_equal(each["f_sum"], least), pc.ends_with(each["name"], "\t")))
+        key, n = (np.frombuffer(b"".join(t[c].to_pylist()), kind) for c, kind in (("border", np.int64), ("border_counts", np.int32)))
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        f = np.add.reduceat(n[order].astype(np.int64), first) if len(key) else first
+        key, f = key[first][f >= least], f[f >= least]
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([*each["name"].chunks, pa.nulls(len(key), pa.string())]), pa.concat_arrays([pa.nulls(len(each), pa.int64()), pa.array(key)]),
+             pa.concat_arrays([*each["f_sum"].chunks, pa.array(f)])], names=["name", "key", "f"])
+
+    def run(batches):
+        held = None
+        for batch in columns(batches):
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            bucket = t["bucket"].to_numpy()
+            begin = int(np.searchsorted(bucket, bucket[-1]))
+            if begin:
+                yield total(t.slice(0, begin))
+            held = t.slice(begin)
+        if held is not None:
+            yield total(held)
+
+    return run
+
+
+def _counted(rows: DataFrame, now: np.ndarray, then: np.ndarray | None, words: int, least: int) -> DataFrame:
+    """(name, key, f) of every language's words (name: language, tab), and with f >= least of every proposed
+    phrase (language, tab, phrase) and border phrase (null, its hash); with `then`, of the phrases
+    that it left uncounted."""
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast((now, then))
+    buckets = max(BUCKETS, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
         now, then = sent.value
@@ -199,35 +255,39 @@ def _counted(rows: DataFrame, now: np.ndarray, then: np.ndarray | None, words: i
         def proposed(h):
             return bits.test(now, h), (None if then is None else bits.test(then, h))
 
-        def out(block, lang, phrases, h, count):
-            names = pa.nulls(len(h), pa.string()) if phrases is None else pc.binary_join_element_wise(block.langs.take(pa.array(lang)), phrases, "\t")
-            return pa.RecordBatch.from_arrays([names, pa.array(h.view(np.int64)), pa.array(count)], names=["name", "key", "f"])
+        def named(block, lang, phrases):
+            return pc.binary_join_element_wise(block.langs.take(pa.array(lang)), phrases, "\t")
 
         for batch in columns(batches):
             for block in _blocks(batch):
+                names, counts, hashes = [], [], []
+                border, border_counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
                 if then is None:
-                    n = np.bincount(block.lang, minlength=len(block.langs))
-                    yield out(block, np.arange(len(n)), pa.array([""] * len(n)), np.zeros(len(n), np.uint64), n)
+                    names.append(named(block, np.arange(len(block.langs)), pa.array([""] * len(block.langs))))
+                    counts.append(np.bincount(block.lang, minlength=len(block.langs)))
+                    hashes.append(block.lang_hash)
                 for k, first, h, count, is_now, counted in block.levels(words, proposed):
                     by_phrase = np.flatnonzero((is_now | (k == words)) & ~counted)
-                    for part in np.array_split(by_phrase, 1 + len(by_phrase) // 200_000):
-                        yield out(block, block.lang[first[part]], block.phrases(first[part], k), h[part], count[part])
+                    names.append(named(block, block.lang[first[by_phrase]], block.phrases(first[by_phrase], k)))
+                    counts.append(count[by_phrase])
+                    hashes.append(h[by_phrase])
                     if then is None and k < words:
-                        yield out(block, None, None, h[~is_now], count[~is_now])
+                        border.append(h[~is_now])
+                        border_counts.append(count[~is_now])
+                yield _packed(pa.concat_arrays(names), np.concatenate(counts), np.concatenate(hashes), np.concatenate(border), np.concatenate(border_counts), buckets)
 
-    parts = rows.select("lang", "text").mapInArrow(run, "name string, key long, f long")
-    return parts.groupBy("key", "name").agg(F.sum("f").alias("f"))
+    parts = rows.select("lang", "text").mapInArrow(run, "bucket int, names array<string>, counts array<int>, border binary, border_counts binary")
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_summed(least), "name string, key long, f long")
 
 
 def frequent(rows: DataFrame, least: int = LEAST, words: int = WORDS, sample: int = SAMPLE, size: int = bits.BITS) -> DataFrame:
     """(lang, k, phrase, f) of every phrase of 1 to `words` words with f >= least, and each
     language's number of words as k = 0; rows: (doc_id, lang, text) without nulls in the last two."""
     proposed = _proposals(rows, least, words, sample, size)
-    enough = (F.col("f") >= least) | (F.col("key") == 0)
-    found = stored(_counted(rows, proposed, None, words).where(enough), "phrases")
+    found = stored(_counted(rows, proposed, None, words, least), "phrases")
     failures = bits.bitmap_of(found.where("name is null").select("key"), size)
     if failures.any():
-        found = found.unionByName(stored(_counted(rows, proposed | failures, proposed, words).where(enough), "phrases"))
+        found = found.unionByName(stored(_counted(rows, proposed | failures, proposed, words, least), "phrases"))
     phrase = F.substring_index("name", "\t", -1)  # a language may hold a tab, a phrase can't
     named = found.where("name is not null").select("name", phrase.alias("phrase"), "f")
     lang = F.expr("substr(name, 1, length(name) - length(phrase) - 1)")
