@@ -32,7 +32,7 @@ def rows_not_in(df: DataFrame, other: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def address_delta(delta_customer: DataFrame, dim_address: DataFrame,
-                  dedupe: str = "row") -> DataFrame:
+                  dedupe: str = "row", start_after=None) -> DataFrame:
     """New dim_address rows for the customers of a delta.
 
     ``dedupe="row"`` (default): one row per delta customer, ids continue after
@@ -44,15 +44,16 @@ def address_delta(delta_customer: DataFrame, dim_address: DataFrame,
     """
     cols = ["customerid"] + ADDRESS_NATURAL_KEY
     start = max_id(dim_address, "address_id")
+    first = start if start_after is None else start_after  # see assign_dense_ids
     if dedupe == "natural_key":
         fresh = rows_not_in(delta_customer.select(*cols), dim_address, ADDRESS_NATURAL_KEY)
         # one id per distinct tuple, numbered by its smallest customerid
         fresh = fresh.groupBy(*ADDRESS_NATURAL_KEY).agg(F.min("customerid").alias("customerid"))
-        with_ids = assign_dense_ids(fresh, ["customerid"], "address_id", start)
+        with_ids = assign_dense_ids(fresh, ["customerid"], "address_id", first)
         return schemas.conform(with_ids, schemas.DIM_ADDRESS)
     if dedupe != "row":
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
-    with_ids = assign_dense_ids(delta_customer.select(*cols), ["customerid"], "address_id", start)
+    with_ids = assign_dense_ids(delta_customer.select(*cols), ["customerid"], "address_id", first)
     rows = schemas.conform(with_ids, schemas.DIM_ADDRESS)
     # Only an existing row with one of the new ids could match the full tuple,
     # and every new id is above ``start``: the id predicate is exact and lets
@@ -98,7 +99,7 @@ def match_addresses(delta_customer: DataFrame, dim_address: DataFrame) -> DataFr
     return d.join(a, null_safe_on(d, a, ADDRESS_NATURAL_KEY), "left").select(d["*"], a["address_id"])
 
 
-def new_addresses(matched: DataFrame, start_after: int, scratch: str | None = None) -> DataFrame:
+def new_addresses(matched: DataFrame, start_after, scratch: str | None = None) -> DataFrame:
     """One new dim_address row per unknown address tuple of ``match_addresses``,
     ids after ``start_after`` in order of the tuple's smallest customerid
     (equal to ``address_delta(..., dedupe="natural_key")``)."""

@@ -87,3 +87,32 @@ def daily_orders(delta_orders: DataFrame, delta_customer: DataFrame,
               .fillna(0, subset=["pincode", "order_amount", "item_count",
                                  "order_delivery_time_seconds"]))
     return schemas.conform(out, schemas.FACT_DAILY_ORDERS)
+
+
+def _deliveries(dim_order: DataFrame) -> DataFrame:
+    """(orderid, delivery time), one row an order: the latest Delivered event of all batches."""
+    done = dim_order.where(F.col("order_status") == STATUS_DELIVERED).dropna("any")
+    return done.groupBy("orderid").agg(F.max("order_status_update_timestamp").alias("_delivered"))
+
+
+def accumulated_orders(fact: DataFrame, dim_order: DataFrame) -> DataFrame:
+    """fact_daily_orders with the delivery that a later batch loaded: an accumulating
+    snapshot, merged on read. A row whose own batch knew the delivery stays as it is.
+
+    dim_order keeps no customer, so an event counts by its order (under the source key
+    (orderid, order_status) there is one). Only rows without a delivery are joined."""
+    still = fact.where(F.col("order_delivery_timestamp").isNull())
+    known = fact.where(F.col("order_delivery_timestamp").isNotNull())
+    late = still.join(_deliveries(dim_order), "orderid", "left")
+    seconds = tp.seconds_between("order_received_timestamp", "_delivered")
+    late = late.withColumn("order_delivery_time_seconds", F.coalesce(seconds, F.col("order_delivery_time_seconds")))
+    late = late.withColumn("order_delivery_timestamp", F.col("_delivered"))
+    return schemas.conform(known.unionByName(late.select(fact.columns)), schemas.FACT_DAILY_ORDERS)
+
+
+def accumulated_lines(lines: DataFrame, dim_order: DataFrame) -> DataFrame:
+    """f_order_details with the delivery time that a later batch loaded."""
+    still = lines.where(F.col("order_delivery_timestamp").isNull()).drop("order_delivery_timestamp")
+    known = lines.where(F.col("order_delivery_timestamp").isNotNull())
+    late = still.join(_deliveries(dim_order), "orderid", "left").withColumnRenamed("_delivered", "order_delivery_timestamp")
+    return schemas.conform(known.unionByName(late.select(lines.columns)), schemas.F_ORDER_DETAILS)

@@ -22,7 +22,8 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start_afte
 
     ``order_by`` must identify rows uniquely (e.g. a primary key) for the
     numbering to be deterministic. ``start_after`` is the largest id already
-    in use (a scalar, e.g. ``coalesce(max(id), 0)`` of the existing table).
+    in use (a scalar, e.g. ``coalesce(max(id), 0)`` of the existing table), or a
+    function that gets the number of rows and returns it (a reservation).
 
     The rows are range-shuffled and sorted once and written with their
     partition and place (``scratch``, or a new folder below the shared
@@ -38,6 +39,8 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start_afte
     path = scratch or scratch_path(spark, "dense-ids")
     placed.write.mode("overwrite").parquet(path)
     rows = spark.read.schema(placed.schema).parquet(path).withColumn("_tag", F.shiftright("_m", 33))
+    if callable(start_after):
+        start_after = start_after(rows.count())
     counts = rows.groupBy("_tag").agg(F.count(F.lit(1)).alias("_n"))
     # Running offsets over one row per range partition: the only
     # single-partition step, bounded by the partition count, not the data.

@@ -47,8 +47,8 @@ class BatchResult:
 def _next_batch_id(spark: SparkSession, root: str) -> int:
     """One more than the largest completed batch: the id of a batch that did not
     finish is used again, so its partial output is replaced, never kept beside
-    a second copy. Ids that belong to another source's micro-batches are skipped."""
-    used = control.completed_ids(spark, sinks.log_path(root)) + [b for _, _, b in control.read_sources(spark, sinks.source_map_path(root))]
+    a second copy. Ids that landed files were recorded under are skipped."""
+    used = control.completed_ids(spark, sinks.log_path(root)) + control.reserved_ids(spark, sinks.landed_path(root))
     return max(used, default=0) + 1
 
 
@@ -87,8 +87,9 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     # the same extraction and overwrites its own outputs
     marks = control.high_water_marks(spark, log, list(MARK_TABLES), before_logid=batch_id)
     run_date = run_ts.date().isoformat()
-    # the dimensions as loaded by earlier batches (a rerun must not see its own rows)
-    existing = {n: sinks.read_target(spark, root, n, before_batch=batch_id) for n in ("dim_address", "dim_customer", "dim_product")}
+    # the dimensions as loaded by all other batches, whatever the order in which they
+    # completed (a rerun must not see its own rows)
+    existing = {n: sinks.read_target(spark, root, n, except_batch=batch_id) for n in ("dim_address", "dim_customer", "dim_product")}
     if scd2:
         for name in SCD2_KEYS:
             existing[name] = _scd2_before(spark, root, name, batch_id).where(F.col("end_date") == F.lit(tp.OPEN_END_DATE).cast("date"))
@@ -124,13 +125,15 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         stage("dim_product", p_ins)
         res.product_updates = stage("dim_product_updates", p_upd)
 
+    def reserve(n: int) -> int:
+        return control.allocate(spark, sinks.ids_path(root, "dim_address"), batch_id, n, max_id(existing["dim_address"], "address_id"))
+
     def address_stage():
         if address_dedupe == "natural_key":
             matched = dims.match_addresses(delta_customer, existing["dim_address"])
-            rows = dims.new_addresses(matched, max_id(existing["dim_address"], "address_id"),
-                                      sinks.stage_path(root, "address_ids", batch_id))
+            rows = dims.new_addresses(matched, reserve, sinks.stage_path(root, "address_ids", batch_id))
         else:
-            rows = dims.address_delta(delta_customer, existing["dim_address"], address_dedupe)
+            rows = dims.address_delta(delta_customer, existing["dim_address"], address_dedupe, reserve)
         stage("dim_address", rows)
 
     def customer_stage():
@@ -187,18 +190,15 @@ def log_completed(spark: SparkSession, root: str, res: BatchResult) -> None:
 SCD2_DIR = "scd2"
 
 
-def _scd2_path(root: str, name: str, version: int | None = None) -> str:
+def _scd2_path(root: str, name: str, version: tuple[int, int] | None = None) -> str:
     base = os.path.join(root, SCD2_DIR, name)
-    return base if version is None else os.path.join(base, f"version={int(version)}")
+    return base if version is None else os.path.join(base, f"version={version[0]}.{version[1]}")
 
 
 def scd2_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Latest SCD2 version of a dimension; before the first apply, the
+    """Latest SCD2 version of a dimension by a completed batch; before the first apply, the
     append-loaded target (the union of its batches)."""
-    versions = _versions(spark, root, name)
-    if not versions:
-        return sinks.read_target(spark, root, name)
-    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, versions[-1]))
+    return _scd2_before(spark, root, name, None)
 
 
 def apply_scd2(spark: SparkSession, root: str, batch_id: int) -> dict[str, int]:
@@ -207,41 +207,55 @@ def apply_scd2(spark: SparkSession, root: str, batch_id: int) -> dict[str, int]:
     Inserts and updates come from the batch's own stage folder. The open row
     of an updated key is closed where its new version starts, each update
     becomes an open row, inserts are added. The version is written to its own
-    folder (``version=<batch_id>``), never over the one being read; a rerun of
-    the same batch rewrites only its own version. Returns row counts.
+    folder (``version=<number>.<batch_id>``), never over the one being read, on top of the
+    latest version of a completed batch, whatever its id; a rerun of a completed batch
+    rewrites only its own version. It counts once the batch is logged ``Completed``. Returns row counts.
     """
     out = {}
     for name, key in SCD2_KEYS.items():
         updates = sinks.read_stage(spark, root, f"{name}_updates", batch_id, UPDATES[f"{name}_updates"])
         if name == "dim_product":  # a product's new version starts on the run date
             updates = updates.withColumnRenamed("end_date", "start_date")
-        # the latest version before this batch (a rerun never reads its own output)
         prev = _scd2_before(spark, root, name, batch_id)
         new = dims.scd2_apply(schemas.conform(prev, schemas.TARGETS[name].schema),
                               sinks.read_stage(spark, root, name, batch_id), updates, key)
-        path = _scd2_path(root, name, batch_id)
+        versions = _versions(spark, root, name)
+        number = versions.get(batch_id) or max(versions.values(), default=0) + 1
+        path = _scd2_path(root, name, (number, batch_id))
         seen = Observation()
         new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
         out[name] = seen.get["n"]
     return out
 
 
-def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Versions whose write finished."""
+def _versions(spark: SparkSession, root: str, name: str) -> dict[int, int]:
+    """Number of the version of each completed batch that has one. A version whose batch failed
+    after it was written doesn't count."""
     base = _scd2_path(root, name)
-    return sorted(int(d.split("=", 1)[1]) for d in storage.children(spark, base)
-                  if d.startswith("version=") and storage.exists(spark, os.path.join(base, d, "_SUCCESS")))
-
+    done = set(control.completed_ids(spark, sinks.log_path(root)))
+    found = sorted(tuple(map(int, d.split("=", 1)[1].split("."))) for d in storage.children(spark, base)
+                   if d.startswith("version=") and storage.exists(spark, os.path.join(base, d, "_SUCCESS")))
+    return {batch: number for number, batch in found if batch in done}
 
-def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
-    """Latest version older than ``batch_id``; without one, the append-loaded
-    target of the batches before ``batch_id``."""
-    older = [v for v in _versions(spark, root, name) if v < batch_id]
-    if not older:
-        return sinks.read_target(spark, root, name, before_batch=batch_id)
-    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older[-1]))
 
-
-def warehouse(spark: SparkSession, root: str) -> StarSchema:
-    """The loaded star schema (all completed batches) for the analytics questions."""
-    return StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})
+def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int | None) -> DataFrame:
+    """Latest version that ``batch_id`` builds on; without one, the append-loaded
+    target of the other batches."""
+    versions = _versions(spark, root, name)
+    last = versions.get(batch_id, max(versions.values(), default=0) + 1)
+    older = max(((v, b) for b, v in versions.items() if v < last), default=None)
+    if older is None:
+        return sinks.read_target(spark, root, name, except_batch=batch_id)
+    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older))
+
+
+def warehouse(spark: SparkSession, root: str, accumulate: bool = False) -> StarSchema:
+    """The loaded star schema (all completed batches) for the analytics questions.
+
+    ``accumulate``: order facts and lines show what later batches loaded about the same
+    order (see ``facts.accumulated_orders``); without it, what their own batch knew."""
+    star = StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})
+    if accumulate:
+        star.fact_daily_orders = facts.accumulated_orders(star.fact_daily_orders, star.dim_order)
+        star.f_order_details = facts.accumulated_lines(star.f_order_details, star.dim_order)
+    return star

@@ -31,26 +31,58 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return schemas.empty(spark, schemas.ETL_EXTRACT_LOG) if log is None else log
 
 
-SOURCE_MAP = "source string, source_batch bigint, batch_id bigint"
-
-
-def read_sources(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(source, source_batch, batch_id) of the micro-batches taken in so far."""
-    rows = storage.read_parquet(spark, path, T.StructType.fromDDL(SOURCE_MAP))
-    return [] if rows is None else sorted(tuple(r) for r in rows.collect())
-
-
-def batch_of(spark: SparkSession, path: str, log: str, source: str, source_batch: int) -> int:
-    """The batch id of a source's micro-batch: the one it got before, or a new one
-    after every id in use. An id that another source owns is never given out."""
-    known = read_sources(spark, path)
-    for s, b, batch_id in known:
-        if (s, b) == (source, source_batch):
-            return batch_id
-    batch_id = max([i for _, _, i in known] + completed_ids(spark, log), default=0) + 1
+LANDED = "source string, file string, batch_id bigint"
+
+
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """(source, file, batch_id) of the landed files that a batch was started for."""
+    rows = storage.read_parquet(spark, path, T.StructType.fromDDL(LANDED))
+    return schemas.empty(spark, T.StructType.fromDDL(LANDED)) if rows is None else rows
+
+
+def batch_of_files(spark: SparkSession, path: str, log: str, source: str, files: DataFrame) -> tuple[int | None, DataFrame]:
+    """(batch id, files to load with it) of a micro-batch's ``files`` (one column, file). Files
+    of a completed batch are left out. The others keep the batch id that they were recorded under if they are all
+    of that batch's files; otherwise they are recorded under a new id, after every id in use. None: nothing is left.
+    The record is written before the batch starts, so a load that fails, or a stream
+    whose checkpoint is lost, finds it."""
+    known = landed(spark, path).where(F.col("source") == source)
+    done = completed_ids(spark, log)
+    left = files.distinct().join(known.where(F.col("batch_id").isin(done)), "file", "left_anti")
+    n = left.count()
+    if not n:
+        return None, left
+    owners = left.join(known, "file").groupBy("batch_id").count().where(F.col("count") == n).select("batch_id")
+    whole = known.join(owners, "batch_id").groupBy("batch_id").count().where(F.col("count") == n).agg(F.max("batch_id")).first()[0]
+    if whole is not None:
+        return whole, left
+    batch_id = max([*done, *reserved_ids(spark, path)], default=0) + 1
+    left = left.select("file")
     with _LOG_LOCK:
-        spark.createDataFrame([(source, int(source_batch), batch_id)], SOURCE_MAP).coalesce(1).write.mode("append").parquet(path)
-    return batch_id
+        left.select(F.lit(source).alias("source"), "file", F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode("append").parquet(path)
+    return batch_id, left
+
+
+def reserved_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids that landed files were recorded under. One number a batch."""
+    return [r[0] for r in landed(spark, path).select("batch_id").distinct().collect()]
+
+
+def allocate(spark: SparkSession, path: str, batch_id: int, n: int, after: int) -> int:
+    """Reserve ``n`` surrogate ids for a batch; returns the id before the first.
+
+    The log has one file a reservation, created only if absent, so two writers never get the same
+    ids; a batch that runs again gets its own range again if it still fits. ``after``: the
+    largest id already in a table (ids from before the log)."""
+    while True:
+        slots = storage.children(spark, path)
+        taken = [tuple(map(int, storage.read_text(spark, f"{path}/{x}").split())) for x in slots]
+        for batch, start, size in reversed(taken):
+            if batch == batch_id and size >= n:
+                return start
+        start = max([after, *(s + k for _, s, k in taken)])
+        if storage.create_new(spark, f"{path}/{len(slots):09d}", f"{int(batch_id)} {start} {int(n)}"):
+            return start
 
 
 def completed_ids(spark: SparkSession, path: str) -> list[int]:

@@ -33,8 +33,12 @@ def log_path(root: str) -> str:
     return os.path.join(root, CONTROL_DIR, "etlextractlog")
 
 
-def source_map_path(root: str) -> str:
-    return os.path.join(root, CONTROL_DIR, "source_batches")
+def landed_path(root: str) -> str:
+    return os.path.join(root, CONTROL_DIR, "landed_files")
+
+
+def ids_path(root: str, name: str) -> str:
+    return os.path.join(root, CONTROL_DIR, "ids", name)
 
 
 def write_stage(spark: SparkSession, df: DataFrame, root: str, name: str, batch_id: int,
@@ -84,19 +88,19 @@ def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> Non
 
 
 def read_target(spark: SparkSession, root: str, name: str,
-                before_batch: int | None = None) -> DataFrame:
+                except_batch: int | None = None) -> DataFrame:
     """A target table as the union of its completed batches (partition columns
     dropped); empty with the declared schema before the first load. A batch
     whose load is not logged as ``Completed`` is not visible, so a load that
-    failed half way shows no rows. ``before_batch`` keeps only earlier batches.
+    failed half way shows no rows. ``except_batch`` leaves that batch out.
     Batches are selected by their ``batch_id`` directories."""
     spec = schemas.TARGETS[name]
     df = storage.read_parquet(spark, target_path(root, name), spec.schema, partition_fields(name))
     if df is None:
         return schemas.empty(spark, spec.schema)
     done = control.completed_ids(spark, log_path(root))
-    if before_batch is not None:
-        done = [i for i in done if i < before_batch]
+    if except_batch is not None:
+        done = [i for i in done if i != except_batch]
     return schemas.conform(df.where(F.col("batch_id").isin(done)), spec.schema)
 
 

@@ -48,6 +48,30 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if it does."""
+    fs, p = _at(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, p = _at(spark, path)
+    got = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(got)).decode()
+    finally:
+        got.close()
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType,
                  partitions: list[T.StructField] = ()) -> DataFrame | None:
     """A parquet table with its declared schema and partition columns (nothing
