@@ -42,7 +42,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per check: duplicate key rows (rows minus distinct key
-    tuples), orphan foreign keys (anti join) and rows with a null in a
+    tuples), orphan foreign keys (anti join; a null key is none) and rows with a null in a
     NOT NULL column.
 
     The key and not-null checks of a table share one pass: a per-key
@@ -64,9 +64,10 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
                 F.struct(F.lit(f"{t}.not_null").alias("check_name"), F.col("nn").alias("violations"))
             )).alias("c")).select("c.*"))
     for child, col, parent, pcol in FOREIGN_KEYS:
-        c, p = tables[child], tables[parent].select(F.col(pcol).alias("_pk"))
-        orphans = c.join(p, c[col] == p["_pk"], "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
+        # one row a key meets the parent, not every child row; a null key refers to nothing
+        c = tables[child].where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = c.join(tables[parent].select(F.col(pcol).alias("_fk")), "_fk", "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
                      .select(F.lit(f"{child}.{col}.fk").alias("check_name"), "violations"))
     return _union(parts)
 

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
 from ..operators import dims, quality
-from ..sources import binding, control, extract
+from ..session import scratch_path
+from ..sources import binding, control, extract, schemas, sinks
 from . import analytics as a
 from . import history as h
-from .warehouse import RUN_DATE, materialize
+from . import pipeline
+from .warehouse import RUN_DATE, materialize, two_batches
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +87,38 @@ def _high_water_marks(spark: SparkSession, sf: str) -> DataFrame:
     return asked.join(F.broadcast(marks), "tablename", "left").select("tablename", F.coalesce("mark", default).alias("mark"))
 
 
+def _two_batch_facts(accumulate: bool) -> QueryFn:
+    return lambda spark, sf: pipeline.warehouse(spark, two_batches(spark, sf), accumulate).fact_daily_orders
+
+
+def _two_batch_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and delivery times by the month of delivery, of what both batches know."""
+    fact = pipeline.warehouse(spark, two_batches(spark, sf), accumulate=True).fact_daily_orders
+    month = tp.month_start("order_delivery_timestamp")
+    took = "order_delivery_time_seconds"
+    return fact.where("order_delivery_timestamp is not null").groupBy(month.alias("delivery_month")).agg(
+        F.count("*").alias("orders"), F.min(took).alias("fastest"), F.max(took).alias("slowest"), F.sum(took).alias("seconds"))
+
+
+def _two_batch_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the extract log that the two batches left."""
+    log = control.read_log(spark, sinks.log_path(two_batches(spark, sf)))
+    return log.select("processlogid", "tablename", "extractrowcount", "status")
+
+
+def _insert_and_purge(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a source table after the lines are inserted twice, purged, and inserted again."""
+    path, items = scratch_path(spark, "oltp"), binding.oltp_sources(spark, sf)["order_items"]
+    counts = []
+    for step in ("insert", "insert again", "purge", "insert after purge"):
+        if step == "purge":
+            sinks.purge(spark, path, schemas.ORDER_ITEMS)
+        else:
+            sinks.append_oltp(items, path, schemas.ORDER_ITEMS)
+        counts.append((step, spark.read.schema(schemas.ORDER_ITEMS).parquet(path).count()))
+    return spark.createDataFrame(counts, "step string, row_count bigint")
+
+
 def _address_buckets(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the address dimension by storage bucket."""
     bucket = tp.address_range_bucket("address_id").alias("bucket")
@@ -145,6 +179,11 @@ def etl_queries() -> dict[str, QueryFn]:
         "etl_high_water_mark": _high_water_marks,
         "quality_raw_line_checks": _raw_line_checks,
         "dim_address_buckets": _address_buckets,
+        "two_batches_fact_daily_orders": _two_batch_facts(accumulate=False),
+        "two_batches_accumulated_orders": _two_batch_facts(accumulate=True),
+        "two_batches_delivery_time_month": _two_batch_delivery,
+        "two_batches_extract_log": _two_batch_log,
+        "oltp_insert_purge": _insert_and_purge,
         "extract_customers_since": lambda spark, sf: extract.customers_since(
             binding.customer_master(spark, sf), h.CUSTOMER_MARK),
         "extract_orders_since": lambda spark, sf: extract.orders_since(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ..sources import binding as b
 from . import history as h
-from .warehouse import RUN_DATE
+from .warehouse import CUT, RUN_DATE
 
 OPEN_END = "DATE '9999-12-31'"
 DEFAULT_MARK = "TIMESTAMP '1900-01-01 00:00:00'"
@@ -391,9 +391,9 @@ UNION ALL SELECT 'order_details.pk',
 UNION ALL SELECT 'order_items.pk',
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT orderid, productid FROM order_items)) FROM order_items
 UNION ALL SELECT 'order_details.customerid.fk',
-       count(*) FROM order_details d WHERE NOT EXISTS (SELECT 1 FROM customer_master c WHERE c.customerid = d.customerid)
+       count(*) FROM order_details d WHERE customerid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer_master c WHERE c.customerid = d.customerid)
 UNION ALL SELECT 'order_items.productid.fk',
-       count(*) FROM order_items i WHERE NOT EXISTS (SELECT 1 FROM product_master p WHERE p.productid = i.productid)
+       count(*) FROM order_items i WHERE productid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM product_master p WHERE p.productid = i.productid)
 UNION ALL SELECT 'customer_master.not_null', count(*) FROM customer_master
        WHERE customerid IS NULL OR name IS NULL OR update_timestamp IS NULL
 UNION ALL SELECT 'product_master.not_null', count(*) FROM product_master
@@ -406,5 +406,52 @@ UNION ALL SELECT 'order_items.not_null', count(*) FROM order_items
     return q
 
 
+def two_batches_facts(accumulate: bool) -> str:
+    """The order fact after two batches; accumulate: deliveries count whatever their batch."""
+    same = "" if accumulate else "AND d.batch = r.batch"
+    return f"""{SOURCES},
+events AS (
+  SELECT *, CASE WHEN order_status_update_timestamp < TIMESTAMP '{CUT}' THEN 1 ELSE 2 END AS batch FROM order_details),
+r AS (SELECT * FROM events WHERE order_status = 'Received'),
+i AS (SELECT * FROM events WHERE order_status = 'InProgress'),
+d AS (SELECT * FROM events WHERE order_status = 'Delivered'),
+amounts AS (
+  SELECT i.batch, orderid, sum(quantity * rate) AS amount, sum(quantity) AS units
+  FROM i JOIN order_items USING (orderid) LEFT JOIN product_master USING (productid) GROUP BY i.batch, orderid),
+facts AS (
+  SELECT r.customerid, r.orderid, r.order_status_update_timestamp AS order_received_timestamp,
+         d.order_status_update_timestamp AS order_delivery_timestamp, coalesce(c.pincode, 0) AS pincode,
+         CAST(coalesce(amount, 0) AS BIGINT) AS order_amount, CAST(coalesce(units, 0) AS BIGINT) AS item_count,
+         CAST(coalesce(date_diff('second', r.order_status_update_timestamp, d.order_status_update_timestamp), 0) AS BIGINT)
+           AS order_delivery_time_seconds
+  FROM r LEFT JOIN d ON d.orderid = r.orderid AND d.customerid = r.customerid {same}
+  LEFT JOIN amounts x ON x.orderid = r.orderid AND x.batch = r.batch
+  LEFT JOIN customer_master c ON c.customerid = r.customerid AND (r.batch = 1 OR c.update_timestamp >= TIMESTAMP '{CUT}'))"""
+
+
+def two_batches_sql() -> dict[str, str]:
+    counts = [("stg_dim_order", "events"), ("stg_fact_daily_orders", "r"), ("stg_f_order_details", "i JOIN order_items USING (orderid)")]
+    first = [("stg_dim_customer", "customerid", "customer_master"), ("stg_dim_product", "productid", "product_master"),
+             ("stg_dim_address", "(address, city, state, pincode)", "customer_master")]
+    log = [f"SELECT b AS processlogid, '{t}' AS tablename, (SELECT count(*) FROM {rows} WHERE batch = b) AS extractrowcount, 'Completed' AS status "
+           "FROM (VALUES (1), (2)) v(b)" for t, rows in counts]
+    log += [f"SELECT b, '{t}', CASE b WHEN 1 THEN (SELECT count(DISTINCT {key}) FROM {rows}) ELSE 0 END, 'Completed' FROM (VALUES (1), (2)) v(b)"
+            for t, key, rows in first]
+    log = "\nUNION ALL ".join(log)
+    return {
+        "two_batches_fact_daily_orders": f"WITH {two_batches_facts(False)} SELECT * FROM facts",
+        "two_batches_accumulated_orders": f"WITH {two_batches_facts(True)} SELECT * FROM facts",
+        "two_batches_delivery_time_month": f"""WITH {two_batches_facts(True)}
+SELECT CAST(date_trunc('month', order_delivery_timestamp) AS DATE) AS delivery_month, count(*) AS orders,
+       min(order_delivery_time_seconds) AS fastest, max(order_delivery_time_seconds) AS slowest,
+       CAST(sum(order_delivery_time_seconds) AS BIGINT) AS seconds
+FROM facts WHERE order_delivery_timestamp IS NOT NULL GROUP BY 1""",
+        "two_batches_extract_log": f"WITH {two_batches_facts(False)} SELECT CAST(processlogid AS BIGINT) AS processlogid, tablename, extractrowcount, status FROM ({log})",
+        "oltp_insert_purge": f"""WITH {SOURCES}, n AS (SELECT count(*) AS n FROM order_items)
+SELECT 'insert' AS step, n AS row_count FROM n UNION ALL SELECT 'insert again', 2 * n FROM n
+UNION ALL SELECT 'purge', 0 UNION ALL SELECT 'insert after purge', n FROM n""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**analytics_sql(), **etl_sql()}
+    return {**analytics_sql(), **etl_sql(), **two_batches_sql()}

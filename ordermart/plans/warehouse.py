@@ -17,12 +17,14 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import dims, facts
 from ..session import checkpoint_root
 from ..sources import binding, extract, schemas, storage
 
 RUN_DATE = "2002-01-01"  # run date of the reference batch built from test data
+CUT = "1998-04-25 00:00:00"  # between the two batches of ``two_batches``
 
 
 @dataclass
@@ -95,19 +97,13 @@ def _ready_build(spark: SparkSession, base: str) -> str | None:
     return None
 
 
-def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> StarSchema:
-    """The warehouse after a first batch over the bound sources, built once.
-
-    The batch is the real pipeline (marks, stage tables, extract log,
-    per-batch target load) run into a fresh folder under the shared
-    checkpoint folder. The folder family is named by the sources, run date and
-    code version; a ``READY-<build>`` marker naming a complete build lets later sessions
-    and processes reuse it. A build that did not finish is never reused (its
-    log would already hold marks).
-    """
-    from . import pipeline  # pipeline builds on this module
-
-    sig = (sf_dir.rstrip("/"), run_date, _source_signature(spark, sf_dir), _code_fingerprint())
+def _built(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder of a warehouse that ``build(root)`` fills once from the bound sources, in a fresh
+    folder under the shared checkpoint folder. The folder family is named by the sources, ``name``
+    and code version; a ``READY-<build>`` marker naming a complete build lets later sessions
+    and processes reuse it. A build that did not finish is never reused (its log would
+    already hold marks)."""
+    sig = (sf_dir.rstrip("/"), name, _source_signature(spark, sf_dir), _code_fingerprint())
     key = (spark.conf.get("spark.app.id", ""),) + sig
     root = _CACHE.get(key)
     if root is None:
@@ -115,10 +111,35 @@ def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> S
         base = os.path.join(checkpoint_root(spark), "ordermart-warehouse", digest)
         root = _ready_build(spark, base)
         if root is None:
-            build = uuid.uuid4().hex[:12]
-            root = os.path.join(base, build)
-            run_ts = dt.datetime.fromisoformat(run_date)
-            pipeline.run_batch(spark, binding.oltp_sources(spark, sf_dir), root, run_ts, batch_id=1)
-            storage.touch(spark, os.path.join(base, f"READY-{build}"))
+            folder = uuid.uuid4().hex[:12]
+            root = os.path.join(base, folder)
+            build(root)
+            storage.touch(spark, os.path.join(base, f"READY-{folder}"))
         _CACHE[key] = root
-    return pipeline.warehouse(spark, root)
+    return root
+
+
+def materialize(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> StarSchema:
+    """The warehouse after a first batch over the bound sources, built once: the real
+    pipeline (marks, stage tables, extract log, per-batch target load)."""
+    from . import pipeline  # pipeline builds on this module
+
+    def build(root: str) -> None:
+        pipeline.run_batch(spark, binding.oltp_sources(spark, sf_dir), root, dt.datetime.fromisoformat(run_date), batch_id=1)
+
+    return pipeline.warehouse(spark, _built(spark, sf_dir, run_date, build))
+
+
+def two_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the warehouse after two batches: the first sees the order events before CUT
+    and runs then, the second everything since its mark."""
+    from . import pipeline
+
+    def build(root: str) -> None:
+        src = binding.oltp_sources(spark, sf_dir)
+        events = src["order_details"]
+        early = events.where(F.col("order_status_update_timestamp") < F.lit(CUT).cast("timestamp_ntz"))
+        pipeline.run_batch(spark, src | {"order_details": early}, root, dt.datetime.fromisoformat(CUT), batch_id=1)
+        pipeline.run_batch(spark, src, root, dt.datetime.fromisoformat(RUN_DATE), batch_id=2)
+
+    return _built(spark, sf_dir, f"two batches, {CUT}, {RUN_DATE}", build)
