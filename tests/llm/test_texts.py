@@ -123,6 +123,51 @@ def test_scan(spark):
     assert licenses.scan(df.where("false")).count() == 0
 
 
+def found(text: str) -> list[tuple]:
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST, licenses.NAMING)
+    return [(m["license"], m["start"], m["end"]) for m in scanner.scan(licenses.normal(text))]
+
+
+def test_no_license_in_scattered_or_foreign_words():
+    assert found("the album was released last year under some label and MIT professors hold the license") == []
+    assert found("Licensed under the BSD License, Version 2.0.") == []
+    assert found("This work is licensed under the GNU Lesser General Public License, version 3.") == []
+    assert found("released under the license of version 2.0 " * 2000) == []
+
+
+def test_planted_licenses_are_found():
+    r = random.Random(4)
+    for _ in range(200):
+        text, want = [], []
+        for _ in range(r.randrange(1, 5)):
+            text += [f"w{r.randrange(50)}" for _ in range(r.randrange(60))]
+            text += r.sample(["the", "license", "of", "software", "any"], r.randrange(3))
+            text.append(".. x")
+            name = r.choice([n for n in licenses.TEMPLATES if n not in ("MIT-text", "MIT-whole")])
+            words = licenses.TEMPLATES[name].split()
+            if len(words) > 15:  # a few words of a long one may change
+                words[7], words[11:11] = "changed", ["added"]
+            start = len(licenses.normal(" ".join(text)))
+            text += words
+            want.append((name, start, len(licenses.normal(" ".join(text)))))
+            text.append("y")
+        assert found(" ".join(text)) == want
+
+
+def test_whole_license():
+    n = len(licenses.normal(licenses.TEMPLATES["MIT-whole"]))
+    assert found("see below " + licenses.TEMPLATES["MIT-whole"]) == [("MIT-text", 2, 2 + len(licenses.normal(licenses.TEMPLATES["MIT-text"]))), ("MIT-whole", 2, 2 + n)]
+
+
+def test_densest_stretch():
+    r = random.Random(5)
+    for _ in range(300):
+        at = sorted(r.sample(range(25), r.randrange(1, 12)))
+        score = {(i, j): 2 * (j - i + 1) - (at[j] - at[i] + 1) for i in range(len(at)) for j in range(i, len(at))}
+        got = licenses.densest([(p, k) for k, p in enumerate(at)])
+        assert score[got] == max(score.values())
+
+
 @pytest.fixture(scope="module")
 def marked(spark):
     r = random.Random(4)
