@@ -2,7 +2,9 @@
 
 A page is read once into flat text blocks: the text between block-level tags, with its
 number of words, the share of them inside links, and whether an enclosing element is
-marked as the article or as something around it. A decision tree over these features
+marked as the article or as something around it. A mark on a page's wrapper (a menu's or
+form's word in the class of an element that holds most of the page's prose, and its
+article mark if there is one) says nothing about the prose, and is taken back. A decision tree over these features
 of the block and the words and link density of its two neighbours keeps or drops each
 block. The tree is grown by Gini impurity from the labelled table below.
 
@@ -80,6 +82,10 @@ MARKED = re.compile(r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|ads?|advert\w*|ban
                     r"subscri\w*|bread-?crumbs?|widgets?|form|login|sign-?up|toolbar|pag(?:er|ination)|skip|alert|(comments?|respond|"
                     r"disqus|repl(?:y|ies)|discussion))(?:$|[\s_-]|\d)", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body-?text)(?:$|[\s_-]|\d)", re.I)
+#: Words of a layout that say which parts a page has, not what an element is.
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without|hide|show)[_-][\w-]+", re.I)
+WRAPPERS = frozenset("div section form table tbody tr td center".split())
+PROSE, LINKED = 15, 0.3  # words at least, link density below: a block of prose
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|iframe|xmp|noembed|noframes)\b[^>]*+>.*?(?:</\1\s*+[^>]*+>|\Z)"
@@ -96,6 +102,7 @@ class Block:
     heading: bool
     inside: bool
     around: bool
+    wrappers: tuple[int, ...] = ()  # marked wrappers around it, by number
 
 
 def _names(attributes: str, inside: bool) -> str:
@@ -103,23 +110,46 @@ def _names(attributes: str, inside: bool) -> str:
     if "=" not in attributes:
         return ""
     found = ((k.lower(), a or b or c) for k, a, b, c in NAMES.findall(attributes))
-    return " ".join(v for k, v in found if not inside or k in ("class", "role") or MARKED.fullmatch(v.strip()))
+    return LAYOUT.sub("", " ".join(v for k, v in found if not inside or k in ("class", "role") or MARKED.fullmatch(v.strip())))
+
+
+def _take_back(blocks: list[Block]) -> None:
+    """Takes back the marks of wrappers that hold the page's prose: all of its article blocks
+    and over half of its prose; on a page without article marks also three blocks of it, and five times
+    the prose outside of all marks."""
+    open_ = [b for b in blocks if not b.around]
+    prose = [b for b in open_ if b.words >= PROSE and b.links < LINKED]
+    whole, plain = sum(b.words for b in prose), sum(b.words for b in prose if not b.wrappers)
+    article = any(b.inside for b in open_)
+    for wrapper in {w for b in prose for w in b.wrappers}:
+        held = [b for b in prose if wrapper in b.wrappers]
+        words = sum(b.words for b in held)
+        if article:
+            back = all(wrapper in b.wrappers for b in open_ if b.inside)
+        else:
+            back = len(held) >= 3 and words >= 5 * plain
+        if back and 2 * words > whole:
+            for b in open_:
+                b.wrappers = tuple(w for w in b.wrappers if w != wrapper)
+    for b in blocks:
+        b.around = b.around or bool(b.wrappers)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Flat text blocks of a page in order."""
     out: list[Block] = []
     parts: list[str] = []
-    linked = anchor = 0
-    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag; inside; around (2: comments); silent
+    linked = anchor = numbered = 0
+    # tag; inside; around (2: comments); silent; marked wrappers
+    stack: list[tuple[str, bool, int, bool, tuple[int, ...]]] = [("", False, 0, False, ())]
 
     def flush() -> None:
         nonlocal linked
         words = html.unescape("".join(parts)).split()
         if words:
-            _, inside, around, _ = stack[-1]
+            _, inside, around, _, wrappers = stack[-1]
             heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in stack[-3:])
-            out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), heading, inside, around > 0))
+            out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), heading, inside, around > 0, wrappers))
         parts.clear()
         linked = 0
 
@@ -154,24 +184,28 @@ def blocks_of(page: str) -> list[Block]:
                     stack.pop()  # left open, and closed by this tag
             if tag in VOID or m[4].endswith("/") and tag in SILENT:
                 continue
-            _, inside, around, silent = stack[-1]
+            _, inside, around, silent, wrappers = stack[-1]
             names = "" if tag in ("html", "body") else _names(m[4], inside)
             marked = MARKED.search(names) if names else None
-            if marked and tag not in ("article", "main") or marked and marked[1]:
+            if tag in WRAPPERS and not inside and not around and (tag == "form" or marked and not marked[1]):
+                numbered += 1
+                wrappers = *wrappers, numbered
+            elif marked and tag not in ("article", "main") or marked and marked[1]:
                 around = 2 if marked[1] or around == 2 else 1
             elif tag in AROUND:
                 around = max(around, 0 if tag == "header" and inside else 1)
             elif tag in ("article", "main"):
-                inside, around = True, around if around == 2 else 0
+                inside, around, wrappers = True, around if around == 2 else 0, ()
             elif names and ARTICLE.search(names):
                 inside = True
             silent = silent or tag in SILENT
-            stack.append((tag, inside, around, silent))
+            stack.append((tag, inside, around, silent, wrappers))
     if not stack[-1][3]:
         tail = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^<>]*\Z", tail)  # a tag that the page's end cuts off
         parts.append(tail[:cut.start()] if cut else tail)
     flush()
+    _take_back(out)
     return out
 
 

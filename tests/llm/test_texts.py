@@ -458,3 +458,28 @@ def test_heading_slugs_are_no_marks():
 <div id="comments"><p>I like it.</p></div><div class="share-box">Share this</div></article>"""
     want = "Title of it\nSome words before.\nSide effects\nThey are few.\nForm and function\nOthers did this."
     assert html_text.main_texts([page], html_text.default_tree()) == [want]
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<div class="layout has-sidebar"><div id="content">', "</div></div>"), ('<div class="page no-header"><div class="post">', "</div></div>"),
+    ('<div class="page sidebar-left"><div class="content">', "</div></div>"), ('<form id="whole" action="/"><div class="entry">', "</div></form>"),
+    ('<div class="header-page">', "</div>"), ('<form><div class="side wrapper">', "</div></form>"), ("<div class=widgets><article>", "</article></div>"),
+])
+def test_marked_wrappers_keep_their_prose(open_, close):
+    prose = [f"paragraph {n} " + "says something of its own in plain words that nobody links to from here " * 2 for n in range(4)]
+    page = (f"<nav><a href=a>Home</a></nav>{open_}{''.join(f'<p>{p}</p>' for p in prose)}<div class=ad>{prose[0]} buy it</div>{close}"
+            f"<div class=newsletter><form><p>{prose[1]} in your mail, and then a lot more of it</p></form></div>")
+    assert html_text.main_texts([page], html_text.default_tree()) == ["\n".join(p.strip() for p in prose)]
+
+
+@pytest.mark.parametrize("around", ['<div class="modal"><div class="content">{}</div></div>', '<div class="sidebar">{}</div>', "<form>{}</form>",
+                                    '<div id="comments"><div class="post">{}</div></div>', '<div class="related"><div class="post">{}</div></div>'])
+def test_marked_parts_stay_out(around):
+    long = "".join(f"<p>a part beside the article with number {n} and a good many words in it to be taken for prose by its length</p>" for n in range(6))
+    page = "<div class=content><p>The article is short, of one block, and has few words, but is marked.</p></div>" + around.format(long)
+    assert html_text.main_texts([page], html_text.default_tree()) == ["The article is short, of one block, and has few words, but is marked."]
+
+
+def test_page_of_nothing_but_parts():
+    assert html_text.main_texts(['<div class="cookie-notice"><p>We use cookies so that every page of this site works for all of you each day.</p></div>'],
+                                html_text.default_tree()) == [""]
