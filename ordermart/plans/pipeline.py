@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import timeparts as tp
 from ..operators import dims, facts
 from ..operators.keys import max_id
-from ..sources import control, extract, schemas, sinks, storage
+from ..sources import control, extract, schemas, segments, sinks, storage
 from .jobs import concurrently
 from .warehouse import StarSchema
 
@@ -165,10 +165,23 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
 def load_targets(spark: SparkSession, root: str, batch_id: int) -> None:
     """Append every stage table to its target as batch ``batch_id`` (idempotent).
     Readers see the batch once ``log_completed`` has run."""
-    concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id)
+    again = batch_id in control.completed_ids(spark, sinks.log_path(root))
+    concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id, again)
                    for name in schemas.TARGET_LOAD_ORDER])
 
 
+def compact(spark: SparkSession, root: str, fanout: int = segments.FANOUT) -> dict[str, int]:
+    """Merges small batch folders of every target (see ``segments``); returns merges per table."""
+    merges: dict[str, int] = {}
+    concurrently([lambda n=name: merges.__setitem__(n, segments.compact(spark, root, n, fanout)) for name in schemas.TARGET_LOAD_ORDER])
+    return merges
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Deletes folders that compaction replaced; readers planned under the last ``keep`` + 1 pointers go on."""
+    return [p for name in schemas.TARGET_LOAD_ORDER for p in segments.vacuum(spark, root, name, keep)]
+
+
 def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
               run_ts: dt.datetime, batch_id: int | None = None, **kw) -> BatchResult:
     res = extract_and_stage(spark, sources, root, run_ts, batch_id, **kw)

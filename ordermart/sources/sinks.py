@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timeparts as tp
-from . import control, schemas, storage
+from . import control, schemas
 
 STAGE_DIR, TARGET_DIR, CONTROL_DIR = "stage", "target", "_control"
 
@@ -64,15 +64,16 @@ def partition_fields(name: str) -> list[T.StructField]:
     return [T.StructField("batch_id", T.LongType()), *kind]
 
 
-def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
-    """Write a target table's rows by name, partitioned by its declared key.
+def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite", with_batch: bool = False) -> None:
+    """Write a target table's rows by name, partitioned by its declared key;
+    ``with_batch`` keeps their ``batch_id`` as a column.
 
     ``rebalance`` on the partition value lets AQE size the output: few files
     per month, and a month holding a large share of rows is split over
     several tasks instead of one.
     """
     spec = schemas.TARGETS[name]
-    out = schemas.conform(df, spec.schema)
+    out = schemas.conform(df, spec.schema if not with_batch else T.StructType([*spec.schema.fields, partition_fields(name)[0]]))
     if spec.partition_col:
         out = out.withColumn(spec.partition_col, spec.partition_column())
         out.hint("rebalance", spec.partition_col).write.mode(mode) \
@@ -81,10 +82,25 @@ def write_declared(df: DataFrame, name: str, path: str, mode: str = "overwrite")
         out.hint("rebalance").write.mode(mode).parquet(path)
 
 
-def load_target(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
-    """Stage -> target: all stage rows into the target's ``batch_id=<id>`` directory."""
+def load_target(spark: SparkSession, root: str, name: str, batch_id: int, again: bool = False) -> None:
+    """Stage -> target: all stage rows into the target's ``batch_id=<id>`` directory.
+    ``again``: the batch was completed before, so segments may hold its old rows."""
+    from . import segments  # segments builds on this module
+
     path = os.path.join(target_path(root, name), f"batch_id={int(batch_id)}")
+    if again:
+        segments.forget(spark, root, name, batch_id)
     write_declared(read_stage(spark, root, name, batch_id), name, path)
+    if again:  # also out of a segment that was merged meanwhile
+        segments.forget(spark, root, name, batch_id)
+
+
+def _completed_rows(spark: SparkSession, root: str, name: str, except_batch: int | None = None) -> DataFrame | None:
+    """A target's rows of completed batches with the storage columns; None before the first load."""
+    from . import segments  # segments builds on this module
+
+    done = [i for i in control.completed_ids(spark, log_path(root)) if i != except_batch]
+    return segments.read(spark, root, name, segments.layout(spark, root, name, done)[1])
 
 
 def read_target(spark: SparkSession, root: str, name: str,
@@ -93,15 +109,11 @@ def read_target(spark: SparkSession, root: str, name: str,
     dropped); empty with the declared schema before the first load. A batch
     whose load is not logged as ``Completed`` is not visible, so a load that
     failed half way shows no rows. ``except_batch`` leaves that batch out.
-    Batches are selected by their ``batch_id`` directories."""
+    Batches are read from their ``batch_id`` directories or the segments that
+    hold them; other directories are not listed."""
     spec = schemas.TARGETS[name]
-    df = storage.read_parquet(spark, target_path(root, name), spec.schema, partition_fields(name))
-    if df is None:
-        return schemas.empty(spark, spec.schema)
-    done = control.completed_ids(spark, log_path(root))
-    if except_batch is not None:
-        done = [i for i in done if i != except_batch]
-    return schemas.conform(df.where(F.col("batch_id").isin(done)), spec.schema)
+    df = _completed_rows(spark, root, name, except_batch)
+    return schemas.empty(spark, spec.schema) if df is None else schemas.conform(df, spec.schema)
 
 
 def append_oltp(df: DataFrame, path: str, schema) -> None:
@@ -132,12 +144,10 @@ def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
     spec = schemas.TARGETS[name]
     if spec.partition_col != "p_month":
         raise ValueError(f"{name} is not partitioned by month")
-    path = target_path(root, name)
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    df = storage.read_parquet(spark, path, spec.schema, partition_fields(name))
+    df = _completed_rows(spark, root, name)
     if df is None:
         return schemas.empty(spark, spec.schema)
-    df = df.where(F.col("batch_id").isin(control.completed_ids(spark, log_path(root))))
     cond = ((F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
             & (F.col(spec.partition_col) >= tp.month_start(lo))
             & (F.col(spec.partition_col) <= tp.month_start(hi)))
