@@ -20,7 +20,7 @@ from ..sources import binding, control, extract, schemas, sinks
 from . import analytics as a
 from . import history as h
 from . import pipeline
-from .warehouse import RUN_DATE, materialize, two_batches
+from .warehouse import RUN_DATE, late_events, materialize, two_batches
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +183,8 @@ def etl_queries() -> dict[str, QueryFn]:
         "two_batches_accumulated_orders": _two_batch_facts(accumulate=True),
         "two_batches_delivery_time_month": _two_batch_delivery,
         "two_batches_extract_log": _two_batch_log,
+        "late_events_dim_order": lambda spark, sf: pipeline.warehouse(spark, late_events(spark, sf)).dim_order,
+        "late_events_accumulated_orders": lambda spark, sf: pipeline.warehouse(spark, late_events(spark, sf), accumulate=True).fact_daily_orders,
         "oltp_insert_purge": _insert_and_purge,
         "extract_customers_since": lambda spark, sf: extract.customers_since(
             binding.customer_master(spark, sf), h.CUSTOMER_MARK),

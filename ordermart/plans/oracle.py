@@ -447,6 +447,8 @@ SELECT CAST(date_trunc('month', order_delivery_timestamp) AS DATE) AS delivery_m
        CAST(sum(order_delivery_time_seconds) AS BIGINT) AS seconds
 FROM facts WHERE order_delivery_timestamp IS NOT NULL GROUP BY 1""",
         "two_batches_extract_log": f"WITH {two_batches_facts(False)} SELECT CAST(processlogid AS BIGINT) AS processlogid, tablename, extractrowcount, status FROM ({log})",
+        "late_events_dim_order": f"WITH {SOURCES} SELECT orderid, order_status_update_timestamp, order_status FROM order_details",
+        "late_events_accumulated_orders": f"WITH {two_batches_facts(True)} SELECT * FROM facts",
         "oltp_insert_purge": f"""WITH {SOURCES}, n AS (SELECT count(*) AS n FROM order_items)
 SELECT 'insert' AS step, n AS row_count FROM n UNION ALL SELECT 'insert again', 2 * n FROM n
 UNION ALL SELECT 'purge', 0 UNION ALL SELECT 'insert after purge', n FROM n""",

@@ -26,6 +26,8 @@ from .jobs import concurrently
 from .warehouse import StarSchema
 
 MARK_TABLES = ("stg_dim_customer", "stg_dim_order", "stg_dim_product")
+#: Log name of the latest event time loaded, kept by batches that run with ``late_by``.
+EVENTS = "events_dim_order"
 SCD2_KEYS = {"dim_product": "productid", "dim_customer": "customerid"}
 #: Schemas of the staged updates and of the deltas that a batch writes once.
 UPDATES = {"dim_product_updates": T.StructType([*schemas.PRODUCT_MASTER.fields, T.StructField("end_date", T.DateType())]),
@@ -42,6 +44,7 @@ class BatchResult:
     run_ts: dt.datetime | None = None
     product_updates: DataFrame | None = None
     customer_updates: DataFrame | None = None
+    events: tuple[int, dt.datetime] | None = None  # events read and the event-time mark, with late_by
 
 
 def _next_batch_id(spark: SparkSession, root: str) -> int:
@@ -55,7 +58,7 @@ def _next_batch_id(spark: SparkSession, root: str) -> int:
 def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root: str,
                       run_ts: dt.datetime, batch_id: int | None = None,
                       address_dedupe: str = "natural_key", scd2: bool = False,
-                      order_delta: DataFrame | None = None) -> BatchResult:
+                      order_delta: DataFrame | None = None, late_by: dt.timedelta | None = None) -> BatchResult:
     """Extract deltas since the marks and write the batch's stage tables.
 
     ``sources``: customer_master, product_master, order_details, order_items
@@ -68,6 +71,11 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     ``order_delta``: order events to load as they are, whatever their time (a
     landed file is handed out once, so no mark applies to it).
 
+    ``late_by``: how long after its own time the source may commit an order event. The order extract
+    then starts that long before the latest event time loaded (never later than the last
+    run) and leaves out the events that other batches loaded, so a late event is loaded once and
+    no event twice; one that comes later still is not seen. Without it the mark is the last run's clock.
+
     ``address_dedupe="natural_key"`` (default) gives each distinct address
     one id, so the customer lookup is 1:1. ``"row"`` reproduces the reference
     exactly (a fresh address row per extracted customer), whose lookup returns
@@ -112,12 +120,26 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         deltas[name] = stage(name, df)
 
     orders = sources.get("order_details") if order_delta is None else None
+    event_mark = dt.datetime.fromisoformat(control.high_water_marks(spark, log, [EVENTS], before_logid=batch_id)[EVENTS])
+
+    def new_orders() -> DataFrame:
+        if order_delta is not None:
+            return order_delta
+        if late_by is None:
+            return extract.orders_since(orders, marks["stg_dim_order"])
+        since = str(event_mark - late_by)
+        loaded = sinks.read_target_range(spark, root, "dim_order", "order_status_update_timestamp", since, except_batch=batch_id)
+        return extract.orders_not_loaded(orders, since, loaded)
+
     concurrently([
-        lambda: delta("delta_orders", extract.orders_since(orders, marks["stg_dim_order"]) if order_delta is None else order_delta),
+        lambda: delta("delta_orders", new_orders()),
         lambda: delta("delta_customer", extract.customers_since(sources["customer_master"], marks["stg_dim_customer"])),
         lambda: delta("delta_products", extract.products_snapshot(sources["product_master"], marks["stg_dim_product"])),
     ])
     delta_orders, delta_customer, delta_products = (deltas[n] for n in DELTAS)
+    if late_by is not None:
+        n, latest = delta_orders.agg(F.count("*"), F.max("order_status_update_timestamp")).first()
+        res.events = n, max(event_mark, min(latest or event_mark, run_ts))
     delta_items = extract.items_of(sources["order_items"], delta_orders)
 
     def product_stage():
@@ -197,7 +219,7 @@ def log_completed(spark: SparkSession, root: str, res: BatchResult) -> None:
     and makes the batch's rows visible."""
     control.append_log_rows(spark, sinks.log_path(root), [
         (res.batch_id, schemas.STAGE_PREFIX + name, n, res.run_ts, control.COMPLETED)
-        for name, n in res.staged.items()])
+        for name, n in res.staged.items()] + ([(res.batch_id, EVENTS, *res.events, control.COMPLETED)] if res.events else []))
 
 
 SCD2_DIR = "scd2"

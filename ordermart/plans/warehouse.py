@@ -26,6 +26,8 @@ from ..sources import binding, extract, schemas, storage
 RUN_DATE = "2002-01-01"  # run date of the reference batch built from test data
 CUT = "1998-04-25 00:00:00"  # between the two batches of ``two_batches``
 
+LATE_FROM = "1998-04-18 00:00:00"  # deliveries from here to CUT come late in ``late_events``
+
 
 @dataclass
 class StarSchema:
@@ -143,3 +145,23 @@ def two_batches(spark: SparkSession, sf_dir: str) -> str:
         pipeline.run_batch(spark, src, root, dt.datetime.fromisoformat(RUN_DATE), batch_id=2)
 
     return _built(spark, sf_dir, f"two batches, {CUT}, {RUN_DATE}", build)
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the warehouse after two batches whose source commits the deliveries of the
+    last days before CUT only after the first batch ran; the second runs with an overlap.
+    The batches are compacted into one segment a table."""
+    from . import pipeline
+
+    def build(root: str) -> None:
+        src = binding.oltp_sources(spark, sf_dir)
+        at = F.col("order_status_update_timestamp")
+        cut = F.lit(CUT).cast("timestamp_ntz")
+        late = (F.col("order_status") == "Delivered") & (at >= F.lit(LATE_FROM).cast("timestamp_ntz"))
+        early = src["order_details"].where((at < cut) & ~late)
+        by = dt.datetime.fromisoformat(CUT) - dt.datetime.fromisoformat(LATE_FROM)
+        pipeline.run_batch(spark, src | {"order_details": early}, root, dt.datetime.fromisoformat(CUT), batch_id=1, late_by=by)
+        pipeline.run_batch(spark, src, root, dt.datetime.fromisoformat(RUN_DATE), batch_id=2, late_by=by)
+        pipeline.compact(spark, root, fanout=2)
+
+    return _built(spark, sf_dir, f"late events, {LATE_FROM}, {CUT}, {RUN_DATE}", build)

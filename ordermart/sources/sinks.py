@@ -132,8 +132,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, batchsize:
 
 
 def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
-                      start: str, end: str) -> DataFrame:
-    """Rows of a month-partitioned target with ``start <= ts_col < end``.
+                      start: str, end: str | None = None, except_batch: int | None = None) -> DataFrame:
+    """Rows of a month-partitioned target with ``start <= ts_col < end`` (None: no end).
 
     Spark does not derive a predicate on the month partition column from a
     predicate on the timestamp, so the equivalent month range is added
@@ -144,11 +144,12 @@ def read_target_range(spark: SparkSession, root: str, name: str, ts_col: str,
     spec = schemas.TARGETS[name]
     if spec.partition_col != "p_month":
         raise ValueError(f"{name} is not partitioned by month")
-    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    df = _completed_rows(spark, root, name)
+    lo = F.lit(start).cast("timestamp_ntz")
+    df = _completed_rows(spark, root, name, except_batch)
     if df is None:
         return schemas.empty(spark, spec.schema)
-    cond = ((F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
-            & (F.col(spec.partition_col) >= tp.month_start(lo))
-            & (F.col(spec.partition_col) <= tp.month_start(hi)))
+    cond = (F.col(ts_col) >= lo) & (F.col(spec.partition_col) >= tp.month_start(lo))
+    if end is not None:
+        hi = F.lit(end).cast("timestamp_ntz")
+        cond = cond & (F.col(ts_col) < hi) & (F.col(spec.partition_col) <= tp.month_start(hi))
     return schemas.conform(df.where(cond), spec.schema)
