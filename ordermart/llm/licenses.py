@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,13 @@ class Scanner:
         self.content = {name: frozenset(words) - {f.encode() for f in FUNCTION} for name, words in self.templates.items()}
         self.every = frozenset().union(*self.content.values())
 
+    def possible(self, words, name: str) -> bool:
+        """Whether the words can hold a match: with its naming words, and with all content words
+        but as many as a match may miss."""
+        content, size = self.content[name], len(self.templates[name])
+        may_miss = size - ceil(self.least * size)
+        return self.naming[name].issubset(words) and len(content.intersection(words)) >= len(content) - may_miss
+
     def ranges(self, words: list[bytes], name: str):
         """Ranges of the text within a match's longest span of the template's content words."""
         reach = int(len(self.templates[name]) / self.least) + 1
@@ -153,7 +161,10 @@ class Scanner:
         template = self.templates[name]
         if b - a < self.least * len(template):
             return a, a, 0.0
-        places = align(words[a:b], template, a)
+        part = words[a:b]
+        if not self.possible(part, name):
+            return a, a, 0.0
+        places = align(part, template, a)
         if len(places) < self.least * len(template):
             return a, a, 0.0
         i, j = densest(places)
@@ -175,7 +186,10 @@ class Scanner:
         found = []
         if self.every.isdisjoint(words):
             return found
+        present = set(words)
         for name, template in self.templates.items():
+            if not self.possible(present, name):
+                continue
             span = int(len(template) / self.least) + 1
             for at, stop in self.ranges(words, name):
                 while at < stop:
