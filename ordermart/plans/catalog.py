@@ -20,7 +20,7 @@ from ..sources import binding, control, extract, schemas, sinks
 from . import analytics as a
 from . import history as h
 from . import pipeline
-from .warehouse import RUN_DATE, late_events, materialize, two_batches
+from .warehouse import RUN_DATE, late_events, materialize, scd2_batches, two_batches
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -176,6 +176,8 @@ def etl_queries() -> dict[str, QueryFn]:
         "scd2_checks_product": lambda spark, sf: dims.scd2_checks(_scd2_product(spark, sf), "productid"),
         "scd2_checks_customer": lambda spark, sf: dims.scd2_checks(_scd2_customer(spark, sf), "customerid"),
         "scd2_checks_not_closed": lambda spark, sf: dims.scd2_checks(_unclosed(spark, sf), "productid"),
+        "scd2_batches_product": lambda spark, sf: pipeline.scd2_current(spark, scd2_batches(spark, sf), "dim_product"),
+        "scd2_batches_customer": lambda spark, sf: pipeline.scd2_current(spark, scd2_batches(spark, sf), "dim_customer"),
         "etl_high_water_mark": _high_water_marks,
         "quality_raw_line_checks": _raw_line_checks,
         "dim_address_buckets": _address_buckets,

@@ -29,6 +29,7 @@ from .warehouse import RUN_DATE
 
 # Fixed values of the incremental scenario.
 CUSTOMER_MOD, PRODUCT_MOD = 4, 3
+OLD_NAME = " (before)"
 PRODUCT_HISTORY_START = "2001-01-01"
 CUSTOMER_MARK = "1995-07-01 00:00:00"
 ORDER_MARK = "1998-01-01 00:00:00"

@@ -455,5 +455,33 @@ UNION ALL SELECT 'purge', 0 UNION ALL SELECT 'insert after purge', n FROM n""",
     }
 
 
+def scd2_batches_sql() -> dict[str, str]:
+    """Both versions of what changed between the two batches, from the sources alone."""
+    first, mark = f"DATE '{h.CUSTOMER_MARK[:10]}'", f"TIMESTAMP '{h.CUSTOMER_MARK}'"
+    product = "productid, productcode, productname, sku"
+    return {
+        "scd2_batches_product": f"""WITH {SOURCES}
+SELECT {product}, rate - 1 AS rate, isactive, {first} AS start_date, DATE '{RUN_DATE}' AS end_date
+FROM product_master WHERE productid % {h.PRODUCT_MOD} = 1
+UNION ALL
+SELECT {product}, rate, isactive, CASE WHEN productid % {h.PRODUCT_MOD} IN (0, 1) THEN DATE '{RUN_DATE}' ELSE {first} END, {OPEN_END}
+FROM product_master""",
+        "scd2_batches_customer": f"""WITH {SOURCES},
+old AS (SELECT *, row_number() OVER (ORDER BY customerid) AS address_id FROM customer_master WHERE customerid % {h.CUSTOMER_MOD} <> 0),
+fresh AS (
+  SELECT *, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY customerid) AS address_id FROM customer_master
+  WHERE customerid % {h.CUSTOMER_MOD} = 0 AND update_timestamp >= {mark}),
+renamed AS (SELECT * FROM old WHERE customerid % {h.CUSTOMER_MOD} = 1 AND update_timestamp >= {mark})
+SELECT customerid, CASE WHEN customerid % {h.CUSTOMER_MOD} = 1 THEN name || '{h.OLD_NAME}' ELSE name END AS name, address_id,
+       CAST(update_timestamp AS DATE) - 365 AS start_date,
+       CASE WHEN customerid IN (SELECT customerid FROM renamed) THEN CAST(update_timestamp AS DATE) ELSE {OPEN_END} END AS end_date
+FROM old
+UNION ALL
+SELECT customerid, name, address_id, CAST(update_timestamp AS DATE), {OPEN_END} FROM renamed
+UNION ALL
+SELECT customerid, name, address_id, CAST(update_timestamp AS DATE), {OPEN_END} FROM fresh""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**analytics_sql(), **etl_sql(), **two_batches_sql()}
+    return {**analytics_sql(), **etl_sql(), **two_batches_sql(), **scd2_batches_sql()}

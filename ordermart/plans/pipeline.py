@@ -11,17 +11,16 @@ only then do the marks move and the batch's rows become visible.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timeparts as tp
 from ..operators import dims, facts
 from ..operators.keys import max_id
-from ..sources import control, extract, schemas, segments, sinks, storage
+from ..sources import control, extract, schemas, segments, sinks, versions
 from .jobs import concurrently
 from .warehouse import StarSchema
 
@@ -98,9 +97,6 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     # the dimensions as loaded by all other batches, whatever the order in which they
     # completed (a rerun must not see its own rows)
     existing = {n: sinks.read_target(spark, root, n, except_batch=batch_id) for n in ("dim_address", "dim_customer", "dim_product")}
-    if scd2:
-        for name in SCD2_KEYS:
-            existing[name] = _scd2_before(spark, root, name, batch_id).where(F.col("end_date") == F.lit(tp.OPEN_END_DATE).cast("date"))
     res = BatchResult(batch_id, marks, run_ts=run_ts)
 
     def stage(name: str, df: DataFrame) -> DataFrame:
@@ -137,6 +133,10 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
         lambda: delta("delta_products", extract.products_snapshot(sources["product_master"], marks["stg_dim_product"])),
     ])
     delta_orders, delta_customer, delta_products = (deltas[n] for n in DELTAS)
+    if scd2:
+        for name, changes in (("dim_product", delta_products), ("dim_customer", delta_customer)):
+            known = _scd2_before(spark, root, name, batch_id, changes)
+            existing[name] = known.where(F.col("end_date") == F.lit(tp.OPEN_END_DATE).cast("date"))
     if late_by is not None:
         n, latest = delta_orders.agg(F.count("*"), F.max("order_status_update_timestamp")).first()
         res.events = n, max(event_mark, min(latest or event_mark, run_ts))
@@ -222,66 +222,81 @@ def log_completed(spark: SparkSession, root: str, res: BatchResult) -> None:
         for name, n in res.staged.items()] + ([(res.batch_id, EVENTS, *res.events, control.COMPLETED)] if res.events else []))
 
 
-SCD2_DIR = "scd2"
-
-
-def _scd2_path(root: str, name: str, version: tuple[int, int] | None = None) -> str:
-    base = os.path.join(root, SCD2_DIR, name)
-    return base if version is None else os.path.join(base, f"version={version[0]}.{version[1]}")
-
-
 def scd2_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Latest SCD2 version of a dimension by a completed batch; before the first apply, the
     append-loaded target (the union of its batches)."""
     return _scd2_before(spark, root, name, None)
 
 
-def apply_scd2(spark: SparkSession, root: str, batch_id: int) -> dict[str, int]:
+def apply_scd2(spark: SparkSession, root: str, batch_id: int, buckets: int | None = None) -> dict[str, int]:
     """Write the SCD2 version of dim_product and dim_customer after a batch.
 
     Inserts and updates come from the batch's own stage folder. The open row
     of an updated key is closed where its new version starts, each update
-    becomes an open row, inserts are added. The version is written to its own
-    folder (``version=<number>.<batch_id>``), never over the one being read, on top of the
-    latest version of a completed batch, whatever its id; a rerun of a completed batch
-    rewrites only its own version. It counts once the batch is logged ``Completed``. Returns row counts.
+    becomes an open row, inserts are added. Only the key buckets that hold a changed key are
+    read and written (see ``versions``), on top of the latest version of a completed batch,
+    whatever its id; nothing is written over, so a rerun of a completed batch gives its
+    version new folders and leaves later versions as they are. The version counts once the
+    batch is logged ``Completed``. ``buckets``: key buckets of the dimension, by default
+    those that it has. Returns the rows written.
     """
-    out = {}
-    for name, key in SCD2_KEYS.items():
+    out: dict[str, int] = {}
+
+    def apply(name: str, key: str) -> None:
         updates = sinks.read_stage(spark, root, f"{name}_updates", batch_id, UPDATES[f"{name}_updates"])
         if name == "dim_product":  # a product's new version starts on the run date
             updates = updates.withColumnRenamed("end_date", "start_date")
-        prev = _scd2_before(spark, root, name, batch_id)
-        new = dims.scd2_apply(schemas.conform(prev, schemas.TARGETS[name].schema),
-                              sinks.read_stage(spark, root, name, batch_id), updates, key)
-        versions = _versions(spark, root, name)
-        number = versions.get(batch_id) or max(versions.values(), default=0) + 1
-        path = _scd2_path(root, name, (number, batch_id))
-        seen = Observation()
-        new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-        out[name] = seen.get["n"]
+        inserts = sinks.read_stage(spark, root, name, batch_id)
+        done = _versions(spark, root, name)
+        number = done.get(batch_id) or max(done.values(), default=0) + 1
+        older = _older(done, batch_id)
+        kept = versions.layout(spark, root, name, older) if older else None
+        n = buckets or (kept.buckets if kept else versions.BUCKETS)
+        if kept and kept.buckets == n:
+            changed = versions.touched(inserts.select(key).unionByName(updates.select(key)), key, n)
+            before = versions.read(spark, root, name, older, changed)
+        else:  # the first version, or another number of buckets: every bucket is written
+            kept, before = None, _scd2_before(spark, root, name, batch_id)
+        new = dims.scd2_apply(schemas.conform(before, schemas.TARGETS[name].schema), inserts, updates, key)
+        out[name] = versions.write(spark, root, name, key, (number, batch_id), new, kept, n)
+
+    concurrently([lambda n=name, k=key: apply(n, k) for name, key in SCD2_KEYS.items()])
     return out
 
 
+def vacuum_scd2(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Deletes all but the last ``keep`` versions of completed batches, and the bucket folders
+    that only older ones or failed attempts name; run it while no batch runs."""
+    gone = []
+    for name in SCD2_KEYS:
+        last = sorted(((v, b) for b, v in _versions(spark, root, name).items()), reverse=True)[:keep]
+        gone += versions.vacuum(spark, root, name, last) if last else []
+    return gone
+
+
 def _versions(spark: SparkSession, root: str, name: str) -> dict[int, int]:
     """Number of the version of each completed batch that has one. A version whose batch failed
     after it was written doesn't count."""
-    base = _scd2_path(root, name)
     done = set(control.completed_ids(spark, sinks.log_path(root)))
-    found = sorted(tuple(map(int, d.split("=", 1)[1].split("."))) for d in storage.children(spark, base)
-                   if d.startswith("version=") and storage.exists(spark, os.path.join(base, d, "_SUCCESS")))
-    return {batch: number for number, batch in found if batch in done}
+    return {batch: number for number, batch in versions.found(spark, root, name) if batch in done}
+
+
+def _older(done: dict[int, int], batch_id: int | None) -> tuple[int, int] | None:
+    """(number, batch) of the latest version that ``batch_id`` builds on."""
+    last = done.get(batch_id, max(done.values(), default=0) + 1)
+    return max(((v, b) for b, v in done.items() if v < last), default=None)
 
 
-def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int | None) -> DataFrame:
+def _scd2_before(spark: SparkSession, root: str, name: str, batch_id: int | None, changes: DataFrame | None = None) -> DataFrame:
     """Latest version that ``batch_id`` builds on; without one, the append-loaded
-    target of the other batches."""
-    versions = _versions(spark, root, name)
-    last = versions.get(batch_id, max(versions.values(), default=0) + 1)
-    older = max(((v, b) for b, v in versions.items() if v < last), default=None)
+    target of the other batches. ``changes``: only the key buckets that hold one of its keys
+    are needed (the rows of others may be left out)."""
+    older = _older(_versions(spark, root, name), batch_id)
     if older is None:
         return sinks.read_target(spark, root, name, except_batch=batch_id)
-    return spark.read.schema(schemas.TARGETS[name].schema).parquet(_scd2_path(root, name, older))
+    known = versions.layout(spark, root, name, older) if changes is not None else None
+    only = versions.touched(changes, SCD2_KEYS[name], known.buckets) if known else None
+    return versions.read(spark, root, name, older, only)
 
 
 def warehouse(spark: SparkSession, root: str, accumulate: bool = False) -> StarSchema:

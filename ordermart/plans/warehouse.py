@@ -165,3 +165,24 @@ def late_events(spark: SparkSession, sf_dir: str) -> str:
         pipeline.compact(spark, root, fanout=2)
 
     return _built(spark, sf_dir, f"late events, {LATE_FROM}, {CUT}, {RUN_DATE}", build)
+
+
+def scd2_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the warehouse after two batches that keep SCD2 versions: the first sees the products and customers
+    of ``history.existing_dims`` a year earlier, every fourth customer under an old name."""
+    from . import history as h
+    from . import pipeline
+
+    def build(root: str) -> None:
+        src = binding.oltp_sources(spark, sf_dir)
+        c, p = F.col("customerid") % h.CUSTOMER_MOD, F.col("productid") % h.PRODUCT_MOD
+        people = src["customer_master"].where(c != 0).withColumns({
+            "name": F.when(c == 1, F.concat("name", F.lit(h.OLD_NAME))).otherwise(F.col("name")),
+            "update_timestamp": F.col("update_timestamp") - F.expr("interval 365 days")})
+        goods = src["product_master"].where(p != 0).withColumn("rate", F.when(p == 1, F.col("rate") - 1).otherwise(F.col("rate")))
+        early = src["order_details"].where(F.col("order_status_update_timestamp") < F.lit(h.CUSTOMER_MARK).cast("timestamp_ntz"))
+        first = src | {"customer_master": people, "product_master": goods, "order_details": early}
+        pipeline.run_batch(spark, first, root, dt.datetime.fromisoformat(h.CUSTOMER_MARK), batch_id=1, scd2=True)
+        pipeline.run_batch(spark, src, root, dt.datetime.fromisoformat(RUN_DATE), batch_id=2, scd2=True)
+
+    return _built(spark, sf_dir, f"scd2 batches, {h.CUSTOMER_MARK}, {RUN_DATE}", build)

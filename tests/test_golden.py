@@ -406,11 +406,11 @@ def test_failed_load_keeps_marks_and_rerun_loses_nothing(spark, tmp_root):
     orig = sinks.load_target
     calls = {"n": 0}
 
-    def flaky(spark_, root_, name, batch_id):
+    def flaky(spark_, root_, name, *rest):
         calls["n"] += 1
         if name == "fact_daily_orders":
             raise RuntimeError("executor lost")
-        return orig(spark_, root_, name, batch_id)
+        return orig(spark_, root_, name, *rest)
 
     sinks.load_target = flaky
     try:
