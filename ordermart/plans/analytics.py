@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..operators import distinct
 from .warehouse import StarSchema
 
 # grain name -> (output column, expression over the fact/dimension columns)
@@ -36,11 +37,6 @@ def customer_geo(star: StarSchema, how: str = "left") -> DataFrame:
     return c.join(a, "address_id", how).drop("address_id")
 
 
-def _fact_geo(star: StarSchema, how: str, fact_cols: list[str]) -> DataFrame:
-    f = star.fact_daily_orders.select(*fact_cols)
-    return f.join(customer_geo(star, how), "customerid", how)
-
-
 def _avg_per_order(star: StarSchema, measure: str, alias: str, grain: str) -> DataFrame:
     """avg(measure) over fact ⟕ customer ⟕ address, grouped by one grain.
 
@@ -73,6 +69,24 @@ def q02_avg_sales(star: StarSchema, grain: str = "pincode") -> DataFrame:
     return _avg_per_order(star, "order_amount", "avg_sales", grain)
 
 
+def q01_q02_grouping_sets(star: StarSchema) -> DataFrame:
+    """Average items and amount per order by each grain of q01 and q02, in one pass: GROUPING SETS over
+    sums per date, area and pincode, themselves over sums per customer. ``grouping_id`` tells the grains apart:
+    a bit of the six columns is 0 for the one that a row is grouped by."""
+    sums = ("items", "items_n", "sales", "sales_n")
+    part = star.fact_daily_orders.groupBy("customerid", tp.date_of("order_received_timestamp").alias("d"), "pincode").agg(
+        F.sum("item_count").alias("items"), F.count("item_count").alias("items_n"),
+        F.sum("order_amount").alias("sales"), F.count("order_amount").alias("sales_n"))
+    j = part.join(customer_geo(star, "left"), "customerid", "left")
+    j = j.groupBy("d", "state", "city", "pincode").agg(*(F.sum(c).alias(c) for c in sums))
+    names = ["Daily", "Monthly", "Weekly", "State", "City", "Pincode"]
+    j = j.select(tp.day_of_month("d").alias("Daily"), tp.month_of_year("d").alias("Monthly"), tp.week_sunday("d").alias("Weekly"),
+                 F.col("state").alias("State"), F.col("city").alias("City"), F.col("pincode").alias("Pincode"), *sums)
+    ratio = lambda a, b: F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double"))
+    return j.groupingSets([[n] for n in names], *names).agg(
+        F.grouping_id().alias("grouping_id"), ratio("items", "items_n").alias("avg_items"), ratio("sales", "sales_n").alias("avg_sales"))
+
+
 def q03_units_by_sku(star: StarSchema, grain: str = "day") -> DataFrame:
     """Units sold per product name and SKU per delivery day-of-month
     (``grain="month"`` adds the delivery month for the monthly trend)."""
@@ -132,11 +146,11 @@ def q04_sales_by_date_product(star: StarSchema) -> DataFrame:
 
 
 def q05_orders_by_area(star: StarSchema, grain: str = "city") -> DataFrame:
-    """Distinct orders per area: (state, city) by default, or state, or state/city/pincode."""
+    """Distinct orders per area: (state, city) by default, or state, or state/city/pincode.
+    With the batches' bitmaps of order ids no order is shuffled unless its id may be repeated."""
     keys = {"state": ["state"], "city": ["state", "city"],
             "pincode": ["state", "city", "address_pincode"]}[grain]
-    j = _fact_geo(star, "inner", ["customerid", "orderid"])
-    out = j.groupBy(*keys).agg(F.count_distinct("orderid").alias("NumberOfOrders"))
+    out = distinct.orders_by(star.fact_daily_orders, customer_geo(star, "inner"), keys, star.order_bits, "NumberOfOrders")
     return out.withColumnRenamed("address_pincode", "pincode")
 
 
@@ -228,6 +242,22 @@ def q09_delivery_time(star: StarSchema, grain: str = "base") -> DataFrame:
         F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double")).alias("AvgDeliveryTime"))
 
 
+def q09_grouping_sets(star: StarSchema) -> DataFrame:
+    """Min / max / avg delivery seconds and orders by delivery date, weekday, month, state, city and
+    address pincode, each by itself, in one pass (see ``q01_q02_grouping_sets``)."""
+    m = "order_delivery_time_seconds"
+    part = star.fact_daily_orders.groupBy("customerid", tp.date_of("order_delivery_timestamp").alias("d")).agg(
+        F.min(m).alias("mn"), F.max(m).alias("mx"), F.sum(m).alias("s"), F.count(m).alias("c"), F.count("orderid").alias("n"))
+    merged = (F.min("mn").alias("mn"), F.max("mx").alias("mx"), F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+    j = part.join(customer_geo(star, "inner"), "customerid").groupBy("d", "state", "city", "address_pincode").agg(*merged)
+    names = ["DATES", "WEEKDAYS", "MONTHS", "State", "City", "Pincode"]
+    j = j.select(F.col("d").alias("DATES"), tp.day_of_week("d").alias("WEEKDAYS"), tp.month_of_year("d").alias("MONTHS"),
+                 F.col("state").alias("State"), F.col("city").alias("City"), F.col("address_pincode").alias("Pincode"), "mn", "mx", "s", "c", "n")
+    return j.groupingSets([[n] for n in names], *names).agg(
+        F.grouping_id().alias("grouping_id"), F.min("mn").alias("MinDeliveryTime"), F.max("mx").alias("MaxDeliveryTime"),
+        F.try_divide(F.sum("s").cast("double"), F.sum("c").cast("double")).alias("AvgDeliveryTime"), F.sum("n").alias("NumberOfOrders"))
+
+
 def q10_orders_sliced(star: StarSchema, grain: str = "base") -> DataFrame:
     """Order count by the same slices as q09 (pre-aggregated per customer)."""
     j = _delivery_partials(star, grain, [F.count("orderid").alias("_n")])

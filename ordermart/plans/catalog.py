@@ -147,6 +147,9 @@ def analytics_queries() -> dict[str, QueryFn]:
     for g in a.SLICES:
         q[f"q09_delivery_time_{g}"] = _star(a.q09_delivery_time, grain=g)
         q[f"q10_orders_sliced_{g}"] = _star(a.q10_orders_sliced, grain=g)
+    q["q01_q02_grouping_sets"] = _star(a.q01_q02_grouping_sets)
+    q["q09_grouping_sets"] = _star(a.q09_grouping_sets)
+    q["q05_two_batches_orders_by_city"] = lambda spark, sf: a.q05_orders_by_area(pipeline.warehouse(spark, two_batches(spark, sf)))
     q["q10_orders_grouping_sets"] = _star(a.q10_orders_grouping_sets)
     for g in ("base", "hour", "weekend"):
         suffix = "" if g == "base" else f"_{g}"

@@ -276,6 +276,23 @@ GROUP BY 1, 2""")
     q["q10_orders_grouping_sets"] = _with("\nUNION ALL\n".join(
         f"SELECT '{n}' AS slice, {c} AS value, count(f.orderid) AS \"NumberOfOrders\"\n{_FACT_GEO_INNER}\nGROUP BY 2"
         for n, c in cells.items()))
+    def each(cells: dict[str, str], aggs: str, rows: str) -> str:
+        """A question per column, with a null for each other column, one after another."""
+        n = len(cells)
+        return _with("\nUNION ALL\n".join(
+            "SELECT " + ", ".join(f'{e if x == name else f"CAST(NULL AS {kind})"} AS "{x}"' for x, (e, kind) in cells.items())
+            + f", CAST({2 ** n - 1 - 2 ** (n - 1 - i)} AS BIGINT) AS grouping_id, {aggs}\n{rows}\nGROUP BY {i + 1}"
+            for i, name in enumerate(cells)))
+
+    kinds = {n: ("VARCHAR" if g in ("state", "city") else "BIGINT") for g, (n, _) in _GRAIN_SQL.items()}
+    grains = {_GRAIN_SQL[g][0]: (_GRAIN_SQL[g][1], kinds[_GRAIN_SQL[g][0]]) for g in ("day", "month", "week", "state", "city", "pincode")}
+    q["q01_q02_grouping_sets"] = each(grains, "avg(item_count) AS avg_items, avg(order_amount) AS avg_sales", _FACT_GEO)
+    q["q09_grouping_sets"] = each(
+        {"DATES": (f"CAST({ts} AS DATE)", "DATE"), "WEEKDAYS": (f"CAST(dayofweek({ts}) + 1 AS BIGINT)", "BIGINT"),
+         "MONTHS": (f"CAST(extract(month FROM {ts}) AS BIGINT)", "BIGINT"), "State": ("a.state", "VARCHAR"),
+         "City": ("a.city", "VARCHAR"), "Pincode": ("a.pincode", "BIGINT")},
+        'min(order_delivery_time_seconds) AS "MinDeliveryTime", max(order_delivery_time_seconds) AS "MaxDeliveryTime", '
+        'avg(order_delivery_time_seconds) AS "AvgDeliveryTime", count(f.orderid) AS "NumberOfOrders"', _FACT_GEO_INNER)
     agg9 = ('min(order_delivery_time_seconds) AS "MinDeliveryTime", '
             'max(order_delivery_time_seconds) AS "MaxDeliveryTime", '
             'avg(order_delivery_time_seconds) AS "AvgDeliveryTime"')
@@ -441,6 +458,9 @@ def two_batches_sql() -> dict[str, str]:
     return {
         "two_batches_fact_daily_orders": f"WITH {two_batches_facts(False)} SELECT * FROM facts",
         "two_batches_accumulated_orders": f"WITH {two_batches_facts(True)} SELECT * FROM facts",
+        "q05_two_batches_orders_by_city": f"""WITH {two_batches_facts(False)}
+SELECT c.state, c.city, count(DISTINCT orderid) AS "NumberOfOrders"
+FROM facts f JOIN customer_master c ON f.customerid = c.customerid GROUP BY 1, 2""",
         "two_batches_delivery_time_month": f"""WITH {two_batches_facts(True)}
 SELECT CAST(date_trunc('month', order_delivery_timestamp) AS DATE) AS delivery_month, count(*) AS orders,
        min(order_delivery_time_seconds) AS fastest, max(order_delivery_time_seconds) AS slowest,

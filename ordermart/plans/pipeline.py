@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timeparts as tp
-from ..operators import dims, facts
+from ..operators import dims, distinct, facts
 from ..operators.keys import max_id
 from ..sources import control, extract, schemas, segments, sinks, versions
 from .jobs import concurrently
@@ -33,6 +33,7 @@ UPDATES = {"dim_product_updates": T.StructType([*schemas.PRODUCT_MASTER.fields,
            "dim_customer_updates": schemas.DIM_CUSTOMER}
 DELTAS = {"delta_orders": schemas.ORDER_DETAILS, "delta_customer": schemas.CUSTOMER_MASTER,
           "delta_products": schemas.PRODUCT_MASTER}
+STATES = {n: schemas.TARGETS[n].schema for n in schemas.STATES}  # stored by batch, not logged
 
 
 @dataclass
@@ -100,7 +101,7 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
     res = BatchResult(batch_id, marks, run_ts=run_ts)
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        schema = UPDATES.get(name) or DELTAS.get(name)
+        schema = UPDATES.get(name) or DELTAS.get(name) or STATES.get(name)
         try:
             n = sinks.write_stage(spark, df, root, name, batch_id, schema)
         except Exception:
@@ -172,7 +173,8 @@ def extract_and_stage(spark: SparkSession, sources: dict[str, DataFrame], root:
 
     def fact_stage():
         lines = sinks.read_stage(spark, root, "f_order_details", batch_id)
-        stage("fact_daily_orders", facts.daily_orders(delta_orders, delta_customer, delta_products, lines))
+        fact = stage("fact_daily_orders", facts.daily_orders(delta_orders, delta_customer, delta_products, lines))
+        stage("order_bits", distinct.order_bits(fact))
 
     concurrently([
         address_stage,
@@ -189,19 +191,20 @@ def load_targets(spark: SparkSession, root: str, batch_id: int) -> None:
     Readers see the batch once ``log_completed`` has run."""
     again = batch_id in control.completed_ids(spark, sinks.log_path(root))
     concurrently([lambda n=name: sinks.load_target(spark, root, n, batch_id, again)
-                   for name in schemas.TARGET_LOAD_ORDER])
+                   for name in (*schemas.TARGET_LOAD_ORDER, *schemas.STATES)])
 
 
 def compact(spark: SparkSession, root: str, fanout: int = segments.FANOUT) -> dict[str, int]:
     """Merges small batch folders of every target (see ``segments``); returns merges per table."""
     merges: dict[str, int] = {}
-    concurrently([lambda n=name: merges.__setitem__(n, segments.compact(spark, root, n, fanout)) for name in schemas.TARGET_LOAD_ORDER])
+    concurrently([lambda n=name: merges.__setitem__(n, segments.compact(spark, root, n, fanout))
+                  for name in (*schemas.TARGET_LOAD_ORDER, *schemas.STATES)])
     return merges
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
     """Deletes folders that compaction replaced; readers planned under the last ``keep`` + 1 pointers go on."""
-    return [p for name in schemas.TARGET_LOAD_ORDER for p in segments.vacuum(spark, root, name, keep)]
+    return [p for name in (*schemas.TARGET_LOAD_ORDER, *schemas.STATES) for p in segments.vacuum(spark, root, name, keep)]
 
 
 def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
@@ -305,6 +308,8 @@ def warehouse(spark: SparkSession, root: str, accumulate: bool = False) -> StarS
     ``accumulate``: order facts and lines show what later batches loaded about the same
     order (see ``facts.accumulated_orders``); without it, what their own batch knew."""
     star = StarSchema(**{n: sinks.read_target(spark, root, n) for n in schemas.TARGET_LOAD_ORDER})
+    # read last: a batch completed meanwhile only adds to the state, which keeps counts exact
+    star.order_bits = sinks.read_state(spark, root, "order_bits")
     if accumulate:
         star.fact_daily_orders = facts.accumulated_orders(star.fact_daily_orders, star.dim_order)
         star.f_order_details = facts.accumulated_lines(star.f_order_details, star.dim_order)

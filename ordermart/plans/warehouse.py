@@ -37,6 +37,7 @@ class StarSchema:
     dim_order: DataFrame
     f_order_details: DataFrame
     fact_daily_orders: DataFrame
+    order_bits: DataFrame | None = None  # state stored by batch, see operators/distinct
 
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in schemas.TARGET_LOAD_ORDER}

@@ -63,6 +63,8 @@ F_ORDER_DETAILS = _struct(
     ("orderid", L, True), ("order_delivery_timestamp", TS, True),
     ("productid", L, True), ("quantity", L, True))
 
+ORDER_BITS = T.StructType([T.StructField("id_range", L, True), T.StructField("bits", T.BinaryType(), True), T.StructField("orders", L, True)])
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -99,6 +101,10 @@ TARGETS: dict[str, TableSpec] = {
                                  ("orderid", "productid")),
 }
 
+#: State that every batch stores beside its rows, see ``operators/distinct``.
+TARGETS["order_bits"] = TableSpec("order_bits", ORDER_BITS, None, None, ("id_range",))
+STATES = ("order_bits",)
+
 # Stage tables mirror the targets, unpartitioned.
 STAGE_PREFIX = "stg_"
 

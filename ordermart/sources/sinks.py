@@ -116,6 +116,18 @@ def read_target(spark: SparkSession, root: str, name: str,
     return schemas.empty(spark, spec.schema) if df is None else schemas.conform(df, spec.schema)
 
 
+def read_state(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """State stored by batch; None unless every completed batch has it (older ones have none)."""
+    from . import segments  # segments builds on this module
+
+    done = control.completed_ids(spark, log_path(root))
+    folders = segments.layout(spark, root, name, done)[1]
+    if {b for s in folders for b in s.batches} != set(done):
+        return None
+    rows = segments.read(spark, root, name, folders)
+    return None if rows is None else schemas.conform(rows, schemas.TARGETS[name].schema)
+
+
 def append_oltp(df: DataFrame, path: str, schema) -> None:
     """Bulk insert into a source table stored as parquet (columns by name)."""
     schemas.conform(df, schema).write.mode("append").parquet(path)
