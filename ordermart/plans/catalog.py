@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources import binding, control, extract, schemas, sinks
 from . import analytics as a
 from . import history as h
-from . import pipeline
+from . import pipeline, reconcile
 from .warehouse import RUN_DATE, late_events, materialize, scd2_batches, two_batches
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +190,8 @@ def etl_queries() -> dict[str, QueryFn]:
         "two_batches_extract_log": _two_batch_log,
         "late_events_dim_order": lambda spark, sf: pipeline.warehouse(spark, late_events(spark, sf)).dim_order,
         "late_events_accumulated_orders": lambda spark, sf: pipeline.warehouse(spark, late_events(spark, sf), accumulate=True).fact_daily_orders,
+        "two_batches_reconciled": lambda spark, sf: reconcile.reconcile(
+            spark, two_batches(spark, sf), 2, binding.oltp_sources(spark, sf)),
         "oltp_insert_purge": _insert_and_purge,
         "extract_customers_since": lambda spark, sf: extract.customers_since(
             binding.customer_master(spark, sf), h.CUSTOMER_MARK),

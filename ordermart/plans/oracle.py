@@ -455,9 +455,19 @@ def two_batches_sql() -> dict[str, str]:
     log += [f"SELECT b, '{t}', CASE b WHEN 1 THEN (SELECT count(DISTINCT {key}) FROM {rows}) ELSE 0 END, 'Completed' FROM (VALUES (1), (2)) v(b)"
             for t, key, rows in first]
     log = "\nUNION ALL ".join(log)
+    steps = [("order_details", "source to delta", "events WHERE batch = 2"), ("product_master", "source to delta", "product_master"),
+             ("customer_master", "source to delta", f"customer_master WHERE update_timestamp >= TIMESTAMP '{CUT}'"),
+             ("dim_order", "delta to stage", "events WHERE batch = 2"),
+             ("dim_address", "stage to target", "events WHERE false"), ("dim_customer", "stage to target", "events WHERE false"),
+             ("dim_product", "stage to target", "events WHERE false"),
+             *((t.removeprefix("stg_"), "stage to target", f"{rows} WHERE batch = 2") for t, rows in counts)]
+    reconciled = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, '{step}' AS step, (SELECT count(*) FROM {rows}) AS n" for t, step, rows in steps)
     return {
         "two_batches_fact_daily_orders": f"WITH {two_batches_facts(False)} SELECT * FROM facts",
         "two_batches_accumulated_orders": f"WITH {two_batches_facts(True)} SELECT * FROM facts",
+        "two_batches_reconciled": f"""WITH {two_batches_facts(False)},
+counts AS ({reconciled})
+SELECT table_name, step, CAST(n AS BIGINT) AS rows_from, CAST(n AS BIGINT) AS rows_to, CAST(0 AS BIGINT) AS differences FROM counts""",
         "q05_two_batches_orders_by_city": f"""WITH {two_batches_facts(False)}
 SELECT c.state, c.city, count(DISTINCT orderid) AS "NumberOfOrders"
 FROM facts f JOIN customer_master c ON f.customerid = c.customerid GROUP BY 1, 2""",
