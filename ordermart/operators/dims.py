@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..functions.joins import merged
 from ..sources import schemas
 from .keys import assign_dense_ids, max_id
 
@@ -27,7 +28,7 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 def rows_not_in(df: DataFrame, other: DataFrame, cols: list[str]) -> DataFrame:
     """Rows of ``df`` whose ``cols`` tuple does not occur in ``other`` (nulls match nulls)."""
-    o = other.select(*cols).distinct()
+    o = merged(other.select(*cols).distinct())
     return df.join(o, null_safe_on(df, o, cols), "left_anti")
 
 
@@ -72,7 +73,7 @@ def customer_delta(delta_customer: DataFrame, dim_customer: DataFrame,
     start_date is the row's own update date, end_date the open end.
     Inserts are customers unknown to dim_customer, updates known ones.
     """
-    a = address_lookup.select("address_id", *ADDRESS_NATURAL_KEY)
+    a = merged(address_lookup.select("address_id", *ADDRESS_NATURAL_KEY))
     d = delta_customer
     joined = d.join(a, null_safe_on(d, a, ADDRESS_NATURAL_KEY), "left")
     rows = joined.select(
@@ -80,7 +81,7 @@ def customer_delta(delta_customer: DataFrame, dim_customer: DataFrame,
         tp.date_of(d["update_timestamp"]).alias("start_date"),
         F.lit(tp.OPEN_END_DATE).cast("date").alias("end_date"))
     rows = schemas.conform(rows, schemas.DIM_CUSTOMER)
-    known = dim_customer.select("customerid").distinct()
+    known = merged(dim_customer.select("customerid").distinct())
     updates = rows.join(known, "customerid", "left_semi")
     inserts = rows.join(known, "customerid", "left_anti")
     return inserts, updates
@@ -94,7 +95,7 @@ def match_addresses(delta_customer: DataFrame, dim_address: DataFrame) -> DataFr
     rows and the customer lookup, so the (large) address dimension is
     shuffled once per batch instead of twice.
     """
-    a = dim_address.select("address_id", *ADDRESS_NATURAL_KEY)
+    a = merged(dim_address.select("address_id", *ADDRESS_NATURAL_KEY))
     d = delta_customer
     return d.join(a, null_safe_on(d, a, ADDRESS_NATURAL_KEY), "left").select(d["*"], a["address_id"])
 
@@ -115,14 +116,14 @@ def customers_from_matches(matched: DataFrame, staged_addresses: DataFrame,
     known addresses keep their ids, new ones take the staged id (a join
     against the new rows only). Equal to ``customer_delta`` with the lookup
     dim_address ∪ staged new addresses."""
-    n = staged_addresses.select(F.col("address_id").alias("_new_id"), *ADDRESS_NATURAL_KEY)
+    n = merged(staged_addresses.select(F.col("address_id").alias("_new_id"), *ADDRESS_NATURAL_KEY))
     m = matched
     j = m.join(n, m["address_id"].isNull() & null_safe_on(m, n, ADDRESS_NATURAL_KEY), "left")
     rows = schemas.conform(j.select(
         m["customerid"], m["name"], F.coalesce(m["address_id"], n["_new_id"]).alias("address_id"),
         tp.date_of(m["update_timestamp"]).alias("start_date"),
         F.lit(tp.OPEN_END_DATE).cast("date").alias("end_date")), schemas.DIM_CUSTOMER)
-    known = dim_customer.select("customerid").distinct()
+    known = merged(dim_customer.select("customerid").distinct())
     return rows.join(known, "customerid", "left_anti"), rows.join(known, "customerid", "left_semi")
 
 
@@ -139,7 +140,7 @@ def product_delta(delta_products: DataFrame, dim_product: DataFrame,
     # known if it has rows, and unchanged if one of them equals the snapshot row
     compared = [c for c in PRODUCT_COMPARED if c != "productid"]
     held = dim_product.groupBy("productid").agg(F.collect_set(F.struct(*compared)).alias("_held"))
-    flagged = snap.join(held, "productid", "left")
+    flagged = snap.join(merged(held), "productid", "left")
     unchanged = F.exists("_held", lambda h: reduce(lambda a, b: a & b, [h[c].eqNullSafe(F.col(c)) for c in compared]))
     changes = flagged.where(~F.coalesce(unchanged, F.lit(False)))
     inserts = (changes.where("_held is null").drop("_held")
@@ -169,7 +170,7 @@ def scd2_apply(dim: DataFrame, inserts: DataFrame, updates: DataFrame, key: str)
     cols = dim.columns
     begins = updates.groupBy(key).agg(F.max("start_date").alias("_begins"))
     still_open = F.col("_begins").isNotNull() & (F.col("end_date") == open_end)
-    closed = dim.join(begins, key, "left").withColumn(
+    closed = dim.join(merged(begins), key, "left").withColumn(
         "end_date", F.when(still_open, F.greatest("start_date", "_begins")).otherwise(F.col("end_date"))).select(*cols)
     new_versions = updates.withColumn("end_date", open_end).select(*cols)
     return closed.unionByName(new_versions).unionByName(inserts.select(*cols))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import merged
+
 BITMAP_BYTES, ROW_BYTES, SMALL = 4096, 64, 1 << 20
 #: Ranges with repeated ids that are named in a predicate; with more, every id is counted as distinct.
 RANGES = 1000
@@ -34,9 +36,9 @@ def order_bits(facts: DataFrame) -> DataFrame:
 
 def repeated_ranges(bits: DataFrame) -> list[int] | None:
     """Ranges in which an id is repeated or not known to be single; None: more than RANGES."""
-    merged = bits.groupBy("id_range").agg(
+    whole = bits.groupBy("id_range").agg(
         F.bitmap_or_agg("bits").alias("_bits"), F.sum("orders").alias("_n"), F.count_if(F.col("bits").isNull()).alias("_unknown"))
-    doubtful = merged.where((F.col("_unknown") > 0) | (F.bitmap_count("_bits") != F.col("_n")))
+    doubtful = whole.where((F.col("_unknown") > 0) | (F.bitmap_count("_bits") != F.col("_n")))
     found = [r[0] for r in doubtful.select("id_range").limit(RANGES + 1).collect()]
     return found if len(found) <= RANGES else None
 
@@ -46,14 +48,14 @@ def orders_by(facts: DataFrame, areas: DataFrame, keys: list[str], bits: DataFra
     f = facts.select("customerid", "orderid")
     doubtful = repeated_ranges(bits) if bits is not None else None
     if doubtful is None:
-        return f.join(areas, "customerid").groupBy(*keys).agg(F.count_distinct("orderid").alias(alias))
+        return f.join(merged(areas), "customerid").groupBy(*keys).agg(F.count_distinct("orderid").alias(alias))
     # a customer with several rows in an area counts its orders once there
     per_area = areas.where("customerid is not null").select("customerid", *keys).distinct()
     again = id_range("orderid").isin(doubtful)
     single = f.where(F.coalesce(~again, F.lit(True))) if doubtful else f
     per_customer = single.groupBy("customerid").agg(F.count("orderid").alias("_n"))
-    out = per_customer.join(per_area, "customerid").groupBy(*keys).agg(F.sum("_n").alias(alias))
+    out = per_customer.join(merged(per_area), "customerid").groupBy(*keys).agg(F.sum("_n").alias(alias))
     if doubtful:
-        rest = f.where(again).join(areas, "customerid").groupBy(*keys).agg(F.count_distinct("orderid").alias(alias))
+        rest = f.where(again).join(merged(areas), "customerid").groupBy(*keys).agg(F.count_distinct("orderid").alias(alias))
         out = out.unionByName(rest).groupBy(*keys).agg(F.sum(alias).alias(alias))
     return out

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..functions.joins import merged
 from ..sources import schemas
 from ..sources.binding import STATUS_DELIVERED, STATUS_RECEIVED
 
@@ -27,7 +28,7 @@ def order_lines(delta_orders: DataFrame, delta_items: DataFrame) -> DataFrame:
     """
     delivered = complete_events(delta_orders, STATUS_DELIVERED).select(
         "orderid", F.col("order_status_update_timestamp").alias("order_delivery_timestamp"))
-    out = delta_items.join(delivered, "orderid", "left")
+    out = delta_items.join(merged(delivered), "orderid", "left")
     return schemas.conform(out, schemas.F_ORDER_DETAILS)
 
 
@@ -64,7 +65,7 @@ def order_totals(lines: DataFrame, delta_products: DataFrame) -> DataFrame:
     not to the amount (null rate). Partially aggregated map-side.
     """
     prod = delta_products.select("productid", "rate")
-    priced = lines.select("orderid", "productid", "quantity").join(prod, "productid", "left")
+    priced = lines.select("orderid", "productid", "quantity").join(merged(prod), "productid", "left")
     return priced.groupBy("orderid").agg(
         F.sum(F.col("quantity") * F.col("rate")).alias("order_amount"),
         F.sum("quantity").alias("item_count"))
@@ -82,8 +83,8 @@ def daily_orders(delta_orders: DataFrame, delta_customer: DataFrame,
         tp.seconds_between("order_received_timestamp", "order_delivery_timestamp"))
     totals = order_totals(lines, delta_products)
     cust = delta_customer.select("customerid", "pincode")
-    out = (piv.join(totals, "orderid", "left")
-              .join(cust, "customerid", "left")
+    out = (piv.join(merged(totals), "orderid", "left")
+              .join(merged(cust), "customerid", "left")
               .fillna(0, subset=["pincode", "order_amount", "item_count",
                                  "order_delivery_time_seconds"]))
     return schemas.conform(out, schemas.FACT_DAILY_ORDERS)
@@ -103,7 +104,7 @@ def accumulated_orders(fact: DataFrame, dim_order: DataFrame) -> DataFrame:
     (orderid, order_status) there is one). Only rows without a delivery are joined."""
     still = fact.where(F.col("order_delivery_timestamp").isNull())
     known = fact.where(F.col("order_delivery_timestamp").isNotNull())
-    late = still.join(_deliveries(dim_order), "orderid", "left")
+    late = still.join(merged(_deliveries(dim_order)), "orderid", "left")
     seconds = tp.seconds_between("order_received_timestamp", "_delivered")
     late = late.withColumn("order_delivery_time_seconds", F.coalesce(seconds, F.col("order_delivery_time_seconds")))
     late = late.withColumn("order_delivery_timestamp", F.col("_delivered"))
@@ -114,5 +115,5 @@ def accumulated_lines(lines: DataFrame, dim_order: DataFrame) -> DataFrame:
     """f_order_details with the delivery time that a later batch loaded."""
     still = lines.where(F.col("order_delivery_timestamp").isNull()).drop("order_delivery_timestamp")
     known = lines.where(F.col("order_delivery_timestamp").isNotNull())
-    late = still.join(_deliveries(dim_order), "orderid", "left").withColumnRenamed("_delivered", "order_delivery_timestamp")
+    late = still.join(merged(_deliveries(dim_order)), "orderid", "left").withColumnRenamed("_delivered", "order_delivery_timestamp")
     return schemas.conform(known.unionByName(late.select(lines.columns)), schemas.F_ORDER_DETAILS)

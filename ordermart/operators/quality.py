@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import merged
+
 # (table, key columns) from the source model
 PRIMARY_KEYS = {
     "customer_master": ["customerid"],
@@ -66,7 +68,7 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     for child, col, parent, pcol in FOREIGN_KEYS:
         # one row a key meets the parent, not every child row; a null key refers to nothing
         c = tables[child].where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
-        orphans = c.join(tables[parent].select(F.col(pcol).alias("_fk")), "_fk", "left_anti")
+        orphans = c.join(merged(tables[parent].select(F.col(pcol).alias("_fk"))), "_fk", "left_anti")
         parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
                      .select(F.lit(f"{child}.{col}.fk").alias("check_name"), "violations"))
     return _union(parts)

@@ -6,7 +6,7 @@ Joins to the customer and address dimensions are written as
 ``(fact ⟕ dim_customer) ⟕ dim_address`` because the address condition rejects
 rows without a customer, and it joins the two customer-sized dimensions first
 so the order-sized fact is shuffled (or streamed past a broadcast) once.
-AQE picks broadcast or sort-merge from the measured sizes.
+No dimension is broadcast (see ``functions.joins``): all grow with the data.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..functions.joins import merged
 from ..operators import distinct
 from .warehouse import StarSchema
 
@@ -34,7 +35,7 @@ def customer_geo(star: StarSchema, how: str = "left") -> DataFrame:
     c = star.dim_customer.select("customerid", "address_id")
     a = star.dim_address.select("address_id", "state", "city",
                                 F.col("pincode").alias("address_pincode"))
-    return c.join(a, "address_id", how).drop("address_id")
+    return c.join(merged(a), "address_id", how).drop("address_id")
 
 
 def _avg_per_order(star: StarSchema, measure: str, alias: str, grain: str) -> DataFrame:
@@ -53,7 +54,7 @@ def _avg_per_order(star: StarSchema, measure: str, alias: str, grain: str) -> Da
     fact_grain = grain not in ("state", "city")
     keys = ["customerid"] + ([expr().alias(name)] if fact_grain else [])
     part = f.groupBy(*keys).agg(F.sum(measure).alias("_s"), F.count(measure).alias("_c"))
-    j = part.join(customer_geo(star, "left"), "customerid", "left")
+    j = part.join(merged(customer_geo(star, "left")), "customerid", "left")
     g = F.col(name) if fact_grain else expr().alias(name)
     return j.groupBy(g).agg(
         F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double")).alias(alias))
@@ -77,7 +78,7 @@ def q01_q02_grouping_sets(star: StarSchema) -> DataFrame:
     part = star.fact_daily_orders.groupBy("customerid", tp.date_of("order_received_timestamp").alias("d"), "pincode").agg(
         F.sum("item_count").alias("items"), F.count("item_count").alias("items_n"),
         F.sum("order_amount").alias("sales"), F.count("order_amount").alias("sales_n"))
-    j = part.join(customer_geo(star, "left"), "customerid", "left")
+    j = part.join(merged(customer_geo(star, "left")), "customerid", "left")
     j = j.groupBy("d", "state", "city", "pincode").agg(*(F.sum(c).alias(c) for c in sums))
     names = ["Daily", "Monthly", "Weekly", "State", "City", "Pincode"]
     j = j.select(tp.day_of_month("d").alias("Daily"), tp.month_of_year("d").alias("Monthly"), tp.week_sunday("d").alias("Weekly"),
@@ -102,7 +103,7 @@ def q03_units_by_sku(star: StarSchema, grain: str = "day") -> DataFrame:
     # and a product in a large share of lines is combined map-side
     names = [c for c in ("DAY", "MONTH") if grain == "month" or c == "DAY"]
     part = f.groupBy("productid", *keys[2:]).agg(F.sum("quantity").alias("_units"))
-    return p.join(part, "productid").groupBy("productname", "sku", *names).agg(F.sum("_units").alias("units_sold"))
+    return p.join(merged(part), "productid").groupBy("productname", "sku", *names).agg(F.sum("_units").alias("units_sold"))
 
 
 def q04_sales_by_date_product_city(star: StarSchema) -> DataFrame:
@@ -114,7 +115,7 @@ def q04_sales_by_date_product_city(star: StarSchema) -> DataFrame:
     f = star.fact_daily_orders.select("orderid", "customerid", "order_received_timestamp", "order_amount")
     o = star.f_order_details.select("orderid", "productid")
     geo = customer_geo(star, "inner").select("customerid", "city")
-    j = f.join(geo, "customerid").join(o, "orderid")
+    j = f.join(merged(geo), "customerid").join(merged(o), "orderid")
     return (j.groupBy(tp.date_of("order_received_timestamp").alias("Daily"), "productid", "city")
              .agg(F.sum("order_amount").alias("total_sales"))
              # ordered by date; the extra keys let the range partitioning of
@@ -131,7 +132,7 @@ def q04_sales_by_date(star: StarSchema, grain: str = "date") -> DataFrame:
         return f.groupBy(day).agg(F.sum("order_amount").alias("total_sales"))
     area = {"state": ["state"], "city": ["state", "city"], "pincode": ["state", "city", "address_pincode"]}[grain]
     part = f.groupBy("customerid", day).agg(F.sum("order_amount").alias("_s"))
-    out = part.join(customer_geo(star, "inner"), "customerid").groupBy("Daily", *area).agg(F.sum("_s").alias("total_sales"))
+    out = part.join(merged(customer_geo(star, "inner")), "customerid").groupBy("Daily", *area).agg(F.sum("_s").alias("total_sales"))
     return out.withColumnRenamed("address_pincode", "pincode")
 
 
@@ -139,9 +140,9 @@ def q04_sales_by_date_product(star: StarSchema) -> DataFrame:
     """Σ quantity · rate of the lines per received date of their order and product."""
     day = star.fact_daily_orders.select("orderid", tp.date_of("order_received_timestamp").alias("Daily"))
     lines = star.f_order_details.select("orderid", "productid", "quantity")
-    units = lines.join(day, "orderid").groupBy("Daily", "productid").agg(F.sum("quantity").alias("_units"))
+    units = lines.join(merged(day), "orderid").groupBy("Daily", "productid").agg(F.sum("quantity").alias("_units"))
     rate = star.dim_product.select("productid", "rate")
-    return units.join(rate, "productid").groupBy("Daily", "productid").agg(
+    return units.join(merged(rate), "productid").groupBy("Daily", "productid").agg(
         F.sum(F.col("_units") * F.col("rate")).alias("total_sales"))
 
 
@@ -222,7 +223,7 @@ def _delivery_partials(star: StarSchema, grain: str, aggs: list) -> DataFrame:
     city = F.col("city").alias("City")
     area = AREAS.get(grain, [] if grain in ("daily", "weekday", "monthly") else [city])
     geo = customer_geo(star, "inner").select("customerid", *area)
-    return part.join(geo, "customerid")
+    return part.join(merged(geo), "customerid")
 
 
 def q09_delivery_time(star: StarSchema, grain: str = "base") -> DataFrame:
@@ -248,8 +249,8 @@ def q09_grouping_sets(star: StarSchema) -> DataFrame:
     m = "order_delivery_time_seconds"
     part = star.fact_daily_orders.groupBy("customerid", tp.date_of("order_delivery_timestamp").alias("d")).agg(
         F.min(m).alias("mn"), F.max(m).alias("mx"), F.sum(m).alias("s"), F.count(m).alias("c"), F.count("orderid").alias("n"))
-    merged = (F.min("mn").alias("mn"), F.max("mx").alias("mx"), F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
-    j = part.join(customer_geo(star, "inner"), "customerid").groupBy("d", "state", "city", "address_pincode").agg(*merged)
+    totals = (F.min("mn").alias("mn"), F.max("mx").alias("mx"), F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+    j = part.join(merged(customer_geo(star, "inner")), "customerid").groupBy("d", "state", "city", "address_pincode").agg(*totals)
     names = ["DATES", "WEEKDAYS", "MONTHS", "State", "City", "Pincode"]
     j = j.select(F.col("d").alias("DATES"), tp.day_of_week("d").alias("WEEKDAYS"), tp.month_of_year("d").alias("MONTHS"),
                  F.col("state").alias("State"), F.col("city").alias("City"), F.col("address_pincode").alias("Pincode"), "mn", "mx", "s", "c", "n")
@@ -270,7 +271,7 @@ def q10_orders_grouping_sets(star: StarSchema) -> DataFrame:
     in one pass: a row per slice name and value."""
     ts = "order_delivery_timestamp"
     part = star.fact_daily_orders.groupBy("customerid", tp.date_of(ts).alias("d")).agg(F.count("orderid").alias("_n"))
-    j = part.join(customer_geo(star, "inner"), "customerid")
+    j = part.join(merged(customer_geo(star, "inner")), "customerid")
     j = j.groupBy("d", "state", "city").agg(F.sum("_n").alias("_n"))
     slices = {"date": F.col("d").cast("string"), "weekday": tp.day_of_week("d").cast("string"),
               "month": tp.month_of_year("d").cast("string"), "state": F.col("state"), "city": F.col("city")}

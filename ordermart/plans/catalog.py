@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..functions.joins import merged
 from ..operators import dims, quality
 from ..session import scratch_path
 from ..sources import binding, control, extract, schemas, sinks
@@ -64,7 +65,7 @@ def _raw_line_checks(spark: SparkSession, sf: str) -> DataFrame:
     keys = lines.select(F.col("l_orderkey").alias("orderid"), F.col("l_partkey").alias("productid"))
     orders = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("orderid"))
     repeated = keys.groupBy("orderid", "productid").count().agg(F.sum(F.col("count") - 1).alias("violations"))
-    orphans = keys.where("orderid is not null").groupBy("orderid").count().join(orders, "orderid", "left_anti").agg(
+    orphans = keys.where("orderid is not null").groupBy("orderid").count().join(merged(orders), "orderid", "left_anti").agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
     return repeated.select(F.lit("lines.pk").alias("check_name"), "violations").unionByName(
         orphans.select(F.lit("lines.open_order.fk").alias("check_name"), "violations"))

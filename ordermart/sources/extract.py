@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
+from ..functions.joins import merged
 from . import schemas
 from .binding import STATUS_INPROGRESS
 
@@ -38,7 +39,7 @@ def orders_not_loaded(order_details: DataFrame, since, loaded: DataFrame) -> Dat
     recent = order_details.where(F.col("order_status_update_timestamp") >= _ts(since))
     known = loaded.select(*(F.col(c).alias(f"_{c}") for c in schemas.DIM_ORDER.fieldNames()))
     same = [recent[c].eqNullSafe(known[f"_{c}"]) for c in schemas.DIM_ORDER.fieldNames()]
-    return recent.join(known, same, "left_anti")
+    return recent.join(merged(known), same, "left_anti")
 
 
 def products_snapshot(product_master: DataFrame, mark=None) -> DataFrame:
@@ -50,7 +51,7 @@ def products_snapshot(product_master: DataFrame, mark=None) -> DataFrame:
 def items_of(order_items: DataFrame, delta_orders: DataFrame) -> DataFrame:
     """Lines of the orders that have an InProgress event in the delta."""
     wanted = delta_orders.where(F.col("order_status") == "InProgress").select("orderid")
-    return order_items.join(wanted, "orderid", "left_semi")
+    return order_items.join(merged(wanted), "orderid", "left_semi")
 
 
 def items_since(order_items: DataFrame, order_details: DataFrame, mark) -> DataFrame:
@@ -59,7 +60,7 @@ def items_since(order_items: DataFrame, order_details: DataFrame, mark) -> DataF
     inprog = order_details.where(
         (F.col("order_status_update_timestamp") >= _ts(mark))
         & (F.col("order_status") == STATUS_INPROGRESS)).select("orderid")
-    return order_items.join(inprog, "orderid", "left_semi")
+    return order_items.join(merged(inprog), "orderid", "left_semi")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
