@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import binascii
+import itertools
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, packing
+from ordermart.llm import bpe, common, packing
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -74,6 +76,25 @@ def test_packed_sequences(docs):
     assert all(len(r.ids) == 4 * r.length for r in whole)
 
 
+def test_words_are_cut_where_the_tokenizer_cuts():
+    blocks = common.word_blocks(packing.lowered(pa.array(["Alpha, alpha. (ALPHA)x9 alpha"])), cuts=packing.cuts)
+    assert [sorted(words.to_pylist()) for _, _, words, _, _ in blocks] == [[b"(", b")", b",", b".", b"9", b"alpha", b"x"]]
+
+
+def test_cut_words_have_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORDS)
+    t.encode_special_tokens = True
+    rng, odd = np.random.default_rng(3), [*"aJjIsltSre''.,!-=|<>  \t\n019\x01\x1c\x7f", "\u030c", "\u0338", "\u0307", "\u0301", "\u00a0", "\u2028", "é", "ß", "İ", "ŉ", "ı", "Σ", "你", "٣", "😀",
+                                          "'ll", "Don't", "<|endoftext|>", "</w>", "word", "É", "ǰ"]
+    texts = ["".join(rng.choice(odd, rng.integers(0, 40))) for _ in range(4000)] + ["J\u030c", "t\u0308 T\u0308", "A", ""]
+    known = packing._words(WORDS)
+    found = [ids[a:b].tolist() for _, _, words, codes, rows in common.word_blocks(packing.lowered(pa.array(texts)), limit=5000, cuts=packing.cuts)
+             for _, _, ids, at in known.ids_of(words.to_pylist(), codes, rows, limit=300) for a, b in itertools.pairwise(at)]
+    assert found == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_packing_nothing(nothing):
     assert packing.pack(nothing, WORDS).count() == 0
 
