@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,23 +67,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, c) of (text): each text's words and one end."""
 
     def run(batches):
-        total: dict[bytes, int] = {}
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], names=["word", "c"])
-            total.clear()
-            return out
-
         for batch in columns(batches):
             for _, _, words, codes, rows in word_blocks(batch.column(0), lower=True):
-                n = np.bincount(codes, minlength=len(words)).tolist()
-                for w, k in zip(words.to_pylist(), n, strict=True):
-                    total[w] = total.get(w, 0) + k
-                total[END] = total.get(END, 0) + len(rows) - 1
-                if len(total) > 500_000:
-                    yield flush()
-        if total:
-            yield flush()
+                n = np.append(np.bincount(codes, minlength=len(words)), len(rows) - 1)
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([words, pa.array([END], words.type)]), pa.array(n)], names=["word", "c"])
 
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -102,8 +90,8 @@ class Vocabulary:
     distinct: int
     heads: int
 
-    def tokens_of(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
+    def known(self, most: int | None = None) -> pa.Array:
+        return pa.array(self.words[:most], pa.binary())
 
     def start(self) -> dict[str, np.ndarray]:
         return gru.start(self.heads, self.tails, np.append(self.counts[:self.heads], self.mass))
@@ -149,14 +137,13 @@ def _shares(v: Vocabulary, count, tail):
     return np.where(count > 0, (count - v.discount) / np.maximum(1, mass), rest)
 
 
-def _texts(batches, number: dict, v: Vocabulary):
-    """Per block: (batch, first row, row after the last, words, word numbers or -1, model
-    ids of the words, codes, row offsets)."""
+def _texts(batches, known: pa.Array, v: Vocabulary):
+    """Per block: (batch, first row, row after the last, words, numbers in `known` or -1, model
+    ids of the words, codes, row offsets). known: the vocabulary's words, the head words at least."""
     for batch in batches:
         for a, b, words, codes, rows in word_blocks(batch.column("text"), lower=True):
             classes = v.heads + tail_of(words, v.tails)
-            words = words.to_pylist()
-            place = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
+            place = pc.fill_null(pc.index_in(words, known), -1).to_numpy().astype(np.int64)
             ids = np.where((place < 0) | (place >= v.heads), classes, place)
             yield batch, a, b, words, place, ids.astype(np.int32), codes, rows
 
@@ -180,7 +167,7 @@ def trained(texts: DataFrame, v: Vocabulary, p: dict) -> dict:
         voc, first = sent.value
         own = {k: x.copy() for k, x in first.items()}
         square = {k: np.full_like(x, 1e-8) for k, x in own.items()}
-        number, tokens = voc.tokens_of(), 0
+        heads, tokens = voc.known(voc.heads), 0
         held, count = [], 0
 
         def learn():
@@ -189,7 +176,7 @@ def trained(texts: DataFrame, v: Vocabulary, p: dict) -> dict:
             gru.train(own, ids, np.append(0, np.cumsum(length)), voc.heads, square)
             held.clear()
 
-        for _, _, _, _, _, ids, codes, rows in _texts(columns(batches), number, voc):
+        for _, _, _, _, _, ids, codes, rows in _texts(columns(batches), heads, voc):
             held.append(_ended(ids[codes], rows))
             count += len(held[-1][0])
             tokens += len(held[-1][0])
@@ -235,15 +222,16 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", heads:
 
     def run(batches):
         voc, model = sent.value
-        number, uid = voc.tokens_of(), TaskContext.get().partitionId() << 33
-        for batch, a, b, words, place, ids, codes, rows in _texts(columns(batches), number, voc):
+        known, uid = voc.known(), TaskContext.get().partitionId() << 33
+        for batch, a, b, words, place, ids, codes, rows in _texts(columns(batches), known, voc):
             count = np.where(place >= 0, voc.counts[np.maximum(place, 0)], 0)
             rare = place < 0
             tail = np.maximum(ids - voc.heads, 0)
             # per distinct word: base term and the share within its tail class; the rare ones' come by the join
             base = np.where(rare, 0.0, np.log10((count + 0.1) / floor))
             share = np.where(rare | (ids < voc.heads), 0.0, np.log10(np.maximum(_shares(voc, count, tail), 1e-300)))
-            hashes = np.array([_hash(w) if r else 0 for w, r in zip(words, rare, strict=True)], np.int64)
+            hashes = np.zeros(len(words), np.int64)
+            hashes[rare] = [_hash(w) for w in words.filter(pa.array(rare)).to_pylist()]
             for i, j in row_groups(rows, CHUNK):
                 part, edge = codes[rows[i]:rows[j]], rows[i:j + 1] - rows[i]
                 tokens, ends = _ended(ids[part], edge)

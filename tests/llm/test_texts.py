@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -365,6 +366,19 @@ def test_language_model_of_nothing(nothing):
     assert lm.score(nothing).count() == 0
 
 
+def test_words_are_counted_and_found_in_arrow(spark):
+    texts = ["the The cat", "", "cat sat \u00e9t\u00e9 the", "zzz the"]
+    found = {bytes(r.word): r.c for r in lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert found == {b"the": 4, b"cat": 2, b"sat": 1, "\u00e9t\u00e9".encode(): 1, b"zzz": 1, lm.END: 4}
+    v = lm.Vocabulary([lm.END, b"the", b"cat", b"sat"], np.array([4, 4, 2, 1]), 4, np.ones(4), np.ones(4), 0.5, 13, 6, 2)
+    for known, last in ((v.known(), [2, 3]), (v.known(v.heads), [-1, -1])):
+        (_, a, b, words, place, ids, codes, rows), = lm._texts([pa.RecordBatch.from_pydict({"text": texts})], known, v)
+        assert isinstance(words, pa.Array) and (a, b, rows.tolist()) == (0, 4, [0, 3, 3, 7, 9])
+        assert place[codes].tolist() == [1, 1, last[0], last[0], last[1], -1, 1, -1, 1]
+        tails = (2 + lm.tail_of(words, 4))[codes]
+        assert ids[codes].tolist() == [1 if k == 1 else t for k, t in zip(place[codes], tails, strict=True)]
+
+
 def test_pipeline(spark, folder, rows):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
