@@ -1,7 +1,10 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The dimensions are cut into `lists` slices; a slice's node scores queries against
-candidates by its own dimensions only, in blocks of rows.
+candidates by its own dimensions only, in blocks of rows. A node's work is dealt to
+cells: the cells of a grid hold a group of query blocks each and read a group of
+candidate blocks one after another. Nothing goes through the driver, and the grid
+has as many cells as there are tasks, however many blocks there are.
 
 1. Gather: each slice reports its k best local scores of a query. The exact totals of
    the gathered candidates give a cutoff that the k-th best total reaches surely.
@@ -22,15 +25,22 @@ rows give them all; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ordermart.functions.joins import merged
 from ordermart.llm.common import columns, stored, table
 
 QUERY_ROWS, ROWS = 512, 2048
 LISTS = 2
+#: Bytes of a cell's query blocks.
+RESIDENT = 32 << 20
 
 
 def vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -42,10 +52,21 @@ def vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFram
     return rows.groupBy("id").agg(F.max("v").alias("v"))
 
 
+def _small(m: np.ndarray) -> bytes:
+    """The matrix in the shortest integers that hold it."""
+    low, high = int(m.min(initial=0)), int(m.max(initial=0))
+    kind = next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return np.ascontiguousarray(m, kind).tobytes()
+
+
+def _edges(width: int, lists: int) -> np.ndarray:
+    return np.linspace(0, width, lists + 1).astype(int)
+
+
 def _blocks(rows: DataFrame, n: int, width: int, lists: int, rest: str = "") -> DataFrame:
     """(block, list, ids, m, ...): rows in n blocks by id hash, a matrix for each slice;
     the `cut` column goes along if it is there."""
-    edges = np.linspace(0, width, lists + 1).astype(int)
+    edges = _edges(width, lists)
 
     def build(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -56,7 +77,7 @@ def _blocks(rows: DataFrame, n: int, width: int, lists: int, rest: str = "") ->
         m[row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)] = v.flatten().to_numpy()
         out = {"block": [t["block"][0].as_py()] * lists, "list": list(range(lists)),
                "ids": [t["id"].to_numpy().astype(np.int64).tobytes()] * lists,
-               "m": [np.ascontiguousarray(m[:, edges[i]:edges[i + 1]]).tobytes() for i in range(lists)]}
+               "m": [_small(m[:, edges[i]:edges[i + 1]]) for i in range(lists)]}
         if rest:
             out["cut"] = [t["cut"].to_numpy().astype(np.int64).tobytes()] * lists
         return pa.table(out, schema=pa.schema([("block", pa.int32()), ("list", pa.int32()), ("ids", pa.binary()), ("m", pa.binary())]
@@ -66,23 +87,120 @@ def _blocks(rows: DataFrame, n: int, width: int, lists: int, rest: str = "") ->
     return rows.groupBy("block").applyInArrow(build, "block int, list int, ids binary, m binary" + rest)
 
 
-def _pairs(queries: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
-    """Each query block beside each candidate block of the same slice."""
-    q = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns),
-                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), "list").drop("q_list")
-    return q.join(candidates, ["block", "list"])
+def _grid(queries: int, parts: int, candidates: int, n: int, lists: int, tasks: int, a_query: int) -> tuple[int, int]:
+    """Groups of the query blocks (parts) and of the candidate blocks (n): together with
+    the slices about a cell a task, so split that little is sent twice. a_query: bytes."""
+    cells = -(-tasks // lists)
+    a = min(parts, max(1, -(-queries * a_query // RESIDENT), round(math.sqrt(cells * queries / max(1, candidates)))))
+    return a, min(n, -(-cells // a))
+
+
+def _cells(queries: DataFrame, candidates: DataFrame, grid: tuple[int, int], lists: int, requests: DataFrame | None = None) -> DataFrame:
+    """Rows of each cell in one partition: its query blocks, then its candidate blocks,
+    each before the requests for it."""
+    a, b = grid
+
+    def cell(i: Column, j: Column) -> Column:
+        return ((F.col("list") * a + i) * b + j).cast("int").alias("cell")
+
+    def whole(kind: int, block: Column, q_block: Column) -> list[Column]:
+        return [F.lit(kind).alias("kind"), block.alias("block"), q_block.alias("q_block")]
+
+    none, empty = F.lit(-1), F.lit(None).cast("binary")
+    cut = F.col("cut") if "cut" in queries.columns else empty
+    rows = queries.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))).select(
+        cell(F.pmod("block", F.lit(a)), F.col("j")), *whole(0, none, F.col("block")), "ids", "m", cut.alias("rest"))
+    rows = rows.unionByName(candidates.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(a - 1)))).select(
+        cell(F.col("i"), F.pmod("block", F.lit(b))), *whole(1, F.col("block"), none), "ids", "m", empty.alias("rest")))
+    if requests is not None:
+        rows = rows.unionByName(requests.select(
+            cell(F.pmod("q_block", F.lit(a)), F.pmod("block", F.lit(b))), *whole(2, F.col("block"), F.col("q_block")),
+            empty.alias("ids"), empty.alias("m"), F.col("at").alias("rest")))
+    return rows.repartitionById(lists * a * b, "cell").sortWithinPartitions("cell", "block", "kind", "q_block")
+
+
+def _of_cells(batches: Iterator[pa.RecordBatch], grid: tuple[int, int], width: int, lists: int) -> Iterator[tuple[int, dict, Iterator]]:
+    """(list, query blocks by number, what else the cell reads) of each cell. A block is
+    (ids, matrix, bytes of ids, rest); what is read is (block number, block, None) or
+    (block number, block, request)."""
+    edges = np.diff(_edges(width, lists))
+    every = (r for batch in columns(batches) for r in batch.to_pylist())
+
+    def block(r: dict, i: int) -> tuple:
+        ids = np.frombuffer(r["ids"], np.int64)
+        kind = {2: np.int16, 4: np.int32}.get(len(r["m"]) // max(1, len(ids) * int(edges[i])), np.int64)
+        return ids, np.frombuffer(r["m"], kind).reshape(len(ids), -1), r["ids"], r["rest"]
+
+    for number, rows in groupby(every, lambda r: r["cell"]):
+        i, asked = number // (grid[0] * grid[1]), {}
+
+        def rest(rows=rows, i=i, asked=asked):
+            at = None
+            for r in rows:
+                if r["kind"] == 0:
+                    asked[r["q_block"]] = block(r, i)
+                elif r["kind"] == 1:
+                    at = block(r, i)
+                    yield r["block"], at, None
+                else:
+                    yield r["block"], at, r
+
+        yield i, asked, rest()
 
 
-def _local(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, candidate ids and their local scores; the query's own place is None'd."""
-    at = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names) if name in ("q_ids", "q_m", "ids", "m")}
-    q, c = np.frombuffer(at["q_ids"], np.int64), np.frombuffer(at["ids"], np.int64)
-    x = np.frombuffer(at["q_m"], np.int64).reshape(len(q), -1)
-    y = np.frombuffer(at["m"], np.int64).reshape(len(c), -1)
+def _scores(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products, in the shortest numbers in which they are exact."""
     most = [max(abs(int(z.max(initial=0))), abs(int(z.min(initial=0)))) for z in (x, y)]
-    if most[0] * most[1] * max(1, x.shape[1]) < 2**53:  # exact in doubles
-        return q, c, (x.astype(np.float64) @ y.astype(np.float64).T).astype(np.int64)
-    return q, c, x @ y.T
+    bound = most[0] * most[1] * max(1, x.shape[1])
+    for kind, limit in EXACT.items():
+        if bound < limit:
+            return x.astype(kind) @ y.astype(kind).T
+    return x.astype(np.int64) @ y.astype(np.int64).T
+
+
+EXACT = {np.float32: 2**24, np.float64: 2**53}
+
+
+def _like(cut: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Whole numbers to compare the rows of _scores with: those beyond all scores go to their bound."""
+    limit = EXACT.get(s.dtype.type)
+    return (np.clip(cut, -limit, limit).astype(s.dtype) if limit else cut)[:, None]
+
+
+class _Best:
+    """The k best entries of each query so far."""
+
+    def __init__(self, q: np.ndarray, k: int):
+        self.q, self.k = q, k
+        self.score = np.full((len(q), k), np.iinfo(np.int64).min)
+        self.ids = np.zeros((len(q), k), np.int64)
+        self.count = np.zeros(len(q), np.int64)
+
+    def add(self, c: np.ndarray, s: np.ndarray) -> None:
+        hit = s > _like(self.score[:, -1], s)
+        if s.shape[1] > self.k + 1 and np.count_nonzero(hit) > 4 * (self.k + 1) * len(self.q):
+            few = np.zeros(s.shape, bool)  # one more than k, as one may be the query's own
+            np.put_along_axis(few, np.argpartition(-s, self.k, axis=1)[:, :self.k + 1], True, axis=1)
+            hit &= few
+        a, b = np.nonzero(hit)
+        other = self.q[a] != c[b]
+        a, b = a[other], b[other]
+        rows, new = np.unique(a, return_counts=True)
+        row = np.concatenate([np.repeat(rows, self.k), a])
+        score = np.concatenate([self.score[rows].ravel(), s[a, b].astype(np.int64)])
+        ids = np.concatenate([self.ids[rows].ravel(), c[b]])
+        order = np.lexsort((ids, ~score, row))
+        first = np.searchsorted(row[order], rows)
+        keep = order[first[:, None] + np.arange(self.k)]
+        self.score[rows], self.ids[rows] = score[keep], ids[keep]
+        self.count[rows] = np.minimum(self.k, self.count[rows] + new)
+
+    def batch(self, number: int) -> pa.RecordBatch:
+        have = np.arange(self.k) < self.count[:, None]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(self.q, self.count)), pa.array(self.ids[have]),
+             pa.array(np.full(int(self.count.sum()), number, np.int32)), pa.array(self.score[have])],
+            names=["query_id", "vec_id", "list", "score"])
 
 
 def _packed(columns_: dict) -> pa.RecordBatch:
@@ -150,65 +268,71 @@ def search(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vect
     able = stored(every.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).drop("r"), "candidates")
     asked = every.where(is_query)
     right = stored(_blocks(able, n, width, lists), "blocks")
-    parts = max(1, -(-asked.count() // queries_a_block))
+    queries = asked.count()
+    parts = max(1, -(-queries // queries_a_block))
+    session = df.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    a_query = 8 * -(-width // lists) + 16 * (k + 2)
+    grid = _grid(queries, parts, size["n"], n, lists, tasks, a_query)
 
     def exact(pairs: DataFrame) -> DataFrame:
         """(query_id, vec_id, score) by whole vectors."""
         a = every.select(F.col("id").alias("query_id"), F.col("v").alias("a"))
         b = every.select(F.col("id").alias("vec_id"), F.col("v").alias("b"))
         product = F.zip_with("a", "b", lambda x, y: F.coalesce(x * y, F.lit(0)))
-        return pairs.select("query_id", "vec_id").join(a, "query_id").join(b, "vec_id").select(
+        return pairs.select("query_id", "vec_id").join(merged(a), "query_id").join(merged(b), "vec_id").select(
             "query_id", "vec_id", F.aggregate(product, F.lit(0).cast("long"), lambda t, x: t + x).alias("score"))
 
     def best(batches):
-        for batch in columns(batches):
-            number = batch.column(batch.schema.get_field_index("list")).to_pylist()
-            for i in range(batch.num_rows):
-                q, c, s = _local(batch, i)
-                s = np.where(q[:, None] == c[None, :], np.iinfo(np.int64).min, s)
-                keep = np.zeros(s.shape, bool)
-                if s.shape[1] > k:
-                    np.put_along_axis(keep, np.argpartition(-s, k - 1, axis=1)[:, :k], True, axis=1)
-                else:
-                    keep[:] = True
-                a, b = np.nonzero(keep & (q[:, None] != c[None, :]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q[a]), pa.array(c[b]), pa.array(np.full(len(a), number[i], np.int32)), pa.array(s[a, b])],
-                    names=["query_id", "vec_id", "list", "score"])
+        for i, asked, rest in _of_cells(batches, grid, width, lists):
+            found = {}
+            for _, (c, y, _, _), _ in rest:
+                for x_block, (q, x, _, _) in asked.items():
+                    if x_block not in found:
+                        found[x_block] = _Best(q, k)
+                    found[x_block].add(c, _scores(x, y))
+            yield from (x.batch(i) for x in found.values())
 
     left = _blocks(asked, parts, width, lists)
-    gathered = _pairs(left, right, n).mapInArrow(best, "query_id long, vec_id long, list int, score long")
+    gathered = _cells(left, right, grid, lists).mapInArrow(best, "query_id long, vec_id long, list int, score long")
     top = Window.partitionBy("query_id", "list").orderBy(F.desc("score"), "vec_id")
     gathered = gathered.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     cutoff = exact(gathered.select("query_id", "vec_id").distinct()).withColumn("r", F.row_number().over(by_score))
     cutoff = cutoff.where(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cut"))
     lowest = F.lit(-(2**62)).cast("long")  # fewer than k other rows: everything passes
-    asked = stored(asked.join(cutoff, "id", "left").withColumn("cut", F.coalesce("cut", lowest)), "cutoffs")
+    asked = stored(asked.join(merged(cutoff), "id", "left").withColumn("cut", F.coalesce("cut", lowest)), "cutoffs")
 
     left = stored(_blocks(asked, parts, width, lists, ", cut binary"), "blocks")
 
     def enough(batches):
-        for batch in columns(batches):
-            for i, r in enumerate(batch.select(["q_block", "block", "list", "q_ids", "ids", "q_cut"]).to_pylist()):
-                q, c, s = _local(batch, i)
-                share = -(-np.frombuffer(r.pop("q_cut"), np.int64) // lists)
-                a, b = np.nonzero((s >= share[:, None]) & (q[:, None] != c[None, :]))
-                if len(a):
-                    yield _packed(r | {"at": ((a << 32) | b).tobytes(), "s": s[a, b].tobytes()})
+        for i, asked, rest in _of_cells(batches, grid, width, lists):
+            for block, (c, y, ids, _), _ in rest:
+                for q_block, (q, x, q_ids, cut) in asked.items():
+                    s = _scores(x, y)
+                    a, b = np.nonzero(s >= _like(-(-np.frombuffer(cut, np.int64) // lists), s))
+                    other = q[a] != c[b]
+                    a, b = a[other], b[other]
+                    if len(a):
+                        yield _packed({"q_block": q_block, "block": block, "list": i, "q_ids": q_ids, "ids": ids,
+                                       "at": ((a << 32) | b).tobytes(), "s": s[a, b].astype(np.int64).tobytes()})
 
     def asked_for(batches):
-        for batch in columns(batches):
-            for i, r in enumerate(batch.select(["q_block", "block", "list", "q_ids", "ids", "at"]).to_pylist()):
-                _, _, s = _local(batch, i)
-                at = np.frombuffer(r["at"], np.int64)
-                yield _packed(r | {"s": s[at >> 32, at & (2**32 - 1)].tobytes()})
+        for i, asked, rest in _of_cells(batches, grid, width, lists):
+            for block, (_, y, ids, _), r in rest:
+                if r:
+                    _, x, q_ids, _ = asked[r["q_block"]]
+                    at = np.frombuffer(r["rest"], np.int64)
+                    a, b = at >> 32, at & (2**32 - 1)
+                    few = len(at) * x.shape[1] < x.shape[0] * y.shape[0]
+                    s = (x[a].astype(np.int64) * y[b]).sum(axis=1) if few else _scores(x, y)[a, b].astype(np.int64)
+                    yield _packed({"q_block": r["q_block"], "block": block, "list": i, "q_ids": q_ids, "ids": ids, "at": r["rest"], "s": s.tobytes()})
 
     pair = ["q_block", "block"]
-    found = _pairs(left, right, n).mapInArrow(enough, PACKED_DDL)
+    found = _cells(left, right, grid, lists).mapInArrow(enough, PACKED_DDL)
     known = stored(found.groupBy(pair).applyInArrow(_lacking(lists), PACKED_DDL), "entries")
     requests = known.where("list >= 0").select(*pair, "list", "at")
-    answers = _pairs(left, right, n).join(requests, [*pair, "list"]).mapInArrow(asked_for, PACKED_DDL)
+    answers = _cells(left, right, grid, lists, requests).mapInArrow(asked_for, PACKED_DDL)
     totals = known.where("list < 0").unionByName(answers).groupBy(pair).applyInArrow(
         _ranked(k), "query_id long, vec_id long, score long")
     return totals.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select(

@@ -137,8 +137,8 @@ def vectors():
     return rows
 
 
-def brute_search(rows, k):
-    fit = {i: [math.floor(256 * x) for x in v] for i, v in rows
+def brute_search(rows, k, scale=256):
+    fit = {i: [math.floor(scale * x) for x in v] for i, v in rows
            if v is not None and all(x is not None and math.isfinite(x) for x in v)}
     out = []
     for q in sorted(fit):
@@ -166,6 +166,50 @@ def test_search_few_rows(spark):
     assert topk.search(df.where("false"), F.col("id") == 0, 5).count() == 0
 
 
+def test_search_broadcasts_nothing(spark, vectors, monkeypatch):
+    """Neither vectors nor blocks go through the driver, though their files are below the threshold."""
+    from pyspark.sql import functions as F
+
+    plans = []
+    stored = topk.stored
+    shown = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(topk, "stored", lambda df, name: shown(df) or stored(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+        shown(topk.search(df, F.col("id") % 10 == 0, 5, rows_a_block=4, queries_a_block=16))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) > 3 and not [p for p in plans if "Broadcast" in p]
+
+
+def test_search_grid(spark):
+    """Query blocks are sent as often as there are tasks for them, not to each candidate block."""
+    from pyspark.sql import functions as F
+
+    for queries, rows, tasks in [(1026, 51282, 12), (12308, 615384, 24), (480_000, 24_000_000, 600), (24_000_000, 24_000_000, 600), (0, 0, 200)]:
+        parts, n = max(1, -(-queries // 512)), max(1, -(-rows // 2048))
+        a, b = topk._grid(queries, parts, rows, n, 2, tasks, 368)
+        assert 1 <= a <= parts and 1 <= b <= n and queries / a * 368 <= topk.RESIDENT and (b == 1 or 2 * a * b <= 2 * tasks)
+    df = spark.range(40).select("id", F.array(F.col("id"), F.lit(1).cast("long")).alias("v"))
+    left, right = topk._blocks(df, 2, 2, 2), topk._blocks(df, 20, 2, 2)
+    sent = topk._cells(left, right, (1, 3), 2).withColumn("part", F.spark_partition_id())
+    count = {r["kind"]: r["n"] for r in sent.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert count == {0: left.count() * 3, 1: right.count()} and sent.where("part <> cell").count() == 0
+
+
+@pytest.mark.parametrize("scale", [1, 256, 10**5, 10**8, 10**10])
+def test_search_numbers_of_all_lengths(spark, vectors, monkeypatch, scale):
+    from pyspark.sql import functions as F
+
+    rows = [(i, v and [None if x is None else x / 100 if scale > 10**8 else x for x in v]) for i, v in vectors]
+    monkeypatch.setattr(topk, "RESIDENT", 2000)  # several groups of query blocks
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.search(df, F.col("id") % 10 == 0, 5, scale=scale, rows_a_block=16, queries_a_block=4)
+    assert sorted(map(tuple, got.collect())) == brute_search(rows, 5, scale)
+
+
 def test_likeness_of_a_cut_and_a_whole_list():
     names = sorted(random.Random(1).sample(range(1 << 32), 128))
     listed = lambda x: "".join(map("%08x".__mod__, sorted(x)[:64]))
